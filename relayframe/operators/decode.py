@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping
-from datetime import date, datetime
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -31,8 +30,8 @@ _ZEROS = {
     T.FloatType: 0.0,
     T.DoubleType: 0.0,
     T.DecimalType: Decimal(0),
-    T.DateType: date(1, 1, 1),
-    T.TimestampNTZType: datetime(1, 1, 1),
+    T.DateType: "0001-01-01",
+    T.TimestampNTZType: "0001-01-01 00:00:00",
 }
 
 
@@ -102,7 +101,7 @@ def avro_decoder(schemas: Mapping[str, str], topic: Column | None = None) -> Dec
     topic = F.col("topic") if topic is None else topic
 
     def decode(value: Column, target: T.StructType) -> Column:
-        decoded = F.raise_error(F.concat(F.lit("no schema for topic "), topic))
+        decoded = F.raise_error(F.concat(F.lit("no schema for topic "), topic)).cast(target)
         for name, schema in schemas.items():
             present = set(avro_field_names(schema))
             parsed = from_avro(value, schema)
@@ -148,7 +147,8 @@ def zero(data_type: T.DataType) -> Column:
     if isinstance(data_type, T.MapType):
         return F.create_map().cast(data_type)
     if isinstance(data_type, T.StructType):
-        return F.struct(*[zero(f.dataType).alias(f.name) for f in data_type.fields])
+        fields = [F.lit(None).cast(f.dataType) if f.nullable else zero(f.dataType) for f in data_type.fields]
+        return F.struct(*[field.alias(f.name) for field, f in zip(fields, data_type.fields)])
     return F.lit(_ZEROS[type(data_type)]).cast(data_type)
 
 
