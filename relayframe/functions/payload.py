@@ -19,9 +19,8 @@ def object_json(names: Iterable[str]) -> Column:
 
 
 def map_json(entries: Column) -> Column:
-    """An array of ``struct<name, variant>`` as a JSON object with keys in order."""
-    by_name = F.array_sort(entries, lambda a, b: F.when(a["name"] < b["name"], -1).when(a["name"] > b["name"], 1).otherwise(0))
-    return F.to_json(F.map_from_entries(by_name), _KEEP_NULLS)
+    """An array of ``struct<name, variant>`` as a JSON object, keys in the array's order."""
+    return F.to_json(F.map_from_entries(entries), _KEEP_NULLS)
 
 
 def bytes_field(value: Column) -> Column:

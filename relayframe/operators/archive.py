@@ -118,21 +118,30 @@ def chunk_stats(
 
 
 def in_chunks(rows: DataFrame, by: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Bring each chunk's rows together in offset order and label them with its bounds and row count.
+    """Bring each chunk's rows together in offset order and label them with what the chunk holds.
 
     ``by`` names what, next to topic, bucket and partition, tells chunks apart. It has to bound a
-    chunk's size: that is what spreads a hot bucket over tasks. The number of tasks is fixed, as
-    compressing and opening files outweigh the bytes by which AQE would merge tasks.
+    chunk's size: that is what spreads a hot bucket over tasks. One shuffle and one sort serve both
+    the removal of repeats and the labels: offset bounds, row count, and a digest of the offsets,
+    so that only chunks of the same records share a name.
+
+    The number of tasks is fixed, as compressing and opening files outweigh the bytes by which AQE
+    would merge tasks.
     """
     keys = [*PREFIX, *by]
     chunk = Window.partitionBy(*keys)
     tasks = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    before = F.lag("offset").over(chunk.orderBy("offset"))
     labelled = (
         rows.repartition(tasks, *keys)
+        .withColumn("_before", before)
+        .where(F.col("_before").isNull() | (F.col("_before") < F.col("offset")))
+        .drop("_before")
         .withColumn("chunk", chunk_name(F.min("offset").over(chunk), F.max("offset").over(chunk)))
         .withColumn("n_rows", F.count(F.lit(1)).over(chunk))
+        .withColumn("digest", F.hex(F.bit_xor(F.xxhash64("offset")).over(chunk)))
     )
-    return labelled.drop(*by).sortWithinPartitions(*PREFIX, "chunk", "n_rows", "offset")
+    return labelled.drop(*by).sortWithinPartitions(*PREFIX, "chunk", "n_rows", "digest", "offset")
 
 
 def by_offset_range(rows: DataFrame, chunk_offsets: int = CHUNK_OFFSETS, partitions: int | None = None) -> DataFrame:
@@ -187,3 +196,31 @@ def with_previous_chunk(chunks: DataFrame, tile_offsets: int = TILE_OFFSETS) ->
             previous["max_offset"].alias("prev_max_offset"),
         )
     )
+
+
+def overlapping(chunks: DataFrame, tile_offsets: int = TILE_OFFSETS) -> DataFrame:
+    """Chunks whose offset range meets another chunk's of the same topic partition, in any bucket.
+
+    Only these can hold a record twice. Each tile of a fixed offset span is sorted on its own; of
+    the others it learns the highest end before it and the first start after it.
+    """
+    keys = ["topic", "partition", "_tile"]
+    across = Window.partitionBy("topic", "partition").orderBy("_tile")
+    within = Window.partitionBy(*keys).orderBy("min_offset", "max_offset")
+    earlier = (Window.unboundedPreceding, -1)
+    tiled = chunks.withColumn("_tile", tile_of(tile_offsets))
+    edges = tiled.groupBy(*keys).agg(F.min("min_offset").alias("_first"), F.max("max_offset").alias("_top"))
+    edges = edges.select(
+        *keys,
+        F.max("_top").over(across.rowsBetween(*earlier)).alias("_top_before"),
+        F.lead("_first").over(across).alias("_first_after"),
+    )
+    before = F.greatest("_seen", "_top_before")
+    after = F.coalesce("_next", "_first_after")
+    return (
+        tiled.withColumn("_seen", F.max("max_offset").over(within.rowsBetween(*earlier)))
+        .withColumn("_next", F.lead("min_offset").over(within))
+        .join(edges, keys)
+        .where((before >= F.col("min_offset")) | (after <= F.col("max_offset")))
+        .select(chunks.columns)
+    )

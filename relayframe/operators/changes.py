@@ -92,14 +92,11 @@ def describe(raw: DataFrame, relations: DataFrame) -> DataFrame:
     joined = lookup_join(
         raw, relations.select("relation_id", "namespace", "name", "columns"), ["relation_id"]
     )
-    is_row = F.col("op").isin(*ROW_OPS)
-    # Columns are read only through the check, so an unknown relation cannot slip by unread.
-    columns = F.when(~is_row | F.col("columns").isNotNull(), F.col("columns")).otherwise(
-        F.raise_error(F.concat(F.lit("unknown relation id "), F.col("relation_id").cast("string")))
-    )
+    known = ~F.col("op").isin(*ROW_OPS) | F.col("columns").isNotNull()
+    unknown = F.raise_error(F.concat(F.lit("unknown relation id "), F.col("relation_id").cast("string")))
     picked = F.when(F.col("op") == "D", F.col("old_tuple")).otherwise(F.col("new_tuple"))
     cols = F.transform(
-        F.arrays_zip(columns.alias("meta"), picked.alias("cell")),
+        F.arrays_zip(F.col("columns").alias("meta"), picked.alias("cell")),
         lambda c: F.struct(
             c["meta"]["name"].alias("name"),
             c["meta"]["oid"].alias("oid"),
@@ -113,8 +110,8 @@ def describe(raw: DataFrame, relations: DataFrame) -> DataFrame:
         (F.col("lsn_start") + F.col("length")).alias("lsn_end"),
         "op",
         "relation_id",
-        qualify(F.col("namespace"), F.col("name")).alias("relation"),
-        cols.alias("cols"),
+        F.when(known, qualify(F.col("namespace"), F.col("name"))).otherwise(unknown).alias("relation"),
+        F.when(known, cols).otherwise(unknown).alias("cols"),
     )
 
 
@@ -182,7 +179,8 @@ def tuple_json(cols: Column, unchanged: str = "null") -> Column:
         raise ValueError("unchanged must be 'null' or 'omit'")
     if unchanged == "omit":
         cols = F.filter(cols, lambda c: c["kind"] != "u")
-    entries = F.transform(cols, lambda c: F.struct(c["name"].alias("name"), cell_value(c).alias("value")))
+    # Structs sort by their first field, the name.
+    entries = F.transform(F.sort_array(cols), lambda c: F.struct(c["name"].alias("name"), cell_value(c).alias("value")))
     return payload.map_json(entries)
 
 

@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relayframe.operators import offsets
-from relayframe.operators.archive import from_archive_rows, without_repeats
-from relayframe.schemas import RESTORE_OFFSETS
+from relayframe.operators.archive import from_archive_rows, overlapping, without_repeats
+from relayframe.schemas import PREFIX, RESTORE_OFFSETS
+from relayframe.session import BROADCAST_ROWS, checkpointed
+from relayframe.sources import archive_files as files
+
+# Marks are kept per bucket: with one mark per partition, a bucket holding high offsets would make
+# the next one's lower offsets look restored.
+_KEYS = offsets.RESTORE_PARTITION
 
 
 @dataclass
 class Restore:
-    """Frames of one restore; nothing runs until one is used.
+    """Frames of one restore; no record is read until one is used.
 
     ``records`` go back to their topics and partitions. ``counters`` are per topic. ``marks`` is
     the ledger to store once the records are written.
@@ -25,45 +34,117 @@ class Restore:
     marks: DataFrame
 
 
+def _no_marks(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], RESTORE_OFFSETS)
+
+
+def _fresh(rows: DataFrame, marks: DataFrame | None) -> DataFrame:
+    return rows if marks is None else offsets.fresh_records(rows, marks, _KEYS)
+
+
+def _in_order(rows: DataFrame, wanted: bool) -> DataFrame:
+    if not wanted:
+        return rows
+    return rows.repartition("topic", "partition").sortWithinPartitions("topic", "partition", "offset")
+
+
 def restore(
     rows: DataFrame, marks: DataFrame | None = None, binary: str = "text", in_order: bool = False
 ) -> Restore:
     """Records of archive rows (``topic, bucket, partition`` plus the row fields), each once.
 
-    Marks are kept per bucket: with one mark per partition, a bucket holding high offsets would
-    make the next one's lower offsets look restored.
-
-    ``in_order`` hands every topic partition to one task, in offset order, for sinks that must
-    append in order. That task can be as large as the largest partition, so it is off by default.
+    Rows are shuffled by offset to find repeats. ``in_order`` then hands every topic partition to
+    one task, in offset order, for sinks that must append in order. That task can be as large as
+    the largest partition, so it is off by default.
     """
-    keys = offsets.RESTORE_PARTITION
-    fresh = rows if marks is None else offsets.fresh_records(rows, marks, keys)
-    if in_order:
-        # Duplicate removal is satisfied by this partitioning and adds no second shuffle.
-        fresh = fresh.repartition("topic", "partition")
-    records = without_repeats(fresh)
-    if in_order:
-        records = records.sortWithinPartitions("topic", "partition", "offset")
-    known = marks if marks is not None else rows.sparkSession.createDataFrame([], RESTORE_OFFSETS)
+    known = _no_marks(rows.sparkSession) if marks is None else marks
     return Restore(
-        records=from_archive_rows(records, binary),
+        records=from_archive_rows(_in_order(without_repeats(_fresh(rows, marks)), in_order), binary),
         counters=restore_counters(rows, known),
-        marks=offsets.merge_offsets(known, offsets.last_offsets(rows, keys), keys),
+        marks=offsets.merge_offsets(known, offsets.last_offsets(rows, _KEYS), _KEYS),
     )
 
 
-def restore_counters(rows: DataFrame, marks: DataFrame) -> DataFrame:
+def restore_counters(rows: DataFrame, marks: DataFrame, repeats: bool = True) -> DataFrame:
     """Restored and skipped rows per topic; further copies of a record count as skipped.
 
-    Only the key columns are read and shuffled.
+    Only the key columns are read, and shuffled where records may repeat.
     """
-    keys = offsets.RESTORE_PARTITION
-    copies = rows.groupBy(*keys, "offset").agg(F.count(F.lit(1)).alias("n"))
+    if repeats:
+        counted = rows.groupBy(*_KEYS, "offset").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        counted = rows.select(*_KEYS, "offset", F.lit(1).cast("bigint").alias("n"))
     return (
-        offsets.with_mark(copies, marks, keys)
+        offsets.with_mark(counted, marks, _KEYS)
         .groupBy("topic")
         .agg(
             F.count_if(~offsets.is_replay()).alias("restored"),
             (F.sum("n") - F.count_if(~offsets.is_replay())).alias("skipped"),
         )
     )
+
+
+def restore_archive(
+    spark: SparkSession,
+    root: str,
+    topics: Sequence[str] | None = None,
+    since: str | datetime | None = None,
+    until: str | datetime | None = None,
+    marks: DataFrame | None = None,
+    binary: str = "text",
+    in_order: bool = False,
+    with_timestamp: bool = False,
+) -> Restore:
+    """Restore topics and buckets of an archive.
+
+    The listing tells which chunks overlap, and only their rows are compared; which chunks lie
+    wholly at or below their mark, and those are not read; and how many rows the others hold, so
+    that marks and most counters need no reading.
+    """
+    known = _no_marks(spark) if marks is None else marks
+    manifest = checkpointed(files.list_archive(spark, root, topics, since, until))
+    rows = files.read_archive(spark, root, topics, since, until, with_timestamp).drop("n_rows")
+    single, repeated = files.split_overlapping(rows, manifest)
+
+    chunks = offsets.with_mark(manifest, known, _KEYS)
+    if marks is not None:
+        ahead = checkpointed(files.chunk_key(chunks.where("mark IS NULL OR max_offset > mark")))
+        if ahead.count() <= BROADCAST_ROWS:
+            single = files.rows_of_chunks(single, ahead)
+    records = _fresh(single, marks)
+    if repeated is not None:
+        records = records.unionByName(without_repeats(_fresh(repeated, marks)))
+    return Restore(
+        records=from_archive_rows(_in_order(records, in_order), binary),
+        counters=_archive_counters(rows, repeated, chunks, known),
+        marks=offsets.merge_offsets(known, manifest.withColumnRenamed("max_offset", "offset"), _KEYS),
+    )
+
+
+def _archive_counters(
+    rows: DataFrame, repeated: DataFrame | None, chunks: DataFrame, marks: DataFrame
+) -> DataFrame:
+    """Counters from the listing, reading only chunks that overlap or that a mark cuts in two."""
+    parts = []
+    if repeated is not None:
+        shared = overlapping(chunks).select(*PREFIX, "min_offset", "max_offset").distinct()
+        chunks = chunks.join(shared, [*PREFIX, "min_offset", "max_offset"], "left_anti")
+        parts.append(restore_counters(repeated, marks))
+    cut = F.coalesce((F.col("min_offset") <= F.col("mark")) & (F.col("mark") < F.col("max_offset")), F.lit(False))
+    split = checkpointed(files.chunk_key(chunks.where(cut)))
+    if not split.isEmpty():
+        parts.append(restore_counters(files.rows_of_chunks(rows, split), marks, repeats=False))
+    done = F.coalesce(F.col("max_offset") <= F.col("mark"), F.lit(False))
+    parts.append(
+        chunks.where(~cut)
+        .groupBy("topic")
+        .agg(
+            F.coalesce(F.sum(F.when(~done, F.col("n_rows"))), F.lit(0)).alias("restored"),
+            F.coalesce(F.sum(F.when(done, F.col("n_rows"))), F.lit(0)).alias("skipped"),
+        )
+    )
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("topic")
+        .agg(F.sum("restored").alias("restored"), F.sum("skipped").alias("skipped"))
+    )

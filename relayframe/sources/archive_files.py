@@ -1,7 +1,7 @@
 """Archives: gzip JSON lines under topic, time bucket, partition and offset chunk.
 
-Own layout: ``topic=/bucket=/partition=/chunk={min}-{max}/n_rows=/*.json.gz``. All a manifest needs
-is in the directory names, so listing replaces reading. The compatible layout
+Own layout: ``topic=/bucket=/partition=/chunk={min}-{max}/n_rows=/digest=/*.json.gz``. All a manifest
+needs is in the directory names, so listing replaces reading. The compatible layout
 ``{topic}/{bucket}/{partition}/{min}-{max}.gz`` is read as well.
 """
 
@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,8 +19,9 @@ from relayframe.functions import times
 from relayframe.operators import archive
 from relayframe.operators.compaction import MERGE_LIMIT, label_chunks
 from relayframe.schemas import ARCHIVE_ROW, PREFIX
+from relayframe.session import checkpointed, lookup_join
 
-_LAYOUT = ["topic", "bucket", "partition", "chunk", "n_rows"]
+_LAYOUT = ["topic", "bucket", "partition", "chunk", "n_rows", "digest"]
 # Typed here because inference would read buckets as times.
 _LAYOUT_FIELDS = [
     T.StructField("topic", T.StringType()),
@@ -27,6 +29,7 @@ _LAYOUT_FIELDS = [
     T.StructField("partition", T.IntegerType()),
     T.StructField("chunk", T.StringType()),
     T.StructField("n_rows", T.LongType()),
+    T.StructField("digest", T.StringType()),
 ]
 _FILE_FIELDS = [
     T.StructField("path", T.StringType()),
@@ -57,13 +60,24 @@ def write_archive(
 ) -> None:
     """Add archive rows to an archive, in one shuffle by chunk.
 
-    Only the chunk directories this frame fills are replaced, so writing the same rows again
-    changes nothing. The driver moves replaced directories one by one; ``replace=False`` appends
+    Only directories of chunks with the very same records are replaced, so writing the same rows
+    again changes nothing. The driver moves replaced directories one by one; ``replace=False`` appends
     instead, for a bulk load that is not repeated into the same place.
     """
     _store(archive.by_offset_range(rows, chunk_offsets, partitions), root, replace)
 
 
+def _load(reader: DataFrameReader, root: str, topics: Sequence[str] | None) -> DataFrame:
+    """Load an archive, listing only the directories of the wanted topics if all of them exist."""
+    if topics:
+        try:
+            return reader.option("basePath", root).load([f"{root.rstrip('/')}/topic={t}" for t in topics])
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return reader.load(root)
+
+
 def read_archive(
     spark: SparkSession,
     root: str,
@@ -72,11 +86,12 @@ def read_archive(
     until: str | datetime | None = None,
     with_timestamp: bool = False,
 ) -> DataFrame:
-    """Archive rows of some topics and buckets; other directories are not listed or read."""
+    """Archive rows of some topics and buckets; other directories are not read."""
     fields = list(ARCHIVE_ROW.fields)
     if with_timestamp:
         fields.append(T.StructField("timestamp", T.TimestampType()))
-    rows = spark.read.schema(T.StructType(fields + _LAYOUT_FIELDS)).json(root)
+    reader = spark.read.schema(T.StructType(fields + _LAYOUT_FIELDS)).format("json")
+    rows = _load(reader, root, topics).drop("digest")
     return archive.in_buckets(archive.of_topics(rows, topics), since, until)
 
 
@@ -88,7 +103,8 @@ def list_archive(
     until: str | datetime | None = None,
 ) -> DataFrame:
     """Manifest of an archive, from its listing alone."""
-    files = spark.read.format("binaryFile").schema(T.StructType(_FILE_FIELDS + _LAYOUT_FIELDS)).load(root)
+    reader = spark.read.format("binaryFile").schema(T.StructType(_FILE_FIELDS + _LAYOUT_FIELDS))
+    files = _load(reader, root, topics)
     files = archive.in_buckets(archive.of_topics(files, topics), since, until)
     return files.select(
         *PREFIX,
@@ -167,6 +183,30 @@ def read_compatible(
     )
 
 
+def chunk_key(chunks: DataFrame) -> DataFrame:
+    """The columns by which archive rows are joined to chunks of a manifest."""
+    name = archive.chunk_name(F.col("min_offset"), F.col("max_offset"))
+    return chunks.select(*PREFIX, name.alias("chunk")).distinct()
+
+
+def rows_of_chunks(rows: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Rows of some chunks, given by :func:`chunk_key`. Where they are few, dynamic partition pruning
+    keeps the other directories from being read; it asks for a filter on the joined side."""
+    return lookup_join(rows, chunks.where(F.col("chunk") > ""), [*PREFIX, "chunk"], "left_semi")
+
+
+def split_overlapping(rows: DataFrame, manifest: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Archive rows that occur once, and rows of chunks that overlap and may repeat.
+
+    Told from the manifest. A chunk holds an offset once by the way it is written, so in an archive
+    without replays there is no second frame and nothing has to be compared.
+    """
+    shared = checkpointed(chunk_key(archive.overlapping(manifest)))
+    if shared.isEmpty():
+        return rows, None
+    return lookup_join(rows, shared, [*PREFIX, "chunk"], "left_anti"), rows_of_chunks(rows, shared)
+
+
 def compact_archive(
     spark: SparkSession,
     source: str,
@@ -186,10 +226,17 @@ def compact_archive(
     """
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError("compact into a new location")
-    groups = label_chunks(list_archive(spark, source, topics, since, until), limit).select(
-        *PREFIX, archive.chunk_name(F.col("min_offset"), F.col("max_offset")).alias("chunk"), "group_id"
-    )
+    manifest = checkpointed(list_archive(spark, source, topics, since, until))
+    labels = label_chunks(manifest, limit)
+    name = archive.chunk_name(F.col("min_offset"), F.col("max_offset")).alias("chunk")
+    groups = checkpointed(labels.select(*PREFIX, name, "group_id"))
     rows = read_archive(spark, source, topics, since, until, with_timestamp).drop("n_rows")
-    merged = rows.join(groups, [*PREFIX, "chunk"]).drop("chunk")
-    merged = archive.without_repeats(merged, (*PREFIX, "offset"))
+    single, repeated = split_overlapping(rows, manifest)
+
+    def grouped(part: DataFrame) -> DataFrame:
+        return lookup_join(part, groups, [*PREFIX, "chunk"], "inner").drop("chunk")
+
+    merged = grouped(single)
+    if repeated is not None:
+        merged = merged.unionByName(archive.without_repeats(grouped(repeated), (*PREFIX, "offset")))
     _store(archive.in_chunks(merged, ["group_id"], partitions), target, replace=False)

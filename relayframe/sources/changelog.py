@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from relayframe.operators.changes import since_position
+from relayframe.operators.changes import next_position, since_position
 from relayframe.schemas import CHANGES
 
 
@@ -28,3 +29,20 @@ def stream_changes(
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return since_position(reader.parquet(path), position)
+
+
+def store_position(changes: DataFrame, path: str, batch_id: int = 0) -> None:
+    """Remember where a bounded run ended, after its messages are written."""
+    reached = next_position(changes).where("position IS NOT NULL")
+    reached.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def stored_position(spark: SparkSession, path: str) -> int | None:
+    """Where the next bounded run begins; None for the first."""
+    try:
+        stored = spark.read.schema("position bigint").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return next_position(stored.withColumnRenamed("position", "lsn_end")).first()["position"]

@@ -84,8 +84,8 @@ def source_options(
 ) -> dict[str, str]:
     """Options of a topic source: committed records only, headers included.
 
-    ``batch_size`` limits what one trigger reads from all topics together; None reads everything
-    there is, which is what a large cluster wants. More workers mean more, smaller input tasks.
+    ``batch_size`` limits what one trigger reads per topic and worker; None reads everything there
+    is, which is what a large cluster wants. More workers mean more, smaller input tasks.
     """
     if not brokers or not topics:
         raise ValueError("brokers and topics must not be empty")
@@ -101,7 +101,7 @@ def source_options(
     if workers_per_topic > 1:
         options["minPartitions"] = str(workers_per_topic * len(topics))
     if batch_size:
-        options["maxOffsetsPerTrigger"] = str(batch_size)
+        options["maxOffsetsPerTrigger"] = str(batch_size * workers_per_topic * len(topics))
     if fetch_max_bytes:
         options["kafka.fetch.max.bytes"] = str(fetch_max_bytes)
     if fetch_max_partition_bytes:

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from relayframe.operators.decode import make_decoder
 from relayframe.plans.changefeed import ChangeFeed
-from relayframe.plans.restore import restore
+from relayframe.plans.restore import restore, restore_archive
 from relayframe.plans.snapshot import SnapshotPlan, keyed_tables
 from relayframe.sources import archive_files, kafka, tables
 from relayframe.sources.changelog import stream_changes
@@ -118,9 +118,12 @@ def archive_sink(spark: SparkSession, conf: dict[str, Any]) -> StreamingQuery:
 @register("archive.restore")
 def archive_restore(spark: SparkSession, conf: dict[str, Any]) -> DataFrame:
     """A date range of an archive to topics. Gives the records, and sends them if brokers are named."""
-    read = archive_files.read_compatible if conf.get("compatible") else archive_files.read_archive
-    rows = read(spark, conf["root"], conf["topics"], conf["since"], conf["until"])
-    restored = restore(rows, conf.get("marks"), in_order=conf.get("in_order", False))
+    where = (spark, conf["root"], conf["topics"], conf["since"], conf["until"])
+    marks, in_order = conf.get("marks"), conf.get("in_order", False)
+    if conf.get("compatible"):
+        restored = restore(archive_files.read_compatible(*where), marks, in_order=in_order)
+    else:
+        restored = restore_archive(*where, marks, in_order=in_order)
     if "brokers" in conf:
         options = kafka.sink_options(conf["brokers"], compression="lz4")
         kafka.write_topics(restored.records, options, keep_partition=True)

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from relayframe.functions.times import MILLIS
 from relayframe.operators import offsets
-from relayframe.operators.decode import Decoder, json_decoder, project
+from relayframe.operators.decode import Decoder, json_decoder, project, split_malformed
 from relayframe.operators.routing import Routes, route_table
 from relayframe.session import checkpointed
 from relayframe.streaming.triggers import every
@@ -111,6 +112,9 @@ class TableSink:
     decoder: Decoder = field(default_factory=json_decoder)
     hook: Hook | None = None
     keep: tuple[str, ...] = ()
+    # Where malformed JSON records go; without it they fail the batch.
+    quarantine: Writer | None = None
+    time_format: str = MILLIS
 
     def _routed(self, batch: DataFrame) -> DataFrame:
         table = route_table(F.col("topic"), self.routes)
@@ -119,11 +123,16 @@ class TableSink:
         )
         return batch.withColumn("_table", known)
 
-    def rows_of(self, fresh: DataFrame, table: str) -> DataFrame:
+    def _write_table(self, fresh: DataFrame, table: str, run: str, batch_id: int) -> None:
         records = fresh.where(F.col("_table") == table).drop("_table")
         if self.hook is not None:
-            return self.hook(records, table)
-        return project(records, self.tables[table], self.decoder, self.keep)
+            rows = self.hook(records, table)
+        elif self.quarantine is not None:
+            rows, malformed = split_malformed(records, self.tables[table], self.time_format, self.keep)
+            self.quarantine(malformed, table, run, batch_id)
+        else:
+            rows = project(records, self.tables[table], self.decoder, self.keep)
+        self.write(rows, table, run, batch_id)
 
     def __call__(self, batch: DataFrame, batch_id: int, run: str | None = None) -> None:
         spark = batch.sparkSession
@@ -134,7 +143,7 @@ class TableSink:
         try:
             fresh = self._routed(offsets.fresh_records(batch, marks))
             for table in self.tables:
-                self.write(self.rows_of(fresh, table), table, run, batch_id)
+                self._write_table(fresh, table, run, batch_id)
             counts = batch.groupBy("topic", "partition").agg(
                 F.max("offset").alias("offset"), F.count(F.lit(1)).alias("n_rows")
             )

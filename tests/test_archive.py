@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from relayframe.operators import archive, offsets
-from relayframe.plans.restore import restore
+from relayframe.plans.restore import restore, restore_archive
 from relayframe.schemas import LOG, RESTORE_OFFSETS
 from relayframe.sources import archive_files as files
 from relayframe.streaming.archive_sink import ArchiveSink
@@ -216,3 +216,85 @@ def test_batch_sizes_and_topics(spark, as_rows):
     sizes = offsets.batch_sizes(records, F.call_function("div", F.col("offset"), F.lit(10)))
     assert as_rows(sizes) == [("t", 0, 1), ("t", 1, 2), ("u", 0, 1)]
     assert as_rows(offsets.topics_of(records)) == [("t",), ("u",)]
+
+
+def brute_overlaps(chunks):
+    return sorted(
+        c for i, c in enumerate(chunks)
+        if any(i != j and c[:2] == d[:2] and c[2] <= d[3] and d[2] <= c[3] for j, d in enumerate(chunks))
+    )
+
+
+@pytest.mark.parametrize("tile", [1, 9, 50, 10_000])
+def test_overlapping_chunks(spark, tile):
+    rng = random.Random(tile)
+    chunks = set()
+    for _ in range(60):
+        low = rng.randrange(400)
+        chunks.add((rng.choice("tu"), rng.randrange(2), low, low + rng.choice([0, 1, 4, 60])))
+    chunks = sorted(chunks)
+    df = spark.createDataFrame(chunks, "topic string, partition int, min_offset bigint, max_offset bigint")
+    got = sorted(tuple(r) for r in archive.overlapping(df, tile).collect())
+    assert got == brute_overlaps(chunks)
+
+
+def test_restore_shuffles_only_overlaps(spark, tmp_path):
+    root = str(tmp_path / "a")
+    sink = ArchiveSink(root, chunk_offsets=10)
+    source = log(spark, *[record(o, minutes=o) for o in range(100)])
+    sink(source)
+    sink(log(spark, *[record(o, minutes=o) for o in range(35, 52)]))
+    single, repeated = files.split_overlapping(files.read_archive(spark, root), files.list_archive(spark, root))
+    # The chunk of 40 to 49 was delivered whole, so the second delivery replaced it.
+    assert sorted({r["offset"] for r in repeated.collect()}) == [*range(30, 40), *range(50, 60)]
+    assert repeated.count() == 27
+    assert plain(single, "offset") == sorted([(o,) for o in range(100) if o // 10 not in (3, 5)], key=repr)
+    done = restore_archive(spark, root, since="2024-05-15 10:00:00", marks=marks(spark, ("t", 0, "2024-05-15 11:00:00", 89)))
+    assert plain(done.records, "offset") == sorted([(o,) for o in range(100) if o < 60 or o > 89], key=repr)
+    assert plain(done.counters, "topic", "restored", "skipped") == [("t", 70, 37)]
+    assert plain(done.marks, "bucket", "offset") == [("2024-05-15 10:00:00", 59), ("2024-05-15 11:00:00", 99)]
+
+
+def test_restore_reads_only_what_is_ahead(spark, tmp_path):
+    root = str(tmp_path / "a")
+    ArchiveSink(root, chunk_offsets=10)(log(spark, *[record(o, minutes=o) for o in range(100)]))
+    single, repeated = files.split_overlapping(files.read_archive(spark, root), files.list_archive(spark, root))
+    assert repeated is None and single.count() == 100
+    half = restore_archive(spark, root, marks=marks(spark, ("t", 0, "2024-05-15 10:00:00", 34)))
+    assert plain(half.records, "offset") == sorted([(o,) for o in range(35, 100)], key=repr)
+    assert plain(half.counters, "topic", "restored", "skipped") == [("t", 65, 35)]
+    plan = half.records._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    assert "SortAggregate" not in plan and "hashpartitioning" not in plan
+    whole = restore_archive(spark, root)
+    assert plain(whole.counters, "topic", "restored", "skipped") == [("t", 100, 0)]
+    again = restore_archive(spark, root, marks=whole.marks)
+    assert again.records.count() == 0
+    assert plain(again.counters, "topic", "restored", "skipped") == [("t", 0, 100)]
+    assert restore_archive(spark, root, ["t", "nothing"]).records.count() == 100
+    assert restore_archive(spark, root, ["nothing"]).records.count() == 0
+
+
+def test_equal_bounds_and_counts_do_not_replace(spark, tmp_path):
+    root = str(tmp_path / "a")
+    for offsets_ in ([0, 3, 9], [0, 5, 9]):
+        ArchiveSink(root)(log(spark, *[record(o) for o in offsets_]))
+    assert plain(restore_archive(spark, root).records, "offset") == sorted([(o,) for o in (0, 3, 5, 9)], key=repr)
+
+
+def test_a_chunk_holds_an_offset_once(spark, tmp_path):
+    root = str(tmp_path / "a")
+    ArchiveSink(root)(log(spark, *[record(o) for o in range(10)] * 2))
+    assert files.read_archive(spark, root).count() == 10
+    assert files.list_archive(spark, root).first()["n_rows"] == 10
+
+
+def test_appended_twice_is_restored_once(spark, tmp_path):
+    root = str(tmp_path / "a")
+    rows = archive.to_archive_rows(log(spark, *[record(o) for o in range(10)]))
+    for _ in range(2):
+        files.write_archive(rows, root, replace=False)
+    assert files.read_archive(spark, root).count() == 20
+    assert restore_archive(spark, root).records.count() == 10
+    files.compact_archive(spark, root, str(tmp_path / "b"))
+    assert files.read_archive(spark, str(tmp_path / "b")).count() == 10

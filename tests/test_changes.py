@@ -8,7 +8,7 @@ from relayframe.operators import changes as ch
 from relayframe.operators.changes import OID
 from relayframe.plans.changefeed import ChangeFeed
 from relayframe.schemas import CHANGES, RAW_CHANGES, RELATIONS
-from relayframe.sources.changelog import read_changes
+from relayframe.sources.changelog import read_changes, store_position, stored_position
 
 
 def cell(name, kind, data, fmt="t", key=False):
@@ -132,8 +132,9 @@ def test_describe_picks_old_and_new_rows(spark):
 
 def test_unknown_relation_fails(spark):
     df = ch.describe(raw(spark, (10, 5, "I", 7, [("t", bytearray(b"1"))], None)), relations(spark))
-    with pytest.raises(Exception, match="unknown relation id 7"):
-        df.collect()
+    for reading in (df, df.select("cols"), df.select("relation"), ChangeFeed(tables=["public.t"]).selected(df).select("op")):
+        with pytest.raises(Exception, match="unknown relation id 7"):
+            reading.collect()
 
 
 def test_feed_filters_and_headers(spark, as_rows):
@@ -160,3 +161,12 @@ def test_read_from_a_position(spark, tmp_path, as_rows):
     change(spark, lsn=5).unionByName(change(spark, lsn=9)).write.parquet(str(tmp_path / "log"))
     assert as_rows(read_changes(spark, str(tmp_path / "log"), 9).select("lsn_start")) == [(9,)]
     assert read_changes(spark, str(tmp_path / "log")).count() == 2
+
+
+def test_stored_positions(spark, tmp_path):
+    path = str(tmp_path / "position")
+    assert stored_position(spark, path) is None
+    store_position(change(spark, lsn=9), path, 0)
+    store_position(change(spark, lsn=30).unionByName(change(spark, lsn=20, op="O")), path, 1)
+    store_position(change(spark).limit(0), path, 2)
+    assert stored_position(spark, path) == 31

@@ -103,7 +103,7 @@ def test_topic_source_options():
         "kafka.isolation.level": "read_committed",
         "kafka.group.id": "g",
         "minPartitions": "6",
-        "maxOffsetsPerTrigger": "10000",
+        "maxOffsetsPerTrigger": "60000",
         "kafka.fetch.max.bytes": "5",
         "kafka.max.partition.fetch.bytes": "6",
     }

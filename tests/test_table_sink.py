@@ -120,6 +120,16 @@ def test_malformed_record_stops_the_stream(spark, tmp_path):
         drain([query])
 
 
+def test_quarantine(spark, tmp_path):
+    bad = log(spark, [1, 3]).withColumn("value", F.lit("{").cast("binary"))
+    sink = make_sink(tmp_path, quarantine=parquet_writer(str(tmp_path / "bad")))
+    for _ in range(2):
+        sink(log(spark, [0, 2]).unionByName(bad), 0, "r")
+    assert stored(spark, tmp_path) == [0, 2]
+    kept = read_table(spark, str(tmp_path / "bad"), "t", LOG)
+    assert sorted((r["offset"], bytes(r["value"])) for r in kept.collect()) == [(1, b"{"), (3, b"{")]
+
+
 def test_jobs_by_name(spark, tmp_path):
     log(spark, range(30)).write.parquet(str(tmp_path / "log"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from relayframe.functions import codecs, payload, text, times
 from relayframe.operators import archive, catalog, changes, compaction, decode, envelope, offsets, routing
 from relayframe.plans.changefeed import ChangeFeed
-from relayframe.plans.restore import restore
+from relayframe.plans.restore import restore, restore_archive
 from relayframe.plans.snapshot import SnapshotPlan, SnapshotTable
 from relayframe.session import scratch_path, use_utc
 from relayframe.sources import archive_files, changelog
@@ -469,7 +469,7 @@ def archive_round_trip(spark, sf_dir):
     root = scratch_path(spark, "archive")
     rows = archive.to_archive_rows(fx.log(spark, sf_dir), fx.WEEK)
     archive_files.write_archive(rows, root, replace=False)
-    records = restore(archive_files.read_archive(spark, root)).records
+    records = restore_archive(spark, root).records
     return _as_text(records, "topic", "partition", "offset")
 
 
