@@ -199,16 +199,22 @@ def with_previous_chunk(chunks: DataFrame, tile_offsets: int = TILE_OFFSETS) ->
 
 
 def overlapping(chunks: DataFrame, tile_offsets: int = TILE_OFFSETS) -> DataFrame:
-    """Chunks whose offset range meets another chunk's of the same topic partition, in any bucket.
+    """Chunks whose offset range meets another chunk's of the same topic partition, in any bucket,
+    each named once by prefix and bounds. Only these can hold a record twice.
 
-    Only these can hold a record twice. Each tile of a fixed offset span is sorted on its own; of
-    the others it learns the highest end before it and the first start after it.
+    Copies of a chunk are counted before anything is sorted. Each tile of a fixed offset span is
+    sorted on its own; of the others it learns the highest end before and the first start after it.
     """
     keys = ["topic", "partition", "_tile"]
+    bounds = ["min_offset", "max_offset"]
     across = Window.partitionBy("topic", "partition").orderBy("_tile")
-    within = Window.partitionBy(*keys).orderBy("min_offset", "max_offset")
+    within = Window.partitionBy(*keys).orderBy(*bounds)
     earlier = (Window.unboundedPreceding, -1)
-    tiled = chunks.withColumn("_tile", tile_of(tile_offsets))
+    tiled = (
+        chunks.groupBy(*PREFIX, *bounds)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_tile", tile_of(tile_offsets))
+    )
     edges = tiled.groupBy(*keys).agg(F.min("min_offset").alias("_first"), F.max("max_offset").alias("_top"))
     edges = edges.select(
         *keys,
@@ -221,6 +227,6 @@ def overlapping(chunks: DataFrame, tile_offsets: int = TILE_OFFSETS) -> DataFram
         tiled.withColumn("_seen", F.max("max_offset").over(within.rowsBetween(*earlier)))
         .withColumn("_next", F.lead("min_offset").over(within))
         .join(edges, keys)
-        .where((before >= F.col("min_offset")) | (after <= F.col("max_offset")))
-        .select(chunks.columns)
+        .where((F.col("_copies") > 1) | (before >= F.col("min_offset")) | (after <= F.col("max_offset")))
+        .select(*PREFIX, *bounds)
     )

@@ -127,8 +127,7 @@ def _archive_counters(
     """Counters from the listing, reading only chunks that overlap or that a mark cuts in two."""
     parts = []
     if repeated is not None:
-        shared = overlapping(chunks).select(*PREFIX, "min_offset", "max_offset").distinct()
-        chunks = chunks.join(shared, [*PREFIX, "min_offset", "max_offset"], "left_anti")
+        chunks = chunks.join(overlapping(chunks), [*PREFIX, "min_offset", "max_offset"], "left_anti")
         parts.append(restore_counters(repeated, marks))
     cut = F.coalesce((F.col("min_offset") <= F.col("mark")) & (F.col("mark") < F.col("max_offset")), F.lit(False))
     split = checkpointed(files.chunk_key(chunks.where(cut)))

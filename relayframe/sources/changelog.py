@@ -31,6 +31,11 @@ def stream_changes(
     return since_position(reader.parquet(path), position)
 
 
+def write_changes(changes: DataFrame, path: str) -> None:
+    """Keep changes by relation, so that subscribing to some tables reads only theirs."""
+    changes.write.mode("append").partitionBy("relation").parquet(path)
+
+
 def store_position(changes: DataFrame, path: str, batch_id: int = 0) -> None:
     """Remember where a bounded run ended, after its messages are written."""
     reached = next_position(changes).where("position IS NOT NULL")

@@ -52,6 +52,28 @@ def read_table(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
 
 
+def bounds_query(table: str, column: str, condition: str = "") -> str:
+    return f"SELECT min({column}) AS low, max({column}) AS high FROM {table} {condition}".strip()
+
+
+def read_split_table(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str,
+    partitions: int,
+    condition: str = "",
+    login: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """A table read by many tasks, each a range of a numeric or time column the database indexes."""
+    login = dict(login or {})
+    row = read_table(spark, {"url": url, "query": bounds_query(table, column, condition), **login}).first()
+    if row["low"] is None:
+        return read_table(spark, table_options(url, table, condition, login=login))
+    bounds = (row["low"], row["high"])
+    return read_table(spark, table_options(url, table, condition, column, bounds, partitions, login=login))
+
+
 def read_primary_keys(spark: SparkSession, url: str, login: Mapping[str, str] | None = None) -> DataFrame:
     """Key columns of every table of a database."""
     def catalog(query: str) -> DataFrame:

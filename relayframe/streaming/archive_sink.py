@@ -18,7 +18,9 @@ class ArchiveSink:
     """Writes log batches to an archive; call it from ``foreachBatch`` or directly.
 
     Buckets come from record times, so late records join their own old bucket as new chunks; there
-    is no watermark. A retried batch fills the same chunk directories and replaces them.
+    is no watermark. A retried batch fills the same chunk directories and replaces them. The driver
+    moves those one by one, so for batches of very many chunks ``replace=False`` is faster; a retry
+    then leaves copies, which restoring and compacting remove.
     """
 
     root: str
@@ -28,10 +30,11 @@ class ArchiveSink:
     binary: str = "text"
     keep_nulls: bool = False
     keep_timestamp: bool = False
+    replace: bool = True
 
     def __call__(self, batch: DataFrame, batch_id: int = 0) -> None:
         rows = to_archive_rows(batch, self.interval, self.binary, self.keep_nulls, self.keep_timestamp)
-        write_archive(rows, self.root, self.chunk_offsets, self.partitions)
+        write_archive(rows, self.root, self.chunk_offsets, self.partitions, self.replace)
 
 
 def start_archive_sink(

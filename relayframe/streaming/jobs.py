@@ -56,22 +56,29 @@ def _timeout(conf: dict[str, Any]) -> str | None:
     return conf.get("timeout", kafka.BATCH_TIMEOUT)
 
 
+def _database_table(spark: SparkSession, source: dict[str, Any], name: str, condition: str) -> DataFrame:
+    url, login = source["url"], source.get("login")
+    split = source.get("split", {}).get(name)
+    if split:
+        return tables.read_split_table(spark, url, name, split["column"], split["partitions"], condition, login)
+    return tables.read_table(spark, tables.table_options(url, name, condition, login=login))
+
+
 @register("table.snapshot")
 def table_snapshot(spark: SparkSession, conf: dict[str, Any]) -> DataFrame:
-    """Tables to topics. Gives the messages, and sends them if brokers are named."""
+    """Tables to topics. Gives the messages, and sends them if brokers are named.
+
+    ``database`` names a url and tables, and under ``split`` a column and number of tasks for each
+    table too large for one connection.
+    """
     if "tables" in conf:
         listed, condition = conf["tables"], conf.get("condition", "")
     else:
         # The database evaluates the condition, so it is not applied again here.
         source, condition = conf["database"], ""
-        keys = tables.read_primary_keys(spark, source["url"], source.get("login"))
-        frames = {
-            name: tables.read_table(
-                spark,
-                tables.table_options(source["url"], name, conf.get("condition", ""), login=source.get("login")),
-            )
-            for name in source["tables"]
-        }
+        url, login = source["url"], source.get("login")
+        frames = {name: _database_table(spark, source, name, conf.get("condition", "")) for name in source["tables"]}
+        keys = tables.read_primary_keys(spark, url, login)
         listed = keyed_tables(frames, keys)
     plan = SnapshotPlan(condition=condition, tables=list(listed), **conf.get("message", {}))
     messages = plan.messages()

@@ -221,7 +221,7 @@ def test_batch_sizes_and_topics(spark, as_rows):
 def brute_overlaps(chunks):
     return sorted(
         c for i, c in enumerate(chunks)
-        if any(i != j and c[:2] == d[:2] and c[2] <= d[3] and d[2] <= c[3] for j, d in enumerate(chunks))
+        if any(i != j and c[0] == d[0] and c[2] == d[2] and c[3] <= d[4] and d[3] <= c[4] for j, d in enumerate(chunks))
     )
 
 
@@ -231,11 +231,13 @@ def test_overlapping_chunks(spark, tile):
     chunks = set()
     for _ in range(60):
         low = rng.randrange(400)
-        chunks.add((rng.choice("tu"), rng.randrange(2), low, low + rng.choice([0, 1, 4, 60])))
+        chunks.add((rng.choice("tu"), rng.choice("ab"), rng.randrange(2), low, low + rng.choice([0, 1, 4, 60])))
     chunks = sorted(chunks)
-    df = spark.createDataFrame(chunks, "topic string, partition int, min_offset bigint, max_offset bigint")
+    schema = "topic string, bucket string, partition int, min_offset bigint, max_offset bigint"
+    copied = ("t", "a", 0, 1000, 1001)
+    df = spark.createDataFrame([*chunks, copied, copied, ("t", "a", 0, 1002, 1003)], schema)
     got = sorted(tuple(r) for r in archive.overlapping(df, tile).collect())
-    assert got == brute_overlaps(chunks)
+    assert got == sorted([*brute_overlaps(chunks), copied])
 
 
 def test_restore_shuffles_only_overlaps(spark, tmp_path):

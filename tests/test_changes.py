@@ -8,7 +8,7 @@ from relayframe.operators import changes as ch
 from relayframe.operators.changes import OID
 from relayframe.plans.changefeed import ChangeFeed
 from relayframe.schemas import CHANGES, RAW_CHANGES, RELATIONS
-from relayframe.sources.changelog import read_changes, store_position, stored_position
+from relayframe.sources.changelog import read_changes, store_position, stored_position, write_changes
 
 
 def cell(name, kind, data, fmt="t", key=False):
@@ -170,3 +170,13 @@ def test_stored_positions(spark, tmp_path):
     store_position(change(spark, lsn=30).unionByName(change(spark, lsn=20, op="O")), path, 1)
     store_position(change(spark).limit(0), path, 2)
     assert stored_position(spark, path) == 31
+
+
+def test_subscription_prunes_the_log(spark, tmp_path, as_rows):
+    path = str(tmp_path / "log")
+    write_changes(change(spark).unionByName(change(spark, relation="public.u", lsn=50)), path)
+    df = ch.subscribed(read_changes(spark, path, 10), ["public.u"])
+    assert as_rows(df.select("lsn_start", "relation")) == [(50, "public.u")]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "relation" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "GreaterThanOrEqual(lsn_start,10)" in plan

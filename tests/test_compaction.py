@@ -36,11 +36,13 @@ def random_chunks(rng, n, span, sizes):
     return [(low, high, *rest) for (low, high), rest in sorted(found.items())]
 
 
+CASES = [(1, [1], 4), (2, [1, 2, 7], 10), (3, [0, 5, 50], 20), (4, [3], 10**9), (5, [100], 5)]
+
+
 @pytest.mark.parametrize(
-    "seed, sizes, limit",
-    [(1, [1], 4), (2, [1, 2, 7], 10), (3, [0, 5, 50], 20), (4, [3], 10**9), (5, [100], 5)],
+    "seed, sizes, limit, tile, fan_in",
+    [(*case, 1 << 20, 256) for case in CASES] + [(*case, 16, 3) for case in CASES] + [(*CASES[1], 7, 2)],
 )
-@pytest.mark.parametrize("tile, fan_in", [(7, 2), (16, 3), (1 << 20, 256)])
 def test_plan_equals_one_by_one(spark, seed, sizes, limit, tile, fan_in):
     rng = random.Random(seed)
     prefixes = {("t", "b", p): random_chunks(rng, n, 300, sizes) for p, n in enumerate([1, 5, 60, 150])}

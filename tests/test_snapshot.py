@@ -93,6 +93,20 @@ def test_table_read_options():
         tables.table_options("jdbc:x", "t", partition_column="id")
 
 
+def test_split_reads_ask_for_bounds(monkeypatch, spark):
+    asked = []
+
+    def read(_, options):
+        asked.append(options)
+        return spark.createDataFrame([(5, 90)], "low long, high long")
+
+    monkeypatch.setattr(tables, "read_table", read)
+    tables.read_split_table(spark, "jdbc:x", "public.t", "id", 4, "WHERE a > 1", {"user": "u"})
+    assert asked[0]["query"] == "SELECT min(id) AS low, max(id) AS high FROM public.t WHERE a > 1"
+    assert (asked[1]["lowerBound"], asked[1]["upperBound"], asked[1]["numPartitions"]) == ("5", "90", "4")
+    assert asked[1]["dbtable"] == "(SELECT * FROM public.t WHERE a > 1) data"
+
+
 def test_topic_source_options():
     options = kafka.source_options(["a:1", "b:2"], ["t", "u"], "g", workers_per_topic=3, fetch_max_bytes=5, fetch_max_partition_bytes=6)
     assert options == {

@@ -467,8 +467,7 @@ def restore_marks(spark, sf_dir):
 def archive_round_trip(spark, sf_dir):
     """Log to archive files and back."""
     root = scratch_path(spark, "archive")
-    rows = archive.to_archive_rows(fx.log(spark, sf_dir), fx.WEEK)
-    archive_files.write_archive(rows, root, replace=False)
+    ArchiveSink(root, interval=fx.WEEK, replace=False)(fx.log(spark, sf_dir))
     records = restore_archive(spark, root).records
     return _as_text(records, "topic", "partition", "offset")
 
@@ -476,7 +475,7 @@ def archive_round_trip(spark, sf_dir):
 @query
 def archive_manifest(spark, sf_dir):
     root = scratch_path(spark, "archive")
-    ArchiveSink(root, interval=fx.WEEK)(fx.log(spark, sf_dir))
+    ArchiveSink(root, interval=fx.WEEK, replace=False)(fx.log(spark, sf_dir))
     listed = archive_files.list_archive(spark, root)
     return listed.groupBy("topic", "bucket", "partition").agg(
         F.min("min_offset").alias("min_offset"),
@@ -488,12 +487,12 @@ def archive_manifest(spark, sf_dir):
 
 @query
 def archive_compacted(spark, sf_dir):
-    """An archive written in four deliveries, each chunk delivered overlapping the one before."""
+    """An archive written in two overlapping deliveries, with its chunks merged."""
     log = fx.log(spark, sf_dir)
     source, target = scratch_path(spark, "archive"), scratch_path(spark, "compacted")
-    sink = ArchiveSink(source, interval=fx.WEEK)
-    for part in range(4):
-        sink(log.where((F.col("offset") % 100).between(part * 25 - 10, part * 25 + 24)))
+    sink = ArchiveSink(source, interval=fx.WEEK, replace=False)
+    for low, high in [(0, 59), (50, 99)]:
+        sink(log.where((F.col("offset") % 100).between(low, high)))
     archive_files.compact_archive(spark, source, target)
     rows = archive_files.read_archive(spark, target)
     return rows.groupBy("topic", "bucket", "partition").agg(
