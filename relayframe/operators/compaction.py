@@ -3,9 +3,10 @@
 Chunks of a prefix are taken in offset order. A chunk that ends at or before an earlier end is
 stale. Any other is merged into the group before it while that group's size is within the limit,
 and opens a new group otherwise. Whether a chunk opens a group depends on all chunks before it, so
-this is a scan, made parallel the usual way: each tile of chunks is summarised as a function from
-the group open before it to the group open after it, summaries are composed in a tree, and once a
-tile's incoming group is known its chunks are labelled independently of the other tiles.
+this is a scan. A prefix of a usual size is scanned by one task. The chunks of larger ones are cut
+into tiles of equal size, and the scan is made parallel the usual way: each tile is summarised as a
+function from the group open before it to the group open after it, summaries are composed in a
+tree, and once a tile's incoming group is known its chunks are labelled independently of the others.
 
 A summary needs one entry per chunk at which the incoming group could first outgrow the limit.
 Those lie within the first ``limit`` bytes of a tile, so summaries stay small however large the
@@ -17,12 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from relayframe.operators.archive import TILE_OFFSETS, tile_of
 from relayframe.schemas import PREFIX
-from relayframe.session import checkpointed
+from relayframe.session import checkpointed, lookup_join
 
 # Fixed value: a chunk up to this compressed size takes in the next one.
 MERGE_LIMIT = 5 * 1024 * 1024
+# Chunks of one prefix that one task scans.
+TILE_CHUNKS = 50_000
 # Summaries composed by one task.
 FAN_IN = 256
 # Stands for no group or no offset yet. Nulls would turn whole numbers into floats in pandas.
@@ -212,14 +214,13 @@ def _nothing_open() -> dict[str, Column]:
     }
 
 
-def _incoming_groups(chunks: DataFrame, limit: int, fan_in: int, last_tile: int) -> DataFrame:
-    """The group open before each tile of the prefixes that have several."""
+def _incoming_groups(tiles: DataFrame, limit: int, fan_in: int, n_tiles: int) -> DataFrame:
+    """The group open before each tile."""
     go = _passer(limit)
     nodes_of = _node_reader()
-    node_keys = [*PREFIX, "node"]
-    tiles = chunks.where("n_tiles > 1").withColumnRenamed("_tile", "node")
-    levels = [checkpointed(tiles.groupBy(*node_keys).applyInPandas(_summariser(limit), _SUMMARY_DDL))]
-    span = last_tile // fan_in
+    summaries = tiles.withColumnRenamed("_tile", "node").groupBy(*PREFIX, "node")
+    levels = [checkpointed(summaries.applyInPandas(_summariser(limit), _SUMMARY_DDL))]
+    span = (n_tiles - 1) // fan_in
     parent = F.call_function("div", F.col("node"), F.lit(fan_in))
     while span > 0:
         up = levels[-1].groupBy(*PREFIX, parent.alias("parent"))
@@ -235,13 +236,36 @@ def _incoming_groups(chunks: DataFrame, limit: int, fan_in: int, last_tile: int)
         else:
             below = below.join(entries.withColumnRenamed("node", "parent"), [*PREFIX, "parent"])
         entries = below.groupBy(*PREFIX, "parent").applyInPandas(_chainer(go, nodes_of), _ENTRY_DDL)
-    return checkpointed(entries).withColumnRenamed("node", "_tile")
+    return entries.withColumnRenamed("node", "_tile")
+
+
+def _labelled(chunks: DataFrame, limit: int) -> DataFrame:
+    keys = [*PREFIX, "_tile"]
+    in_order = chunks.repartition(*keys).sortWithinPartitions(*keys, "min_offset", "max_offset")
+    return in_order.mapInPandas(_labeller(limit), _LABEL_DDL)
+
+
+def _labelled_in_tiles(chunks: DataFrame, n_tiles: int, limit: int, fan_in: int) -> DataFrame:
+    # Range partitioning cuts by sampled quantiles, so tiles are of a size whatever the offsets.
+    # The checkpoint fixes which chunk is in which tile.
+    tiles = checkpointed(
+        chunks.repartitionByRange(n_tiles, *PREFIX, "min_offset", "max_offset").withColumn(
+            "_tile", F.spark_partition_id().cast("bigint")
+        )
+    )
+    keys = [*PREFIX, "_tile"]
+    before = Window.partitionBy(*PREFIX).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tiles.groupBy(*keys).agg(F.max("max_offset").alias("_top"))
+    tops = tops.select(*keys, F.coalesce(F.max("_top").over(before), F.lit(NONE)).alias("seen_max"))
+    tiles = checkpointed(lookup_join(tiles, tops, keys, "inner"))
+    entries = checkpointed(_incoming_groups(tiles, limit, fan_in, n_tiles))
+    return _labelled(lookup_join(tiles, entries, keys, "inner"), limit)
 
 
 def label_chunks(
     manifest: DataFrame,
     limit: int = MERGE_LIMIT,
-    tile_offsets: int = TILE_OFFSETS,
+    tile_chunks: int = TILE_CHUNKS,
     fan_in: int = FAN_IN,
 ) -> DataFrame:
     """Each distinct chunk with the id of its group, and whether it is stale.
@@ -253,47 +277,29 @@ def label_chunks(
         manifest.groupBy(*PREFIX, "min_offset", "max_offset")
         .agg(F.min(F.struct("size_bytes", "n_rows")).alias("_one"))
         .select(*PREFIX, "min_offset", "max_offset", "_one.size_bytes", "_one.n_rows")
-        .withColumn("_tile", tile_of(tile_offsets))
-    )
-    keys = [*PREFIX, "_tile"]
-    tops = chunks.groupBy(*keys).agg(F.max("max_offset").alias("_top"))
-    widest = (
-        tops.groupBy(*PREFIX)
-        .agg(F.count(F.lit(1)).alias("n"), F.max("_tile").alias("last"))
-        .agg(F.max("n"), F.max(F.when(F.col("n") > 1, F.col("last"))))
-        .first()
-    )
-    several = (widest[0] or 0) > 1
-    if several:
-        before = Window.partitionBy(*PREFIX).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
-        tops = tops.select(
-            *keys,
-            F.coalesce(F.max("_top").over(before), F.lit(NONE)).alias("seen_max"),
-            F.count(F.lit(1)).over(Window.partitionBy(*PREFIX)).alias("n_tiles"),
-        )
-        chunks = checkpointed(chunks.join(tops, keys))
-        entries = _incoming_groups(chunks, limit, fan_in, widest[1])
-        chunks = chunks.join(entries, keys, "left").withColumns(
-            {name: F.coalesce(name, default) for name, default in _nothing_open().items()}
-        )
-    else:
-        chunks = chunks.withColumns({"seen_max": F.lit(NONE).cast("bigint"), **_nothing_open()})
-    return (
-        chunks.repartition(*keys)
-        .sortWithinPartitions(*keys, "min_offset", "max_offset")
-        .mapInPandas(_labeller(limit), _LABEL_DDL)
     )
+    counts = chunks.groupBy(*PREFIX).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile_chunks)
+    large = checkpointed(counts)
+    n_large = large.agg(F.sum("n")).first()[0] or 0
+    usual = chunks if not n_large else lookup_join(chunks, large.select(*PREFIX), PREFIX, "left_anti")
+    start = {"_tile": F.lit(0), "seen_max": F.lit(NONE).cast("bigint"), **_nothing_open()}
+    labelled = _labelled(usual.withColumns(start), limit)
+    if not n_large:
+        return labelled
+    n_tiles = -(-n_large // tile_chunks)
+    cut = lookup_join(chunks, large.select(*PREFIX), PREFIX, "left_semi")
+    return labelled.unionByName(_labelled_in_tiles(cut, n_tiles, limit, fan_in))
 
 
 def compaction_plan(
     manifest: DataFrame,
     limit: int = MERGE_LIMIT,
-    tile_offsets: int = TILE_OFFSETS,
+    tile_chunks: int = TILE_CHUNKS,
     fan_in: int = FAN_IN,
 ) -> DataFrame:
     """The chunks an archive is left with: bounds, size and row count of every group."""
     return (
-        label_chunks(manifest, limit, tile_offsets, fan_in)
+        label_chunks(manifest, limit, tile_chunks, fan_in)
         .where(~F.col("stale"))
         .groupBy(*PREFIX, "group_id")
         .agg(
