@@ -2,7 +2,7 @@
 
 Own layout: ``topic=/bucket=/partition=/chunk={min}-{max}/n_rows=/digest=/*.json.gz``. All a manifest
 needs is in the directory names, so listing replaces reading. The compatible layout
-``{topic}/{bucket}/{partition}/{min}-{max}.gz`` is read as well.
+``{topic}/{bucket}/{partition}/{min}-{max}.gz`` is written and read as well.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from relayframe.functions import times
 from relayframe.operators import archive
 from relayframe.operators.compaction import MERGE_LIMIT, label_chunks
-from relayframe.schemas import ARCHIVE_ROW, PREFIX
+from relayframe.schemas import ARCHIVE_ROW, MANIFEST, PREFIX
 from relayframe.session import checkpointed, lookup_join
 
 _LAYOUT = ["topic", "bucket", "partition", "chunk", "n_rows", "digest"]
@@ -195,6 +195,63 @@ def rows_of_chunks(rows: DataFrame, chunks: DataFrame) -> DataFrame:
     return lookup_join(rows, chunks.where(F.col("chunk") > ""), [*PREFIX, "chunk"], "left_semi")
 
 
+def _file_writer(root: str):
+    """Write each chunk of a partition's sorted rows as one file, and report it."""
+
+    def write(batches):
+        import gzip
+        from itertools import groupby
+
+        import pandas as pd
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root)
+        columns = ["topic", "bucket", "partition", "chunk"]
+
+        def pieces():
+            for pdf in batches:
+                named = zip(zip(*[pdf[c] for c in columns]), pdf["line"])
+                for name, lines in groupby(named, key=lambda pair: pair[0]):
+                    yield name, [line for _, line in lines]
+
+        # A chunk may go on in the next batch, so pieces of one name are joined before it is closed.
+        for (topic, bucket, partition, chunk), parts in groupby(pieces(), key=lambda piece: piece[0]):
+            folder = f"{base}/{topic}/{bucket}/{partition}"
+            store.create_dir(folder)
+            path = f"{folder}/{chunk}.gz"
+            n_rows = 0
+            # Written under a hidden name and then moved, so that no reader meets half a chunk.
+            with store.open_output_stream(f"{folder}/.{chunk}.part") as raw:
+                with gzip.GzipFile(fileobj=raw, mode="wb", mtime=0) as out:
+                    for _, lines in parts:
+                        n_rows += len(lines)
+                        out.write(("\n".join(lines) + "\n").encode())
+            store.move(f"{folder}/.{chunk}.part", path)
+            low, high = (int(bound) for bound in chunk.split("-"))
+            size = store.get_file_info(path).size
+            yield pd.DataFrame([[topic, bucket, partition, low, high, n_rows, size, path]], columns=MANIFEST.names)
+
+    return write
+
+
+def write_compatible(
+    rows: DataFrame,
+    root: str,
+    chunk_offsets: int = archive.CHUNK_OFFSETS,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Add archive rows to an archive of the compatible layout; gives the manifest of what was written.
+
+    Spark names files itself, so tasks write these: a chunk is a run of sorted rows in one task,
+    and its file is replaced if the task is run again. Needs a store whose names may hold colons.
+    """
+    root = root.replace("s3a://", "s3://").rstrip("/")
+    lines = archive.by_offset_range(rows, chunk_offsets, partitions).select(
+        *PREFIX, "chunk", F.to_json(F.struct(*ARCHIVE_ROW.names), {"ignoreNullFields": "false"}).alias("line")
+    )
+    return checkpointed(lines.mapInPandas(_file_writer(root), MANIFEST))
+
+
 def split_overlapping(rows: DataFrame, manifest: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Archive rows that occur once, and rows of chunks that overlap and may repeat.
 

@@ -160,6 +160,23 @@ def test_compatible_layout(spark, tmp_path):
     assert plain(ranged.select("offset").distinct(), "offset") == sorted([(o,) for o in range(13)], key=repr)
 
 
+def test_compatible_layout_is_written(spark, tmp_path):
+    source = log(spark, *[record(o, minutes=o, headers=[("h", b"x")]) for o in range(100)])
+    rows = archive.to_archive_rows(source)
+    for _ in range(2):
+        manifest = files.write_compatible(rows, f"file://{tmp_path}/a", chunk_offsets=40, partitions=1)
+    written = sorted(str(f.relative_to(tmp_path / "a")) for f in (tmp_path / "a").rglob("*") if f.is_file())
+    names = [("10", 0, 39), ("10", 40, 59), ("11", 60, 79), ("11", 80, 99)]
+    assert written == [f"t/2024-05-15 {hour}:00:00/0/{low:018d}-{high:018d}.gz" for hour, low, high in names]
+    assert sorted((r["min_offset"], r["n_rows"]) for r in manifest.collect()) == [(0, 40), (40, 20), (60, 20), (80, 20)]
+    assert plain(files.list_compatible(spark, f"{tmp_path}/a", ["t"]), "min_offset", "size_bytes") == plain(
+        manifest, "min_offset", "size_bytes"
+    )
+    line = json.loads(next(gzip.open(tmp_path / "a" / written[0], "rt")))
+    assert line == {"offset": 0, "key": "k", "value": "v", "headers": [{"key": "h", "value": "x"}]}
+    assert plain(restore(files.read_compatible(spark, f"{tmp_path}/a", ["t"])).records) == plain(source)
+
+
 def test_malformed_chunk_path_fails(spark, tmp_path):
     compatible(tmp_path, "t", "2024-05-15 10:00:00", 0, "notes.gz", [0])
     for since in (None, "2024-05-15 12:00:00"):

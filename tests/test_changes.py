@@ -8,6 +8,7 @@ from relayframe.operators import changes as ch
 from relayframe.operators.changes import OID
 from relayframe.plans.changefeed import ChangeFeed
 from relayframe.schemas import CHANGES, RAW_CHANGES, RELATIONS
+from relayframe.streaming import jobs
 from relayframe.sources.changelog import read_changes, store_position, stored_position, write_changes
 
 
@@ -180,3 +181,13 @@ def test_subscription_prunes_the_log(spark, tmp_path, as_rows):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "relation" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
     assert "GreaterThanOrEqual(lsn_start,10)" in plan
+
+
+def test_changes_job_over_a_stream(spark, tmp_path):
+    path = str(tmp_path / "log")
+    change(spark, cell("id", "int8", "1", key=True)).write.parquet(path)
+    out = jobs.run(spark, "table.changes", {"path": path, "feed": {"prefix": "cdc", "ts_ms": 1}})
+    assert out.isStreaming
+    query = out.writeStream.format("memory").queryName("sent_changes").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [tuple(r) for r in spark.sql("SELECT topic, string(key) FROM sent_changes").collect()] == [("cdc.public.t", '{"id":1}')]

@@ -1,3 +1,4 @@
+import json
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -107,6 +108,27 @@ def test_avro_topic_without_schema_fails(spark):
         decode.project(log(spark, "x"), target, decode.avro_decoder({})).collect()
 
 
+def test_avro_picks_the_topic_s_schema(spark, monkeypatch):
+    """The Avro package is not installed; a stand-in parses the values as JSON of the same fields."""
+    ddl = {"long": "bigint", "string": "string"}
+
+    def from_avro(value, text):
+        fields = json.loads(text)["fields"]
+        return F.from_json(value.cast("string"), ", ".join(f"{f['name']} {ddl[f['type']]}" for f in fields))
+
+    monkeypatch.setattr("pyspark.sql.avro.functions.from_avro", from_avro)
+    schemas = {
+        "t": '{"type":"record","name":"r","fields":[{"name":"a","type":"long"}]}',
+        "u": '{"type":"record","name":"r","fields":[{"name":"a","type":"string"},{"name":"b","type":"string"}]}',
+    }
+    target = schema(a=T.LongType(), b=(T.StringType(), False))
+    records = log(spark, '{"a":1}').unionByName(log(spark, '{"a":"2","b":"x"}', topic="u"))
+    rows = decode.project(records, target, decode.make_decoder("avro", schemas=schemas)).collect()
+    assert sorted(map(tuple, rows)) == [(1, ""), (2, "x")]
+    with pytest.raises(Exception, match="no schema for topic v"):
+        decode.project(log(spark, "{}", topic="v"), target, decode.make_decoder("avro", schemas=schemas)).collect()
+
+
 def test_own_decoder(spark):
     def lengths(value, target):
         return F.struct(F.length(value).cast("bigint").alias("n"))

@@ -278,6 +278,7 @@ ORACLE: dict[str, str] = {
     "restore_marks": f"""WITH {LOG}, {RESTORABLE}
         SELECT topic, "partition", bucket, max("offset") AS "offset" FROM restorable GROUP BY topic, "partition", bucket""",
     "archive_round_trip": _PARTITION_LOG,
+    "archive_compatible": _PARTITION_LOG,
     "archive_manifest": f"""WITH {LOG}
         SELECT topic, {bucket('7 days')} AS bucket, "partition", min("offset") AS min_offset,
                max("offset") AS max_offset, count(*) AS n_rows, true AS has_size

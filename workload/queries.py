@@ -485,6 +485,18 @@ def archive_manifest(spark, sf_dir):
     )
 
 
+@query
+def archive_compatible(spark, sf_dir):
+    """Log to an archive of the compatible layout and back."""
+    log = fx.log(spark, sf_dir)
+    # A path without a scheme is a local one.
+    root = scratch_path(spark, "archive")
+    archive_files.write_compatible(archive.to_archive_rows(log, fx.WEEK), root if ":" in root else f"file://{root}")
+    topics = [row["topic"] for row in offsets.topics_of(log).collect()]
+    records = restore(archive_files.read_compatible(spark, root, topics)).records
+    return _as_text(records, "topic", "partition", "offset")
+
+
 @query
 def archive_compacted(spark, sf_dir):
     """An archive written in two overlapping deliveries, with its chunks merged."""
