@@ -142,8 +142,9 @@ class TableSink:
         batch = batch.persist()
         try:
             fresh = self._routed(offsets.fresh_records(batch, marks))
-            for table in self.tables:
-                self._write_table(fresh, table, run, batch_id)
+            # At most one row per configured table: any other name has failed by now.
+            for row in fresh.select("_table").distinct().collect():
+                self._write_table(fresh, row["_table"], run, batch_id)
             counts = batch.groupBy("topic", "partition").agg(
                 F.max("offset").alias("offset"), F.count(F.lit(1)).alias("n_rows")
             )

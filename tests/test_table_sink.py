@@ -92,6 +92,14 @@ def test_topics_are_routed_and_hooked(spark, tmp_path):
     assert stored(spark, tmp_path, "b") == [2, 102]
 
 
+def test_tables_without_new_rows_get_no_files(spark, tmp_path):
+    sink = make_sink(tmp_path, tables={"t": ROW, "u": ROW})
+    for batch_id in range(2):
+        sink(log(spark, range(5)), batch_id, "r")
+    written = sorted(str(f.relative_to(tmp_path / "tables")) for f in (tmp_path / "tables").glob("*/*/*"))
+    assert written == ["t/run=r/batch_id=0"]
+
+
 def test_topic_without_a_table_fails(spark, tmp_path):
     with pytest.raises(Exception, match="no columns found for table x"):
         make_sink(tmp_path)(log(spark, [1], "x"), 0, "r")

@@ -218,11 +218,11 @@ ORACLE: dict[str, str] = {
         SELECT topic, "offset", CASE WHEN "offset" % 10 <> 0 THEN user_id END AS user_id, "offset" % 10 = 0 AS malformed
         FROM log""",
     "hook_transform": """
-        SELECT event_id, unnest(['first', upper(event_type)]) AS label FROM events WHERE user_id % 3 <> 0""",
+        SELECT event_id, unnest(['first', upper(event_type)]) AS label FROM events WHERE event_type <> 'view'""",
     "replay_filter": f"""WITH {LOG}, {MARKS} SELECT topic, "partition", "offset" FROM marked WHERE NOT replayed""",
-    "replay_filter_gapped": f"""WITH {LOG}, {MARKS}
+    "replay_resume": f"""WITH {LOG}, {MARKS}
         SELECT topic, "partition", min("offset") AS first_offset, count(*) AS n_rows
-        FROM marked WHERE NOT replayed AND "offset" % 5 <> 0 GROUP BY topic, "partition" """,
+        FROM marked WHERE NOT replayed GROUP BY topic, "partition" """,
     "skipped_ranges": f"""WITH {LOG}, {MARKS}
         SELECT topic, "partition", min("offset") AS first_offset, max("offset") AS last_offset, count(*) AS n_skipped
         FROM marked WHERE replayed GROUP BY topic, "partition" """,
@@ -230,7 +230,7 @@ ORACLE: dict[str, str] = {
         both_sides AS (
           SELECT topic, "partition", mark * ("partition" + 1) AS "offset" FROM marks
           UNION ALL
-          SELECT topic, "partition", "offset" FROM log WHERE "partition" > 1 OR "offset" % 2 = 0)
+          SELECT topic, "partition", "offset" FROM log)
         SELECT topic, "partition", max("offset") AS "offset" FROM both_sides GROUP BY topic, "partition" """,
     "topics_distinct": f"WITH {LOG} SELECT DISTINCT topic FROM log",
     "batch_sizes": f"""WITH {LOG}
@@ -273,7 +273,7 @@ ORACLE: dict[str, str] = {
         SELECT topic, "partition", "offset", "key", "value", headers FROM restoring WHERE NOT replayed""",
     "restore_counters": f"""WITH {LOG}, {RESTORABLE}
         SELECT topic, count(*) FILTER (NOT replayed) AS restored,
-               count(*) FILTER (replayed) + count(*) FILTER ("offset" % 2 = 0) AS skipped
+               count(*) FILTER (replayed) + count(*) AS skipped
         FROM restoring GROUP BY topic""",
     "restore_marks": f"""WITH {LOG}, {RESTORABLE}
         SELECT topic, "partition", bucket, max("offset") AS "offset" FROM restorable GROUP BY topic, "partition", bucket""",
