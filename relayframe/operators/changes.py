@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from relayframe import __version__
@@ -119,24 +119,27 @@ def _oid_in(oid: Column, names: Iterable[str]) -> Column:
     return oid.isin(*[OID[n] for n in names])
 
 
+def _text_typed(text: Column) -> list[tuple[Sequence[str], Column]]:
+    """Text-format values by type; every other type stays text."""
+    return [
+        (_INTEGERS, text.cast("bigint")),
+        (["bool"], text.isin("t", "true")),
+        (_FLOATS, text.cast("double")),
+        (["timestamp"], codecs.epoch_millis_from_text(text)),
+        (["timestamptz"], rfc3339_text(F.to_timestamp(text))),
+        (["date"], codecs.date_text(F.to_date(text))),
+        (["json", "jsonb"], F.parse_json(text)),
+        (["bytea"], F.base64(F.unhex(F.substring(text, 3, 2**31 - 1)))),
+    ]
+
+
 def _text_value(oid: Column, data: Column) -> Column:
     """A text-format value as a JSON-ready variant."""
     text = data.cast("string")
-
-    def variant(col: Column) -> Column:
-        return col.cast("variant")
-
-    return (
-        F.when(_oid_in(oid, _INTEGERS), variant(text.cast("bigint")))
-        .when(_oid_in(oid, ["bool"]), variant(text.isin("t", "true")))
-        .when(_oid_in(oid, _FLOATS), variant(text.cast("double")))
-        .when(_oid_in(oid, ["timestamp"]), variant(codecs.epoch_millis_from_text(text)))
-        .when(_oid_in(oid, ["timestamptz"]), variant(rfc3339_text(F.to_timestamp(text))))
-        .when(_oid_in(oid, ["date"]), variant(codecs.date_text(F.to_date(text))))
-        .when(_oid_in(oid, ["json", "jsonb"]), F.parse_json(text))
-        .when(_oid_in(oid, ["bytea"]), variant(F.base64(F.unhex(F.substring(text, 3, 2**31 - 1)))))
-        .otherwise(variant(text))
-    )
+    value = F
+    for names, typed in _text_typed(text):
+        value = value.when(_oid_in(oid, names), typed.cast("variant"))
+    return value.otherwise(text.cast("variant"))
 
 
 def _binary_value(oid: Column, data: Column) -> Column:
@@ -188,6 +191,62 @@ def key_json(cols: Column) -> Column:
     return tuple_json(F.filter(cols, lambda c: c["is_key"]))
 
 
+# -- known relations -------------------------------------------------------------------------
+
+
+def _known_value(cell: Column, oid: int) -> Column:
+    """Value of a column whose type is known when the query is built."""
+    text = cell["data"].cast("string")
+    typed = next((value for names, value in _text_typed(text) if oid in [OID[n] for n in names]), text)
+    refused = F.raise_error(F.lit(f"binary value of type {oid}"))
+    return F.when(cell["kind"] == "t", typed).when(cell["kind"] == "b", refused)
+
+
+def _known_json(picked: Column, columns: Sequence[Row], keys_only: bool = False) -> Column:
+    values = {
+        c["name"]: _known_value(F.get(picked, i), c["oid"])
+        for i, c in enumerate(columns)
+        if c["is_key"] or not keys_only
+    }
+    if not values:
+        return F.lit("{}")
+    return F.to_json(F.struct(*[values[n].alias(n) for n in sorted(values)]), {"ignoreNullFields": "false"})
+
+
+def known_messages(
+    raw: DataFrame,
+    relations: Sequence[Row],
+    headers: Column,
+    routes: Routes = (),
+    prefix: str = "",
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """Raw text-format row changes as messages, for relations known when the query is built.
+
+    One pass with the columns of each relation spelled out: nothing is joined, and every value is
+    decoded by compiled code instead of per-cell lambdas.
+    """
+    picked = F.when(F.col("op") == "D", F.col("old_tuple")).otherwise(F.col("new_tuple"))
+    unknown = F.raise_error(F.concat(F.lit("unknown relation id "), F.col("relation_id").cast("string")))
+
+    def by_relation(of: Callable[[Row], Column]) -> Column:
+        value = F
+        for r in relations:
+            value = value.when(F.col("relation_id") == r["relation_id"], of(r))
+        return value.otherwise(unknown) if relations else unknown.cast("string")
+
+    named = raw.select(
+        "*", by_relation(lambda r: F.lit(f"{r['namespace']}.{r['name']}")).alias("relation"), picked.alias("_row")
+    )
+    return named.select(
+        *keep,
+        route_topic(F.col("relation"), routes, prefix).alias("topic"),
+        by_relation(lambda r: _known_json(F.col("_row"), r["columns"], True)).cast("binary").alias("key"),
+        by_relation(lambda r: _known_json(F.col("_row"), r["columns"])).cast("binary").alias("value"),
+        headers.alias("headers"),
+    )
+
+
 # -- messages --------------------------------------------------------------------------------
 
 

@@ -6,11 +6,16 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from relayframe.operators import changes as ch
 from relayframe.operators.routing import Routes
 
 
+# Columns of all relations together up to which they are spelled out in one query.
+KNOWN_COLUMNS = 400
+
+
 @dataclass
 class ChangeFeed:
     """Which changes are sent, and how."""
@@ -38,3 +43,35 @@ class ChangeFeed:
         return ch.change_messages(
             self.selected(changes), headers, self.routes, self.prefix, self.unchanged, keep
         )
+
+    def raw_messages(
+        self,
+        raw: DataFrame,
+        relations: DataFrame,
+        keep: tuple[str, ...] = (),
+        known_columns: int = KNOWN_COLUMNS,
+    ) -> DataFrame:
+        """Messages of raw row changes, described by relation rows.
+
+        A few relations in text format are decoded by columns spelled out in the query, and filters
+        on names become filters on relation ids, which reach the scan. More than that, or values
+        left out as unchanged, take the general way, which joins the relations to each change.
+        """
+        widths = relations.agg(F.sum(F.size("columns"))).first()[0] or 0
+        if widths > known_columns or self.unchanged != "null":
+            return self.messages(ch.describe(raw, relations), keep)
+        described = relations.collect()
+        names = {r["relation_id"]: f"{r['namespace']}.{r['name']}" for r in described}
+        wanted = {
+            i
+            for i, name in names.items()
+            if (not self.tables or name in self.tables) and not name.endswith(self.heartbeat)
+        }
+        left_out = sorted(set(names) - wanted)
+        # Ids in neither set are unknown; they stay, so that they fail the query.
+        rows = ch.row_changes(raw).where(~F.col("relation_id").isin(left_out)) if left_out else ch.row_changes(raw)
+        if self.skip_deletes:
+            rows = ch.without_deletes(rows)
+        headers = ch.change_headers(self.host, self.port, self.database, self.ts_ms)
+        known = [r for r in described if r["relation_id"] in wanted]
+        return ch.known_messages(rows, known, headers, self.routes, self.prefix, keep)

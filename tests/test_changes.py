@@ -191,3 +191,47 @@ def test_changes_job_over_a_stream(spark, tmp_path):
     query = out.writeStream.format("memory").queryName("sent_changes").trigger(availableNow=True).start()
     query.awaitTermination()
     assert [tuple(r) for r in spark.sql("SELECT topic, string(key) FROM sent_changes").collect()] == [("cdc.public.t", '{"id":1}')]
+
+
+WIDE = [
+    ("b_int", "int8", "-5"), ("a_flag", "bool", "t"), ("f", "float8", "NaN"), ("price", "numeric", "1.50"),
+    ("at", "timestamp", "infinity"), ("zoned", "timestamptz", "2024-01-02 05:04:05+02"), ("day", "date", "2024-01-02"),
+    ("doc", "jsonb", '{"b": 1}'), ("raw", "bytea", "\\x6869"), ("note", "text", 'q"'), ("other", 99999, "plain"),
+]
+
+
+def test_known_relations_give_the_same_messages(spark, tmp_path):
+    described = [
+        (1, "public", "t", [(n, OID.get(k, k), n == "b_int") for n, k, _ in WIDE]),
+        (2, "public", "no_key", [("v", OID["text"], False)]),
+        (3, "public", "pipe_health", [("v", OID["text"], False)]),
+    ]
+    relations_ = spark.createDataFrame(described, RELATIONS)
+    full = [("t", bytearray(text.encode())) for _, _, text in WIDE]
+    old = [full[0]] + [("n", None)] * (len(WIDE) - 1)
+    part = full[:-1] + [("u", None)]
+    short = [("t", bytearray(b"x"))]
+    raw_ = raw(
+        spark, (10, 5, "I", 1, full, None), (20, 5, "D", 1, None, old), (30, 5, "U", 1, part, None),
+        (40, 5, "O", None, None, None), (50, 5, "I", 2, short, None), (60, 5, "I", 3, short, None),
+    )
+    for options in ({}, {"tables": ["public.t"]}, {"skip_deletes": True, "prefix": "cdc"}):
+        feed = ChangeFeed(ts_ms=1, **options)
+        known = sorted(map(repr, feed.raw_messages(raw_, relations_).collect()))
+        general = sorted(map(repr, feed.raw_messages(raw_, relations_, known_columns=1).collect()))
+        assert known == general and known
+    feed = ChangeFeed(ts_ms=1, unchanged="omit")
+    assert sorted(map(repr, feed.raw_messages(raw_, relations_).collect())) == sorted(
+        map(repr, feed.messages(ch.describe(raw_, relations_)).collect())
+    )
+    raw_.write.parquet(str(tmp_path / "raw"))
+    sent = ChangeFeed(tables=["public.t"]).raw_messages(spark.read.schema(RAW_CHANGES).parquet(str(tmp_path / "raw")), relations_)
+    plan = sent._jdf.queryExecution().executedPlan().toString()
+    assert "Not(In(relation_id, [2,3]))" in plan.replace("StringIn", "In") and "Join" not in plan
+    unknown = raw(spark, (10, 5, "I", 9, short, None))
+    for options in ({}, {"tables": ["public.t"]}):
+        with pytest.raises(Exception, match="unknown relation id 9"):
+            ChangeFeed(**options).raw_messages(unknown, relations_).collect()
+    binary = raw(spark, (10, 5, "I", 2, [("b", bytearray(b"x"))], None))
+    with pytest.raises(Exception, match="binary value of type 25"):
+        ChangeFeed().raw_messages(binary, relations_).collect()

@@ -294,3 +294,4 @@ ORACLE: dict[str, str] = {
     "stream_archive": f"""WITH {LOG}
         SELECT topic, {bucket('7 days')} AS bucket, "partition", "offset", "key", "value" FROM log""",
 }
+ORACLE["change_messages_known"] = ORACLE["change_messages"]

@@ -191,6 +191,15 @@ def change_messages(spark, sf_dir):
     return _as_text(feed.messages(_changes(spark, sf_dir)), "topic")
 
 
+@query
+def change_messages_known(spark, sf_dir):
+    """The same messages from raw changes, with the relations' columns spelled out."""
+    feed = ChangeFeed(
+        routes=ORDER_ROUTES, prefix="cdc", host="db", port=5432, database="shop", ts_ms=fx.TS_MS
+    )
+    return _as_text(feed.raw_messages(fx.raw_changes(spark, sf_dir), fx.relations(spark)), "topic")
+
+
 @query
 def change_position(spark, sf_dir):
     return changes.next_position(_changes(spark, sf_dir))
