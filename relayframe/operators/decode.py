@@ -69,6 +69,8 @@ def json_decoder(time_format: str = MILLIS, mode: str = "FAILFAST") -> Decoder:
             wire.append(T.StructField(CORRUPT, T.StringType(), True))
             options["columnNameOfCorruptRecord"] = CORRUPT
         parsed = F.from_json(value.cast("string"), T.StructType(wire), options)
+        if strict and [f.dataType for f in wire] == [f.dataType for f in target.fields]:
+            return parsed
         fields = [
             _from_wire(parsed[f.name], f.dataType, time_format, strict).alias(f.name) for f in target.fields
         ]
@@ -77,9 +79,8 @@ def json_decoder(time_format: str = MILLIS, mode: str = "FAILFAST") -> Decoder:
             if time_format == RFC3339:
                 # A time text that does not parse spoils its record as well.
                 broken += [
-                    F.when(parsed[f.name].isNotNull() & decode_time(parsed[f.name], RFC3339, False).isNull(), value.cast("string"))
-                    for f in target.fields
-                    if _is_time(f.dataType)
+                    F.when(parsed[n].isNotNull() & decode_time(parsed[n], RFC3339, False).isNull(), value.cast("string"))
+                    for n in [f.name for f in target.fields if _is_time(f.dataType)]
                 ]
             fields.append(F.coalesce(*broken).alias(CORRUPT))
         return F.struct(*fields)
