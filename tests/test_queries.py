@@ -13,11 +13,18 @@ def connection():
     return oracle_connection(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_sql(spark, connection, name):
-    assert name in oracle_sql()
     assert compare(spark, connection, SF_DIR, name) is None
 
 
 def test_entry_has_the_chunk_columns(spark):
     assert entry(spark).columns == ["topic", "bucket", "partition", "min_offset", "max_offset", "n_rows"]
+
+
+def test_own_queries_have_sql():
+    from workload.oracle import ORACLE
+    from workload.queries import all_queries
+
+    assert set(all_queries()) == set(ORACLE)
+    assert set(ORACLE) <= set(queries())
