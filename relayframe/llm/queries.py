@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayframe.llm import bpe, exact_dedup, mixing
+from relayframe.llm import bpe, exact_dedup, mixing, simhash
 from relayframe.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -19,6 +19,15 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_components(simhash.fingerprints(table(spark, sf_dir, "documents")))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"), with_digest=True)
 
@@ -40,6 +49,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_simhash": op3_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_bpe": op7_bpe,
     "op9_mixing": op9_mixing,
