@@ -21,10 +21,11 @@ import functools
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relayframe.llm.common import text_or_empty
@@ -34,6 +35,7 @@ MOST_CHARS = 32_768
 #: Bytes of an unsplit piece that one leaf of the tree encodes.
 LEAF_BYTES = 8_192
 FIRST_WINDOW = 8
+ROWS_AT_ONCE = 128
 
 # Fixed value: the splitting pattern of byte-level BPE tokenizers ("use_regex").
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -84,8 +86,11 @@ class Tokenizer:
         """Tokens of bytes that are not split any further."""
         return self.core._encode_single_piece(piece)
 
-    def decode(self, ids: list[int]) -> str:
-        return self.core.decode_bytes(ids).decode("utf-8", errors="replace")
+    def encode_packed(self, text: str) -> bytes:
+        return self.core.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4").tobytes()
+
+    def decode_packed(self, packed: bytes) -> str:
+        return self.core.decode_bytes(unpack(packed)).decode("utf-8", errors="replace")
 
     def pieces(self, text: str) -> Iterator[tuple[str, str | bytes]]:
         """``text`` in order as ("text", part) to encode alone, or ("half", bytes), halves of one piece
@@ -154,123 +159,127 @@ class Tokenizer:
         return halves[0] if halves else []
 
 
+def pack(ids: list[int]) -> bytes:
+    return np.asarray(ids, dtype="<u4").tobytes()
+
+
+def unpack(packed: bytes) -> list[int]:
+    return np.frombuffer(packed, dtype="<u4").tolist()
+
+
 @functools.lru_cache(maxsize=4)
 def tokenizer(path: str) -> Tokenizer:
     """One for each Python worker."""
     return Tokenizer(path)
 
 
-def encode_texts(texts: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """``text_col`` of each row with ``ids``; columns other than these two pass through.
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of bounded size, so that a task holds few tokens at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
+def encode_texts(texts: DataFrame, path: str, text_col: str = "text", decode: bool = False) -> DataFrame:
+    """The rows with ``ids``, packed as little-endian unsigned 32-bit integers, in place of a column of
+    that name; with ``decode`` also ``decoded``, the text that the ids decode to.
 
     Rows of up to ``MOST_CHARS`` characters are encoded where they are. Longer texts are encoded once
     for all their copies, in pieces dealt over all tasks, and put together per text.
     """
     text = text_or_empty(text_col)
-    short = texts.where(F.length(text) <= MOST_CHARS)
-    long = texts.where(F.length(text) > MOST_CHARS)
-
-    kept = [c for c in texts.columns if c != "ids"]
+    added = ["ids", "decoded"] if decode else ["ids"]
+    kept = [c for c in texts.columns if c not in added]
+    rows = texts.select(*[F.col(f"`{c}`") for c in kept])
     position = kept.index(text_col)
-    shape = texts.select(*[F.col(f"`{c}`") for c in kept], F.lit(None).cast("array<int>").alias("ids")).schema
+    shape = rows.withColumn("ids", F.lit(None).cast("binary"))
+    if decode:
+        shape = shape.withColumn("decoded", F.lit(None).cast("string"))
 
     def encode_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path).encode
-        for batch in batches:
-            ids = [encode(t or "") for t in batch.column(position).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], [*kept, "ids"])
+        t = tokenizer(path)
+        for batch in _rows(batches):
+            found = [t.encode_packed(x.as_py() or "") for x in batch.column(position)]
+            columns = [*batch.columns, pa.array(found, pa.binary())]
+            if decode:
+                columns.append(pa.array(map(t.decode_packed, found), pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, [*kept, *added])
 
-    done = short.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(encode_rows, shape)
-    key = F.sha2(text, 256).alias("text_key")
-    tokens = _encode_long(long.select(key, text.alias("text")).dropDuplicates(["text_key"]), path)
-    joined = long.select(*[F.col(f"`{c}`") for c in kept], key).join(tokens, "text_key", "left")
-    return done.unionByName(joined.select(*[F.col(f"`{c}`") for c in kept], "ids"))
+    done = rows.where(F.length(text) <= MOST_CHARS).mapInArrow(encode_rows, shape.schema)
+    long = rows.where(F.length(text) > MOST_CHARS).withColumn("text_key", F.sha2(text, 256))
+    tokens = _encode_long(long.select("text_key", text.alias("text")).dropDuplicates(["text_key"]), path, decode)
+    joined = long.join(tokens, "text_key").select(*[F.col(f"`{c}`") for c in kept], *added)
+    return done.unionByName(joined)
 
 
-def _encode_long(texts: DataFrame, path: str) -> DataFrame:
+def _encode_long(texts: DataFrame, path: str, decode: bool) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
         for batch in batches:
-            for key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                rows = [(key, i, kind, p.encode() if isinstance(p, str) else p) for i, (kind, p) in enumerate(t.pieces(text))]
-                columns = [list(c) for c in zip(*rows)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.binary()))],
-                    ["text_key", "at", "kind", "piece"],
-                )
+            for key, text in zip(*batch.columns):
+                pieces = list(t.pieces(text.as_py()))
+                columns = [
+                    pa.array([key.as_py()] * len(pieces), pa.string()),
+                    pa.array(range(len(pieces)), pa.int64()),
+                    pa.array([kind for kind, _ in pieces], pa.string()),
+                    pa.array([p.encode() if isinstance(p, str) else p for _, p in pieces], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["text_key", "at", "kind", "piece"])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
-        for batch in batches:
+        for batch in _rows(batches):
             key, at, kind, piece = batch.columns
             ids = [
-                t.encode(p.decode()) if k == "text" else t.encode_piece(p) if p else []
+                t.encode_packed(p.decode()) if k == "text" else pack(t.encode_piece(p)) if p else b""
                 for k, p in zip(kind.to_pylist(), piece.to_pylist())
             ]
-            yield pa.RecordBatch.from_arrays(
-                [key, at, kind, pa.array(ids, pa.list_(pa.int32()))], ["text_key", "at", "kind", "ids"]
-            )
+            yield pa.RecordBatch.from_arrays([key, at, kind, pa.array(ids, pa.binary())], ["text_key", "at", "kind", "ids"])
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
         for batch in batches:
-            out = []
-            for parts in batch.column(1).to_pylist():
+            for key, parts in zip(*batch.columns):
                 ids, halves = [], []
-                for part in parts:
+                for part in parts.as_py():
                     if part["kind"] == "text":
-                        ids += part["ids"]
+                        ids.append(part["ids"])
                     elif part["kind"] == "half":
-                        halves.append(part["ids"])
+                        halves.append(unpack(part["ids"]))
                     else:
-                        ids += t.join_all(halves)
+                        ids.append(pack(t.join_all(halves)))
                         halves = []
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32()))], ["text_key", "ids"])
+                packed = b"".join(ids)
+                columns = [pa.array([key.as_py()], pa.string()), pa.array([packed], pa.binary())]
+                if decode:
+                    columns.append(pa.array([t.decode_packed(packed)], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, ["text_key", "ids", "decoded"][: len(columns)])
 
     tasks = max(2, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return (
         texts.mapInArrow(cut, "text_key string, at long, kind string, piece binary")
         .repartition(tasks, "text_key", "at")
-        .mapInArrow(encode, "text_key string, at long, kind string, ids array<int>")
+        .mapInArrow(encode, "text_key string, at long, kind string, ids binary")
         .groupBy("text_key")
         .agg(F.array_sort(F.collect_list(F.struct("at", "kind", "ids"))).alias("parts"))
-        .mapInArrow(put_together, "text_key string, ids array<int>")
+        .mapInArrow(put_together, "text_key string, ids binary" + ", decoded string" * decode)
     )
 
 
 def decode_ids(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
-    """``ids_col`` of each row with ``decoded``; other columns pass through. Null ids decode to ''."""
+    """The rows with ``decoded``, the text of the packed ``ids_col``; null ids decode to ''."""
     kept = [c for c in rows.columns if c != "decoded"]
     position = kept.index(ids_col)
-    shape = rows.select(*[F.col(f"`{c}`") for c in kept], F.lit("").alias("decoded")).schema
+    rows = rows.select(*[F.col(f"`{c}`") for c in kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = tokenizer(path).decode
-        for batch in batches:
-            texts = [decode(ids or []) for ids in batch.column(position).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*kept, "decoded"])
-
-    return rows.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, shape)
-
-
-def ids_bytes_sha256(rows: DataFrame, ids_col: str = "ids") -> DataFrame:
-    """Adds ``n_tokens`` and ``ids_sha256``, of the ids as little-endian unsigned 32-bit integers."""
-    import hashlib
-
-    import numpy as np
+        t = tokenizer(path)
+        for batch in _rows(batches):
+            found = [t.decode_packed(x.as_py() or b"") for x in batch.column(position)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*kept, "decoded"])
 
-    kept = [c for c in rows.columns if c not in ("n_tokens", "ids_sha256")]
-    position = kept.index(ids_col)
-    shape = rows.select(
-        *[F.col(f"`{c}`") for c in kept], F.lit(0).cast("long").alias("n_tokens"), F.lit("").alias("ids_sha256")
-    ).schema
+    return rows.mapInArrow(run, rows.withColumn("decoded", F.lit(None).cast("string")).schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [np.asarray(v or [], dtype="<u4") for v in batch.column(position).to_pylist()]
-            counts = pa.array([len(v) for v in ids], pa.int64())
-            digests = pa.array([hashlib.sha256(v.tobytes()).hexdigest() for v in ids], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, counts, digests], [*kept, "n_tokens", "ids_sha256"])
 
-    return rows.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, shape)
+def n_tokens(ids_col: str = "ids") -> Column:
+    return (F.octet_length(ids_col) / 4).cast("long")

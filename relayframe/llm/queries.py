@@ -33,11 +33,14 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path(BYTE_BPE)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.ids_bytes_sha256(bpe.encode_texts(docs, path).drop("text"))
-    decoded = bpe.decode_ids(encoded, path)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    found = bpe.encode_texts(docs, tokenizer_path(BYTE_BPE), decode=True)
+    return found.select(
+        "doc_id",
+        bpe.n_tokens().alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

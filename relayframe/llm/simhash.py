@@ -44,6 +44,10 @@ PAIRS_AT_ONCE = 4_096
 # one of 12 with probability 0.9998.
 SAMPLES = 12
 SAMPLED = 3
+#: In a group of texts that agree in a sample, each is compared with the first and with so many before it
+#: in Gray order, within slices of about SLICE texts.
+NEIGHBOURS = 3
+SLICE = 1_000
 
 
 # -- fingerprints ------------------------------------------------------------------------------------
@@ -332,12 +336,17 @@ def near_copies(
     )
     sampled = sketches.select("text_key", "rank", F.posexplode("samples").alias("sample", "value"))
     members = checkpointed(whole.unionByName(sampled.select(*whole.columns)))
-    sizes = members.groupBy("sample", "value").agg(F.count("*").alias("n"), F.min("text_key").alias("first"))
+    # Each sample has a first text of its own, by a hash, so that texts meet several of their group.
+    place = F.struct(F.xxhash64("text_key", "sample"), "text_key")
+    sizes = members.groupBy("sample", "value").agg(F.count("*").alias("n"), F.min_by("text_key", place).alias("first"))
     grouped = members.join(sizes.where("n > 1"), ["sample", "value"])
-    # Neighbours are found in slices of a group, so that no task has to sort a large one alone.
-    order = Window.partitionBy("sample", "value", F.shiftright("rank", 52)).orderBy("rank", "text_key")
-    near = grouped.withColumn("before", F.lag("text_key").over(order)).select(
-        F.col("text_key").alias("a"), F.explode(F.array("first", "before")).alias("b")
+    # Neighbours are found in slices of a large group, so that no task has to sort it alone.
+    part = F.pmod(F.xxhash64("text_key"), F.expr(f"n div {SLICE} + 1"))
+    order = Window.partitionBy("sample", "value", part).orderBy("rank", "text_key")
+    before = [F.lag("text_key", i).over(order).alias(f"before_{i}") for i in range(1, NEIGHBOURS + 1)]
+    near = grouped.select("text_key", "first", *before).select(
+        F.col("text_key").alias("a"),
+        F.explode(F.array("first", *[f"before_{i}" for i in range(1, NEIGHBOURS + 1)])).alias("b"),
     )
     pairs = checkpointed(
         near.where("b is not null and a <> b")
