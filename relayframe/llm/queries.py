@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayframe.llm import bpe, exact_dedup, mixing, simhash
+from relayframe.llm import bpe, exact_dedup, mixing, simhash, warc
 from relayframe.llm.common import table
+from relayframe.session import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -28,6 +29,22 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_pages(table(spark, sf_dir, "pages"), path)
+    records = warc.read_records(spark, path)
+    revisit = F.col("warc_type") == "revisit"
+    return records.select(
+        warc.page_of("record_id").alias("page_id"),
+        F.when(revisit, F.col("http_length")).otherwise(F.octet_length("payload").cast("long")).alias("payload_bytes"),
+        F.when(revisit, F.substring_index("payload_digest", ":", -1))
+        .otherwise(F.sha2("payload", 256))
+        .alias("payload_digest"),
+        F.col("warc_type").alias("record_type"),
+        F.when(revisit, warc.page_of("refers_to")).alias("refers_to"),
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"), with_digest=True)
 
@@ -53,12 +70,22 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op4_warc": op4_warc,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_bpe": op7_bpe,
     "op9_mixing": op9_mixing,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+             g AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p),
+             r AS (SELECT *, strlen(h) >= 100 AND page_id IS DISTINCT FROM first AS again FROM g)
+        SELECT page_id, strlen(h) AS payload_bytes, sha256(h) AS payload_digest,
+               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN first END AS refers_to
+        FROM r
+    """,
     "op5_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
