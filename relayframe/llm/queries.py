@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayframe.llm import bpe, exact_dedup, mixing, simhash, warc
+from relayframe.llm import bpe, exact_dedup, mixing, simhash, substring, warc
 from relayframe.llm.common import table
 from relayframe.session import scratch_path
 
@@ -68,12 +68,20 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeated(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_warc": op4_warc,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_bpe": op7_bpe,
     "op9_mixing": op9_mixing,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {
