@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayframe.llm import bpe, exact_dedup, mixing, simhash, substring, warc
+from relayframe.llm import bpe, exact_dedup, mixing, simhash, substring, token_counts, topk, warc
 from relayframe.llm.common import table
 from relayframe.session import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -20,6 +21,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(PIECES))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_components(simhash.fingerprints(table(spark, sf_dir, "documents")))
     return found.select(
@@ -49,6 +55,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"), with_digest=True)
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = bpe.encode_texts(docs, tokenizer_path(BYTE_BPE), decode=True)
@@ -76,9 +86,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_counts": op2_token_counts,
     "op3_simhash": op3_simhash,
     "op4_warc": op4_warc,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_topk": op6_topk,
     "op7_bpe": op7_bpe,
     "op9_mixing": op9_mixing,
     "op10_substring_dedup": op10_substring_dedup,
@@ -100,4 +112,21 @@ ORACLE: dict[str, str] = {
                row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
         FROM d WINDOW g AS (PARTITION BY t)
     """,
+    "op6_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        ),
+        r AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+                   vec_id, score
+            FROM s
+        )
+        SELECT * FROM r WHERE rank <= 5
+    """,
 }
