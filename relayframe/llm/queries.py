@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayframe.llm import bpe, exact_dedup, mixing, simhash, substring, token_counts, topk, warc
+from relayframe.llm import bpe, exact_dedup, mixing, simhash, substring, token_counts, topk, toxicity, warc
 from relayframe.llm.common import table
 from relayframe.session import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
+TOXIC_FROM = 0.3
 
 
 def tokenizer_path(name: str) -> str:
@@ -70,6 +71,17 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (~toxicity.is_training()).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = mixing.mix_units(table(spark, sf_dir, "documents"))
     rows = units.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
@@ -92,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_topk": op6_topk,
     "op7_bpe": op7_bpe,
+    "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_substring_dedup": op10_substring_dedup,
 }
