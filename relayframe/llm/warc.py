@@ -137,13 +137,35 @@ def candidates(pieces: DataFrame) -> DataFrame:
     )
 
 
+def _runs(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with ``head``, the first offset of the run that each is in: candidates that follow each
+    other by their successors, entered only at the head."""
+    in_file = Window.partitionBy("file").orderBy("offset")
+    nodes = checkpointed(nodes.withColumn("following", F.lead("offset").over(in_file)))
+    leaps = nodes.where("successor > offset and not successor <=> following")
+    targets = leaps.select("file", F.col("successor").alias("offset"), F.lit(True).alias("is_target")).distinct()
+    nodes = nodes.join(targets, ["file", "offset"], "left")
+    goes_on = F.lag(F.col("successor").eqNullSafe(F.col("following"))).over(in_file)
+    is_head = F.coalesce("is_target", F.lit(False)) | ~F.coalesce(goes_on, F.lit(False))
+    nodes = nodes.withColumn("start", F.when(is_head, F.col("offset")))
+    head = F.last("start", ignorenulls=True).over(in_file.rowsBetween(Window.unboundedPreceding, 0))
+    return checkpointed(nodes.withColumn("head", head).select("file", "offset", "successor", "head"))
+
+
 def reachable(nodes: DataFrame) -> DataFrame:
-    """``file, offset`` of the candidates that the chain of successors from offset 0 reaches."""
-    nodes = nodes.where("offset >= 0").select("file", "offset", "successor")
-    starts = nodes.select("file", F.col("offset").alias("successor"))
-    jumps = checkpointed(nodes.where("successor > offset").join(starts, ["file", "successor"], "left_semi"))
-    found = checkpointed(nodes.where("offset = 0").select("file", "offset"))
-    while True:
+    """``file, offset`` of the candidates that the chain of successors from offset 0 reaches.
+
+    Runs of candidates in the order of the file count as one node, which leaves the rounds only what
+    false candidates break up.
+    """
+    members = _runs(nodes.where("offset >= 0").select("file", "offset", "successor"))
+    runs = members.groupBy("file", F.col("head").alias("offset")).agg(
+        F.max_by("successor", "offset").alias("successor")
+    )
+    starts = runs.select("file", F.col("offset").alias("successor"))
+    jumps = checkpointed(runs.where("successor > offset").join(starts, ["file", "successor"], "left_semi"))
+    found = runs.where("offset = 0").select("file", "offset")
+    while not jumps.isEmpty():
         reached = found.join(jumps, ["file", "offset"]).select("file", F.col("successor").alias("offset"))
         # Jumps double from round to round and starts lie behind what they reach: nothing comes twice.
         found = checkpointed(found.unionByName(reached))
@@ -151,8 +173,8 @@ def reachable(nodes: DataFrame) -> DataFrame:
         jumps = checkpointed(
             jumps.join(over, ["file", "successor"]).select("file", "offset", F.col("beyond").alias("successor"))
         )
-        if jumps.isEmpty():
-            return found
+    heads = found.withColumnRenamed("offset", "head")
+    return members.join(heads, ["file", "head"], "left_semi").select("file", "offset")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
