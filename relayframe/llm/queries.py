@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayframe.llm import bpe, exact_dedup, mixing, simhash, substring, token_counts, topk, toxicity, warc
+from relayframe.llm import bpe, exact_dedup, mixing, pii, simhash, substring, token_counts, topk, toxicity, warc
 from relayframe.llm.common import table
 from relayframe.session import scratch_path
 
@@ -22,6 +22,21 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["is_base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, i))).cast("long").alias(f"n_{name}") for i, name in enumerate(pii.BASE)
+    ]
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *counts,
+        F.sha2(pii.spans_text(base), 256).alias("base_sha256"),
+        pii.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(PIECES))
     return found.withColumnRenamed("id", "doc_id")
@@ -98,6 +113,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
     "op3_simhash": op3_simhash,
     "op4_warc": op4_warc,
