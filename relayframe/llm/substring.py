@@ -9,6 +9,8 @@ found there a second time is a duplicate span as a whole. Factors whose anchor r
 whole do not are cut off somewhere: at these boundaries each window is looked up by itself.
 
 Equal factors are counted before they are shuffled, so copies and common passages are one row a task.
+Only factors whose anchor repeats leave their task: a bitmap of FILTER_BITS bits, of one size for every
+corpus, marks those anchors. Anchors that share a bit with one let a factor through in vain, no more.
 Factors and windows are told apart by 128 bits of hash, texts by 96.
 
 Defined results: a null text has no words. A document of fewer words than a window keeps all of them.
@@ -24,6 +26,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +35,8 @@ from relayframe.session import checkpointed, lookup_join
 WINDOW = 35
 TEXTS_AT_ONCE = 64
 CACHED_WORDS = 400_000
+FILTER_BITS = 2**28  # 32 MB
+FILTER_PAGES = 1_024
 _PLACE_BITS = 24
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
 
@@ -137,20 +142,63 @@ def text_keys(text_col: str) -> tuple[Column, Column]:
     return F.xxhash64(text).alias("key"), F.crc32(text).alias("check")
 
 
+def _anchors(texts: DataFrame, window: int) -> DataFrame:
+    """The anchor of every factor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            p = _Parsed([words_of(t.as_py()) for t in batch.column(0)], window)
+            if not p.empty:
+                yield pa.RecordBatch.from_arrays([_signed(p.anchor)], ["anchor"])
+
+    return texts.select("text").mapInArrow(run, "anchor long")
+
+
+def _bitmap(anchors: DataFrame) -> Broadcast:
+    """Broadcasts FILTER_BITS bits with those of the anchors set, put together in pages by tasks."""
+    spark = anchors.sparkSession
+    page_bits = FILTER_BITS // FILTER_PAGES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pages: dict[int, np.ndarray] = {}
+        for batch in batches:
+            bits = batch.column(0).to_numpy()
+            for page in np.unique(bits // page_bits).tolist():
+                mine = pages.setdefault(page, np.zeros(page_bits // 8, np.uint8))
+                inside = bits[bits // page_bits == page] % page_bits
+                np.bitwise_or.at(mine, inside >> 3, (1 << (inside & 7)).astype(np.uint8))
+        for page, mine in pages.items():
+            columns = [pa.array([page], pa.int32()), pa.array([mine.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["page", "bits"])
+
+    bit = F.pmod("anchor", F.lit(FILTER_BITS).cast("long")).alias("bit")
+    dealt = anchors.select(bit).repartition(16, (F.col("bit") / page_bits).cast("int"))
+    whole = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in dealt.mapInArrow(run, "page int, bits binary").toLocalIterator():
+        at = r.page * page_bits // 8
+        whole[at : at + page_bits // 8] |= np.frombuffer(r.bits, np.uint8)
+    return spark.sparkContext.broadcast(whole.tobytes())
+
+
 def factors(texts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Factors of ``key, check, text`` rows: ``anchor, factor`` hashes, ``key``, ``place`` (check and first
-    word) and ``n`` windows."""
+    """Factors of ``key, check, text`` rows whose anchor may occur twice: ``anchor, factor`` hashes, ``key``,
+    ``place`` (check and first word) and ``n`` windows."""
+    counts = _anchors(texts, window).groupBy("anchor").agg(F.count("*").alias("n"))
+    marked = _bitmap(counts.where("n > 1").select("anchor"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.frombuffer(marked.value, np.uint8)
         for batch in _slices(batches):
             p = _Parsed([words_of(t.as_py()) for t in batch.column(2)], window)
             if p.empty:
                 continue
-            of = p.text[p.head]
+            bit = p.anchor & np.uint64(FILTER_BITS - 1)
+            maybe = np.flatnonzero(bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
+            of = p.text[p.head][maybe]
             key = batch.column(0).to_numpy()[of]
-            place = (batch.column(1).to_numpy()[of] << 32) | p.at[p.head]
-            columns = [_signed(p.anchor), _signed(p.factor_hash()), _signed(key), _signed(place)]
-            columns.append(pa.array(p.count.astype(np.int16), pa.int16()))
+            place = (batch.column(1).to_numpy()[of] << 32) | p.at[p.head][maybe]
+            columns = [_signed(p.anchor[maybe]), _signed(p.factor_hash()[maybe]), _signed(key), _signed(place)]
+            columns.append(pa.array(p.count[maybe].astype(np.int16), pa.int16()))
             yield pa.RecordBatch.from_arrays(columns, ["anchor", "factor", "key", "place", "n"])
 
     return texts.mapInArrow(run, "anchor long, factor long, key long, place long, n short")
@@ -192,7 +240,7 @@ def _boundary_windows(texts: DataFrame, wanted: DataFrame, window: int) -> DataF
 def duplicate_spans(docs: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``key, check`` of a text with ``spans``, word ranges (``start``, ``n`` windows) that occur elsewhere."""
     texts = docs.select(*text_keys(text_col), F.col(text_col).cast("string").alias("text"))
-    parsed = factors(texts, window)
+    parsed = checkpointed(factors(texts, window))
     # One row a distinct factor; the first of its places stands for it.
     index = (
         parsed.groupBy("anchor", "factor")
