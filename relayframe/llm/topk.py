@@ -125,7 +125,7 @@ def block_top_k(
                 beat[q] = max(beat[q], float(np.sort(scores)[-k]))
     # Scores this large may round down as doubles: keep what a rounded comparison could drop.
     limit = np.where(np.abs(beat) < EXACT, beat, beat - np.abs(beat) * 1e-12)
-    alive = bound >= limit[:, None]
+    alive = (bound >= limit[:, None]) & ~own
     for segments in SEGMENTS[1:]:
         some = np.flatnonzero(alive.any(axis=0))
         finer = segment_statistics(queries, segments) @ segment_statistics(rows[some], segments).T + slack
