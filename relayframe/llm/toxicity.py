@@ -21,12 +21,12 @@ are never joined to scored rows. Repeated rows are scored alike; other columns a
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +37,9 @@ MOST_TERMS = 2_000
 LEAST_DOCS = 6
 LEAST_LOG_ODDS = 2.5
 SHORTEST, LONGEST = 4, 12
-CONTEXT_WORDS = 6
+CONTEXT_CHARS = 60
 MOST_STATES = 50_000
-CACHED_WORDS = 500_000
+CACHED_STRINGS = 600_000
 
 # Small word lists and marks of the context window, in the languages of the corpus.
 REPORTING = frozenset(
@@ -49,7 +49,7 @@ REPORTING = frozenset(
 ADDRESS = frozenset("you your youre u ur du dich dir ihr tu toi vous te ti usted eres".split())
 QUOTES = "\"“”„«»‹›`"
 
-_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 class Term(NamedTuple):
@@ -86,12 +86,15 @@ class Lexicon:
                 self.budget[at] = max(self.budget[at], allowed)
             self.ends[at].append(i)
         self._forget()
-        self.cache: dict[str, tuple[int, int] | None] = {}
+        self.hits: set[str] = set()
+        self.misses: set[str] = set()
 
     def _forget(self) -> None:
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
-        self.steps: dict[tuple[int, str], int] = {}
+        self.steps: list[dict[str, int]] = []
+        self.stems: list[tuple[int, int] | None] = []  # the best term that a state has reached
+        self.wholes: list[tuple[int, int] | None] = []
         self.start = self._state({0: 0})
 
     def _state(self, places: dict[int, int]) -> int:
@@ -107,6 +110,9 @@ class Lexicon:
         if key not in self.states:
             self.states[key] = len(self.sets)
             self.sets.append(key)
+            self.steps.append({})
+            self.stems.append(self._best(key, True))
+            self.wholes.append(self._best(key, False))
         return self.states[key]
 
     def _step(self, state: int, char: str) -> int:
@@ -121,81 +127,93 @@ class Lexicon:
             for c, child in self.children[at].items():
                 reach(child, errors + (c != char))
         number = self._state(after) if after else -1
-        self.steps[state, char] = number
+        self.steps[state][char] = number
         return number
 
     def find(self, word: str) -> tuple[int, int] | None:
         """The term that a word spells, with the fewest errors, and the number of errors."""
-        if word in self.cache:
-            return self.cache[word]
         if len(self.sets) > MOST_STATES:
             self._forget()
-        state, stem, found = self.start, None, None
+        state, stem, steps = self.start, None, self.steps
         for c in word:
-            number = self.steps.get((state, c))
-            state = self._step(state, c) if number is None else number
-            if state < 0:
-                break
-            stem = stem or self._best(state, True)
-        if state >= 0:
-            found = self._best(state, False)
-        found = min(filter(None, (found, stem)), key=lambda f: f[1], default=None)
-        if len(self.cache) >= CACHED_WORDS:
-            self.cache.clear()
-        self.cache[word] = found
-        return found
-
-    def _best(self, state: int, stems: bool) -> tuple[int, int] | None:
+            number = steps[state].get(c)
+            if number is None:
+                number = self._step(state, c)
+            if number < 0:
+                return stem
+            state = number
+            stem = stem or self.stems[state]
+        return min(filter(None, (self.wholes[state], stem)), key=lambda f: f[1], default=None)
+
+    def _best(self, places: frozenset, stems: bool) -> tuple[int, int] | None:
         hits = [
             (i, errors)
-            for at, errors in self.sets[state]
+            for at, errors in places
             for i in self.ends[at]
             if self.terms[i].is_stem == stems and errors <= errors_allowed(self.terms[i])
         ]
         return min(hits, key=lambda h: (h[1], h[0]), default=None)
 
+    def matching(self, text: str) -> set[str]:
+        """The strings between blanks of a lower-case text in which a word spells a term; each string is
+        judged once."""
+        strings = set(text.split())
+        new = strings - self.misses
+        new -= self.hits
+        for string in new:
+            spelled = any(self.find(w) is not None for w in _WORD.findall(string))
+            (self.hits if spelled else self.misses).add(string)
+        found = strings & self.hits
+        if len(self.misses) > CACHED_STRINGS:
+            self.misses.clear()
+        if len(self.hits) > CACHED_STRINGS:
+            self.hits.clear()
+        return found
+
+
+def _places(text: str, string: str) -> Iterator[int]:
+    """Where a string stands between blanks."""
+    at = text.find(string)
+    while at >= 0:
+        end = at + len(string)
+        if (at == 0 or text[at - 1].isspace()) and (end == len(text) or text[end].isspace()):
+            yield at
+        at = text.find(string, at + 1)
+
 
 N_FEATURES = 8
 
 
 def features(lexicon: Lexicon, text: str | None) -> list[float]:
     """What a text's matches and their contexts add up to."""
-    text = text or ""
-    words = _WORD.findall(text.lower())
-    known = {w: f for w in set(words) if (f := lexicon.find(w)) is not None}
-    if not known:
-        return [0.0] * (N_FEATURES - 1) + [math.log1p(len(words)) / 10]
-    plain = near = quoted = address = weight = 0.0
-    top = 0.0
-    lowered = text.lower()
-    spans = [(m.start(), m.end(), m.group()) for m in _WORD.finditer(lowered)]
-    for i, (start, end, word) in enumerate(spans):
-        if word not in known:
-            continue
-        term, errors = known[word]
-        around = spans[max(0, i - CONTEXT_WORDS) : i] + spans[i + 1 : i + 1 + CONTEXT_WORDS]
-        context = {w for _, _, w in around}
-        left = lowered[around[0][0] if around and around[0][0] < start else start : start]
-        right = lowered[end : around[-1][1] if around and around[-1][1] > end else end]
-        between = sum(left.count(q) for q in QUOTES) % 2 == 1 and any(q in right or lowered[end : end + 1] == q for q in QUOTES)
-        if between or context & REPORTING:
-            quoted += 1
-            continue
-        plain += errors == 0
-        near += errors > 0
-        address += bool(context & ADDRESS)
-        w = lexicon.terms[term].weight / (1 + errors)
-        weight += w
-        top = max(top, w)
+    lowered = (text or "").lower()
+    plain = near = quoted = address = weight = top = 0.0
+    for string in lexicon.matching(lowered):
+        terms = [(m.start(), m.end(), f) for m in _WORD.finditer(string) if (f := lexicon.find(m.group())) is not None]
+        for at in _places(lowered, string):
+            for start, end, (term, errors) in terms:
+                left = lowered[max(0, at + start - CONTEXT_CHARS) : at + start]
+                right = lowered[at + end : at + end + CONTEXT_CHARS]
+                context = set(_WORD.findall(left)) | set(_WORD.findall(right))
+                opened = sum(map(left.count, QUOTES)) % 2 == 1 and any(q in right for q in QUOTES)
+                if opened or context & REPORTING:
+                    quoted += 1
+                    continue
+                plain += errors == 0
+                near += errors > 0
+                address += bool(context & ADDRESS)
+                w = lexicon.terms[term].weight / (1 + errors)
+                weight += w
+                top = max(top, w)
     return [
         math.log1p(plain),
         math.log1p(near),
         math.log1p(quoted),
         math.log1p(address),
-        math.log1p(weight),
+        math.log1p(round(weight, 6)),
         top / 5,
         float(plain + near > 0),
-        math.log1p(len(words)) / 10,
+        math.log1p(len(lowered)) / 10,
     ]
 
 
