@@ -23,13 +23,16 @@ def map_json(entries: Column) -> Column:
     return F.to_json(F.map_from_entries(entries), _KEEP_NULLS)
 
 
-def bytes_field(value: Column) -> Column:
-    """A variant bytes field: null stays null, text is base64, anything else is its JSON text."""
+def bytes_field(value: Column, raw: Column) -> Column:
+    """A bytes field: null stays null, text is base64, anything else is its JSON text as it was written.
+
+    ``value`` is the field as a variant, which tells its kind, and ``raw`` the same field read as text.
+    """
     kind = F.schema_of_variant(value)
     return (
         F.when(value.isNull() | F.is_variant_null(value), F.lit(None).cast("binary"))
         .when(kind == "STRING", F.unbase64(value.cast("string")))
-        .otherwise(F.to_json(value).cast("binary"))
+        .otherwise(raw.cast("binary"))
     )
 
 

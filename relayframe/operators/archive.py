@@ -17,7 +17,7 @@ CHUNK_OFFSETS = 250_000
 TILE_OFFSETS = 1 << 20
 
 # Chunk file layout.
-CHUNK_PATH = r"^(.+)/(\d\d\d\d-\d\d-\d\d \d\d:\d\d:\d\d)/(\d+)/(\d+)-(\d+).gz$"
+CHUNK_PATH = r"^(.+)/(\d\d\d\d-\d\d-\d\d \d\d:\d\d:\d\d)/(\d+)/(\d+)-(\d+)\.gz$"
 OFFSET_FORMAT = "%018d"
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+import json
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from relayframe import __version__
-from relayframe.functions import codecs, payload
+from relayframe.functions import binary, codecs, payload
 from relayframe.functions.text import ends_with_any, qualify
 from relayframe.functions.times import rfc3339_text
 from relayframe.operators.envelope import now_millis
@@ -16,7 +17,10 @@ from relayframe.operators.routing import Routes, route_topic
 from relayframe.session import lookup_join
 
 ROW_OPS = ("I", "U", "D")
+# Fixed value: the name of the table that heartbeats are written to unless one is configured.
 HEARTBEAT_SUFFIX = "public.pipe_health"
+# A relation version without a position holds from the beginning.
+_FIRST = -(2**63)
 
 # Type numbers of the source database's catalog.
 OID = {
@@ -41,8 +45,7 @@ OID = {
 _INTEGERS = ("int2", "int4", "int8", "oid")
 _FLOATS = ("float4", "float8")
 _TEXTS = ("text", "varchar")
-# Fixed value: milliseconds from 1970 to the binary time format's origin, 2000-01-01.
-_BINARY_TIME_ORIGIN_MS = 946_684_800_000
+_KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
 # -- filters ---------------------------------------------------------------------------------
@@ -83,14 +86,31 @@ def lsn_text(lsn: Column) -> Column:
 # -- tuples ----------------------------------------------------------------------------------
 
 
+def relation_versions(relations: DataFrame) -> DataFrame:
+    """One row per relation id with its ``versions`` in order: names, columns, and ``since``, the position
+    from which they hold. A relation is sent again after each change to its table. Two different versions
+    from one position are ambiguous and fail the query."""
+    since = F.col("since").cast("bigint") if "since" in relations.columns else F.lit(None).cast("bigint")
+    version = F.struct(F.coalesce(since, F.lit(_FIRST)).alias("since"), "namespace", "name", "columns")
+    versions = F.sort_array(F.collect_set(version))
+    grouped = relations.groupBy("relation_id").agg(versions.alias("versions"))
+    clash = F.size(F.array_distinct(F.col("versions.since"))) < F.size("versions")
+    told = F.raise_error(F.concat(F.lit("ambiguous versions of relation id "), F.col("relation_id").cast("string")))
+    return grouped.select("relation_id", F.when(clash, told).otherwise(F.col("versions")).alias("versions"))
+
+
 def describe(raw: DataFrame, relations: DataFrame) -> DataFrame:
-    """Raw messages with relation names and self-describing columns.
+    """Raw messages with relation names and self-describing columns, each by the relation version that
+    holds at its position.
 
     A delete carries its old row and anything else its new one. A row change whose relation is
     unknown fails the query.
     """
-    joined = lookup_join(
-        raw, relations.select("relation_id", "namespace", "name", "columns"), ["relation_id"]
+    current = F.try_element_at(F.filter("versions", lambda v: v["since"] <= F.col("lsn_start")), F.lit(-1))
+    joined = (
+        lookup_join(raw, relation_versions(relations), ["relation_id"])
+        .withColumn("_relation", current)
+        .select("*", "_relation.namespace", "_relation.name", "_relation.columns")
     )
     known = ~F.col("op").isin(*ROW_OPS) | F.col("columns").isNotNull()
     unknown = F.raise_error(F.concat(F.lit("unknown relation id "), F.col("relation_id").cast("string")))
@@ -133,6 +153,31 @@ def _text_typed(text: Column) -> list[tuple[Sequence[str], Column]]:
     ]
 
 
+def _binary_typed(data: Column) -> list[tuple[Sequence[str], Column]]:
+    """Binary-format values by type, each as its text-format value would be."""
+    return [
+        (["int2", "int4", "int8"], binary.signed(data)),
+        (["oid"], binary.unsigned(data)),
+        (["bool"], F.hex(data) == "01"),
+        (["float4"], binary.float4(data)),
+        (["float8"], binary.float8(data)),
+        (["numeric"], binary.numeric_text(data)),
+        (["uuid"], codecs.uuid_text(data)),
+        (["timestamp"], binary.timestamp_millis(data)),
+        (["timestamptz"], binary.timestamptz_text(data)),
+        (["date"], binary.date_text(data)),
+        (["bytea"], F.base64(data)),
+        (["json"], F.parse_json(data.cast("string"))),
+        # The first byte is a version.
+        (["jsonb"], F.parse_json(F.substring(data, 2, 2**31 - 1).cast("string"))),
+        (_TEXTS, data.cast("string")),
+    ]
+
+
+def _refused(oid: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("binary value of type "), oid.cast("string")))
+
+
 def _text_value(oid: Column, data: Column) -> Column:
     """A text-format value as a JSON-ready variant."""
     text = data.cast("string")
@@ -143,27 +188,11 @@ def _text_value(oid: Column, data: Column) -> Column:
 
 
 def _binary_value(oid: Column, data: Column) -> Column:
-    """A binary-format value as a JSON-ready variant, for the types whose bytes are plain."""
-    digits = F.hex(data)
-    # conv() reads 64 bits; shifting up and back down restores the sign of shorter integers.
-    unsigned = F.conv(digits, 16, -10).cast("bigint")
-    unused = F.lit(64) - F.length(data) * 8
-    signed = F.call_function("shiftright", F.call_function("shiftleft", unsigned, unused), unused)
-    millis = F.call_function("div", signed - F.pmod(signed, F.lit(1000)), F.lit(1000))
-    time = (
-        F.when(signed == codecs.TIME_INFINITY, F.lit(codecs.TIME_INFINITY))
-        .when(signed == codecs.TIME_NEG_INFINITY, F.lit(codecs.TIME_NEG_INFINITY))
-        .otherwise(millis + _BINARY_TIME_ORIGIN_MS)
-    )
-    return (
-        F.when(_oid_in(oid, ["int2", "int4", "int8"]), signed.cast("variant"))
-        .when(_oid_in(oid, ["oid"]), unsigned.cast("variant"))
-        .when(_oid_in(oid, ["bool"]), (digits == "01").cast("variant"))
-        .when(_oid_in(oid, ["uuid"]), codecs.uuid_text(data).cast("variant"))
-        .when(_oid_in(oid, ["timestamp"]), time.cast("variant"))
-        .when(_oid_in(oid, _TEXTS), data.cast("string").cast("variant"))
-        .otherwise(F.raise_error(F.concat(F.lit("binary value of type "), oid.cast("string"))).cast("variant"))
-    )
+    """A binary-format value as a JSON-ready variant."""
+    value = F
+    for names, typed in _binary_typed(data):
+        value = value.when(_oid_in(oid, names), typed.cast("variant"))
+    return value.otherwise(_refused(oid).cast("variant"))
 
 
 def cell_value(cell: Column) -> Column:
@@ -194,45 +223,76 @@ def key_json(cols: Column) -> Column:
 # -- known relations -------------------------------------------------------------------------
 
 
+def _typed(table: list[tuple[Sequence[str], Column]], oid: int) -> Column | None:
+    return next((value for names, value in table if oid in [OID[n] for n in names]), None)
+
+
 def _known_value(cell: Column, oid: int) -> Column:
     """Value of a column whose type is known when the query is built."""
     text = cell["data"].cast("string")
-    typed = next((value for names, value in _text_typed(text) if oid in [OID[n] for n in names]), text)
-    refused = F.raise_error(F.lit(f"binary value of type {oid}"))
-    return F.when(cell["kind"] == "t", typed).when(cell["kind"] == "b", refused)
-
-
-def _known_json(picked: Column, columns: Sequence[Row], keys_only: bool = False) -> Column:
-    values = {
-        c["name"]: _known_value(F.get(picked, i), c["oid"])
-        for i, c in enumerate(columns)
-        if c["is_key"] or not keys_only
-    }
-    if not values:
+    of_text, of_bytes = _typed(_text_typed(text), oid), _typed(_binary_typed(cell["data"]), oid)
+    of_text = text if of_text is None else of_text
+    if of_bytes is None:
+        of_bytes = _refused(F.lit(oid))
+    return F.when(cell["kind"] == "t", of_text).when(cell["kind"] == "b", of_bytes)
+
+
+def _known_json(
+    picked: Column, columns: Sequence[Row], keys_only: bool = False, unchanged: str = "null"
+) -> Column:
+    cells = {c["name"]: (F.get(picked, i), c["oid"]) for i, c in enumerate(columns) if c["is_key"] or not keys_only}
+    if not cells:
         return F.lit("{}")
-    return F.to_json(F.struct(*[values[n].alias(n) for n in sorted(values)]), {"ignoreNullFields": "false"})
+    values = {n: _known_value(cell, oid) for n, (cell, oid) in cells.items()}
+    if unchanged == "null":
+        return F.to_json(F.struct(*[values[n].alias(n) for n in sorted(values)]), _KEEP_NULLS)
+    # Members one by one: those that are null here, not resent, are left out by the join.
+    members = []
+    for n in sorted(values):
+        member = F.to_json(F.struct(values[n].alias("v")), _KEEP_NULLS)
+        member = F.substr(member, F.lit(6), F.length(member) - 6)  # {"v":...} without its ends
+        named = F.concat(F.lit(json.dumps(n, ensure_ascii=False) + ":"), member)
+        members.append(F.when(~cells[n][0]["kind"].eqNullSafe(F.lit("u")), named))
+    return F.concat(F.lit("{"), F.array_join(F.array(*members), ","), F.lit("}"))
+
+
+def versions_of(relations: DataFrame) -> dict[int, list[Row]]:
+    """Relation rows on the driver, by id and in order of the position from which they hold. There is a
+    row for each table of the source and each change to its columns."""
+    found: dict[int, list[Row]] = {}
+    for r in relation_versions(relations).collect():
+        found[r["relation_id"]] = list(r["versions"])
+    return found
 
 
 def known_messages(
     raw: DataFrame,
-    relations: Sequence[Row],
+    relations: Mapping[int, Sequence[Row]],
     headers: Column,
     routes: Routes = (),
     prefix: str = "",
     keep: tuple[str, ...] = (),
+    unchanged: str = "null",
 ) -> DataFrame:
-    """Raw text-format row changes as messages, for relations known when the query is built.
+    """Raw row changes as messages, for relation versions known when the query is built.
 
-    One pass with the columns of each relation spelled out: nothing is joined, and every value is
+    One pass with the columns of each version spelled out: nothing is joined, and every value is
     decoded by compiled code instead of per-cell lambdas.
     """
+    if unchanged not in ("null", "omit"):
+        raise ValueError("unchanged must be 'null' or 'omit'")
     picked = F.when(F.col("op") == "D", F.col("old_tuple")).otherwise(F.col("new_tuple"))
     unknown = F.raise_error(F.concat(F.lit("unknown relation id "), F.col("relation_id").cast("string")))
 
     def by_relation(of: Callable[[Row], Column]) -> Column:
         value = F
-        for r in relations:
-            value = value.when(F.col("relation_id") == r["relation_id"], of(r))
+        for relation_id, versions in relations.items():
+            # The latest version first: a change takes the last one at or before its position.
+            for v in reversed(versions):
+                holds = F.col("relation_id") == relation_id
+                if v["since"] > _FIRST:
+                    holds &= F.col("lsn_start") >= v["since"]
+                value = value.when(holds, of(v))
         return value.otherwise(unknown) if relations else unknown.cast("string")
 
     named = raw.select(
@@ -242,7 +302,7 @@ def known_messages(
         *keep,
         route_topic(F.col("relation"), routes, prefix).alias("topic"),
         by_relation(lambda r: _known_json(F.col("_row"), r["columns"], True)).cast("binary").alias("key"),
-        by_relation(lambda r: _known_json(F.col("_row"), r["columns"])).cast("binary").alias("value"),
+        by_relation(lambda r: _known_json(F.col("_row"), r["columns"], False, unchanged)).cast("binary").alias("value"),
         headers.alias("headers"),
     )
 

@@ -36,7 +36,8 @@ _ZEROS = {
 
 
 def _is_time(data_type: T.DataType) -> bool:
-    return isinstance(data_type, (T.TimestampType, T.TimestampNTZType))
+    """Columns whose values have the configured time format; dates do as well."""
+    return isinstance(data_type, (T.TimestampType, T.TimestampNTZType, T.DateType))
 
 
 def _wire_type(data_type: T.DataType, time_format: str) -> T.DataType:
@@ -48,11 +49,11 @@ def _wire_type(data_type: T.DataType, time_format: str) -> T.DataType:
     return data_type
 
 
-def _from_wire(col: Column, data_type: T.DataType, time_format: str, strict: bool) -> Column:
+def _from_wire(col: Column, data_type: T.DataType, time_format: str, strict: bool, raw: Column | None = None) -> Column:
     if _is_time(data_type):
         return decode_time(col, time_format, strict).cast(data_type)
     if isinstance(data_type, T.BinaryType):
-        return bytes_field(col)
+        return bytes_field(col, raw)
     return col
 
 
@@ -71,8 +72,18 @@ def json_decoder(time_format: str = MILLIS, mode: str = "FAILFAST") -> Decoder:
         parsed = F.from_json(value.cast("string"), T.StructType(wire), options)
         if strict and [f.dataType for f in wire] == [f.dataType for f in target.fields]:
             return parsed
+        # A second parse into text keeps bytes fields as they were written.
+        written = [T.StructField(f.name, T.StringType()) for f in target.fields if isinstance(f.dataType, T.BinaryType)]
+        raw = F.from_json(value.cast("string"), T.StructType(written)) if written else None
         fields = [
-            _from_wire(parsed[f.name], f.dataType, time_format, strict).alias(f.name) for f in target.fields
+            _from_wire(
+                parsed[f.name],
+                f.dataType,
+                time_format,
+                strict,
+                raw[f.name] if isinstance(f.dataType, T.BinaryType) else None,
+            ).alias(f.name)
+            for f in target.fields
         ]
         if not strict:
             broken = [parsed[CORRUPT]]
@@ -85,6 +96,8 @@ def json_decoder(time_format: str = MILLIS, mode: str = "FAILFAST") -> Decoder:
             fields.append(F.coalesce(*broken).alias(CORRUPT))
         return F.struct(*fields)
 
+    decode.json_time_format = time_format
+    decode.permissive = not strict
     return decode
 
 
@@ -131,7 +144,9 @@ def make_decoder(
     mode: str = "FAILFAST",
     schemas: Mapping[str, str] | None = None,
 ) -> Decoder:
-    """Decoder by format name."""
+    """Decoder by format name. Malformed records fail the query; a sink's quarantine sets them aside."""
+    if mode.upper() != "FAILFAST":
+        raise ValueError(f"mode {mode} would store malformed records as empty rows; give the sink a quarantine instead")
     if fmt in ("", "json"):
         return json_decoder(time_format or MILLIS, mode)
     if fmt == "avro":
@@ -166,6 +181,8 @@ def project(
 ) -> DataFrame:
     """Records as rows of the target table: its columns only, in its order."""
     decoder = decoder or json_decoder()
+    if getattr(decoder, "permissive", False):
+        raise ValueError("a permissive decoder's malformed records need split_malformed")
     return log.select(*keep, decoder(F.col("value"), target).alias("row")).select(
         *keep, *zero_filled(F.col("row"), target)
     )

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from relayframe.operators import changes as ch
 from relayframe.operators.routing import Routes
 
-
-# Columns of all relations together up to which they are spelled out in one query.
-KNOWN_COLUMNS = 400
+# Columns that one frame of the query spells out. It bounds the size of generated code; what a change
+# becomes does not depend on it.
+COLUMNS_PER_FRAME = 400
 
 
 @dataclass
@@ -49,29 +50,59 @@ class ChangeFeed:
         raw: DataFrame,
         relations: DataFrame,
         keep: tuple[str, ...] = (),
-        known_columns: int = KNOWN_COLUMNS,
+        columns_per_frame: int = COLUMNS_PER_FRAME,
     ) -> DataFrame:
         """Messages of raw row changes, described by relation rows.
 
-        A few relations in text format are decoded by columns spelled out in the query, and filters
-        on names become filters on relation ids, which reach the scan. More than that, or values
-        left out as unchanged, take the general way, which joins the relations to each change.
+        Relations are decoded by columns spelled out in the query, and filters on names become filters
+        on relation ids, which reach the scan. Wide schemas are dealt over several frames, each of
+        which reads the changes of its own relations.
         """
-        widths = relations.agg(F.sum(F.size("columns"))).first()[0] or 0
-        if widths > known_columns or self.unchanged != "null":
-            return self.messages(ch.describe(raw, relations), keep)
-        described = relations.collect()
-        names = {r["relation_id"]: f"{r['namespace']}.{r['name']}" for r in described}
-        wanted = {
-            i
-            for i, name in names.items()
-            if (not self.tables or name in self.tables) and not name.endswith(self.heartbeat)
-        }
-        left_out = sorted(set(names) - wanted)
-        # Ids in neither set are unknown; they stay, so that they fail the query.
-        rows = ch.row_changes(raw).where(~F.col("relation_id").isin(left_out)) if left_out else ch.row_changes(raw)
+        known = ch.versions_of(relations)
+        rows = ch.row_changes(raw)
         if self.skip_deletes:
             rows = ch.without_deletes(rows)
+        wanted = {i: versions for i, versions in known.items() if any(map(self._wants, versions))}
+        # A renamed table can be wanted in one version and not in another.
+        mixed = not all(self._wants(v) for versions in wanted.values() for v in versions)
         headers = ch.change_headers(self.host, self.port, self.database, self.ts_ms)
-        known = [r for r in described if r["relation_id"] in wanted]
-        return ch.known_messages(rows, known, headers, self.routes, self.prefix, keep)
+        frames = []
+        for i, part in enumerate(_parts(wanted, columns_per_frame)):
+            # Unknown ids go with the first frame, so that they fail the query.
+            others = sorted(set(known) - set(part))
+            if i:
+                own = rows.where(F.col("relation_id").isin(list(part)))
+            else:
+                own = rows.where(~F.col("relation_id").isin(others)) if others else rows
+            kept = (*keep, "relation") if mixed and "relation" not in keep else keep
+            frames.append(ch.known_messages(own, part, headers, self.routes, self.prefix, kept, self.unchanged))
+        messages = reduce(DataFrame.unionByName, frames)
+        if not mixed:
+            return messages
+        if self.tables:
+            messages = ch.subscribed(messages, self.tables)
+        messages = ch.without_relations(messages, [self.heartbeat])
+        return messages if "relation" in keep else messages.drop("relation")
+
+    def _wants(self, relation: Row) -> bool:
+        name = f"{relation['namespace']}.{relation['name']}"
+        return (not self.tables or name in self.tables) and not name.endswith(self.heartbeat)
+
+
+def _parts(relations: Mapping[int, list[Row]], most_columns: int) -> list[dict[int, list[Row]]]:
+    """Relations dealt so that each part has few columns; a relation stays whole. At least one part."""
+    parts, width = [{}], 0
+    for relation_id, versions in relations.items():
+        columns = sum(len(v["columns"]) for v in versions)
+        if parts[-1] and width + columns > most_columns:
+            parts.append({})
+            width = 0
+        parts[-1][relation_id] = versions
+        width += columns
+    return parts
+
+
+def in_log_order(messages: DataFrame, position: str = "lsn_start") -> DataFrame:
+    """Messages so dealt that those of one key are sent by one task, in the order of the log. A hot table
+    is spread over its keys."""
+    return messages.repartition("topic", "key").sortWithinPartitions("topic", "key", position)

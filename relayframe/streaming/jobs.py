@@ -10,16 +10,19 @@ from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from relayframe.operators.catalog import target_schema
 from relayframe.operators.decode import make_decoder
-from relayframe.plans.changefeed import ChangeFeed
+from relayframe.plans.changefeed import ChangeFeed, in_log_order
 from relayframe.plans.restore import restore, restore_archive
 from relayframe.plans.snapshot import SnapshotPlan, keyed_tables
 from relayframe.sources import archive_files, kafka, tables
 from relayframe.sources.changelog import stream_changes
 from relayframe.streaming.archive_sink import ArchiveSink, start_archive_sink
 from relayframe.streaming.table_sink import Ledger, TableSink, jdbc_writer, start_table_sink
+from relayframe.streaming.triggers import every
 
 Job = Callable[[SparkSession, dict[str, Any]], DataFrame | StreamingQuery]
 _JOBS: dict[str, Job] = {}
@@ -89,28 +92,55 @@ def table_snapshot(spark: SparkSession, conf: dict[str, Any]) -> DataFrame:
 
 @register("table.changes")
 def table_changes(spark: SparkSession, conf: dict[str, Any]) -> DataFrame | StreamingQuery:
-    """Change log to topics. Gives the message frame, or the started query if brokers are named."""
+    """Change log to topics. Gives the message frame, or the started query if brokers are named.
+
+    ``relations`` describes raw changes. Messages of one key are sent in the order of the log.
+    """
     changes = conf.get("changes")
     if changes is None:
         changes = stream_changes(spark, conf["path"], conf.get("position"))
-    messages = ChangeFeed(**conf.get("feed", {})).messages(changes)
+    feed = ChangeFeed(**conf.get("feed", {}))
+    keep = ("lsn_start",) if "brokers" in conf else ()
+    if "relations" in conf:
+        messages = feed.raw_messages(changes, conf["relations"], keep)
+    else:
+        messages = feed.messages(changes, keep)
     if "brokers" not in conf:
         return messages
     options = kafka.sink_options(conf["brokers"], timeout_ms=60_000)
-    return kafka.stream_topics(messages, options, conf["checkpoint"], _timeout(conf)).start()
+
+    def send(batch: DataFrame, batch_id: int) -> None:
+        kafka.write_topics(in_log_order(batch), options)
+
+    writer = messages.writeStream.foreachBatch(send).option("checkpointLocation", conf["checkpoint"])
+    return writer.trigger(**every(_timeout(conf))).start()
+
+
+def _catalog_columns(conf: dict[str, Any]) -> Callable[[], dict[str, T.StructType]]:
+    def look_up() -> dict[str, T.StructType]:
+        columns = conf["catalog"]() if callable(conf["catalog"]) else conf["catalog"]
+        return {name: target_schema(columns, name) for name in conf["tables"]}
+
+    return look_up
 
 
 @register("table.sink")
 def table_sink(spark: SparkSession, conf: dict[str, Any]) -> StreamingQuery:
-    """Topics to tables."""
+    """Topics to tables.
+
+    ``tables`` names columns by table. With ``catalog``, a frame or function of the target's columns, they
+    are looked up for each batch, without those that the target fills itself; ``tables`` is then a list.
+    """
     writer = conf["writer"] if "writer" in conf else jdbc_writer(**conf["database"])
     sink = TableSink(
-        tables=conf["tables"],
+        tables=_catalog_columns(conf) if "catalog" in conf else conf["tables"],
         ledger=Ledger(conf["ledger"]),
         write=writer,
         routes=conf.get("routes", ()),
         decoder=conf["decoder"] if "decoder" in conf else make_decoder(**conf.get("serde", {})),
         hook=conf.get("hook"),
+        quarantine=conf.get("quarantine"),
+        keep=tuple(conf.get("keep", ())),
     )
     return start_table_sink(_log(spark, conf), sink, conf["checkpoint"], _timeout(conf))
 
@@ -124,13 +154,16 @@ def archive_sink(spark: SparkSession, conf: dict[str, Any]) -> StreamingQuery:
 
 @register("archive.restore")
 def archive_restore(spark: SparkSession, conf: dict[str, Any]) -> DataFrame:
-    """A date range of an archive to topics. Gives the records, and sends them if brokers are named."""
+    """A date range of an archive to topics. Gives the records, and sends them if brokers are named.
+
+    ``binary`` and ``keep_timestamp`` say how the archive was written.
+    """
     where = (spark, conf["root"], conf["topics"], conf["since"], conf["until"])
-    marks, in_order = conf.get("marks"), conf.get("in_order", False)
+    marks, options = conf.get("marks"), {"in_order": conf.get("in_order", False), "binary": conf.get("binary", "text")}
     if conf.get("compatible"):
-        restored = restore(archive_files.read_compatible(*where), marks, in_order=in_order)
+        restored = restore(archive_files.read_compatible(*where), marks, **options)
     else:
-        restored = restore_archive(*where, marks, in_order=in_order)
+        restored = restore_archive(*where, marks, with_timestamp=conf.get("keep_timestamp", False), **options)
     if "brokers" in conf:
         options = kafka.sink_options(conf["brokers"], compression="lz4")
         kafka.write_topics(restored.records, options, keep_partition=True)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from relayframe.functions.times import MILLIS
 from relayframe.operators import offsets
 from relayframe.operators.decode import Decoder, json_decoder, project, split_malformed
 from relayframe.operators.routing import Routes, route_table
@@ -105,43 +104,49 @@ class TableSink:
     onto each table's columns (or hand the records to a hook), write, then store the new marks.
     """
 
-    tables: Mapping[str, T.StructType]
+    # Columns by table, or a function that looks them up for each batch, as the target may change.
+    tables: Mapping[str, T.StructType] | Callable[[], Mapping[str, T.StructType]]
     ledger: Ledger
     write: Writer
     routes: Routes = ()
     decoder: Decoder = field(default_factory=json_decoder)
     hook: Hook | None = None
     keep: tuple[str, ...] = ()
-    # Where malformed JSON records go; without it they fail the batch.
+    # Where malformed JSON records go; without it they fail the batch. Only the JSON decoder can tell them.
     quarantine: Writer | None = None
-    time_format: str = MILLIS
+
+    def __post_init__(self) -> None:
+        if self.quarantine is not None and not hasattr(self.decoder, "json_time_format"):
+            raise ValueError("a quarantine needs the JSON decoder; another decoder cannot tell malformed records")
 
     def _routed(self, batch: DataFrame) -> DataFrame:
         table = route_table(F.col("topic"), self.routes)
-        known = F.when(table.isin(*self.tables), table).otherwise(
+        known = F.when(table.isin(*self._tables), table).otherwise(
             F.raise_error(F.concat(F.lit("no columns found for table "), table))
         )
         return batch.withColumn("_table", known)
 
     def _write_table(self, fresh: DataFrame, table: str, run: str, batch_id: int) -> None:
         records = fresh.where(F.col("_table") == table).drop("_table")
+        schema = self._tables[table]
         if self.hook is not None:
             rows = self.hook(records, table)
         elif self.quarantine is not None:
-            rows, malformed = split_malformed(records, self.tables[table], self.time_format, self.keep)
+            rows, malformed = split_malformed(records, schema, self.decoder.json_time_format, self.keep)
             self.quarantine(malformed, table, run, batch_id)
         else:
-            rows = project(records, self.tables[table], self.decoder, self.keep)
+            rows = project(records, schema, self.decoder, self.keep)
         self.write(rows, table, run, batch_id)
 
     def __call__(self, batch: DataFrame, batch_id: int, run: str | None = None) -> None:
         spark = batch.sparkSession
         run = run or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
         marks = self.ledger.before(spark, run, batch_id).select("topic", "partition", "offset")
+        self._tables = self.tables() if callable(self.tables) else self.tables
         # The batch is read once per table and once for its marks.
         batch = batch.persist()
         try:
-            fresh = self._routed(offsets.fresh_records(batch, marks))
+            fresh = self._routed(_without_repeats(offsets.fresh_records(batch, marks)))
             # At most one row per configured table: any other name has failed by now.
             for row in fresh.select("_table").distinct().collect():
                 self._write_table(fresh, row["_table"], run, batch_id)
@@ -159,6 +164,14 @@ class TableSink:
             batch.unpersist()
 
 
+def _without_repeats(records: DataFrame) -> DataFrame:
+    """One copy of each record. Only numbers are compared to find out whether a batch holds any repeat."""
+    keys = ["topic", "partition", "offset"]
+    if records.groupBy(*keys).count().where("count > 1").isEmpty():
+        return records
+    return records.dropDuplicates(keys)
+
+
 def start_table_sink(
     log: DataFrame, sink: TableSink, checkpoint: str, timeout: str | None = "5s"
 ) -> StreamingQuery:
