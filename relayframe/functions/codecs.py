@@ -67,8 +67,3 @@ def canonical_row(
             for f in df.schema.fields
         ]
     )
-
-
-def is_text(raw: Column) -> Column:
-    """Whether bytes survive being viewed as text."""
-    return F.is_valid_utf8(raw.cast("string"))

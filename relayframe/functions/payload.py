@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
@@ -36,6 +40,38 @@ def bytes_field(value: Column, raw: Column) -> Column:
     )
 
 
+def _raw_values(text: str | None, names: list[str]) -> list[str | None]:
+    """The text of an object's members as it stands there; nulls for what is absent or not an object."""
+    found: dict[str, str] = {}
+    read, blank = json.JSONDecoder().raw_decode, re.compile(r"[ \t\r\n]*")
+    try:
+        at = blank.match(text or "").end()
+        more = text is not None and text[at : at + 1] == "{" and text[blank.match(text, at + 1).end()] != "}"
+        while more:
+            name, at = read(text, blank.match(text, at + 1).end())
+            start = blank.match(text, text.index(":", at) + 1).end()
+            at = read(text, start)[1]
+            found[name] = text[start:at]
+            at = blank.match(text, at).end()
+            more = text[at] == ","
+    except (ValueError, IndexError):
+        pass  # the typed parse of the same text reports it
+    return [found.get(n) for n in names]
+
+
+def raw_members(text: Column, names: Iterable[str]) -> Column:
+    """The named members of a JSON object as they are written, as a struct of texts. Spark's own parsers
+    write nested values and numbers anew, so this one goes through Arrow batches."""
+    names = list(names)
+    kind = T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+    @F.pandas_udf(kind)
+    def read(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_raw_values(t, names) for t in texts], columns=names, dtype=object)
+
+    return read(text)
+
+
 def headers(pairs: Iterable[tuple[str, Column]]) -> Column:
     """Message headers in the given order."""
     return F.array(*[F.struct(F.lit(k).alias("key"), v.cast("binary").alias("value")) for k, v in pairs])

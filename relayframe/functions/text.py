@@ -6,11 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def trim_prefix(col: Column, prefix: str) -> Column:
-    """Remove ``prefix`` once if the text starts with it."""
-    return F.when(col.startswith(prefix), F.substring(col, F.lit(len(prefix) + 1), F.length(col))).otherwise(col)
-
-
 def qualify(namespace: Column, name: Column) -> Column:
     return F.concat_ws(".", namespace, name)
 

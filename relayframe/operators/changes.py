@@ -139,39 +139,36 @@ def _oid_in(oid: Column, names: Iterable[str]) -> Column:
     return oid.isin(*[OID[n] for n in names])
 
 
-def _text_typed(text: Column) -> list[tuple[Sequence[str], Column]]:
-    """Text-format values by type; every other type stays text."""
-    return [
-        (_INTEGERS, text.cast("bigint")),
-        (["bool"], text.isin("t", "true")),
-        (_FLOATS, text.cast("double")),
-        (["timestamp"], codecs.epoch_millis_from_text(text)),
-        (["timestamptz"], rfc3339_text(F.to_timestamp(text))),
-        (["date"], codecs.date_text(F.to_date(text))),
-        (["json", "jsonb"], F.parse_json(text)),
-        (["bytea"], F.base64(F.unhex(F.substring(text, 3, 2**31 - 1)))),
-    ]
-
-
-def _binary_typed(data: Column) -> list[tuple[Sequence[str], Column]]:
-    """Binary-format values by type, each as its text-format value would be."""
-    return [
-        (["int2", "int4", "int8"], binary.signed(data)),
-        (["oid"], binary.unsigned(data)),
-        (["bool"], F.hex(data) == "01"),
-        (["float4"], binary.float4(data)),
-        (["float8"], binary.float8(data)),
-        (["numeric"], binary.numeric_text(data)),
-        (["uuid"], codecs.uuid_text(data)),
-        (["timestamp"], binary.timestamp_millis(data)),
-        (["timestamptz"], binary.timestamptz_text(data)),
-        (["date"], binary.date_text(data)),
-        (["bytea"], F.base64(data)),
-        (["json"], F.parse_json(data.cast("string"))),
-        # The first byte is a version.
-        (["jsonb"], F.parse_json(F.substring(data, 2, 2**31 - 1).cast("string"))),
-        (_TEXTS, data.cast("string")),
-    ]
+# How a text-format value is read, by type; every other type stays text.
+_TEXT_TYPED: list[tuple[Sequence[str], Callable[[Column], Column]]] = [
+    (_INTEGERS, lambda text: text.cast("bigint")),
+    (["bool"], lambda text: text.isin("t", "true")),
+    (_FLOATS, lambda text: text.cast("double")),
+    (["timestamp"], codecs.epoch_millis_from_text),
+    (["timestamptz"], lambda text: rfc3339_text(F.to_timestamp(text))),
+    (["date"], lambda text: codecs.date_text(F.to_date(text))),
+    (["json", "jsonb"], F.parse_json),
+    (["bytea"], lambda text: F.base64(F.unhex(F.substring(text, 3, 2**31 - 1)))),
+]
+
+# How a binary-format value is read, by type, so that it is what its text-format value would be.
+_BINARY_TYPED: list[tuple[Sequence[str], Callable[[Column], Column]]] = [
+    (["int2", "int4", "int8"], binary.signed),
+    (["oid"], binary.unsigned),
+    (["bool"], lambda data: F.hex(data) == "01"),
+    (["float4"], binary.float4),
+    (["float8"], binary.float8),
+    (["numeric"], binary.numeric_text),
+    (["uuid"], codecs.uuid_text),
+    (["timestamp"], binary.timestamp_millis),
+    (["timestamptz"], binary.timestamptz_text),
+    (["date"], binary.date_text),
+    (["bytea"], F.base64),
+    (["json"], lambda data: F.parse_json(data.cast("string"))),
+    # The first byte is a version.
+    (["jsonb"], lambda data: F.parse_json(F.substring(data, 2, 2**31 - 1).cast("string"))),
+    (_TEXTS, lambda data: data.cast("string")),
+]
 
 
 def _refused(oid: Column) -> Column:
@@ -182,16 +179,16 @@ def _text_value(oid: Column, data: Column) -> Column:
     """A text-format value as a JSON-ready variant."""
     text = data.cast("string")
     value = F
-    for names, typed in _text_typed(text):
-        value = value.when(_oid_in(oid, names), typed.cast("variant"))
+    for names, read in _TEXT_TYPED:
+        value = value.when(_oid_in(oid, names), read(text).cast("variant"))
     return value.otherwise(text.cast("variant"))
 
 
 def _binary_value(oid: Column, data: Column) -> Column:
     """A binary-format value as a JSON-ready variant."""
     value = F
-    for names, typed in _binary_typed(data):
-        value = value.when(_oid_in(oid, names), typed.cast("variant"))
+    for names, read in _BINARY_TYPED:
+        value = value.when(_oid_in(oid, names), read(data).cast("variant"))
     return value.otherwise(_refused(oid).cast("variant"))
 
 
@@ -223,18 +220,16 @@ def key_json(cols: Column) -> Column:
 # -- known relations -------------------------------------------------------------------------
 
 
-def _typed(table: list[tuple[Sequence[str], Column]], oid: int) -> Column | None:
-    return next((value for names, value in table if oid in [OID[n] for n in names]), None)
+def _reader(table: Sequence[tuple[Sequence[str], Callable[[Column], Column]]], oid: int):
+    return next((read for names, read in table if oid in [OID[n] for n in names]), None)
 
 
 def _known_value(cell: Column, oid: int) -> Column:
     """Value of a column whose type is known when the query is built."""
-    text = cell["data"].cast("string")
-    of_text, of_bytes = _typed(_text_typed(text), oid), _typed(_binary_typed(cell["data"]), oid)
-    of_text = text if of_text is None else of_text
-    if of_bytes is None:
-        of_bytes = _refused(F.lit(oid))
-    return F.when(cell["kind"] == "t", of_text).when(cell["kind"] == "b", of_bytes)
+    text, of_text, of_bytes = cell["data"].cast("string"), _reader(_TEXT_TYPED, oid), _reader(_BINARY_TYPED, oid)
+    return F.when(cell["kind"] == "t", of_text(text) if of_text else text).when(
+        cell["kind"] == "b", of_bytes(cell["data"]) if of_bytes else _refused(F.lit(oid))
+    )
 
 
 def _known_json(

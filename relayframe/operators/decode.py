@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relayframe.functions.payload import bytes_field
+from relayframe.functions.payload import bytes_field, raw_members
 from relayframe.functions.times import MILLIS, RFC3339, TIME_FORMATS, decode_time
 
 # A decoder turns (value, target) into a struct column with the target's fields.
@@ -72,9 +72,8 @@ def json_decoder(time_format: str = MILLIS, mode: str = "FAILFAST") -> Decoder:
         parsed = F.from_json(value.cast("string"), T.StructType(wire), options)
         if strict and [f.dataType for f in wire] == [f.dataType for f in target.fields]:
             return parsed
-        # A second parse into text keeps bytes fields as they were written.
-        written = [T.StructField(f.name, T.StringType()) for f in target.fields if isinstance(f.dataType, T.BinaryType)]
-        raw = F.from_json(value.cast("string"), T.StructType(written)) if written else None
+        written = [f.name for f in target.fields if isinstance(f.dataType, T.BinaryType)]
+        raw = raw_members(value.cast("string"), written) if written else None
         fields = [
             _from_wire(
                 parsed[f.name],

@@ -116,17 +116,6 @@ def list_archive(
     )
 
 
-def measure_archive(rows: DataFrame) -> DataFrame:
-    """Manifest of archive rows read from files, counted from the rows themselves."""
-    return rows.groupBy(
-        *PREFIX, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size_bytes")
-    ).agg(
-        F.min("offset").alias("min_offset"),
-        F.max("offset").alias("max_offset"),
-        F.count(F.lit(1)).alias("n_rows"),
-    )
-
-
 def _in_bounds(path: Column, since, until) -> list[Column]:
     bucket = archive.path_bucket(path)
     conditions = []
@@ -200,6 +189,8 @@ def _file_writer(root: str):
 
     def write(batches):
         import gzip
+        import json
+        import uuid
         from itertools import groupby
 
         import pandas as pd
@@ -219,17 +210,21 @@ def _file_writer(root: str):
             folder = f"{base}/{topic}/{bucket}/{partition}"
             store.create_dir(folder)
             path = f"{folder}/{chunk}.gz"
-            n_rows = 0
-            # Written under a hidden name and then moved, so that no reader meets half a chunk.
-            with store.open_output_stream(f"{folder}/.{chunk}.part") as raw:
+            lines = {json.loads(line)["offset"]: line for _, part in parts for line in part}
+            # Other records of the same bounds may be stored: nothing of theirs is lost.
+            if store.get_file_info(path).type == fs.FileType.File:
+                with store.open_input_stream(path, compression=None) as raw, gzip.GzipFile(fileobj=raw) as stored:
+                    lines |= {json.loads(line)["offset"]: line.rstrip("\n") for line in map(bytes.decode, stored)}
+            # Written under a hidden name of this attempt and then moved, so that no reader meets half a chunk.
+            hidden = f"{folder}/.{chunk}.{uuid.uuid4().hex}.part"
+            with store.open_output_stream(hidden) as raw:
                 with gzip.GzipFile(fileobj=raw, mode="wb", mtime=0) as out:
-                    for _, lines in parts:
-                        n_rows += len(lines)
-                        out.write(("\n".join(lines) + "\n").encode())
-            store.move(f"{folder}/.{chunk}.part", path)
+                    for offset in sorted(lines):
+                        out.write((lines[offset] + "\n").encode())
+            store.move(hidden, path)
             low, high = (int(bound) for bound in chunk.split("-"))
             size = store.get_file_info(path).size
-            yield pd.DataFrame([[topic, bucket, partition, low, high, n_rows, size, path]], columns=MANIFEST.names)
+            yield pd.DataFrame([[topic, bucket, partition, low, high, len(lines), size, path]], columns=MANIFEST.names)
 
     return write
 
@@ -242,9 +237,14 @@ def write_compatible(
 ) -> DataFrame:
     """Add archive rows to an archive of the compatible layout; gives the manifest of what was written.
 
-    Spark names files itself, so tasks write these: a chunk is a run of sorted rows in one task,
-    and its file is replaced if the task is run again. Needs a store whose names may hold colons.
+    Spark names files itself, so tasks write these: a chunk is a run of sorted rows in one task. A file
+    that is there under a chunk's bounds is merged with it, so writing again changes nothing and other
+    records of the same bounds stay. Needs a store whose names may hold colons, and off a local master one
+    that every executor reaches.
     """
+    local = root.startswith("file:") or "://" not in root
+    if local and not rows.sparkSession.sparkContext.master.startswith("local"):
+        raise ValueError("executors do not share local folders; write to a shared store")
     root = root.replace("s3a://", "s3://").rstrip("/")
     lines = archive.by_offset_range(rows, chunk_offsets, partitions).select(
         *PREFIX, "chunk", F.to_json(F.struct(*ARCHIVE_ROW.names), {"ignoreNullFields": "false"}).alias("line")
@@ -264,6 +264,14 @@ def split_overlapping(rows: DataFrame, manifest: DataFrame) -> tuple[DataFrame,
     return lookup_join(rows, shared, [*PREFIX, "chunk"], "left_anti"), rows_of_chunks(rows, shared)
 
 
+def keeps_timestamps(spark: SparkSession, manifest: DataFrame) -> bool:
+    """Whether an archive was written with timestamps, told by one chunk of each topic."""
+    paths = [r["path"] for r in manifest.groupBy("topic").agg(F.min("path").alias("path")).collect()]
+    if not paths:
+        return False
+    return not spark.read.schema("timestamp timestamp").json(paths).where("timestamp is not null").isEmpty()
+
+
 def compact_archive(
     spark: SparkSession,
     source: str,
@@ -273,13 +281,13 @@ def compact_archive(
     until: str | datetime | None = None,
     limit: int = MERGE_LIMIT,
     partitions: int | None = None,
-    with_timestamp: bool = False,
 ) -> None:
     """Write an archive, or some topics and buckets of it, with its small chunks merged.
 
     The target must be a new location: the caller points readers at it once it is complete, so no
     reader meets both versions. Records in overlapping chunks are written once, and stale chunks
-    are read too, so that no record depends on their being true copies.
+    are read too, so that no record depends on their being true copies. Timestamps stay if the archive
+    keeps them; an archive that keeps some of them only is refused.
     """
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError("compact into a new location")
@@ -287,7 +295,11 @@ def compact_archive(
     labels = label_chunks(manifest, limit)
     name = archive.chunk_name(F.col("min_offset"), F.col("max_offset")).alias("chunk")
     groups = checkpointed(labels.select(*PREFIX, name, "group_id"))
-    rows = read_archive(spark, source, topics, since, until, with_timestamp).drop("n_rows")
+    rows = read_archive(spark, source, topics, since, until, with_timestamp=True).drop("n_rows")
+    if not keeps_timestamps(spark, manifest):
+        lost = F.raise_error(F.lit("some records of the archive keep a timestamp and others do not"))
+        rows = rows.withColumn("offset", F.when(F.col("timestamp").isNull(), F.col("offset")).otherwise(lost))
+        rows = rows.drop("timestamp")
     single, repeated = split_overlapping(rows, manifest)
 
     def grouped(part: DataFrame) -> DataFrame:

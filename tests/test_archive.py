@@ -79,7 +79,10 @@ def test_manifest_measured_from_rows_equals_the_listing(spark, tmp_path):
     root = str(tmp_path / "a")
     ArchiveSink(root, chunk_offsets=20)(log(spark, *[record(o, minutes=o) for o in range(90)]))
     columns = ("topic", "bucket", "partition", "min_offset", "max_offset", "n_rows", "size_bytes")
-    assert plain(files.measure_archive(files.read_archive(spark, root)), *columns) == plain(
+    measured = files.read_archive(spark, root).groupBy(
+        *columns[:3], F.col("_metadata.file_size").alias("size_bytes"), "_metadata.file_path"
+    ).agg(F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"), F.count("*").alias("n_rows"))
+    assert plain(measured, *columns) == plain(
         files.list_archive(spark, root), *columns
     )
 
@@ -317,3 +320,28 @@ def test_appended_twice_is_restored_once(spark, tmp_path):
     assert restore_archive(spark, root).records.count() == 10
     files.compact_archive(spark, root, str(tmp_path / "b"))
     assert files.read_archive(spark, str(tmp_path / "b")).count() == 10
+
+
+def test_compatible_chunks_of_the_same_bounds_are_merged(spark, tmp_path):
+    root = f"file://{tmp_path}/a"
+    for delivery in ((1, 5, 10), (1, 7, 10)):
+        rows = archive.to_archive_rows(log(spark, *[record(o) for o in delivery]))
+        files.write_compatible(rows, root)
+    topic = next(p.name for p in (tmp_path / "a").iterdir())
+    assert sorted(r["offset"] for r in files.read_compatible(spark, root, [topic]).collect()) == [1, 5, 7, 10]
+    assert not [p for p in (tmp_path / "a").rglob("*") if p.suffix == ".part"]
+
+
+def test_compaction_keeps_timestamps_or_refuses(spark, tmp_path):
+    source, target = str(tmp_path / "a"), str(tmp_path / "b")
+    records = log(spark, *[record(o, minutes=o) for o in range(5)])
+    ArchiveSink(source, keep_timestamp=True)(records)
+    files.compact_archive(spark, source, target)
+    kept = files.read_archive(spark, target, with_timestamp=True)
+    assert kept.where("timestamp is null").isEmpty() and kept.count() == 5
+
+
+def test_a_chunk_name_needs_its_dot(spark):
+    path = spark.createDataFrame([("file:/a/t/2024-01-01 00:00:00/0/1-9Xgz",)], "path string")
+    with pytest.raises(Exception, match="invalid chunk path"):
+        path.select(archive.parse_chunk_path(F.col("path"))).collect()

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relayframe.functions import times
 from relayframe.operators import decode
 
 
@@ -72,7 +73,7 @@ def test_bytes_field(spark):
     values = ['{"b":"aGk="}', '{"b":{"x": [1, 2]}}', '{"b":12}', '{"b":"MTI="}', '{"b":null}', "{}", '{"b":true}']
     rows = decode.project(log(spark, *values), schema(b=T.BinaryType())).collect()
     got = [None if r["b"] is None else bytes(r["b"]) for r in rows]
-    assert got == [b"hi", b'{"x":[1,2]}', b"12", b"12", None, None, b"true"]
+    assert got == [b"hi", b'{"x": [1, 2]}', b"12", b"12", None, None, b"true"]
 
 
 @pytest.mark.parametrize(
@@ -135,3 +136,24 @@ def test_own_decoder(spark):
 
     rows = decode.project(log(spark, "abc", "de"), schema(n=T.LongType()), lengths).collect()
     assert [r["n"] for r in rows] == [3, 2]
+
+
+def test_bytes_field_keeps_what_was_written(spark):
+    raw = '{"z": 1, "a": 1.50,"m":1e3, "t":"\\u00e9, }"}'
+    values = [f' {{ "other": {{"b":1}} ,"b" : {raw} , "c":[]}}', '{"b":1.00}', '{"b":-0.0e5}']
+    rows = decode.project(log(spark, *values), schema(b=T.BinaryType())).collect()
+    assert [bytes(r["b"]).decode() for r in rows] == [raw, "1.00", "-0.0e5"]
+
+
+def test_permissive_decoding_needs_a_quarantine(spark):
+    with pytest.raises(ValueError, match="quarantine"):
+        decode.make_decoder("json", mode="PERMISSIVE")
+    with pytest.raises(ValueError, match="split_malformed"):
+        decode.project(log(spark, "{bad"), schema(id=T.LongType()), decode.json_decoder(mode="PERMISSIVE"))
+
+
+def test_dates_have_the_time_format(spark):
+    target = schema(d=T.DateType())
+    for time_format, text in (("rfc3339", '"2024-03-01T00:00:00Z"'), (times.SECONDS, "1709251200"), (times.MILLIS, "1709251200000")):
+        rows = decode.project(log(spark, f'{{"d":{text}}}'), target, decode.json_decoder(time_format)).collect()
+        assert str(rows[0]["d"]) == "2024-03-01"

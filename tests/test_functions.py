@@ -114,16 +114,9 @@ def test_not_a_number_is_text_in_json(spark):
 
 
 def test_names(spark):
-    assert one(spark, text.trim_prefix(F.lit("cdc.a.cdc."), "cdc.")) == "a.cdc."
-    assert one(spark, text.trim_prefix(F.lit("a"), "cdc.")) == "a"
     assert tuple(one(spark, text.split_qualified(F.lit("a.b.c")))) == ("a", "b.c")
     with pytest.raises(Exception, match="invalid table name"):
         one(spark, text.split_qualified(F.lit("orders")))
     with pytest.raises(ValueError):
         text.split_table_name("orders")
     assert one(spark, text.ends_with_any(F.lit("x.public.h"), ["a", "public.h"])) is True
-
-
-def test_is_text(spark):
-    df = spark.createDataFrame([(bytearray(b"ok"),), (bytearray(b"\xff\xfe"),)], "b binary")
-    assert [r[0] for r in df.select(codecs.is_text(F.col("b"))).collect()] == [True, False]

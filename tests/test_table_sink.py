@@ -172,3 +172,8 @@ def test_jobs_by_name(spark, tmp_path):
     assert records.count() == 30
     with pytest.raises(ValueError, match="unknown job class"):
         jobs.get("nothing")
+
+
+def test_a_quarantine_refuses_other_decoders(tmp_path):
+    with pytest.raises(ValueError, match="quarantine"):
+        make_sink(tmp_path, quarantine=parquet_writer(str(tmp_path / "bad")), decoder=lambda value, target: value)

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relayframe import __version__
-from relayframe.functions import payload
+from relayframe.functions import codecs, payload
 from relayframe.operators.changes import OID
-from relayframe.schemas import RELATIONS
+from relayframe.schemas import RAW_CHANGES, RELATIONS
 from relayframe.session import checkpointed
 
 TS_MS = 1_700_000_000_000
@@ -105,6 +105,107 @@ def raw_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+BINARY_COLUMNS = [
+    ("o_orderkey", "int8", True),
+    ("big", "bool", False),
+    ("day", "date", False),
+    ("id", "uuid", False),
+    ("price", "numeric", False),
+    ("priority", "text", False),
+    ("zoned", "timestamptz", False),
+]
+
+
+def binary_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders as inserts; cells of even keys are in binary format, of odd keys in text format."""
+    orders = read(spark, sf_dir, "orders")
+    key, cents = F.col("o_orderkey"), F.round(F.col("o_totalprice") * 100).cast("bigint")
+    when = F.date_trunc("day", F.col("o_orderdate").cast("timestamp"))
+    days = F.datediff(when, F.lit("2000-01-01"))
+
+    def number(value: Column, size: int) -> Column:
+        return F.unhex(F.right(F.lpad(F.hex(value.cast("bigint")), 16, "0"), F.lit(size * 2)))
+
+    def div(value: Column, by: int) -> Column:
+        return F.call_function("div", value, F.lit(by).cast("bigint"))
+
+    digest = F.md5(key.cast("string"))
+    # Digits by ten thousands: two before the point and one after it, of which the scale shows two.
+    price = F.concat(
+        *[number(F.lit(n), 2) for n in (3, 1, 0, 2)],
+        number(div(cents, 1_000_000), 2),
+        number(div(cents, 100) % 10_000, 2),
+        number(cents % 100 * 100, 2),
+    )
+    cells = {
+        "o_orderkey": (key.cast("string"), number(key, 8)),
+        "big": (F.when(cents > 20_000_000, "t").otherwise("f"), number((cents > 20_000_000).cast("int"), 1)),
+        "day": (F.date_format(when, "yyyy-MM-dd"), number(days, 4)),
+        "id": (codecs.uuid_text(F.unhex(digest)), F.unhex(digest)),
+        "price": (F.col("o_totalprice").cast("decimal(18,2)").cast("string"), price),
+        "priority": (F.col("o_orderpriority"), F.col("o_orderpriority").cast("binary")),
+        "zoned": (
+            F.concat(F.date_format(when, "yyyy-MM-dd HH:mm:ss"), F.lit("+00")),
+            number(days.cast("bigint") * 86_400_000_000, 8),
+        ),
+    }
+    even = key % 2 == 0
+    row = F.array(
+        *[
+            F.struct(
+                F.when(even, "b").otherwise("t").alias("kind"),
+                F.when(even, as_bytes).otherwise(as_text.cast("binary")).alias("data"),
+            )
+            for as_text, as_bytes in (cells[n] for n, _, _ in BINARY_COLUMNS)
+        ]
+    )
+    raw = orders.select(
+        (key * 10).alias("lsn_start"),
+        F.lit(8).cast("bigint").alias("length"),
+        F.lit("I").alias("op"),
+        (key % 3).cast("bigint").alias("relation_id"),
+        row.alias("new_tuple"),
+        F.lit(None).cast(row_type()).alias("old_tuple"),
+    )
+    columns = [(name, OID[kind], is_key) for name, kind, is_key in BINARY_COLUMNS]
+    return raw, spark.createDataFrame([(i, "public", f"orders_{i}", columns) for i in range(3)], RELATIONS)
+
+
+def row_type() -> T.DataType:
+    return RAW_CHANGES["new_tuple"].dataType
+
+
+def wide_relations(spark: SparkSession) -> DataFrame:
+    """Further relations, of more columns than one frame spells out."""
+    columns = [(f"c{i}", OID["text"], i == 0) for i in range(210)]
+    return spark.createDataFrame([(100 + i, "public", f"wide_{i}", columns) for i in range(2)], RELATIONS)
+
+
+# Positions from which the altered table has other columns.
+ALTERED = (20_000, 60_000)
+
+
+def altered_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Changes of one table that has no priority between the two positions."""
+    raw, _ = binary_changes(spark, sf_dir)
+    at = [n for n, _, _ in BINARY_COLUMNS].index("priority")
+    dropped = F.col("lsn_start").between(ALTERED[0], ALTERED[1] - 1)
+    cells = F.filter("new_tuple", lambda c, i: ~dropped | (i != at))
+    raw = raw.withColumns({"new_tuple": cells, "relation_id": F.lit(7).cast("bigint")})
+    columns = [(name, OID[kind], is_key) for name, kind, is_key in BINARY_COLUMNS]
+    less = [c for c in columns if c[0] != "priority"]
+    versions = [(columns, None), (less, ALTERED[0]), (columns, ALTERED[1])]
+    rows = [(7, "public", "orders", c, since) for c, since in versions]
+    return raw, spark.createDataFrame(rows, T.StructType([*RELATIONS.fields, T.StructField("since", T.LongType())]))
+
+
+def with_ends(rows: DataFrame, inner: Column) -> DataFrame:
+    """Archive rows for which ``inner`` holds, and the first and last row of every bucket and partition."""
+    keys = ["topic", "bucket", "partition"]
+    ends = rows.groupBy(*keys).agg(F.min("offset").alias("_low"), F.max("offset").alias("_high"))
+    return rows.join(ends, keys).where(inner | F.col("offset").isin(F.col("_low"), F.col("_high"))).drop("_low", "_high")
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Catalog frames with a constraint per customer, its name present in two schemas."""
     customers = read(spark, sf_dir, "customer")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from relayframe import __version__
 from relayframe.operators.compaction import MERGE_LIMIT
-from workload.fixtures import MANIFEST_CHUNK, RECORD_BYTES, TS_MS
+from workload.fixtures import ALTERED, MANIFEST_CHUNK, RECORD_BYTES, TS_MS
 from workload.queries import RESTORE_SINCE, RESTORE_UNTIL
 
 LOG = f"""
@@ -211,9 +211,14 @@ ORACLE: dict[str, str] = {
         SELECT "offset", ts_ms AS rfc3339_ms, ts_ms // 1000 * 1000 AS seconds_ms, ts_ms AS milli_ms FROM log""",
     "json_bytes": """
         SELECT event_id,
-               CASE event_id % 4 WHEN 0 THEN props WHEN 1 THEN CAST(CAST(props AS JSON) AS VARCHAR).replace(': ', ':')
-                 WHEN 2 THEN CAST(user_id AS VARCHAR) END AS b
+               CASE event_id % 4 WHEN 0 THEN props
+                 WHEN 1 THEN '{"z": ' || user_id || ', "a":1.50,  "m":1e3, "k": [' || event_id || ', 0.0]}'
+                 WHEN 2 THEN user_id || '.00' END AS b
         FROM events""",
+    "json_dates": """
+        SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS rfc3339_day,
+               strftime(o_orderdate, '%Y-%m-%d') AS seconds_day, strftime(o_orderdate, '%Y-%m-%d') AS milli_day
+        FROM orders""",
     "json_quarantine": f"""WITH {LOG}
         SELECT topic, "offset", CASE WHEN "offset" % 10 <> 0 THEN user_id END AS user_id, "offset" % 10 = 0 AS malformed
         FROM log""",
@@ -295,3 +300,32 @@ ORACLE: dict[str, str] = {
         SELECT topic, {bucket('7 days')} AS bucket, "partition", "offset", "key", "value" FROM log""",
 }
 ORACLE["change_messages_known"] = ORACLE["change_messages"]
+
+
+def _order_value(with_priority: str) -> str:
+    """The JSON text of an order's change, keys in order."""
+    return f"""'{{"big":' || CASE WHEN o_totalprice > 200000 THEN 'true' ELSE 'false' END
+        || ',"day":"' || strftime(o_orderdate, '%Y-%m-%dT00:00:00Z')
+        || '","id":"' || CAST(CAST(md5(CAST(o_orderkey AS VARCHAR)) AS UUID) AS VARCHAR)
+        || '","o_orderkey":' || o_orderkey || ',"price":"' || CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) || '"'
+        || {with_priority} || ',"zoned":"' || strftime(o_orderdate, '%Y-%m-%dT00:00:00Z') || '"}}'"""
+
+
+_PRIORITY = """',"priority":' || to_json(o_orderpriority)"""
+ORACLE["change_binary"] = f"""
+    SELECT o_orderkey * 10 AS lsn_start, 'public.orders_' || (o_orderkey % 3) AS topic, {_order_value(_PRIORITY)} AS value
+    FROM orders"""
+ORACLE["change_wide"] = ORACLE["change_binary"]
+ORACLE["change_relation_altered"] = f"""
+    SELECT o_orderkey * 10 AS lsn_start, 'public.orders' AS topic,
+           {_order_value(f"CASE WHEN o_orderkey * 10 BETWEEN {ALTERED[0]} AND {ALTERED[1] - 1} THEN '' ELSE {_PRIORITY} END")} AS value
+    FROM orders"""
+ORACLE["table_sink_repeat_in_batch"] = ORACLE["table_sink_retry"]
+ORACLE["table_sink_catalog"] = """
+    SELECT event_id, user_id, event_type, (epoch_us(ts) // 1000) AS ts_ms, CAST(0 AS INTEGER) AS missing_int,
+           '' AS missing_text, CAST(NULL AS VARCHAR) AS missing_note
+    FROM events"""
+ORACLE["archive_compatible_redelivery"] = _PARTITION_LOG
+ORACLE["archive_base64_restore"] = f"""WITH {LOG}
+    SELECT topic, "partition", "offset", ts_ms, "key", "value" FROM log"""
+ORACLE["archive_compacted_timestamps"] = ORACLE["archive_base64_restore"]

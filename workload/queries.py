@@ -15,6 +15,7 @@ from relayframe.plans.restore import restore, restore_archive
 from relayframe.plans.snapshot import SnapshotPlan, SnapshotTable
 from relayframe.session import scratch_path, use_utc
 from relayframe.sources import archive_files, changelog
+from relayframe.streaming import jobs
 from relayframe.streaming.archive_sink import ArchiveSink, start_archive_sink
 from relayframe.streaming.table_sink import (
     Ledger,
@@ -30,7 +31,7 @@ from workload import fixtures as fx
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
-ORDER_ROUTES = [(r"^public.orders(_\d+)?$", "public.orders")]
+ORDER_ROUTES = [(r"^public\.orders_[0-9]$", "public.orders")]
 EVENT_ROUTES = [(r"events\.(click|view)", "engagement"), (r"events\..*", "other")]
 TOPIC_ROUTES = [
     (r"^public\.(click|view)_\d$", "cdc.engagement"),
@@ -200,6 +201,35 @@ def change_messages_known(spark, sf_dir):
     return _as_text(feed.raw_messages(fx.raw_changes(spark, sf_dir), fx.relations(spark)), "topic")
 
 
+def _plain_feed() -> ChangeFeed:
+    return ChangeFeed(ts_ms=fx.TS_MS)
+
+
+def _values(messages: DataFrame) -> DataFrame:
+    return messages.select("lsn_start", "topic", F.col("value").cast("string").alias("value"))
+
+
+@query
+def change_binary(spark, sf_dir):
+    """Orders as changes whose cells are in text and binary format by turns."""
+    raw, relations = fx.binary_changes(spark, sf_dir)
+    return _values(_plain_feed().raw_messages(raw, relations, keep=("lsn_start",)))
+
+
+@query
+def change_relation_altered(spark, sf_dir):
+    """A table that loses a column and takes it back while its changes are logged."""
+    raw, relations = fx.altered_changes(spark, sf_dir)
+    return _values(_plain_feed().raw_messages(raw, relations, keep=("lsn_start",)))
+
+
+@query
+def change_wide(spark, sf_dir):
+    """The changes next to relations of over 400 columns, which deals them over several frames."""
+    raw, relations = fx.binary_changes(spark, sf_dir)
+    return _values(_plain_feed().raw_messages(raw, relations.unionByName(fx.wide_relations(spark)), keep=("lsn_start",)))
+
+
 @query
 def change_position(spark, sf_dir):
     return changes.next_position(_changes(spark, sf_dir))
@@ -289,12 +319,14 @@ def json_time_formats(spark, sf_dir):
 
 @query
 def json_bytes(spark, sf_dir):
+    """Text, objects with keys in any order and numbers as written, numbers, and nulls in a bytes column."""
     events = fx.read(spark, sf_dir, "events")
     kind = F.col("event_id") % 4
+    odd = F.concat(F.lit('{"z": '), F.col("user_id"), F.lit(', "a":1.50,  "m":1e3, "k": ['), F.col("event_id"), F.lit(", 0.0]}"))
     field = (
         F.when(kind == 0, F.concat(F.lit('"'), F.base64(F.col("props").cast("binary")), F.lit('"')))
-        .when(kind == 1, F.col("props"))
-        .when(kind == 2, F.col("user_id").cast("string"))
+        .when(kind == 1, odd)
+        .when(kind == 2, F.concat(F.col("user_id").cast("string"), F.lit(".00")))
         .otherwise(F.lit("null"))
     )
     message = F.concat(F.lit('{"b":'), field, F.lit("}")).cast("binary")
@@ -302,6 +334,26 @@ def json_bytes(spark, sf_dir):
     return events.select("event_id", decode.json_decoder()(message, target)["b"].cast("string").alias("b"))
 
 
+@query
+def json_dates(spark, sf_dir):
+    """Date columns in the three time formats."""
+    orders = fx.read(spark, sf_dir, "orders")
+    day = F.date_trunc("day", F.col("o_orderdate").cast("timestamp"))
+    target = T.StructType([T.StructField("d", T.DateType(), False)])
+    texts = {
+        times.RFC3339: F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        times.SECONDS: F.unix_seconds(day),
+        times.MILLIS: F.unix_millis(day),
+    }
+    decoded = [
+        decode.zero_filled(decode.json_decoder(fmt)(F.to_json(F.struct(v.alias("d"))).cast("binary"), target), target)[0]
+        .cast("string")
+        .alias(name)
+        for (fmt, v), name in zip(texts.items(), ["rfc3339_day", "seconds_day", "milli_day"])
+    ]
+    return orders.select("o_orderkey", *decoded)
+
+
 @query
 def json_quarantine(spark, sf_dir):
     """One record in ten is cut short; it is set aside and the others are decoded."""
@@ -315,7 +367,7 @@ def json_quarantine(spark, sf_dir):
 
 @query
 def hook_transform(spark, sf_dir):
-    """A before-insert hook that filters, reshapes and multiplies rows."""
+    """A table sink whose hook filters, reshapes and multiplies rows."""
 
     def hook(records: DataFrame, table: str) -> DataFrame:
         rows = decode.project(records, fx.EVENT_TARGET).where("event_type != 'view'")
@@ -323,7 +375,10 @@ def hook_transform(spark, sf_dir):
             "event_id", F.explode(F.array(F.lit("first"), F.upper("event_type"))).alias("label")
         )
 
-    return hook(fx.log(spark, sf_dir), "events")
+    base = scratch_path(spark, "sink")
+    sink = TableSink({"events": fx.EVENT_TARGET}, Ledger(f"{base}/ledger"), parquet_writer(base), [(".*", "events")], hook=hook)
+    load_batch(sink, fx.log(spark, sf_dir), 0, "a")
+    return read_table(spark, base, "events", T.StructType.fromDDL("event_id bigint, label string"))
 
 
 # -- offsets ---------------------------------------------------------------------------------
@@ -564,6 +619,79 @@ def table_sink_retry(spark, sf_dir):
     return rows.select("event_id", "user_id", "event_type", _ts_ms())
 
 
+@query
+def table_sink_repeat_in_batch(spark, sf_dir):
+    """One batch that holds two deliveries."""
+    log = fx.log(spark, sf_dir)
+    base = scratch_path(spark, "sink")
+    sink = TableSink({"other": fx.EVENT_TARGET}, Ledger(f"{base}/ledger"), parquet_writer(base), [(".*", "other")])
+    load_batch(sink, _two_thirds(log).unionAll(log), 0, "a")
+    rows = read_table(spark, base, "other", fx.EVENT_TARGET)
+    return rows.select("event_id", "user_id", "event_type", _ts_ms())
+
+
+@query
+def table_sink_catalog(spark, sf_dir):
+    """The sink job by name, with a decoder of its own, columns from the target's catalog, defaulted ones left out."""
+    log = fx.log(spark, sf_dir)
+    source, base = scratch_path(spark, "log"), scratch_path(spark, "sink")
+    log.write.parquet(source)
+    catalog_frame = fx.target_columns(spark)
+    conf = {
+        "log": spark.readStream.schema(log.schema).parquet(source),
+        "tables": ["events"],
+        "catalog": lambda: catalog_frame,
+        "ledger": f"{base}/ledger",
+        "writer": parquet_writer(base),
+        "routes": [(".*", "events")],
+        "decoder": decode.json_decoder(times.MILLIS),
+        "checkpoint": f"{base}/checkpoint",
+        "timeout": None,
+    }
+    drain([jobs.run(spark, "table.sink", conf)])
+    target = catalog.target_schema(catalog_frame, "events")
+    rows = read_table(spark, base, "events", target)
+    return rows.withColumn("ts", F.unix_millis("ts")).withColumnRenamed("ts", "ts_ms")
+
+
+@query
+def archive_compatible_redelivery(spark, sf_dir):
+    """Two gapped deliveries that share every chunk's bounds, written to the compatible layout."""
+    log = fx.log(spark, sf_dir)
+    root = scratch_path(spark, "archive")
+    root = root if ":" in root else f"file://{root}"
+    rows = archive.to_archive_rows(log, fx.WEEK)
+    for inner in (F.col("offset") % 2 == 0, F.col("offset") % 2 == 1):
+        part = fx.with_ends(rows, inner)
+        archive_files.write_compatible(part, root, chunk_offsets=1 << 40)
+    topics = [row["topic"] for row in offsets.topics_of(log).collect()]
+    records = restore(archive_files.read_compatible(spark, root, topics)).records
+    return _as_text(records, "topic", "partition", "offset")
+
+
+@query
+def archive_base64_restore(spark, sf_dir):
+    """An archive of base64 values with nulls and timestamps, restored by the job."""
+    root = scratch_path(spark, "archive")
+    ArchiveSink(root, interval=fx.WEEK, replace=False, binary="base64", keep_nulls=True, keep_timestamp=True)(fx.log(spark, sf_dir))
+    conf = {"root": root, "topics": None, "since": None, "until": None, "binary": "base64", "keep_timestamp": True}
+    records = jobs.run(spark, "archive.restore", conf)
+    return _as_text(records, "topic", "partition", "offset", F.unix_millis("timestamp").alias("ts_ms")).drop("headers")
+
+
+@query
+def archive_compacted_timestamps(spark, sf_dir):
+    """Compaction of an archive that keeps timestamps."""
+    log = fx.log(spark, sf_dir)
+    source, target = scratch_path(spark, "archive"), scratch_path(spark, "compacted")
+    sink = ArchiveSink(source, interval=fx.WEEK, replace=False, keep_timestamp=True)
+    for delivery in [_two_thirds(log), log]:
+        sink(delivery)
+    archive_files.compact_archive(spark, source, target)
+    records = restore_archive(spark, target, with_timestamp=True).records
+    return _as_text(records, "topic", "partition", "offset", F.unix_millis("timestamp").alias("ts_ms")).drop("headers")
+
+
 @query
 def stream_archive(spark, sf_dir):
     """Events read as a stream and archived."""
