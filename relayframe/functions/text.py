@@ -14,7 +14,7 @@ def split_qualified(table: Column) -> Column:
     """``schema.table`` as a struct; only the first dot splits, and a missing dot fails the query."""
     dot = F.locate(".", table)
     checked = F.when(dot > 0, table).otherwise(
-        F.raise_error(F.concat(F.lit("invalid table name: "), table, F.lit(", expected {schema}.{table}")))
+        F.raise_error(F.concat(F.lit("table without a schema: "), table, F.lit(" (write schema.table)")))
     )
     return F.struct(
         F.substring_index(checked, ".", 1).alias("schema"),
@@ -26,7 +26,7 @@ def split_table_name(table: str) -> tuple[str, str]:
     """Driver-side form of :func:`split_qualified` for names given as arguments."""
     schema, dot, name = table.partition(".")
     if not dot:
-        raise ValueError(f"invalid table name: {table}, expected {{schema}}.{{table}}")
+        raise ValueError(f"table without a schema: {table} (write schema.table)")
     return schema, name
 
 

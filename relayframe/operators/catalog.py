@@ -39,7 +39,7 @@ def target_schema(columns: DataFrame, table: str) -> T.StructType:
     """
     rows = insertable_columns(columns.where(F.col("table") == table)).collect()
     if not rows:
-        raise ValueError(f"no columns found for table {table}")
+        raise ValueError(f"the target lists no columns of {table}")
     return T.StructType(
         [T.StructField(r["name"], T.DataType.fromDDL(r["type"]), r["nullable"]) for r in rows]
     )

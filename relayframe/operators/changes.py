@@ -113,7 +113,7 @@ def describe(raw: DataFrame, relations: DataFrame) -> DataFrame:
         .select("*", "_relation.namespace", "_relation.name", "_relation.columns")
     )
     known = ~F.col("op").isin(*ROW_OPS) | F.col("columns").isNotNull()
-    unknown = F.raise_error(F.concat(F.lit("unknown relation id "), F.col("relation_id").cast("string")))
+    unknown = F.raise_error(F.concat(F.lit("no relation is described by id "), F.col("relation_id").cast("string")))
     picked = F.when(F.col("op") == "D", F.col("old_tuple")).otherwise(F.col("new_tuple"))
     cols = F.transform(
         F.arrays_zip(F.col("columns").alias("meta"), picked.alias("cell")),
@@ -277,7 +277,7 @@ def known_messages(
     if unchanged not in ("null", "omit"):
         raise ValueError("unchanged must be 'null' or 'omit'")
     picked = F.when(F.col("op") == "D", F.col("old_tuple")).otherwise(F.col("new_tuple"))
-    unknown = F.raise_error(F.concat(F.lit("unknown relation id "), F.col("relation_id").cast("string")))
+    unknown = F.raise_error(F.concat(F.lit("no relation is described by id "), F.col("relation_id").cast("string")))
 
     def by_relation(of: Callable[[Row], Column]) -> Column:
         value = F

@@ -9,7 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Lookup rows hold a topic name and a few numbers (under 300 bytes), so this many stay near 60 MB.
+# A lookup is broadcast up to this size, measured as JSON text, which is longer than Spark's own rows.
+BROADCAST_BYTES = 64 << 20
+# Rows of a few numbers each stay far below that.
 BROADCAST_ROWS = 200_000
 
 
@@ -48,14 +50,15 @@ def lookup_join(
     lookup: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join a lookup of one row per key onto a large frame.
 
-    The lookup is counted first. Within ``max_rows`` it is broadcast, so the large side keeps its
+    The lookup is measured first. Within ``max_bytes`` it is broadcast, so the large side keeps its
     partitioning and a hot key costs nothing. Beyond it this is a plain equi-join, whose skewed
-    partitions AQE splits.
+    partitions AQE splits. A lookup that is costly to compute should be checkpointed before.
     """
-    if lookup.count() <= max_rows:
+    size = lookup.agg(F.sum(F.octet_length(F.to_json(F.struct(*lookup.columns))))).first()[0] or 0
+    if size <= max_bytes:
         lookup = F.broadcast(lookup)
     return big.join(lookup, list(keys), how)

@@ -48,7 +48,7 @@ def sasl_options(
     settings. ``aws`` reads the machine's own credentials unless ``login`` says otherwise.
     """
     if protocol not in _LOGIN_MODULES:
-        raise ValueError(f"unexpected SASL protocol: {protocol}, expected one of {', '.join(_LOGIN_MODULES)}")
+        raise ValueError(f"no login is called {protocol}; there are {', '.join(_LOGIN_MODULES)}")
     mechanism, module = _LOGIN_MODULES[protocol]
     settings: dict[str, str | None] = dict(login)
     if protocol in ("plain", "scram-256", "scram-512"):

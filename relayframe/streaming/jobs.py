@@ -49,7 +49,8 @@ def run(spark: SparkSession, name: str, conf: dict[str, Any]) -> DataFrame | Str
 def _log(spark: SparkSession, conf: dict[str, Any]) -> DataFrame:
     if "log" in conf:
         return conf["log"]
-    options = dict(conf["kafka"])
+    # Without a limit of its own a trigger reads all there is.
+    options = {"batch_size": None} | conf["kafka"]
     if options.get("sasl"):
         options["sasl"] = kafka.sasl_options(**options["sasl"])
     return kafka.read_topics(spark, kafka.source_options(**options))

@@ -122,7 +122,7 @@ class TableSink:
     def _routed(self, batch: DataFrame) -> DataFrame:
         table = route_table(F.col("topic"), self.routes)
         known = F.when(table.isin(*self._tables), table).otherwise(
-            F.raise_error(F.concat(F.lit("no columns found for table "), table))
+            F.raise_error(F.concat(F.lit("the target lists no columns of "), table))
         )
         return batch.withColumn("_table", known)
 

@@ -115,7 +115,7 @@ def test_not_a_number_is_text_in_json(spark):
 
 def test_names(spark):
     assert tuple(one(spark, text.split_qualified(F.lit("a.b.c")))) == ("a", "b.c")
-    with pytest.raises(Exception, match="invalid table name"):
+    with pytest.raises(Exception, match="table without a schema"):
         one(spark, text.split_qualified(F.lit("orders")))
     with pytest.raises(ValueError):
         text.split_table_name("orders")

@@ -45,7 +45,7 @@ def test_lookup_beyond_the_broadcast_limit_gives_the_same(spark, as_rows):
     records = log(spark, *[("t", o % 5, o) for o in range(100)])
     marks = log(spark, *[("t", p, 10 * p) for p in range(5)]).withColumnRenamed("offset", "mark")
     small = lookup_join(records, marks, ["topic", "partition"])
-    large = lookup_join(records, marks, ["topic", "partition"], max_rows=2)
+    large = lookup_join(records, marks, ["topic", "partition"], max_bytes=20)
     assert as_rows(small) == as_rows(large)
     assert "ResolvedHint (strategy=broadcast)" in small._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()

@@ -101,7 +101,7 @@ def test_tables_without_new_rows_get_no_files(spark, tmp_path):
 
 
 def test_topic_without_a_table_fails(spark, tmp_path):
-    with pytest.raises(Exception, match="no columns found for table x"):
+    with pytest.raises(Exception, match="the target lists no columns of x"):
         make_sink(tmp_path)(log(spark, [1], "x"), 0, "r")
 
 
