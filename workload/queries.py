@@ -13,7 +13,7 @@ from relayframe.operators import archive, catalog, changes, compaction, decode,
 from relayframe.plans.changefeed import ChangeFeed
 from relayframe.plans.restore import restore, restore_archive
 from relayframe.plans.snapshot import SnapshotPlan, SnapshotTable
-from relayframe.session import scratch_path, use_utc
+from relayframe.session import scratch_path, share_package, use_utc
 from relayframe.sources import archive_files, changelog
 from relayframe.streaming import jobs
 from relayframe.streaming.archive_sink import ArchiveSink, start_archive_sink
@@ -43,7 +43,7 @@ RESTORE_SINCE, RESTORE_UNTIL = "2024-01-08 00:00:00", "2024-01-21 12:00:00"
 
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return function(use_utc(spark), sf_dir)
+        return function(share_package(use_utc(spark)), sf_dir)
 
     _QUERIES[function.__name__] = run
     return function
