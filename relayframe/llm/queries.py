@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from relayframe.llm import bpe, exact_dedup, mixing, pii, simhash, substring, token_counts, topk, toxicity, warc
 from relayframe.llm.common import table
-from relayframe.session import scratch_path
+from relayframe.session import scratch_path, share_package
+
+Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -112,17 +114,24 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_pii": op1_pii,
-    "op2_token_counts": op2_token_counts,
-    "op3_simhash": op3_simhash,
-    "op4_warc": op4_warc,
-    "op5_exact_dedup": op5_exact_dedup,
-    "op6_topk": op6_topk,
-    "op7_bpe": op7_bpe,
-    "op8_toxicity": op8_toxicity,
-    "op9_mixing": op9_mixing,
-    "op10_substring_dedup": op10_substring_dedup,
+def _shared(query: Query) -> Query:
+    return lambda spark, sf_dir: query(share_package(spark), sf_dir)
+
+
+QUERIES: dict[str, Query] = {
+    q.__name__: _shared(q)
+    for q in (
+        op1_pii,
+        op2_token_counts,
+        op3_simhash,
+        op4_warc,
+        op5_exact_dedup,
+        op6_topk,
+        op7_bpe,
+        op8_toxicity,
+        op9_mixing,
+        op10_substring_dedup,
+    )
 }
 
 ORACLE: dict[str, str] = {
