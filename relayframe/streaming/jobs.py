@@ -9,17 +9,23 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from relayframe.operators import offsets
 from relayframe.operators.catalog import target_schema
+from relayframe.operators.changes import next_position, since_position
 from relayframe.operators.decode import make_decoder
 from relayframe.plans.changefeed import ChangeFeed, in_log_order
 from relayframe.plans.restore import restore, restore_archive
 from relayframe.plans.snapshot import SnapshotPlan, keyed_tables
+from relayframe.schemas import RESTORE_OFFSETS
+from relayframe.session import checkpointed
 from relayframe.sources import archive_files, kafka, tables
-from relayframe.sources.changelog import stream_changes
+from relayframe.sources.changelog import stored_position, stream_changes
 from relayframe.streaming.archive_sink import ArchiveSink, start_archive_sink
 from relayframe.streaming.table_sink import Ledger, TableSink, jdbc_writer, start_table_sink
 from relayframe.streaming.triggers import every
@@ -95,17 +101,32 @@ def table_snapshot(spark: SparkSession, conf: dict[str, Any]) -> DataFrame:
 def table_changes(spark: SparkSession, conf: dict[str, Any]) -> DataFrame | StreamingQuery:
     """Change log to topics. Gives the message frame, or the started query if brokers are named.
 
-    ``relations`` describes raw changes. Messages of one key are sent in the order of the log.
+    ``relations`` describes raw changes. Messages of one key are sent in the order of the log. A bounded
+    frame of ``changes`` goes to ``send`` instead of brokers; with ``ledger`` it begins where the last run
+    ended.
     """
     changes = conf.get("changes")
     if changes is None:
         changes = stream_changes(spark, conf["path"], conf.get("position"))
+    ledger = conf.get("ledger")
+    if ledger:
+        changes = since_position(changes, stored_position(spark, ledger))
     feed = ChangeFeed(**conf.get("feed", {}))
-    keep = ("lsn_start",) if "brokers" in conf else ()
+    keep = ("lsn_start",) if "brokers" in conf or "send" in conf else ()
     if "relations" in conf:
         messages = feed.raw_messages(changes, conf["relations"], keep)
     else:
         messages = feed.messages(changes, keep)
+    if "send" in conf:
+        ends = changes if "lsn_end" in changes.columns else changes.withColumn("lsn_end", F.expr("lsn_start + length"))
+        reached = next_position(ends).first()["position"] if ledger else None
+        if reached is not None:
+            # Nothing above this position is sent, as the source may have grown meanwhile.
+            messages = messages.where(F.col("lsn_start") < reached)
+        conf["send"](in_log_order(messages))
+        if reached is not None:
+            spark.range(1).select(F.lit(reached).alias("position")).write.mode("append").parquet(ledger)
+        return messages
     if "brokers" not in conf:
         return messages
     options = kafka.sink_options(conf["brokers"], timeout_ms=60_000)
@@ -157,15 +178,39 @@ def archive_sink(spark: SparkSession, conf: dict[str, Any]) -> StreamingQuery:
 def archive_restore(spark: SparkSession, conf: dict[str, Any]) -> DataFrame:
     """A date range of an archive to topics. Gives the records, and sends them if brokers are named.
 
-    ``binary`` and ``keep_timestamp`` say how the archive was written.
+    ``binary`` and ``keep_timestamp`` say how the archive was written. ``send`` takes the records in place of
+    brokers. With ``ledger``, marks are loaded from there and stored once the records are sent, so that a
+    job run again sends only what is new.
     """
     where = (spark, conf["root"], conf["topics"], conf["since"], conf["until"])
-    marks, options = conf.get("marks"), {"in_order": conf.get("in_order", False), "binary": conf.get("binary", "text")}
+    ledger, send = conf.get("ledger"), conf.get("send")
+    marks = _stored_marks(spark, ledger) if ledger else conf.get("marks")
+    options = {"in_order": conf.get("in_order", False), "binary": conf.get("binary", "text")}
     if conf.get("compatible"):
         restored = restore(archive_files.read_compatible(*where), marks, **options)
     else:
         restored = restore_archive(*where, marks, with_timestamp=conf.get("keep_timestamp", False), **options)
     if "brokers" in conf:
-        options = kafka.sink_options(conf["brokers"], compression="lz4")
-        kafka.write_topics(restored.records, options, keep_partition=True)
+        sink = kafka.sink_options(conf["brokers"], compression="lz4")
+
+        def send(records: DataFrame) -> None:
+            kafka.write_topics(records, sink, keep_partition=True)
+
+    if send is not None:
+        reached = checkpointed(restored.marks) if ledger else None
+        send(restored.records)
+        if ledger:
+            # A row per topic partition and bucket, only once its records are written.
+            reached.coalesce(1).write.mode("append").parquet(ledger)
     return restored.records
+
+
+def _stored_marks(spark: SparkSession, ledger: str) -> DataFrame | None:
+    """Marks that earlier restores stored; None before the first."""
+    try:
+        stored = spark.read.schema(RESTORE_OFFSETS).parquet(ledger)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return offsets.last_offsets(stored, offsets.RESTORE_PARTITION)

@@ -329,3 +329,5 @@ ORACLE["archive_compatible_redelivery"] = _PARTITION_LOG
 ORACLE["archive_base64_restore"] = f"""WITH {LOG}
     SELECT topic, "partition", "offset", ts_ms, "key", "value" FROM log"""
 ORACLE["archive_compacted_timestamps"] = ORACLE["archive_base64_restore"]
+ORACLE["restore_resumed"] = _PARTITION_LOG
+ORACLE["changes_resumed"] = ORACLE["change_binary"]

@@ -692,6 +692,44 @@ def archive_compacted_timestamps(spark, sf_dir):
     return _as_text(records, "topic", "partition", "offset", F.unix_millis("timestamp").alias("ts_ms")).drop("headers")
 
 
+@query
+def restore_resumed(spark, sf_dir):
+    """The restore job run after each of two deliveries; every record is sent once."""
+    log = fx.log(spark, sf_dir)
+    base = scratch_path(spark, "restore")
+    sink = ArchiveSink(f"{base}/archive", interval=fx.WEEK, replace=False)
+    conf = {
+        "root": f"{base}/archive",
+        "topics": None,
+        "since": None,
+        "until": None,
+        "ledger": f"{base}/ledger",
+        "send": lambda records: records.write.mode("append").parquet(f"{base}/sent"),
+    }
+    for delivery in [_two_thirds(log), log]:
+        sink(delivery)
+        jobs.run(spark, "archive.restore", conf)
+    return _as_text(spark.read.parquet(f"{base}/sent"), "topic", "partition", "offset")
+
+
+@query
+def changes_resumed(spark, sf_dir):
+    """The change job run on a log that grows between runs, and once more when it has not."""
+    raw, relations = fx.binary_changes(spark, sf_dir)
+    base = scratch_path(spark, "changes")
+    bound = raw.agg(F.call_function("div", F.max("lsn_start"), F.lit(2))).scalar()
+    for changes_so_far in (raw.where(F.col("lsn_start") < bound), raw, raw):
+        conf = {
+            "changes": changes_so_far,
+            "relations": relations,
+            "feed": {"ts_ms": fx.TS_MS},
+            "ledger": f"{base}/ledger",
+            "send": lambda messages: messages.write.mode("append").parquet(f"{base}/sent"),
+        }
+        jobs.run(spark, "table.changes", conf)
+    return _values(spark.read.parquet(f"{base}/sent"))
+
+
 @query
 def stream_archive(spark, sf_dir):
     """Events read as a stream and archived."""
