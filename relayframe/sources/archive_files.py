@@ -264,6 +264,29 @@ def split_overlapping(rows: DataFrame, manifest: DataFrame) -> tuple[DataFrame,
     return lookup_join(rows, shared, [*PREFIX, "chunk"], "left_anti"), rows_of_chunks(rows, shared)
 
 
+def current_root(spark: SparkSession, pointer: str, default: str) -> str:
+    """Where readers of an archive find it: what ``pointer`` names last, or its first place."""
+    try:
+        named = spark.read.schema("version bigint, root string").parquet(pointer)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return default
+    return named.agg(F.max_by("root", "version")).first()[0] or default
+
+
+def move_pointer(spark: SparkSession, pointer: str, root: str) -> None:
+    """Name a complete archive as the current one. One small file is added, so readers see either."""
+    try:
+        last = spark.read.schema("version bigint").parquet(pointer).agg(F.max("version")).first()[0] or 0
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = 0
+    named = spark.range(1).select(F.lit(last + 1).cast("bigint").alias("version"), F.lit(root).alias("root"))
+    named.write.mode("append").parquet(pointer)
+
+
 def keeps_timestamps(spark: SparkSession, manifest: DataFrame) -> bool:
     """Whether an archive was written with timestamps, told by one chunk of each topic."""
     paths = [r["path"] for r in manifest.groupBy("topic").agg(F.min("path").alias("path")).collect()]

@@ -174,6 +174,19 @@ def archive_sink(spark: SparkSession, conf: dict[str, Any]) -> StreamingQuery:
     return start_archive_sink(_log(spark, conf), sink, conf["checkpoint"], _timeout(conf))
 
 
+@register("archive.compact")
+def archive_compact(spark: SparkSession, conf: dict[str, Any]) -> DataFrame:
+    """An archive with its small chunks merged, written to ``target``; then ``pointer`` names it to readers.
+
+    What comes into the old place meanwhile is not in the new one: compact an archive that no sink writes
+    to, or point the sink at the target first. Gives the manifest of the target.
+    """
+    source = archive_files.current_root(spark, conf["pointer"], conf["root"])
+    archive_files.compact_archive(spark, source, conf["target"], **conf.get("compaction", {}))
+    archive_files.move_pointer(spark, conf["pointer"], conf["target"])
+    return archive_files.list_archive(spark, conf["target"])
+
+
 @register("archive.restore")
 def archive_restore(spark: SparkSession, conf: dict[str, Any]) -> DataFrame:
     """A date range of an archive to topics. Gives the records, and sends them if brokers are named.
@@ -182,7 +195,8 @@ def archive_restore(spark: SparkSession, conf: dict[str, Any]) -> DataFrame:
     brokers. With ``ledger``, marks are loaded from there and stored once the records are sent, so that a
     job run again sends only what is new.
     """
-    where = (spark, conf["root"], conf["topics"], conf["since"], conf["until"])
+    root = archive_files.current_root(spark, conf["pointer"], conf["root"]) if "pointer" in conf else conf["root"]
+    where = (spark, root, conf["topics"], conf["since"], conf["until"])
     ledger, send = conf.get("ledger"), conf.get("send")
     marks = _stored_marks(spark, ledger) if ledger else conf.get("marks")
     options = {"in_order": conf.get("in_order", False), "binary": conf.get("binary", "text")}

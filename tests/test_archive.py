@@ -10,6 +10,7 @@ from relayframe.operators import archive, offsets
 from relayframe.plans.restore import restore, restore_archive
 from relayframe.schemas import LOG, RESTORE_OFFSETS
 from relayframe.sources import archive_files as files
+from relayframe.streaming import jobs
 from relayframe.streaming.archive_sink import ArchiveSink
 
 START = datetime(2024, 5, 15, 10)
@@ -345,3 +346,18 @@ def test_a_chunk_name_needs_its_dot(spark):
     path = spark.createDataFrame([("file:/a/t/2024-01-01 00:00:00/0/1-9Xgz",)], "path string")
     with pytest.raises(Exception, match="invalid chunk path"):
         path.select(archive.parse_chunk_path(F.col("path"))).collect()
+
+
+def test_readers_see_one_version_of_a_compacted_archive(spark, tmp_path):
+    conf = {"root": str(tmp_path / "a"), "pointer": str(tmp_path / "current")}
+    assert files.current_root(spark, conf["pointer"], conf["root"]) == conf["root"]
+    ArchiveSink(conf["root"], chunk_offsets=5)(log(spark, *[record(o) for o in range(30)]))
+    places = []
+    for n in (1, 2):
+        manifest = jobs.run(spark, "archive.compact", conf | {"target": str(tmp_path / f"b{n}")})
+        places.append(files.current_root(spark, conf["pointer"], conf["root"]))
+        assert manifest.agg(F.sum("n_rows")).first()[0] == 30
+    assert places == [str(tmp_path / "b1"), str(tmp_path / "b2")]
+    with pytest.raises(ValueError, match="new location"):
+        jobs.run(spark, "archive.compact", conf | {"target": places[-1]})
+    assert files.current_root(spark, conf["pointer"], conf["root"]) == places[-1]

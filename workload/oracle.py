@@ -331,3 +331,4 @@ ORACLE["archive_base64_restore"] = f"""WITH {LOG}
 ORACLE["archive_compacted_timestamps"] = ORACLE["archive_base64_restore"]
 ORACLE["restore_resumed"] = _PARTITION_LOG
 ORACLE["changes_resumed"] = ORACLE["change_binary"]
+ORACLE["archive_compact_job"] = _PARTITION_LOG

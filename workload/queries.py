@@ -692,6 +692,20 @@ def archive_compacted_timestamps(spark, sf_dir):
     return _as_text(records, "topic", "partition", "offset", F.unix_millis("timestamp").alias("ts_ms")).drop("headers")
 
 
+@query
+def archive_compact_job(spark, sf_dir):
+    """Compaction by name, then a restore by name that finds the compacted archive through the pointer."""
+    log = fx.log(spark, sf_dir)
+    base = scratch_path(spark, "compact")
+    conf = {"root": f"{base}/archive", "target": f"{base}/compacted", "pointer": f"{base}/current"}
+    sink = ArchiveSink(conf["root"], interval=fx.WEEK, replace=False)
+    for delivery in [_two_thirds(log), log]:
+        sink(delivery)
+    jobs.run(spark, "archive.compact", conf)
+    conf |= {"topics": None, "since": None, "until": None}
+    return _as_text(jobs.run(spark, "archive.restore", conf), "topic", "partition", "offset")
+
+
 @query
 def restore_resumed(spark, sf_dir):
     """The restore job run after each of two deliveries; every record is sent once."""
