@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from relayframe.llm.common import partitions_for
 from relayframe.session import checkpointed
 
+EDGES_PER_TASK = 100_000
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """``a, b`` edges to ``node, root``, for every node of an edge; ``root`` is the component's smallest node.
@@ -19,7 +22,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     )
     before = None
     while True:
-        edges = checkpointed(_small_star(_large_star(edges)))
+        # A small graph is kept in few files, whatever the number of shuffle partitions.
+        tasks = partitions_for(before[0] if before else edges.count(), EDGES_PER_TASK)
+        edges = checkpointed(_small_star(_large_star(edges)).coalesce(tasks))
         now = edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
         if now == before:
             break
