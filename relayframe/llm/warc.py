@@ -6,7 +6,8 @@ offset 0 is certain; pointer jumping doubles the reach of every candidate's succ
 round and keeps the candidates that the chain from the file's start reaches. A version line inside a
 payload is never reached, so its piece is put back into the record it lies in.
 
-Nothing but offsets takes part in the rounds; payloads meet their offsets once.
+Nothing but offsets takes part in the rounds; payloads, numbered once and kept in shared storage, meet
+their offsets once.
 
 Defined results: a null payload is written as the empty one; a null url as an empty one, and control
 characters in urls, which would break the header, are left out; a null id as an empty one. Of pages
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from relayframe.session import checkpointed, lookup_join
+from relayframe.session import checkpointed, lookup_join, scratch_path
 
 # The record format of WARC 1.1.
 MAGIC = "WARC/1.1\r\n"
@@ -103,14 +104,20 @@ def _field(header: Column, name: str) -> Column:
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """Pieces of every file between version lines, with their place: ``file, block, at``."""
+    """Pieces of every file between version lines, with their place: ``file, block, at``.
+
+    They are numbered once and kept in shared storage: how a scan packs files, and with that the numbers,
+    may change from one scan to the next.
+    """
     read = spark.read.option("lineSep", MAGIC).text(path)
-    return read.select(
+    kept = scratch_path(spark, "warc-pieces")
+    read.select(
         F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
         "value",
-    )
+    ).write.option("compression", "zstd").parquet(kept)
+    return spark.read.schema("file long, block long, at long, value string").parquet(kept)
 
 
 def candidates(pieces: DataFrame) -> DataFrame:

@@ -67,3 +67,26 @@ def test_uncompressed_archive_in_splits(spark):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     # Only the first of the joined files is followed past its end by a stray byte.
     assert reached >= 200 // 8
+
+
+def test_scans_that_pack_files_differently_lose_nothing(spark, monkeypatch):
+    """Files go to other partitions of a scan once the chain is known."""
+    cost = "spark.sql.files.openCostInBytes"
+    before, reachable = spark.conf.get(cost), warc.reachable
+
+    def reachable_then_repack(nodes):
+        found = reachable(nodes)
+        spark.conf.set(cost, "128m")  # every file in a partition of its own
+        return found
+
+    monkeypatch.setattr(warc, "reachable", reachable_then_repack)
+    spark.conf.set(cost, "1")
+    limit = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        pages = [(i, f"http://a/{i}", f"<p>{i}</p>" * (i % 7 + 1), "clash", "clash") for i in range(40)]
+        got = round_trip(spark, pages)
+    finally:
+        spark.conf.set(cost, before)
+        spark.conf.unset("spark.sql.files.minPartitionNum") if limit is None else spark.conf.set("spark.sql.files.minPartitionNum", limit)
+    assert sorted((r.page_id, r.payload) for r in got) == [(i, h) for i, _, h, _, _ in pages]
