@@ -44,10 +44,13 @@ PAIRS_AT_ONCE = 4_096
 # one of 12 with probability 0.9998.
 SAMPLES = 12
 SAMPLED = 3
-#: In a group of texts that agree in a sample, each is compared with the first and with so many before it
-#: in Gray order, within slices of about SLICE texts.
+#: In a group of texts that agree in a sample, each is first compared with the first and with so many before
+#: it in Gray order, within slices of about SLICE texts. What that leaves apart is compared in blocks of
+#: about SETS texts or SHINGLES_AT_ONCE shingles; BLOCKS blocks of a group meet in one task.
 NEIGHBOURS = 3
 SLICE = 1_000
+SETS = 64
+BLOCKS = 32
 
 
 # -- fingerprints ------------------------------------------------------------------------------------
@@ -303,38 +306,42 @@ def near_copies(
 ) -> DataFrame:
     """``text_key, component`` for texts that resemble another: texts with the same component belong together.
 
-    Candidates are the index's links between whole fingerprints and texts that agree in a sample; each
-    is compared with the first text of its group and with its neighbours in Gray order. A candidate
-    counts if the shingle sets' Jaccard similarity, exact, is at least ``similarity``. Texts without
-    words are left alone. ``text_key`` is xxhash64 and sha2 free of the id, so copies share a row.
+    Candidates are all pairs of texts that the index's links between whole fingerprints connect or that
+    agree in a sample. A candidate counts if the shingle sets' Jaccard similarity, exact, is at least
+    ``similarity``. Each text is compared with the first of its group and with its neighbours in Gray
+    order; then all pairs of a group that are not connected by that are compared too. Texts without words
+    are left alone. ``text_key`` is xxhash64 and sha2 free of the id, so copies share a row.
     """
     key = text_key(text_col)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, fps, samples = [], [], []
+            keys, fps, sizes, samples = [], [], [], []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = words_of(t.as_py())
                 if words:
                     hashes = list(_shingle_hashes(words, shingle_words))
                     keys.append(k)
                     fps.append(_majority(iter(hashes)))
-                    samples.append(_samples(np.unique(np.concatenate(hashes))))
-            columns = [pa.array(keys, pa.string()), pa.array(fps, pa.int64()), pa.array(samples, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["text_key", "fingerprint", "samples"])
+                    distinct = np.unique(np.concatenate(hashes))
+                    sizes.append(len(distinct))
+                    samples.append(_samples(distinct))
+            columns = [pa.array(keys, pa.string()), pa.array(fps, pa.int64()), pa.array(sizes, pa.int64())]
+            columns.append(pa.array(samples, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, ["text_key", "fingerprint", "size", "samples"])
 
     texts = docs.select(key.alias("text_key"), F.col(text_col).cast("string").alias("text"))
     sketches = checkpointed(
-        texts.mapInArrow(sketch, "text_key string, fingerprint long, samples array<long>")
+        texts.mapInArrow(sketch, "text_key string, fingerprint long, size long, samples array<long>")
         .dropDuplicates(["text_key"])
         .withColumn("rank", gray_rank(F.col("fingerprint")))
     )
     links = fingerprint_links(sketches.select("fingerprint").distinct())
     roots = connected_components(links)
     whole = sketches.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-        F.lit(-1).alias("sample"), F.coalesce("root", "fingerprint").alias("value"), "text_key", "rank"
+        F.lit(-1).alias("sample"), F.coalesce("root", "fingerprint").alias("value"), "text_key", "rank", "size"
     )
-    sampled = sketches.select("text_key", "rank", F.posexplode("samples").alias("sample", "value"))
+    sampled = sketches.select("text_key", "rank", "size", F.posexplode("samples").alias("sample", "value"))
     members = checkpointed(whole.unionByName(sampled.select(*whole.columns)))
     # Each sample has a first text of its own, by a hash, so that texts meet several of their group.
     place = F.struct(F.xxhash64("text_key", "sample"), "text_key")
@@ -375,7 +382,90 @@ def near_copies(
     left = shingles.select(F.col("text_key").alias("a"), F.col("shingles").alias("left"))
     right = shingles.select(F.col("text_key").alias("b"), F.col("shingles").alias("right"))
     verified = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(verify, "a string, b string")
-    return connected_components(verified).select(F.col("node").alias("text_key"), F.col("root").alias("component"))
+    linked = checkpointed(
+        connected_components(verified).select(F.col("node").alias("text_key"), F.col("root").alias("component"))
+    )
+    # Groups of up to NEIGHBOURS + 1 texts have been compared pair by pair.
+    large = members.join(sizes.where(f"n > {NEIGHBOURS + 1}").select("sample", "value"), ["sample", "value"])
+    further = connected_components(_links_of_rest(large, linked, shingles, similarity))
+    every = linked.unionByName(
+        further.join(linked, further.node == linked.text_key, "left_anti").select(
+            F.col("node").alias("text_key"), F.col("node").alias("component")
+        )
+    )
+    return every.join(further.withColumnRenamed("node", "component"), "component", "left").select(
+        "text_key", F.coalesce("root", "component").alias("component")
+    )
+
+
+def _links_of_rest(members: DataFrame, linked: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a, b`` between components of texts that are in one group (``sample, value``) and alike.
+
+    Every pair of a group is compared unless both are in one component. The texts outside the largest
+    component of their group meet all texts of the group, in blocks, so a group that is connected costs
+    nothing and no pair is a row.
+    """
+    group = ["sample", "value"]
+    members = members.join(linked, "text_key", "left").withColumn("component", F.coalesce("component", "text_key"))
+    members = checkpointed(members.select(*group, "text_key", "size", "component"))
+    kinds = members.groupBy(*group, "component").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    groups = (
+        kinds.groupBy(*group)
+        .agg(
+            F.max_by("component", F.struct("n", "component")).alias("main"),
+            F.count("*").alias("kinds"),
+            F.expr(f"greatest(sum(n) div {SETS}, sum(size) div {SHINGLES_AT_ONCE}) + 1").alias("blocks"),
+        )
+        .where("kinds > 1")
+    )
+    groups = checkpointed(groups.drop("kinds"))
+    rest = lookup_join(members.drop("size"), groups, group, "inner")
+    rest = rest.withColumn("block", F.pmod(F.xxhash64("text_key"), F.col("blocks"))).join(shingles, "text_key")
+    sets = F.collect_list(F.struct("component", "shingles"))
+    is_rest = F.col("component") != F.col("main")
+    blocks = checkpointed(
+        rest.groupBy(*group, "blocks", "block").agg(
+            sets.alias("every"), F.collect_list(F.when(is_rest, F.struct("component", "shingles"))).alias("rest")
+        )
+    )
+    salts = F.sequence(F.lit(0).cast("long"), F.expr(f"(blocks - 1) div {BLOCKS}"))
+    left = blocks.where(F.size("rest") > 0).select(*group, F.explode(salts).alias("salt"), "rest")
+    right = blocks.select(*group, F.expr(f"block div {BLOCKS}").alias("salt"), "every")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y in zip(batch.column(0), batch.column(1)):
+                found = _alike(x.as_py(), y.as_py(), similarity)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*found)] or [pa.array([], pa.string())] * 2, ["a", "b"])
+
+    both = left.join(right, [*group, "salt"]).select("rest", "every")
+    return both.mapInArrow(run, "a string, b string")
+
+
+def _alike(left: list[dict], right: list[dict], similarity: float) -> list[tuple[str, str]]:
+    """Pairs of different components of which two texts are alike."""
+    sets = [[np.frombuffer(t["shingles"], np.uint64) for t in side] for side in (left, right)]
+    names = [np.array([t["component"] for t in side]) for side in (left, right)]
+    apart = names[0][:, None] != names[1][None, :]
+    if not apart.any():
+        return []
+    sizes = [np.array([len(s) for s in side]) for side in sets]
+    values = [np.concatenate(side) for side in sets]
+    owners = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    common = np.intersect1d(*values)
+    both = np.zeros(apart.shape, np.int64)
+    for start in range(0, len(common), SHINGLES_AT_ONCE):
+        part = common[start : start + SHINGLES_AT_ONCE]
+        holds = []
+        for v, o, n in zip(values, owners, sizes):
+            at = np.minimum(np.searchsorted(part, v), len(part) - 1)
+            inside = part[at] == v
+            held = np.zeros((len(n), len(part)), np.float32)
+            held[o[inside], at[inside]] = 1
+            holds.append(held)
+        both += np.rint(holds[0] @ holds[1].T).astype(np.int64)
+    alike = apart & (both >= similarity * (sizes[0][:, None] + sizes[1][None, :] - both))
+    return sorted({(names[0][i].item(), names[1][j].item()) for i, j in np.argwhere(alike)})
 
 
 def text_key(text_col: str) -> Column:

@@ -88,3 +88,26 @@ def test_empty_table(spark):
     docs = documents(spark, ["a"]).limit(0)
     assert simhash.near_components(simhash.fingerprints(docs)).count() == 0
     assert simhash.drop_near_duplicates(docs).count() == 0
+
+
+def test_star_of_edits_is_one_group(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    original = [word() for _ in range(300)]
+    texts = [original]
+    for _ in range(200):  # six words far from each other are changed: 30 of 296 shingles
+        edit = list(original)
+        for slot in rng.sample(range(20), 6):
+            edit[slot * 15 + rng.randint(0, 9)] = word()
+        texts.append(edit)
+    texts.append([word() for _ in range(300)])
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    root = list(range(len(texts)))  # brute force
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and alike(sets[i], sets[j]):
+                root = [root[j] if r == root[i] else r for r in root]
+    assert len(set(root)) == 2 and not any(alike(sets[i], sets[i + 1]) for i in range(1, 200))
+    got = {r.text_key: r.component for r in simhash.near_copies(documents(spark, [" ".join(t) for t in texts])).collect()}
+    assert len(got) == 201 and len(set(got.values())) == 1
