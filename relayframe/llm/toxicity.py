@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -49,7 +50,21 @@ REPORTING = frozenset(
 ADDRESS = frozenset("you your youre u ur du dich dir ihr tu toi vous te ti usted eres".split())
 QUOTES = "\"“”„«»‹›`"
 
-_WORD = re.compile(r"[^\W\d_]+")
+
+
+def _characters(*categories: str) -> str:
+    """A character class body of the code points of some Unicode categories."""
+    points = [c for c in map(chr, range(0x110000)) if unicodedata.category(c)[0] in categories]
+    starts = [c for i, c in enumerate(points) if not i or ord(points[i - 1]) + 1 != ord(c)]
+    ends = [c for i, c in enumerate(points) if i + 1 == len(points) or ord(points[i + 1]) - 1 != ord(c)]
+    return "".join(a if a == b else f"{a}-{b}" for a, b in zip(starts, ends))
+
+
+# Words of texts, both where terms are learned and where they are looked for: a letter, then letters and marks.
+_LETTER = _characters("L")
+_WORD = re.compile(f"[{_LETTER}][{_LETTER}{_characters('M')}]*")
+#: Most characters between the parts of a word that is misspelled with other signs; each is an error.
+MOST_SIGNS = 2
 
 
 class Term(NamedTuple):
@@ -154,6 +169,30 @@ class Lexicon:
         ]
         return min(hits, key=lambda h: (h[1], h[0]), default=None)
 
+    def spelled(self, string: str) -> list[tuple[int, int, tuple[int, int]]]:
+        """Start, end and find of every term in a string between blanks: its words, and parts of a word that
+        digits or other signs have cut up, such as ``id1ot``."""
+        words = [(m.start(), m.end()) for m in _WORD.finditer(string)]
+        found = [self.find(string[start:end]) for start, end in words]
+        out = [(*w, f) for w, f in zip(words, found) if f is not None]
+        if len(words) < 2:
+            return out
+        i = 0
+        while i < len(words):
+            # The fewest errors count, then the shortest; every sign is one of the errors.
+            best, last, signs = None, i, 0
+            for j in range(i, len(words) if found[i] is None else i):
+                signs += words[j][0] - words[j - 1][1] if j > i else 0
+                if signs > MOST_SIGNS or found[j] is not None:
+                    break
+                f = self.find(string[words[i][0] : words[j][1]]) if j > i else None
+                if f is not None and (best is None or f[1] < best[1]):
+                    best, last = f, j
+            if best is not None:
+                out.append((words[i][0], words[last][1], best))
+            i = last + 1
+        return sorted(out)
+
     def matching(self, text: str) -> set[str]:
         """The strings between blanks of a lower-case text in which a word spells a term; each string is
         judged once."""
@@ -161,8 +200,7 @@ class Lexicon:
         new = strings - self.misses
         new -= self.hits
         for string in new:
-            spelled = any(self.find(w) is not None for w in _WORD.findall(string))
-            (self.hits if spelled else self.misses).add(string)
+            (self.hits if self.spelled(string) else self.misses).add(string)
         found = strings & self.hits
         if len(self.misses) > CACHED_STRINGS:
             self.misses.clear()
@@ -189,7 +227,7 @@ def features(lexicon: Lexicon, text: str | None) -> list[float]:
     lowered = (text or "").lower()
     plain = near = quoted = address = weight = top = 0.0
     for string in lexicon.matching(lowered):
-        terms = [(m.start(), m.end(), f) for m in _WORD.finditer(string) if (f := lexicon.find(m.group())) is not None]
+        terms = lexicon.spelled(string)
         for at in _places(lowered, string):
             for start, end, (term, errors) in terms:
                 left = lowered[max(0, at + start - CONTEXT_CHARS) : at + start]
@@ -229,8 +267,15 @@ def is_training(id_col: str = "doc_id") -> Column:
 
 def _learned_terms(train: DataFrame, most_terms: int) -> list[Term]:
     counts = {r.toxic: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}[\p{L}\p{M}]*)"), 1))
-    each = train.select("toxic", F.explode(words).alias("word"), "id").where(F.length("word") >= SHORTEST)
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sorted(set(_WORD.findall(t.as_py().lower()))) for t in batch.column(2)]
+            columns = [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, ["toxic", "id", "words"])
+
+    rows = train.select(F.col("toxic").cast("int"), "id", "text").mapInArrow(words, "toxic int, id long, words array<string>")
+    each = checkpointed(rows.select("toxic", F.explode("words").alias("word"), "id").where(F.length("word") >= SHORTEST))
     whole = each.select("id", "toxic", F.col("word").alias("term"), F.lit(False).alias("is_stem"))
     sizes = F.sequence(F.lit(SHORTEST), F.least(F.length("word") - 1, F.lit(LONGEST)))
     longer = each.where(F.length("word") > SHORTEST)
@@ -253,7 +298,10 @@ def _learned_terms(train: DataFrame, most_terms: int) -> list[Term]:
     rows = {(r.term, r.is_stem): r for r in found}
 
     def covered(r) -> bool:
-        """A beginning of the term says as much for more documents, or the whole word is all there is of it."""
+        """A beginning of the term says as much for more documents, or the whole word is all there is of it.
+        A word that may be misspelled stays, because beginnings may not."""
+        if errors_allowed(Term(r.term, r.is_stem, r.weight)):
+            return False
         for n in range(SHORTEST, len(r.term) + (not r.is_stem)):
             s = rows.get((r.term[:n], True))
             if s is not None and s.hit > r.hit and s.weight >= r.weight - 0.1:

@@ -61,3 +61,26 @@ def test_without_labels(spark):
     model = toxicity.fit(docs, labels)
     assert [r.score for r in toxicity.score(docs, model).collect()] == [0.0, 0.0]
     assert toxicity.score(docs.limit(0), model).count() == 0
+
+
+def test_words_cut_up_by_signs_are_found():
+    lexicon = Lexicon([Term("idiot", False, 3.0), Term("moron", False, 3.0), Term("scoundrels", False, 3.0), Term("vill", True, 3.0)])
+    one = ["id1ot", "mor0n", "id*ot", "(mo_ron)", "sc0undre1s", "x,id1ot!", "id-iot", "idiot,id1ot"]
+    assert [len(lexicon.spelled(s)) for s in one] == [1] * 7 + [2]
+    assert [lexicon.spelled(s) for s in ("id11ot", "i.d.1.o.t", "a1b", "2024", "id1 ot")] == [[]] * 5
+    assert lexicon.spelled("vill-ain") == [(0, 4, (3, 0))]
+    plain, near = toxicity.features(lexicon, "what an id1ot you are")[:2]
+    assert plain == 0 and near > 0
+
+
+def test_terms_with_marks_and_misspelled_stems_are_learned_and_found(spark):
+    marked = "e\u0301cre\u0301tin"
+    rows = [(f"day {i} {marked} wretched", 1) if i % 2 else (f"day {i} fine calm", 0) for i in range(60)]
+    rows += [(f"day {i} wretches", 1) for i in range(60, 80)]
+    train = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(rows)], "id long, text string, toxic int")
+    terms = toxicity._learned_terms(train, 100)
+    lexicon = Lexicon(terms)
+    assert lexicon.spelled(marked) and lexicon.spelled(marked)[0][:2] == (0, len(marked))
+    assert any(t.is_stem and "wretched".startswith(t.text) for t in terms)
+    assert {"wretched", "wretches"} <= {t.text for t in terms if not t.is_stem}
+    assert [len(lexicon.spelled(w)) for w in ("wret0hed", "wr3tches")] == [1, 1]
