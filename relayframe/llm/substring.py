@@ -21,7 +21,7 @@ Other columns, whatever their names, are not looked at.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,8 @@ from relayframe.session import checkpointed, lookup_join
 
 WINDOW = 35
 TEXTS_AT_ONCE = 64
+#: Longer texts are parsed in stretches of so many words; every window lies in one of them.
+WORDS_AT_ONCE = 2**20
 CACHED_WORDS = 400_000
 FILTER_BITS = 2**28  # 32 MB
 FILTER_PAGES = 1_024
@@ -54,8 +56,15 @@ class _WordHashes(dict):
 _hashes = _WordHashes()
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().split()
+def _words_in_parts(text: str | None) -> Iterator[list[bytes]]:
+    """Words of a text in lists of at most WORDS_AT_ONCE."""
+    rest = (text or "").encode()
+    while True:
+        words = rest.split(None, WORDS_AT_ONCE)
+        rest = words.pop() if len(words) > WORDS_AT_ONCE else b""
+        yield words
+        if not rest:
+            return
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -88,11 +97,11 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 class _Parsed:
-    """Windows and factors of several texts, laid end to end."""
+    """Windows and factors of several texts, or stretches of texts, laid end to end."""
 
     def __init__(self, texts: list[list[bytes]], window: int):
         sizes = np.array([len(t) for t in texts])
-        self.starts = np.cumsum(sizes) - sizes
+        self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
         self.empty = sizes.sum() < window
         if self.empty:
             return
@@ -102,11 +111,16 @@ class _Parsed:
             self.second = _mix(_grams(_mix(w), window, _BASES[1]))
             short = max(1, window * 12 // 35)
             anchors = _mix(_grams(w, short, _BASES[0]))
-        low = np.uint64(2**_PLACE_BITS - 1)
-        placed = (anchors & ~low) | np.arange(len(anchors), dtype=np.uint64)
-        if len(anchors) > int(low):
-            raise ValueError("a batch of texts has too many words for its places")
-        owner = (_sliding_min(placed, window - short + 1) & low).astype(np.int64)
+        # The first of equal anchors counts. Places are those in parts of the array, which overlap by a window.
+        low, reach = np.uint64(2**_PLACE_BITS - 1), window - short + 1
+        owners, step = [], 2**_PLACE_BITS - reach
+        if step < 1:
+            raise ValueError("a window of too many words")
+        for at in range(0, len(anchors) - reach + 1, step):
+            part = anchors[at : at + step + reach - 1]
+            placed = (part & ~low) | np.arange(len(part), dtype=np.uint64)
+            owners.append((_sliding_min(placed, reach) & low).astype(np.int64) + at)
+        owner = np.concatenate(owners)
         text = np.repeat(np.arange(len(sizes)), np.maximum(sizes - window + 1, 0))
         at = np.arange(len(text)) - np.repeat(
             np.cumsum(np.maximum(sizes - window + 1, 0)) - np.maximum(sizes - window + 1, 0),
@@ -127,10 +141,29 @@ class _Parsed:
             return _mix(self.first[lo] * _BASES[1] + _mix(self.second[hi] + self.count.astype(np.uint64)))
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-            yield batch.slice(at, TEXTS_AT_ONCE)
+def _stretches(text: str | None, window: int) -> Iterator[tuple[int, list[bytes]]]:
+    """First word and words of the stretches of a text; they depend on the text alone."""
+    at, before = 0, []
+    for words in _words_in_parts(text):
+        yield at - len(before), before + words
+        at += len(words)
+        before = (before + words)[1 - window :] if window > 1 else []
+
+
+def _parse(texts: pa.Array, window: int) -> Iterator[tuple[np.ndarray, np.ndarray, _Parsed]]:
+    """Rows and first words of stretches with what was parsed of them, in parts of bounded size."""
+    rows, firsts, held, size = [], [], [], 0
+    for row, text in enumerate(texts):
+        for first, words in _stretches(text.as_py(), window):
+            rows.append(row)
+            firsts.append(first)
+            held.append(words)
+            size += len(words)
+            if len(held) >= TEXTS_AT_ONCE or size >= WORDS_AT_ONCE:
+                yield np.array(rows), np.array(firsts), _Parsed(held, window)
+                rows, firsts, held, size = [], [], [], 0
+    if held:
+        yield np.array(rows), np.array(firsts), _Parsed(held, window)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -146,10 +179,10 @@ def _anchors(texts: DataFrame, window: int) -> DataFrame:
     """The anchor of every factor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            p = _Parsed([words_of(t.as_py()) for t in batch.column(0)], window)
-            if not p.empty:
-                yield pa.RecordBatch.from_arrays([_signed(p.anchor)], ["anchor"])
+        for batch in batches:
+            for _, _, p in _parse(batch.column(0), window):
+                if not p.empty:
+                    yield pa.RecordBatch.from_arrays([_signed(p.anchor)], ["anchor"])
 
     return texts.select("text").mapInArrow(run, "anchor long")
 
@@ -188,15 +221,14 @@ def factors(texts: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.frombuffer(marked.value, np.uint8)
-        for batch in _slices(batches):
-            p = _Parsed([words_of(t.as_py()) for t in batch.column(2)], window)
+        for batch, rows, firsts, p in ((b, *part) for b in batches for part in _parse(b.column(2), window)):
             if p.empty:
                 continue
             bit = p.anchor & np.uint64(FILTER_BITS - 1)
             maybe = np.flatnonzero(bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
             of = p.text[p.head][maybe]
-            key = batch.column(0).to_numpy()[of]
-            place = (batch.column(1).to_numpy()[of] << 32) | p.at[p.head][maybe]
+            key = batch.column(0).to_numpy()[rows[of]]
+            place = (batch.column(1).to_numpy()[rows[of]] << 32) | (p.at[p.head][maybe] + firsts[of])
             columns = [_signed(p.anchor[maybe]), _signed(p.factor_hash()[maybe]), _signed(key), _signed(place)]
             columns.append(pa.array(p.count[maybe].astype(np.int16), pa.int16()))
             yield pa.RecordBatch.from_arrays(columns, ["anchor", "factor", "key", "place", "n"])
@@ -214,15 +246,17 @@ def _boundary_windows(texts: DataFrame, wanted: DataFrame, window: int) -> DataF
     rows = lookup_join(texts, keys, ["key", "check"], "left_semi").join(lists, ["key", "check"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            p = _Parsed([words_of(t.as_py()) for t in batch.column(2)], window)
+        for batch, rows, firsts, p in ((b, *part) for b in batches for part in _parse(b.column(2), window)):
             if p.empty:
                 continue
             out = []
-            for i, lists in enumerate(batch.column(3)):
-                for f in lists.as_py():
-                    at = np.arange(f["n"]) + (f["place"] & 0x7FFFFFFF)
-                    out.append((at + p.starts[i], at, np.full(len(at), i), np.full(len(at), f["weight"])))
+            for i, (row, first) in enumerate(zip(rows.tolist(), firsts.tolist())):
+                for f in batch.column(3)[row].as_py():
+                    # A factor lies in the stretch that it was parsed in.
+                    start = (f["place"] & 0x7FFFFFFF) - first
+                    if 0 <= start <= p.sizes[i] - window:
+                        at = np.arange(f["n"]) + start
+                        out.append((at + p.starts[i], at + first, np.full(len(at), row), np.full(len(at), f["weight"])))
             if not out:
                 continue
             where, at, of, weight = (np.concatenate(x) for x in zip(*out))
@@ -274,19 +308,22 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ).join(spans, ["key", "check"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in (b.slice(at, TEXTS_AT_ONCE) for b in batches for at in range(0, b.num_rows, TEXTS_AT_ONCE)):
             n_words, n_removed, kept = [], [], []
             for text, spans in zip(batch.column(1), batch.column(2)):
-                words = words_of(text.as_py())
-                change = np.zeros(len(words) + 1, np.int32)
-                for s in spans.as_py() or ():
-                    change[s["start"]] += 1
-                    change[s["start"] + s["n"] + window - 1] -= 1
-                gone = np.cumsum(change[:-1]) > 0
-                left = [w for w, g in zip(words, gone.tolist()) if not g]
-                n_words.append(len(words))
-                n_removed.append(len(words) - len(left))
-                kept.append(b" ".join(left).decode())
+                ranges = spans.as_py() or ()
+                starts = np.sort(np.array([s["start"] for s in ranges], np.int64))
+                ends = np.sort(np.array([s["start"] + s["n"] + window - 1 for s in ranges], np.int64))
+                n, left, parts = 0, 0, []
+                for words in _words_in_parts(text.as_py()):
+                    at = np.arange(n, n + len(words))
+                    stay = np.searchsorted(starts, at, "right") == np.searchsorted(ends, at, "right")
+                    n, left = n + len(words), left + int(stay.sum())
+                    if stay.any():
+                        parts.append(b" ".join(compress(words, stay.tolist())))
+                n_words.append(n)
+                n_removed.append(n - left)
+                kept.append(b" ".join(parts).decode())
             columns = [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.string())], ["id", "n_words", "n_removed", "kept"])
 

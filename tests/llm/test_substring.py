@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+from relayframe.llm import substring
 from relayframe.llm.substring import remove_repeated
 from tests.llm.helpers import documents
 
@@ -44,3 +45,41 @@ def test_windows_of_other_sizes_and_few_words(spark):
 
 def test_empty_table(spark):
     assert remove_repeated(documents(spark, ["a"]).limit(0)).count() == 0
+
+
+def test_texts_longer_than_a_stretch_match_brute_force(spark, monkeypatch):
+    """Stretches are short where the words are parsed; a batch holds more words than places have bits for."""
+    rng = random.Random(12)
+    monkeypatch.setattr(substring, "WORDS_AT_ONCE", 50)
+    monkeypatch.setattr(substring, "_PLACE_BITS", 6)
+    passage = [f"p{i}" for i in range(130)]
+    texts = []
+    for i in range(24):
+        w = [f"w{rng.randint(0, 5000)}" for _ in range(rng.randint(0, 400))]
+        k = rng.randint(0, len(w))
+        texts.append(" ".join(w[:k] + passage[rng.randint(0, 60) : rng.randint(70, 130)] + w[k:]))
+    texts += ["x " * 180, " ".join(passage) + " \n", None, "a b", texts[3]]
+    window = 12
+
+    def parsed(text):  # in this process, where the sizes are changed
+        return [(first, p) for _, firsts, p in substring._parse([_Text(text)], window) if not p.empty for first in firsts]
+
+    for text in texts:
+        starts = [f + at for f, p in parsed(text) for at in p.at.tolist()]
+        assert sorted(set(starts)) == list(range(max(0, len((text or "").split()) - window + 1)))
+        assert len(starts) == len(set(starts))
+    owned = {}
+    for text in texts:  # equal windows own equal anchors, wherever stretches are cut
+        words = (text or "").split()
+        for f, p in parsed(text):
+            for head, n, anchor in zip(p.head.tolist(), p.count.tolist(), p.anchor.tolist()):
+                for at in (p.at[head : head + n] + f).tolist():
+                    assert owned.setdefault(tuple(words[at : at + window]), anchor) == anchor
+
+
+class _Text(str):
+    def __new__(cls, text):
+        return super().__new__(cls, text or "")
+
+    def as_py(self):
+        return str(self)
