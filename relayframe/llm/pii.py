@@ -6,10 +6,11 @@ format and context alone. Trees learn from all candidates of the corpus how ofte
 goes with a valid value (Luhn, octets, a known ending, a mix of letters and digits), tests that the
 description does not show; so a mistyped card number in the place of one is found too. Each generator's
 threshold is the lowest score from which at least ``PRECISION`` of its candidates are valid. Base spans
-always stay; a candidate inside one is dropped.
+always stay; a candidate inside one is dropped. Cards, phones, ids and runs of 13 to 19 digits inside a longer
+group of numbers are candidates of their own (``PARTS``).
 
 Descriptions are small whole numbers, so the corpus comes down to one count per description and validity
-(at most ``len(GENERATORS)`` times the product of ``LEVELS`` rows, a few hundred in practice), on which
+(at most ``len(KINDS)`` times the product of ``LEVELS`` rows, a few hundred in practice), on which
 the trees are grown exactly, at any corpus size. Everything else is DataFrame functions.
 
 Spans count code points and exclude their end. Defined results: a null or empty text has no spans. Rows
@@ -47,8 +48,16 @@ WIDE = {
     "secret": r"(?i)(?<![A-Za-z])(?:token|secret|password|passwd|pwd|api[_-]?key)[\"']?\x20{0,2}[=:]\x20{0,2}"
     r"[\"']?[A-Za-z0-9+/_.-]{8,}+",
 }
+#: Parts of a ``number`` from one border of its groups of digits to another, overlapping each other and the
+#: number: values that stand beside other numbers. Longest first; every length is looked for at every border.
+PARTS = {
+    "card_4444": r"[0-9]{4}(?:[\x20-]?[0-9]{4}){3}",
+    "card_465": r"[0-9]{4}[\x20-]?[0-9]{6}[\x20-]?[0-9]{5}",
+    "phone_334": r"\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}",
+    "id_324": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+} | {f"run_{n}": rf"[0-9](?:[\x20.()/-]{{0,2}}[0-9]){{{n - 1}}}" for n in range(13, 20)}
 GENERATORS = BASE | WIDE
-KINDS = list(GENERATORS)
+KINDS = [*GENERATORS, "part"]
 #: A text without this cannot match; cheaper than the pattern.
 NEEDS = {"email": "@", "phone": "+"}
 
@@ -93,7 +102,7 @@ def _is_plausible(kind: str, match: Column) -> Column:
     """What the trees learn to expect: tests on the value that the description does not hold."""
     digits = F.regexp_replace(match, "[^0-9]", "")
     n = F.length(digits)
-    if kind == "number":
+    if kind in ("number", "part"):
         return F.when(n >= 12, (n <= 19) & _luhn(F.substring(digits, 1, 19))).otherwise(
             match.rlike(r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.|$)){4}$")
             | match.rlike(r"^\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}$")
@@ -151,6 +160,45 @@ def _proposal(kind: int, part: Column, at: Column) -> Column:
     )
 
 
+def _parts(each: DataFrame) -> DataFrame:
+    """Candidates of kind ``part`` inside those of kind ``number``."""
+    run, lists = F.col("match"), []
+    for i, pattern in enumerate(PARTS.values()):
+        # An empty match before each part, so that parts may overlap; the blank keeps it off the start.
+        starts = rf"(?<![0-9(])(?={pattern}(?![0-9]))"
+        held = F.regexp_extract_all(run, F.lit(rf"(?<![0-9(])(?=({pattern})(?![0-9]))"), F.lit(1))
+        steps = F.split(F.concat(F.lit(" "), run), starts, -1)
+        zipped = F.arrays_zip(held.alias("part"), F.slice(steps, F.lit(1), F.size(held)).alias("step"))
+        lists.append(F.transform(zipped, partial(_part, i)))
+    start = F.col("end") - F.length("match")
+    is_run = (F.col("kind") == KINDS.index("number")) & run.rlike("[^0-9]") & (F.length(F.regexp_replace(run, "[^0-9]", "")) > 9)
+    runs = each.where(is_run).select(
+        "row", "id", "kind", start.alias("first"), run.alias("whole"), "before", "after", F.explode(F.concat(*lists)).alias("p")
+    )
+    passed = Window.partitionBy("row", "kind", "first", "p.shape").orderBy("p.at").rowsBetween(Window.unboundedPreceding, 0)
+    runs = runs.withColumn("from", F.sum("p.step").over(passed) - 1)
+    part = F.col("p.part")
+    placed = runs.where(F.length(part) < F.length("whole")).select(
+        "row",
+        "id",
+        F.lit(KINDS.index("part")).alias("kind"),
+        F.lit(0).alias("at"),
+        part.alias("match"),
+        F.lit(0).alias("gap"),
+        F.right(F.concat("before", F.substr("whole", F.lit(1), F.col("from").cast("int"))), F.lit(CONTEXT_CHARS)).alias("before"),
+        F.left(F.concat(F.substr("whole", (F.col("from") + F.length(part) + 1).cast("int"), F.lit(1)), "after"), F.lit(1)).alias("after"),
+        (F.col("first") + F.col("from") + F.length(part)).alias("end"),
+    )
+    # One candidate a place, whatever shapes it has.
+    return placed.dropDuplicates(["row", "end", "match"])
+
+
+def _part(shape: int, part: Column, at: Column) -> Column:
+    return F.struct(
+        F.lit(shape).alias("shape"), at.alias("at"), part.getField("part").alias("part"), F.length(part.getField("step")).alias("step")
+    )
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per candidate: ``row, id, kind, start, end, is_base``, its description and ``is_plausible``; a
     text without candidates has one row whose ``kind`` is null."""
@@ -164,7 +212,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         found.append(F.when(may, F.split("text", pattern, -1)).otherwise(none).alias(f"g_{kind}"))
     rows = rows.select("row", "id", *found)
     lists = []
-    for i, kind in enumerate(KINDS):
+    for i, kind in enumerate(GENERATORS):
         n = F.size(f"m_{kind}")
         parts = F.arrays_zip(
             F.col(f"m_{kind}").alias("match"),
@@ -175,7 +223,9 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     each = rows.select("row", "id", F.explode_outer(F.concat(*lists)).alias("c")).select("row", "id", "c.*")
     passed = Window.partitionBy("row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.length("match")).over(passed)
-    each = each.withColumn("end", end)
+    # Kept, because row numbers may differ from one scan to the next.
+    each = checkpointed(each.withColumn("end", end))
+    each = each.unionByName(_parts(each))
     match = F.col("match")
 
     def by_kind(test, kinds) -> Column:

@@ -63,3 +63,21 @@ def test_empty_table_and_repeated_rows(spark):
     docs = documents(spark, ["a@b.cd", "a@b.cd", "plain"], ids=[None, None, 1])
     assert pii.find_spans(docs.limit(0)).count() == 0
     assert sorted(len(r.spans) for r in pii.find_spans(docs).collect()) == [0, 1, 1]
+
+
+def test_values_beside_other_numbers_are_found(spark):
+    card = "4111 1111 1111 1111"
+    cases = {
+        f"card {card} 12/26 end": card,
+        f"card {card} 123 end": card,
+        "card 3400 000000 00009 12/26 end": "3400 000000 00009",
+        "room 24 301-555-0346 end": "301-555-0346",
+        "on 2024-01-05 301-555-0346 end": "301-555-0346",
+        "ssn 123-45-6789 301-555-0346 end": "123-45-6789",
+        f"x 77 {card} end": card,
+    }
+    texts = list(cases) * 8
+    found = {r.id: r.spans for r in pii.find_spans(documents(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        at = text.index(cases[text])
+        assert (at, at + len(cases[text])) in {(s.start, s.end) for s in found[i]}, (text, found[i])
