@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayframe.llm import bpe, exact_dedup, mixing, pii, simhash, substring, token_counts, topk, toxicity, warc
+from relayframe.llm import (
+    bpe,
+    conversations,
+    exact_dedup,
+    mixing,
+    pii,
+    simhash,
+    substring,
+    token_counts,
+    topk,
+    toxicity,
+    warc,
+)
 from relayframe.llm.common import table
 from relayframe.session import scratch_path, share_package
 
@@ -114,6 +126,34 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    space = F.lit(" ")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    place = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")])
+    rows = rows.withColumn("damage", F.crc32(place) % 20)
+    stays = F.col("damage") != 0
+    role, text = (F.coalesce(c, space) for c in ("role", "text"))
+    damaged = rows.where(stays).select(
+        "conv_id",
+        "turn",
+        F.when(F.col("damage") == 4, "user").otherwise(role).alias("role"),
+        F.when(F.col("damage") == 1, "")
+        .when(F.col("damage") == 2, F.translate(text, ".!?", ""))
+        .otherwise(text)
+        .alias("text"),
+        F.explode(F.sequence(F.lit(1), F.when(F.col("damage") == 3, 2).otherwise(1))).alias("copy"),
+    )
+    found = conversations.reports(conversations.repair(damaged))
+    zeros = [F.lit(0).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing_left = (
+        rows.groupBy("conv_id")
+        .agg(F.max(stays).alias("stays"))
+        .where("not stays")
+        .select("conv_id", *zeros, F.lit("").alias("audit"), F.sha2(F.lit(""), 256).alias("repaired_sha256"))
+    )
+    return found.unionByName(nothing_left)
+
+
 def _shared(query: Query) -> Query:
     return lambda spark, sf_dir: query(share_package(spark), sf_dir)
 
@@ -131,6 +171,7 @@ QUERIES: dict[str, Query] = {
         op8_toxicity,
         op9_mixing,
         op10_substring_dedup,
+        op11_conversation_repair,
     )
 }
 
