@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relayframe.llm import (
+    alignment,
     bpe,
     conversations,
     exact_dedup,
@@ -154,6 +155,14 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.unionByName(nothing_left)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = alignment.align(docs, tokenizer_path(BYTE_BPE), tokenizer_path(PIECES))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    found = alignment.with_counts(aligned.select("*", digest).drop("groups"))
+    return found.withColumnRenamed("id", "doc_id").drop("row")
+
+
 def _shared(query: Query) -> Query:
     return lambda spark, sf_dir: query(share_package(spark), sf_dir)
 
@@ -172,6 +181,7 @@ QUERIES: dict[str, Query] = {
         op9_mixing,
         op10_substring_dedup,
         op11_conversation_repair,
+        op13_alignment,
     )
 }
 
