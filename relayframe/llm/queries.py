@@ -12,6 +12,7 @@ from relayframe.llm import (
     bpe,
     conversations,
     exact_dedup,
+    jaccard_join,
     mixing,
     pii,
     simhash,
@@ -155,6 +156,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.unionByName(nothing_left)
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     aligned = alignment.align(docs, tokenizer_path(BYTE_BPE), tokenizer_path(PIECES))
@@ -181,6 +187,7 @@ QUERIES: dict[str, Query] = {
         op9_mixing,
         op10_substring_dedup,
         op11_conversation_repair,
+        op12_jaccard_join,
         op13_alignment,
     )
 }
