@@ -58,6 +58,8 @@ def _by_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([nodes.filter(linked), roots.filter(linked)], ["a", "b"])
 
     for batch in batches:
+        if not batch.num_rows:
+            continue
         held.append(batch)
         if sum(b.num_rows for b in held) >= SMALL_EDGES:
             held = [forest()]
@@ -79,7 +81,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     if n_edges <= SMALL_EDGES:
 
         def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = list(batches)
+            held = [b for b in batches if b.num_rows]
             if held:
                 table = pa.Table.from_batches(held).combine_chunks()
                 found = _roots(*(pa.concat_arrays(c.chunks) for c in table.columns))

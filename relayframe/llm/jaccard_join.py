@@ -8,10 +8,13 @@ All orders put rare tokens first, by classes of a count over the whole corpus, s
 documents share comes last in each; within a class each order has a sequence of its own. Counts are kept for
 ``SLOTS`` hash values of tokens, whatever the size of the corpus; an order stays an order if counts coincide.
 
-Documents of equal sets are one entry. In the group of a prefix token, each member is compared with the
-group's leader. Groups that this leaves in several components are then compared in blocks: what is outside
-the largest component meets all members, inside a task, so no pair of a group is left out and no pair is a
-row. Groups of the same members are compared once.
+Documents of equal sets are one entry, known by a 128-bit digest. The group of a prefix token is dealt over
+classes of sizes, two for each member, so that any two members that may be alike meet in one. In each group
+every member is proposed with the group's leader. Groups of three and more that this leaves in several
+components are then compared inside tasks, what is outside the largest component with all members: groups
+of up to ``SETS`` by their prefixes, which proposes further pairs, larger ones in blocks and by their sets,
+which returns links. So no pair of a group is left out, and a large group's pairs are never rows. Groups of
+the same members are compared once. Sets are not kept; they are made again from the texts that need them.
 
 Defined results: a null or blank text has no shingles and is linked with nothing, whatever its copies. A text
 of fewer words than a shingle has one shingle, all its words. Null ids count as largest. Repeated rows are
@@ -21,12 +24,12 @@ rows of their own, linked with each other. Other columns, whatever their names,
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,36 +68,46 @@ def shingle_set(text: str | None, size: int = 3) -> np.ndarray:
     return np.unique(mixed)
 
 
-def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            for at in range(0, batch.num_rows, SETS):
-                part = batch.slice(at, SETS)
-                found = [shingle_set(t.as_py(), size) for t in part.column(1)]
-                packed = [s.tobytes() for s in found]
-                keys = [hashlib.blake2b(p, digest_size=16).digest() if p else None for p in packed]
-                columns = [pa.array(range(row, row + len(found)), pa.int64()), part.column(0)]
-                columns += [pa.array(map(len, found), pa.int64()), pa.array(keys, pa.binary()), pa.array(packed, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "id", "n", "set_key", "shingles"])
-                row += len(found)
+def _docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, id_key, text``; ``id_key`` stands for null ids as well."""
+    number = F.col(id_col).cast("long")
+    return docs.select(
+        number.alias("id"), F.coalesce(number.cast("string"), F.lit("")).alias("id_key"), F.col(text_col).cast("string").alias("text")
+    )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return checkpointed(rows.mapInArrow(run, "row long, id long, n long, set_key binary, shingles binary"))
 
+def _digest(shingles: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
 
-def token_classes(sets: DataFrame) -> bytes:
-    """How common the tokens of each slot are: 0 up to the mean, then two classes for each doubling."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keys_and_counts(docs: DataFrame, size: int) -> DataFrame:
+    """``id, id_key, n, key`` of every row, and each task's counts of tokens by slot in rows of their own."""
+    names = ["id", "id_key", "n", "key", "part", "counts"]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.uint32)
         for batch in batches:
-            for packed in batch.column(0):
-                np.add.at(counts, (np.frombuffer(packed.as_py(), np.uint64) % SLOTS).astype(np.int64), 1)
+            sizes, keys = [], []
+            for text in batch.column(2):
+                found = shingle_set(text.as_py(), size)
+                sizes.append(len(found))
+                keys.append(_digest(found))
+                np.add.at(counts, (found % SLOTS).astype(np.int64), 1)
+            nothing = [pa.nulls(len(keys), t) for t in types[4:]]
+            columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), *nothing]
+            yield pa.RecordBatch.from_arrays(columns, names)
         if counts.any():
             parts = counts.reshape(-1, SLOTS_PER_ROW)
-            columns = [pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["part", "counts"])
+            columns = [pa.nulls(len(parts), t) for t in types[:4]]
+            columns += [pa.array(range(len(parts)), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return checkpointed(docs.mapInArrow(run, "id long, id_key string, n long, key binary, part int, counts binary"))
+
+
+def token_classes(counted: DataFrame) -> bytes:
+    """How common the tokens of each slot are: 0 up to the mean, then two classes for each doubling."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -105,8 +118,9 @@ def token_classes(sets: DataFrame) -> bytes:
         columns = [pa.array(sums, pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, ["part", "counts"])
 
-    counted = sets.select("shingles").mapInArrow(count, "part int, counts binary")
-    summed = counted.repartition("part").mapInArrow(add, "part int, counts binary").collect()
+    # SLOTS numbers in all, whatever the size of the corpus.
+    rows = counted.where("part is not null").select("part", "counts")
+    summed = rows.repartition("part").mapInArrow(add, "part int, counts binary").collect()
     counts = np.zeros((SLOTS // SLOTS_PER_ROW, SLOTS_PER_ROW))
     for row in summed:
         counts[row["part"]] = np.frombuffer(row["counts"], np.int64)
@@ -131,7 +145,43 @@ def prefix(shingles: np.ndarray, classes: np.ndarray, seed: int, percent: int) -
     return shingles[whole]
 
 
-def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+def _signatures(docs: DataFrame, classes: bytes, size: int, percent: int) -> DataFrame:
+    """``key, n, first, others`` of every different set: the first order's prefix, and 16 bits of each token
+    of the other orders' prefixes, which agree wherever the tokens do."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = np.frombuffer(classes, np.uint8)
+        for batch in batches:
+            rows = []
+            for text in batch.column(0):
+                found = shingle_set(text.as_py(), size)
+                if len(found):
+                    first, *others = (prefix(found, kinds, seed, percent) for seed in ORDERS)
+                    short = [np.unique((o >> np.uint64(48)).astype("<u2")).tobytes() for o in others]
+                    rows.append((_digest(found), len(found), first.view(np.int64), short))
+            columns = list(zip(*rows)) or [()] * 4
+            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary())))]
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "n", "first", "others"])
+
+    shape = "key binary, n long, first array<long>, others array<binary>"
+    return checkpointed(docs.select("text").mapInArrow(run, shape).dropDuplicates(["key"]))
+
+
+def _sets_of(docs: DataFrame, keys: DataFrame, needed: DataFrame, size: int) -> DataFrame:
+    """``key, shingles`` of the needed keys, from the text of the least id that holds each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(t.as_py(), size) for t in batch.column(0)]
+            columns = [[_digest(s) for s in found], [s.tobytes() for s in found]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["key", "shingles"])
+
+    holders = checkpointed(lookup_join(keys.select("key", "id_key"), needed, ["key"], "left_semi").select("id_key").distinct())
+    texts = lookup_join(docs, holders, ["id_key"], "left_semi").select("text")
+    return checkpointed(texts.mapInArrow(run, "key binary, shingles binary").dropDuplicates(["key"]))
+
+
+def _agree(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Whether each of the left arrays shares a value with each of the right ones."""
     owners = [np.repeat(np.arange(len(side)), [len(x) for x in side]) for side in (left, right)]
     values = [np.concatenate(side) for side in (left, right)]
@@ -156,92 +206,95 @@ def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def linked_blocks(left: list[dict], right: list[dict], classes: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Rows of different components whose prefixes agree under all orders and whose sets are alike."""
-    sides = [[np.frombuffer(m["shingles"], np.uint64) for m in side] for side in (left, right)]
-    sizes = [np.array([len(s) for s in side]) for side in sides]
-    names = [np.array([m["component"] for m in side]) for side in (left, right)]
+def candidates(left: list[dict], right: list[dict], percent: int) -> np.ndarray:
+    """Places of members of different components whose sizes and prefixes allow them to be alike."""
+    sizes = [np.array([m["n"] for m in side]) for side in (left, right)]
+    names = [pa.array([m["component"] for m in side]).to_numpy(zero_copy_only=False) for side in (left, right)]
     smaller, larger = np.minimum.outer(*sizes), np.maximum.outer(*sizes)
     open_pairs = (names[0][:, None] != names[1][None, :]) & (100 * smaller >= percent * larger)
-    for seed in ORDERS[1:]:
+    for i in range(len(ORDERS) - 1):
         if not open_pairs.any():
-            return []
-        open_pairs &= _shared(*[[prefix(s, classes, seed, percent) for s in side] for side in sides])
-    return [
-        (left[i]["row"], right[j]["row"])
-        for i, j in np.argwhere(open_pairs)
-        if _alike(sides[0][i], sides[1][j], percent)
-    ]
+            break
+        open_pairs &= _agree(*[[np.frombuffer(m["others"][i], "<u2") for m in side] for side in (left, right)])
+    return np.argwhere(open_pairs)
 
 
-_LINKS = "a long, b long"
+_PAIRS = "a binary, b binary"
+_GROUP = ["token", "class"]
 
 
-def _links_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
+def _pairs_batch(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in pairs], pa.binary()) for i in (0, 1)], ["a", "b"])
 
 
-def set_links(sets: DataFrame, percent: int = 90) -> DataFrame:
-    """Links ``a, b`` that connect all of the different sets (``row, n, shingles``) that are alike."""
-    classes = token_classes(sets)
+def _members(signatures: DataFrame, percent: int) -> DataFrame:
+    """``token, class, key, n, leader, leader_n`` for every group of several members."""
+    postings = signatures.select(F.explode("first").alias("token"), "key", "n")
+    held = postings.groupBy("token").agg(F.count("*").alias("members")).where("members > 1").select("token")
+    several = checkpointed(lookup_join(postings, checkpointed(held), ["token"], "left_semi"))
+    # Sizes that differ by no more than the ratio allows are in one class or in neighbouring ones.
+    size_class = F.floor(F.log("n") / (1.0001 * math.log(100 / percent)))
+    dealt = several.withColumn("class", F.explode(F.array(size_class, size_class + 1)))
+    place = F.struct(F.xxhash64("key"), "key", "n")
+    groups = dealt.groupBy(*_GROUP).agg(F.count("*").alias("members"), F.min(place).alias("leader")).where("members > 1")
+    groups = groups.select(*_GROUP, "members", F.col("leader.key").alias("leader"), F.col("leader.n").alias("leader_n"))
+    return checkpointed(lookup_join(dealt, checkpointed(groups), _GROUP, "inner"))
 
-    def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = np.frombuffer(classes, np.uint8)
-        for batch in batches:
-            for at in range(0, batch.num_rows, SETS):
-                part = batch.slice(at, SETS)
-                found = [prefix(np.frombuffer(p.as_py(), np.uint64), kinds, ORDERS[0], percent) for p in part.column(2)]
-                times = [len(f) for f in found]
-                rows, sizes = (np.repeat(part.column(i).to_numpy(), times) for i in (0, 1))
-                tokens = np.concatenate(found).view(np.int64)
-                columns = [pa.array(c, pa.int64()) for c in (tokens, rows, sizes)]
-                yield pa.RecordBatch.from_arrays(columns, ["token", "row", "n"])
-
-    postings = sets.select("row", "n", "shingles").mapInArrow(propose, "token long, row long, n long")
-    place = F.struct(F.xxhash64("row"), "row", "n")
-    groups = (
-        postings.groupBy("token").agg(F.count("*").alias("members"), F.min(place).alias("leader")).where("members > 1")
-    )
-    groups = groups.select("token", F.col("leader.row").alias("leader"), F.col("leader.n").alias("leader_n"))
-    members = checkpointed(lookup_join(postings, checkpointed(groups), ["token"], "inner"))
-    near = (F.col("row") != F.col("leader")) & (100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n"))
-    pairs = checkpointed(
-        members.where(near).select(F.greatest("row", "leader").alias("a"), F.least("row", "leader").alias("b")).distinct()
-    )
-    needed = checkpointed(members.select("row").distinct())
-    material = checkpointed(lookup_join(sets.select("row", "shingles"), needed, ["row"], "left_semi"))
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = np.frombuffer(classes, np.uint8)
+def set_links(docs: DataFrame, keys: DataFrame, classes: bytes, size: int, percent: int) -> DataFrame:
+    """Links ``a, b`` that connect all of the different sets that are alike, by their keys."""
+    signatures = _signatures(docs, classes, size, percent)
+    members = _members(signatures, percent)
+    near = (F.col("key") != F.col("leader")) & (100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n"))
+    pairs = members.where(near).select(F.greatest("key", "leader").alias("a"), F.least("key", "leader").alias("b")).distinct()
+
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns)):
-                x, y = (np.frombuffer(p, np.uint64) for p in (x, y))
-                agree = all(
-                    len(np.intersect1d(*(prefix(s, kinds, seed, percent) for s in (x, y)), assume_unique=True))
-                    for seed in ORDERS[1:]
-                )
-                if agree and _alike(x, y, percent):
-                    found.append((a, b))
-            yield _links_batch(found)
+            keep = [
+                all(len(np.intersect1d(*(np.frombuffer(o, "<u2") for o in both), assume_unique=True)) for both in zip(x, y))
+                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    sides = [signatures.select(F.col("key").alias(c), F.col("others").alias(o)) for c, o in (("a", "x"), ("b", "y"))]
+    proposed = checkpointed(
+        pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "x", "y").mapInArrow(agree, _PAIRS)
+    )
+    verified = _verified(docs, keys, proposed, size, percent)
+    named = connected_components(verified).select(F.col("node").alias("key"), F.col("root").alias("component"))
+    groups, members = _open_groups(members, checkpointed(named))
+    further = _small_groups(members.join(groups.where(f"rows <= {SETS}"), _GROUP), signatures, percent)
+    links = verified.unionByName(_verified(docs, keys, further, size, percent))
+    large = checkpointed(lookup_join(members, groups.where(f"rows > {SETS}"), _GROUP, "inner"))
+    return links.unionByName(_large_groups(docs, keys, large, signatures, size, percent))
 
-    left = material.select(F.col("row").alias("a"), F.col("shingles").alias("x"))
-    right = material.select(F.col("row").alias("b"), F.col("shingles").alias("y"))
-    verified = checkpointed(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, _LINKS))
-    return verified.unionByName(_links_between(members, verified, material, classes, percent))
 
+def _verified(docs: DataFrame, keys: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs whose sets are alike."""
 
-def _links_between(
-    members: DataFrame, verified: DataFrame, material: DataFrame, classes: bytes, percent: int
-) -> DataFrame:
-    """Links between components of members of one group that the leaders have left apart."""
-    named = checkpointed(connected_components(verified).select(F.col("node").alias("row"), F.col("root").alias("component")))
-    members = lookup_join(members.select("token", "row", "n"), named, ["row"])
-    members = members.withColumn("component", F.coalesce("component", "row"))
-    mark = [F.bit_xor(F.xxhash64("row", F.lit(s))).alias(f"mark_{s}") for s in (1, 2)]
-    kinds = members.groupBy("token", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("n"), *mark)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [
+                _alike(*(np.frombuffer(p.as_py(), np.uint64) for p in both), percent)
+                for both in zip(batch.column(2), batch.column(3))
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    needed = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    sets = _sets_of(docs, keys, needed, size)
+    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
+    return checkpointed(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, _PAIRS))
+
+
+def _open_groups(members: DataFrame, named: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups of three and more members in several components, and all members with their component."""
+    members = lookup_join(members.where("members > 2").select(*_GROUP, "key", "n"), named, ["key"])
+    members = checkpointed(members.withColumn("component", F.coalesce("component", "key")))
+    mark = [F.bit_xor(F.xxhash64("key", F.lit(s))).alias(f"mark_{s}") for s in (1, 2)]
+    kinds = members.groupBy(*_GROUP, "component").agg(F.count("*").alias("rows"), F.sum("n").alias("n"), *mark)
     groups = (
-        kinds.groupBy("token")
+        kinds.groupBy(*_GROUP)
         .agg(
             F.max_by("component", F.struct("rows", "component")).alias("main"),
             F.count("*").alias("kinds"),
@@ -251,47 +304,73 @@ def _links_between(
         )
         .where("kinds > 1")
     )
-    # Tokens of the same members are one group.
-    once = groups.groupBy("rows", "mark_1", "mark_2").agg(F.min(F.struct("token", "main", "blocks")).alias("g"))
-    groups = checkpointed(once.select("g.*"))
-    rest = lookup_join(members.drop("n"), groups, ["token"], "inner")
-    rest = rest.withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks"))).join(material, "row")
-    member = F.struct("row", "component", "shingles")
+    # Groups of the same members are one.
+    once = groups.groupBy("rows", "mark_1", "mark_2").agg(F.min(F.struct(*_GROUP, "main", "blocks")).alias("g"))
+    return checkpointed(once.select("rows", "g.*")), members
+
+
+def _small_groups(members: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """Further pairs: those of different components of a group that agree under the other orders."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for group in batch.column(0):
+                held = group.as_py()
+                found = {(held[i]["key"], held[j]["key"]) for i, j in candidates(held, held, percent) if held[i]["key"] > held[j]["key"]}
+                yield _pairs_batch(sorted(found))
+
+    member = F.struct("key", "component", "n", "others")
+    groups = members.join(signatures.select("key", "others"), "key").groupBy(*_GROUP).agg(F.collect_list(member).alias("held"))
+    return checkpointed(groups.select("held").mapInArrow(run, _PAIRS).distinct())
+
+
+def _large_groups(
+    docs: DataFrame, keys: DataFrame, members: DataFrame, signatures: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """Links between the components of large groups, in blocks that carry the sets."""
+    sets = _sets_of(docs, keys, checkpointed(members.select("key").distinct()), size)
+    member = F.struct("key", "component", "n", "others", "shingles")
     outside = F.col("component") != F.col("main")
+    dealt = members.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks"))).join(sets, "key")
     blocks = checkpointed(
-        rest.groupBy("token", "blocks", "block").agg(
-            F.collect_list(member).alias("every"), F.collect_list(F.when(outside, member)).alias("rest")
-        )
+        dealt.join(signatures.select("key", "others"), "key")
+        .groupBy(*_GROUP, "blocks", "block")
+        .agg(F.collect_list(member).alias("every"), F.collect_list(F.when(outside, member)).alias("rest"))
     )
     salts = F.sequence(F.lit(0).cast("long"), F.expr(f"(blocks - 1) div {BLOCKS}"))
-    left = blocks.where(F.size("rest") > 0).select("token", F.explode(salts).alias("salt"), "rest")
-    right = blocks.select("token", F.expr(f"block div {BLOCKS}").alias("salt"), "every")
+    left = blocks.where(F.size("rest") > 0).select(*_GROUP, F.explode(salts).alias("salt"), "rest")
+    right = blocks.select(*_GROUP, F.expr(f"block div {BLOCKS}").alias("salt"), "every")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = np.frombuffer(classes, np.uint8)
         for batch in batches:
             for x, y in zip(batch.column(0), batch.column(1)):
-                yield _links_batch(linked_blocks(x.as_py(), y.as_py(), order, percent))
+                sides = x.as_py(), y.as_py()
+                held = [[np.frombuffer(m["shingles"], np.uint64) for m in side] for side in sides]
+                found = candidates(*sides, percent)
+                yield _pairs_batch(
+                    [(sides[0][i]["key"], sides[1][j]["key"]) for i, j in found if _alike(held[0][i], held[1][j], percent)]
+                )
 
-    return left.join(right, ["token", "salt"]).select("rest", "every").mapInArrow(run, _LINKS)
+    return left.join(right, [*_GROUP, "salt"]).select("rest", "every").mapInArrow(run, _PAIRS)
 
 
 def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, percent: int = 90
 ) -> DataFrame:
     """``id, n_shingles, component_id`` of every row: the set's size and the smallest id reachable by links."""
-    sets = _sets(docs, id_col, text_col, shingle_words)
-    held = sets.where("n > 0")
+    docs = _docs(docs, id_col, text_col)
+    counted = _keys_and_counts(docs, shingle_words)
+    rows = counted.where("part is null").select("id", "n", "key")
+    least = F.struct(F.col("id").isNull(), "id", "id_key")
     keys = checkpointed(
-        held.groupBy("set_key").agg(F.min("row").alias("rep"), F.min("id").alias("least"), F.count("*").alias("rows"))
-    )
-    again = keys.where("rows > 1").select("set_key", "rep")
-    copies = lookup_join(held.select("set_key", "row"), again, ["set_key"], "inner").where("row <> rep").select("row")
-    links = set_links(lookup_join(held.drop("set_key", "id"), checkpointed(copies), ["row"], "left_anti"), percent)
-    roots = connected_components(links).select(F.col("node").alias("rep"), "root")
-    rooted = checkpointed(lookup_join(keys, checkpointed(roots), ["rep"]).withColumn("root", F.coalesce("root", "rep")))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("rows")).where("rows > 1")
-    linked = checkpointed(rooted.join(least.drop("rows"), "root").select("set_key", "component_id"))
-    return lookup_join(sets.select("id", "n", "set_key"), linked, ["set_key"]).select(
+        counted.where("n > 0").groupBy("key").agg(F.min(least).alias("least"), F.count("*").alias("rows"))
+    ).select("key", F.col("least.id").alias("least"), F.col("least.id_key").alias("id_key"), "rows")
+    links = set_links(docs, keys, token_classes(counted), shingle_words, percent)
+    roots = connected_components(links).select(F.col("node").alias("key"), "root")
+    rooted = lookup_join(keys, checkpointed(roots), ["key"]).withColumn("root", F.coalesce("root", "key"))
+    rooted = checkpointed(rooted.select("key", "root", "least", "rows"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("rows")).where("rows > 1")
+    linked = checkpointed(lookup_join(rooted.select("key", "root"), checkpointed(named.drop("rows")), ["root"], "inner").drop("root"))
+    return lookup_join(rows, linked, ["key"]).select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
     )
