@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relayframe.llm.components import connected_components
-from relayframe.session import checkpointed, lookup_join
+from relayframe.session import checkpointed, lookup_join, scratch_path
 
 SLOTS = 1 << 18
 SLOTS_PER_ROW = 1 << 12
@@ -68,6 +68,13 @@ def shingle_set(text: str | None, size: int = 3) -> np.ndarray:
     return np.unique(mixed)
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """A frame written to shared storage and read again; smaller there than a checkpoint."""
+    path = scratch_path(df.sparkSession, "jaccard")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, id_key, text``; ``id_key`` stands for null ids as well."""
     number = F.col(id_col).cast("long")
@@ -103,7 +110,7 @@ def _keys_and_counts(docs: DataFrame, size: int) -> DataFrame:
             columns += [pa.array(range(len(parts)), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return checkpointed(docs.mapInArrow(run, "id long, id_key string, n long, key binary, part int, counts binary"))
+    return _stored(docs.mapInArrow(run, "id long, id_key string, n long, key binary, part int, counts binary"))
 
 
 def token_classes(counted: DataFrame) -> bytes:
@@ -146,8 +153,8 @@ def prefix(shingles: np.ndarray, classes: np.ndarray, seed: int, percent: int) -
 
 
 def _signatures(docs: DataFrame, classes: bytes, size: int, percent: int) -> DataFrame:
-    """``key, n, first, others`` of every different set: the first order's prefix, and 16 bits of each token
-    of the other orders' prefixes, which agree wherever the tokens do."""
+    """``node, key, n, first, others`` of every different set: a number for it, the first order's prefix, and
+    16 bits of each token of the other orders' prefixes, which agree wherever the tokens do."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = np.frombuffer(classes, np.uint8)
@@ -164,11 +171,12 @@ def _signatures(docs: DataFrame, classes: bytes, size: int, percent: int) -> Dat
             yield pa.RecordBatch.from_arrays(arrays, ["key", "n", "first", "others"])
 
     shape = "key binary, n long, first array<long>, others array<binary>"
-    return checkpointed(docs.select("text").mapInArrow(run, shape).dropDuplicates(["key"]))
+    once = docs.select("text").mapInArrow(run, shape).dropDuplicates(["key"])
+    return _stored(once.withColumn("node", F.monotonically_increasing_id()))
 
 
-def _sets_of(docs: DataFrame, keys: DataFrame, needed: DataFrame, size: int) -> DataFrame:
-    """``key, shingles`` of the needed keys, from the text of the least id that holds each."""
+def _sets_of(docs: DataFrame, nodes: DataFrame, needed: DataFrame, size: int) -> DataFrame:
+    """``node, shingles`` of the needed nodes, from the text of the least id that holds each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,9 +184,10 @@ def _sets_of(docs: DataFrame, keys: DataFrame, needed: DataFrame, size: int) ->
             columns = [[_digest(s) for s in found], [s.tobytes() for s in found]]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["key", "shingles"])
 
-    holders = checkpointed(lookup_join(keys.select("key", "id_key"), needed, ["key"], "left_semi").select("id_key").distinct())
-    texts = lookup_join(docs, holders, ["id_key"], "left_semi").select("text")
-    return checkpointed(texts.mapInArrow(run, "key binary, shingles binary").dropDuplicates(["key"]))
+    wanted = checkpointed(lookup_join(nodes.select("node", "key", "id_key"), needed, ["node"], "left_semi"))
+    texts = lookup_join(docs, wanted.select("id_key").distinct(), ["id_key"], "left_semi").select("text")
+    sets = lookup_join(texts.mapInArrow(run, "key binary, shingles binary"), wanted.drop("id_key"), ["key"], "inner")
+    return sets.select("node", "shingles").dropDuplicates(["node"])
 
 
 def _agree(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -209,7 +218,7 @@ def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def candidates(left: list[dict], right: list[dict], percent: int) -> np.ndarray:
     """Places of members of different components whose sizes and prefixes allow them to be alike."""
     sizes = [np.array([m["n"] for m in side]) for side in (left, right)]
-    names = [pa.array([m["component"] for m in side]).to_numpy(zero_copy_only=False) for side in (left, right)]
+    names = [np.array([m["component"] for m in side]) for side in (left, right)]
     smaller, larger = np.minimum.outer(*sizes), np.maximum.outer(*sizes)
     open_pairs = (names[0][:, None] != names[1][None, :]) & (100 * smaller >= percent * larger)
     for i in range(len(ORDERS) - 1):
@@ -219,34 +228,32 @@ def candidates(left: list[dict], right: list[dict], percent: int) -> np.ndarray:
     return np.argwhere(open_pairs)
 
 
-_PAIRS = "a binary, b binary"
+_PAIRS = "a long, b long"
 _GROUP = ["token", "class"]
 
 
-def _pairs_batch(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in pairs], pa.binary()) for i in (0, 1)], ["a", "b"])
+def _pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
 
 
 def _members(signatures: DataFrame, percent: int) -> DataFrame:
-    """``token, class, key, n, leader, leader_n`` for every group of several members."""
-    postings = signatures.select(F.explode("first").alias("token"), "key", "n")
+    """``token, class, node, n, members, leader`` for every group of several members."""
+    postings = signatures.select(F.explode("first").alias("token"), "node", "n")
     held = postings.groupBy("token").agg(F.count("*").alias("members")).where("members > 1").select("token")
-    several = checkpointed(lookup_join(postings, checkpointed(held), ["token"], "left_semi"))
+    several = _stored(lookup_join(postings, checkpointed(held), ["token"], "left_semi"))
     # Sizes that differ by no more than the ratio allows are in one class or in neighbouring ones.
-    size_class = F.floor(F.log("n") / (1.0001 * math.log(100 / percent)))
+    size_class = F.floor(F.log("n") / (1.0001 * math.log(100 / percent))).cast("int")
     dealt = several.withColumn("class", F.explode(F.array(size_class, size_class + 1)))
-    place = F.struct(F.xxhash64("key"), "key", "n")
-    groups = dealt.groupBy(*_GROUP).agg(F.count("*").alias("members"), F.min(place).alias("leader")).where("members > 1")
-    groups = groups.select(*_GROUP, "members", F.col("leader.key").alias("leader"), F.col("leader.n").alias("leader_n"))
-    return checkpointed(lookup_join(dealt, checkpointed(groups), _GROUP, "inner"))
+    groups = dealt.groupBy(*_GROUP).agg(F.count("*").alias("members"), F.min("node").alias("leader")).where("members > 1")
+    return _stored(lookup_join(dealt, checkpointed(groups), _GROUP, "inner"))
 
 
-def set_links(docs: DataFrame, keys: DataFrame, classes: bytes, size: int, percent: int) -> DataFrame:
-    """Links ``a, b`` that connect all of the different sets that are alike, by their keys."""
+def set_links(docs: DataFrame, keys: DataFrame, classes: bytes, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links ``a, b`` that connect all of the different sets that are alike, and ``node, key, id_key`` of all."""
     signatures = _signatures(docs, classes, size, percent)
+    nodes = checkpointed(signatures.select("node", "key").join(keys.select("key", "id_key"), "key"))
     members = _members(signatures, percent)
-    near = (F.col("key") != F.col("leader")) & (100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n"))
-    pairs = members.where(near).select(F.greatest("key", "leader").alias("a"), F.least("key", "leader").alias("b")).distinct()
+    pairs = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,20 +263,22 @@ def set_links(docs: DataFrame, keys: DataFrame, classes: bytes, size: int, perce
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sides = [signatures.select(F.col("key").alias(c), F.col("others").alias(o)) for c, o in (("a", "x"), ("b", "y"))]
-    proposed = checkpointed(
-        pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "x", "y").mapInArrow(agree, _PAIRS)
-    )
-    verified = _verified(docs, keys, proposed, size, percent)
-    named = connected_components(verified).select(F.col("node").alias("key"), F.col("root").alias("component"))
+    sides = [
+        signatures.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("others").alias(o))
+        for c, o in (("a", "x"), ("b", "y"))
+    ]
+    near = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    both = pairs.join(sides[0], "a").join(sides[1], "b").where(near).select("a", "b", "x", "y")
+    verified = _verified(docs, nodes, checkpointed(both.mapInArrow(agree, _PAIRS)), size, percent)
+    named = connected_components(verified).select(F.col("node"), F.col("root").alias("component"))
     groups, members = _open_groups(members, checkpointed(named))
-    further = _small_groups(members.join(groups.where(f"rows <= {SETS}"), _GROUP), signatures, percent)
-    links = verified.unionByName(_verified(docs, keys, further, size, percent))
+    small = lookup_join(members, groups.where(f"rows <= {SETS}").select(*_GROUP), _GROUP, "left_semi")
+    links = verified.unionByName(_verified(docs, nodes, _small_groups(small, signatures, percent), size, percent))
     large = checkpointed(lookup_join(members, groups.where(f"rows > {SETS}"), _GROUP, "inner"))
-    return links.unionByName(_large_groups(docs, keys, large, signatures, size, percent))
+    return links.unionByName(_large_groups(docs, nodes, large, signatures, size, percent)), nodes
 
 
-def _verified(docs: DataFrame, keys: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose sets are alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,18 +289,18 @@ def _verified(docs: DataFrame, keys: DataFrame, pairs: DataFrame, size: int, per
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    needed = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
-    sets = _sets_of(docs, keys, needed, size)
-    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
+    needed = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    sets = _sets_of(docs, nodes, needed, size)
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     return checkpointed(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, _PAIRS))
 
 
 def _open_groups(members: DataFrame, named: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Groups of three and more members in several components, and all members with their component."""
-    members = lookup_join(members.where("members > 2").select(*_GROUP, "key", "n"), named, ["key"])
-    members = checkpointed(members.withColumn("component", F.coalesce("component", "key")))
-    mark = [F.bit_xor(F.xxhash64("key", F.lit(s))).alias(f"mark_{s}") for s in (1, 2)]
+    members = lookup_join(members.where("members > 2").select(*_GROUP, "node", "n"), named, ["node"])
+    members = _stored(members.withColumn("component", F.coalesce("component", "node")))
+    mark = [F.bit_xor(F.xxhash64("node", F.lit(s))).alias(f"mark_{s}") for s in (1, 2)]
     kinds = members.groupBy(*_GROUP, "component").agg(F.count("*").alias("rows"), F.sum("n").alias("n"), *mark)
     groups = (
         kinds.groupBy(*_GROUP)
@@ -316,24 +325,24 @@ def _small_groups(members: DataFrame, signatures: DataFrame, percent: int) -> Da
         for batch in batches:
             for group in batch.column(0):
                 held = group.as_py()
-                found = {(held[i]["key"], held[j]["key"]) for i, j in candidates(held, held, percent) if held[i]["key"] > held[j]["key"]}
+                found = {(held[i]["node"], held[j]["node"]) for i, j in candidates(held, held, percent) if held[i]["node"] > held[j]["node"]}
                 yield _pairs_batch(sorted(found))
 
-    member = F.struct("key", "component", "n", "others")
-    groups = members.join(signatures.select("key", "others"), "key").groupBy(*_GROUP).agg(F.collect_list(member).alias("held"))
+    member = F.struct("node", "component", "n", "others")
+    groups = members.join(signatures.select("node", "others"), "node").groupBy(*_GROUP).agg(F.collect_list(member).alias("held"))
     return checkpointed(groups.select("held").mapInArrow(run, _PAIRS).distinct())
 
 
 def _large_groups(
-    docs: DataFrame, keys: DataFrame, members: DataFrame, signatures: DataFrame, size: int, percent: int
+    docs: DataFrame, nodes: DataFrame, members: DataFrame, signatures: DataFrame, size: int, percent: int
 ) -> DataFrame:
     """Links between the components of large groups, in blocks that carry the sets."""
-    sets = _sets_of(docs, keys, checkpointed(members.select("key").distinct()), size)
-    member = F.struct("key", "component", "n", "others", "shingles")
+    sets = _sets_of(docs, nodes, checkpointed(members.select("node").distinct()), size)
+    member = F.struct("node", "component", "n", "others", "shingles")
     outside = F.col("component") != F.col("main")
-    dealt = members.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks"))).join(sets, "key")
+    dealt = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).join(sets, "node")
     blocks = checkpointed(
-        dealt.join(signatures.select("key", "others"), "key")
+        dealt.join(signatures.select("node", "others"), "node")
         .groupBy(*_GROUP, "blocks", "block")
         .agg(F.collect_list(member).alias("every"), F.collect_list(F.when(outside, member)).alias("rest"))
     )
@@ -348,7 +357,7 @@ def _large_groups(
                 held = [[np.frombuffer(m["shingles"], np.uint64) for m in side] for side in sides]
                 found = candidates(*sides, percent)
                 yield _pairs_batch(
-                    [(sides[0][i]["key"], sides[1][j]["key"]) for i, j in found if _alike(held[0][i], held[1][j], percent)]
+                    [(sides[0][i]["node"], sides[1][j]["node"]) for i, j in found if _alike(held[0][i], held[1][j], percent)]
                 )
 
     return left.join(right, [*_GROUP, "salt"]).select("rest", "every").mapInArrow(run, _PAIRS)
@@ -365,10 +374,10 @@ def jaccard_components(
     keys = checkpointed(
         counted.where("n > 0").groupBy("key").agg(F.min(least).alias("least"), F.count("*").alias("rows"))
     ).select("key", F.col("least.id").alias("least"), F.col("least.id_key").alias("id_key"), "rows")
-    links = set_links(docs, keys, token_classes(counted), shingle_words, percent)
-    roots = connected_components(links).select(F.col("node").alias("key"), "root")
-    rooted = lookup_join(keys, checkpointed(roots), ["key"]).withColumn("root", F.coalesce("root", "key"))
-    rooted = checkpointed(rooted.select("key", "root", "least", "rows"))
+    links, nodes = set_links(docs, keys, token_classes(counted), shingle_words, percent)
+    placed = nodes.drop("id_key").join(keys.drop("id_key"), "key")
+    rooted = lookup_join(placed, checkpointed(connected_components(links)), ["node"])
+    rooted = checkpointed(rooted.select("key", F.coalesce("root", "node").alias("root"), "least", "rows"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("rows")).where("rows > 1")
     linked = checkpointed(lookup_join(rooted.select("key", "root"), checkpointed(named.drop("rows")), ["root"], "inner").drop("root"))
     return lookup_join(rows, linked, ["key"]).select(
