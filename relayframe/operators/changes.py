@@ -17,6 +17,8 @@ from relayframe.operators.routing import Routes, route_topic
 from relayframe.session import lookup_join
 
 ROW_OPS = ("I", "U", "D")
+# A message that describes a relation, in logs that hold those as well.
+RELATION_OP = "R"
 # Fixed value: the name of the table that heartbeats are written to unless one is configured.
 HEARTBEAT_SUFFIX = "public.pipe_health"
 # A relation version without a position holds from the beginning.
@@ -114,7 +116,7 @@ def describe(raw: DataFrame, relations: DataFrame) -> DataFrame:
     )
     known = ~F.col("op").isin(*ROW_OPS) | F.col("columns").isNotNull()
     unknown = F.raise_error(F.concat(F.lit("no relation is described by id "), F.col("relation_id").cast("string")))
-    picked = F.when(F.col("op") == "D", F.col("old_tuple")).otherwise(F.col("new_tuple"))
+    picked = _picked()
     cols = F.transform(
         F.arrays_zip(F.col("columns").alias("meta"), picked.alias("cell")),
         lambda c: F.struct(
@@ -131,10 +133,19 @@ def describe(raw: DataFrame, relations: DataFrame) -> DataFrame:
         "op",
         "relation_id",
         F.when(known, qualify(F.col("namespace"), F.col("name"))).otherwise(unknown).alias("relation"),
-        F.when(known, cols).otherwise(unknown).alias("cols"),
+        F.when(~known, unknown).when(F.size(picked) > F.size("columns"), _too_long()).otherwise(cols).alias("cols"),
     )
 
 
+def _picked() -> Column:
+    return F.when(F.col("op") == "D", F.col("old_tuple")).otherwise(F.col("new_tuple"))
+
+
+def _too_long() -> Column:
+    told = F.concat(F.lit("more values than columns in a change of relation id "), F.col("relation_id").cast("string"))
+    return F.raise_error(told)
+
+
 def _oid_in(oid: Column, names: Iterable[str]) -> Column:
     return oid.isin(*[OID[n] for n in names])
 
@@ -175,30 +186,49 @@ def _refused(oid: Column) -> Column:
     return F.raise_error(F.concat(F.lit("binary value of type "), oid.cast("string")))
 
 
-def _text_value(oid: Column, data: Column) -> Column:
-    """A text-format value as a JSON-ready variant."""
+def _json_text(value: Column) -> Column:
+    """A value as JSON text; nulls are ``null``."""
+    member = F.to_json(F.struct(value.alias("v")), _KEEP_NULLS)  # {"v":...}
+    return F.substr(member, F.lit(6), F.length(member) - 6)
+
+
+_TYPED_TEXT_OIDS = [name for names, _ in _TEXT_TYPED for name in names]
+
+
+def _text_json(oid: Column, data: Column) -> Column:
+    """JSON text of a text-format value."""
     text = data.cast("string")
-    value = F
+    value = F.when(~_oid_in(oid, _TYPED_TEXT_OIDS), _json_text(text))
     for names, read in _TEXT_TYPED:
-        value = value.when(_oid_in(oid, names), read(text).cast("variant"))
-    return value.otherwise(text.cast("variant"))
+        # Whole numbers and booleans are their own JSON text.
+        plain = names is _INTEGERS or "bool" in names
+        value = value.when(
+            _oid_in(oid, names), F.coalesce(read(text).cast("string"), F.lit("null")) if plain else _json_text(read(text))
+        )
+    return value
 
 
-def _binary_value(oid: Column, data: Column) -> Column:
-    """A binary-format value as a JSON-ready variant."""
+def _binary_json(oid: Column, data: Column) -> Column:
+    """JSON text of a binary-format value."""
     value = F
     for names, read in _BINARY_TYPED:
-        value = value.when(_oid_in(oid, names), read(data).cast("variant"))
-    return value.otherwise(_refused(oid).cast("variant"))
+        value = value.when(_oid_in(oid, names), _json_text(read(data)))
+    return value.otherwise(_refused(oid))
 
 
-def cell_value(cell: Column) -> Column:
-    """Value of one column: null for nulls and for unchanged out-of-line values."""
-    return F.when(cell["kind"] == "t", _text_value(cell["oid"], cell["data"])).when(
-        cell["kind"] == "b", _binary_value(cell["oid"], cell["data"])
+def cell_json(cell: Column, oid: Column) -> Column:
+    """JSON text of one column's value: null for nulls and for unchanged out-of-line values."""
+    return (
+        F.when(cell["kind"] == "t", _text_json(oid, cell["data"]))
+        .when(cell["kind"] == "b", _binary_json(oid, cell["data"]))
+        .otherwise("null")
     )
 
 
+def _object(members: Column) -> Column:
+    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+
+
 def tuple_json(cols: Column, unchanged: str = "null") -> Column:
     """A change's columns as a JSON object with keys in order.
 
@@ -209,14 +239,92 @@ def tuple_json(cols: Column, unchanged: str = "null") -> Column:
     if unchanged == "omit":
         cols = F.filter(cols, lambda c: c["kind"] != "u")
     # Structs sort by their first field, the name.
-    entries = F.transform(F.sort_array(cols), lambda c: F.struct(c["name"].alias("name"), cell_value(c).alias("value")))
-    return payload.map_json(entries)
+    return _object(
+        F.transform(F.sort_array(cols), lambda c: F.concat(_json_text(c["name"]), F.lit(":"), cell_json(c, c["oid"])))
+    )
 
 
 def key_json(cols: Column) -> Column:
     return tuple_json(F.filter(cols, lambda c: c["is_key"]))
 
 
+# -- relations as rows -----------------------------------------------------------------------
+
+
+def decode_plans(relations: DataFrame) -> DataFrame:
+    """``relation_id, plans``: for each version its position, name, number of columns, and the members of a
+    value and of a key in order: JSON name, place in the tuple, type."""
+
+    def members(columns: Column) -> Column:
+        return F.sort_array(columns)
+
+    def placed(c: Column, i: Column) -> Column:
+        text = F.concat(_json_text(c["name"]), F.lit(":"))
+        return F.struct(
+            c["name"].alias("name"), text.alias("text"), i.alias("at"), c["oid"].alias("oid"), c["is_key"].alias("is_key")
+        )
+
+    def plan(v: Column) -> Column:
+        every = members(F.transform(v["columns"], placed))
+        return F.struct(
+            v["since"].alias("since"),
+            qualify(v["namespace"], v["name"]).alias("relation"),
+            F.size(v["columns"]).alias("width"),
+            every.alias("members"),
+            F.filter(every, lambda m: m["is_key"]).alias("keys"),
+        )
+
+    return relation_versions(relations).select("relation_id", F.transform("versions", plan).alias("plans"))
+
+
+def looked_up_messages(
+    raw: DataFrame,
+    relations: DataFrame,
+    headers: Column,
+    routes: Routes = (),
+    prefix: str = "",
+    keep: tuple[str, ...] = (),
+    unchanged: str = "null",
+) -> DataFrame:
+    """Raw row changes as messages, their relation versions looked up by id and position.
+
+    One scan and one plan of the same size for any number of tables and columns. A change of an unknown
+    relation fails the query, as does a tuple longer than the version that holds at its position.
+    """
+    if unchanged not in ("null", "omit"):
+        raise ValueError("unchanged must be 'null' or 'omit'")
+    current = F.try_element_at(F.filter("plans", lambda p: p["since"] <= F.col("lsn_start")), F.lit(-1))
+    rows = lookup_join(raw, decode_plans(relations), ["relation_id"]).select("*", current.alias("_plan"), _picked().alias("_row"))
+    unknown = F.raise_error(F.concat(F.lit("no relation is described by id "), F.col("relation_id").cast("string")))
+    name = (
+        F.when(F.col("_plan").isNull(), unknown)
+        .when(F.size("_row") > F.col("_plan.width"), _too_long())
+        .otherwise(F.col("_plan.relation"))
+    )
+
+    def json_of(members: str, unchanged: str) -> Column:
+        def member(m: Column) -> Column:
+            cell = F.get(F.col("_row"), m["at"])
+            text = F.concat(m["text"], cell_json(cell, m["oid"]))
+            return text if unchanged == "null" else F.when(~cell["kind"].eqNullSafe(F.lit("u")), text)
+
+        return _object(F.transform(F.col(members), member))
+
+    return rows.select("*", name.alias("relation")).select(
+        *keep,
+        route_topic(F.col("relation"), routes, prefix).alias("topic"),
+        json_of("_plan.keys", "null").cast("binary").alias("key"),
+        json_of("_plan.members", unchanged).cast("binary").alias("value"),
+        headers.alias("headers"),
+    )
+
+
+def relations_in_log(changes: DataFrame) -> DataFrame:
+    """Relation rows of a log that holds them between its changes, each from its position on."""
+    sent = changes.where(F.col("op") == RELATION_OP)
+    return sent.select("relation_id", "relation.namespace", "relation.name", "relation.columns", F.col("lsn_start").alias("since"))
+
+
 # -- known relations -------------------------------------------------------------------------
 
 
@@ -244,11 +352,9 @@ def _known_json(
     # Members one by one: those that are null here, not resent, are left out by the join.
     members = []
     for n in sorted(values):
-        member = F.to_json(F.struct(values[n].alias("v")), _KEEP_NULLS)
-        member = F.substr(member, F.lit(6), F.length(member) - 6)  # {"v":...} without its ends
-        named = F.concat(F.lit(json.dumps(n, ensure_ascii=False) + ":"), member)
+        named = F.concat(F.lit(json.dumps(n, ensure_ascii=False) + ":"), _json_text(values[n]))
         members.append(F.when(~cells[n][0]["kind"].eqNullSafe(F.lit("u")), named))
-    return F.concat(F.lit("{"), F.array_join(F.array(*members), ","), F.lit("}"))
+    return _object(F.array(*members))
 
 
 def versions_of(relations: DataFrame) -> dict[int, list[Row]]:
@@ -276,7 +382,6 @@ def known_messages(
     """
     if unchanged not in ("null", "omit"):
         raise ValueError("unchanged must be 'null' or 'omit'")
-    picked = F.when(F.col("op") == "D", F.col("old_tuple")).otherwise(F.col("new_tuple"))
     unknown = F.raise_error(F.concat(F.lit("no relation is described by id "), F.col("relation_id").cast("string")))
 
     def by_relation(of: Callable[[Row], Column]) -> Column:
@@ -290,9 +395,11 @@ def known_messages(
                 value = value.when(holds, of(v))
         return value.otherwise(unknown) if relations else unknown.cast("string")
 
-    named = raw.select(
-        "*", by_relation(lambda r: F.lit(f"{r['namespace']}.{r['name']}")).alias("relation"), picked.alias("_row")
-    )
+    def named_if_fitting(r: Row) -> Column:
+        too_long = F.size("_row") > len(r["columns"])
+        return F.when(too_long, _too_long()).otherwise(f"{r['namespace']}.{r['name']}")
+
+    named = raw.select("*", _picked().alias("_row")).select("*", by_relation(named_if_fitting).alias("relation"))
     return named.select(
         *keep,
         route_topic(F.col("relation"), routes, prefix).alias("topic"),

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -12,9 +11,9 @@ from pyspark.sql import functions as F
 from relayframe.operators import changes as ch
 from relayframe.operators.routing import Routes
 
-# Columns that one frame of the query spells out. It bounds the size of generated code; what a change
-# becomes does not depend on it.
-COLUMNS_PER_FRAME = 400
+# Columns that a query spells out. It bounds the size of generated code; beyond it versions are looked up.
+# What a change becomes does not depend on it.
+COLUMNS_SPELLED_OUT = 400
 
 
 @dataclass
@@ -50,33 +49,42 @@ class ChangeFeed:
         raw: DataFrame,
         relations: DataFrame,
         keep: tuple[str, ...] = (),
-        columns_per_frame: int = COLUMNS_PER_FRAME,
+        columns_spelled_out: int = COLUMNS_SPELLED_OUT,
     ) -> DataFrame:
-        """Messages of raw row changes, described by relation rows.
+        """Messages of raw row changes, described by relation rows. The log is read once.
 
-        Relations are decoded by columns spelled out in the query, and filters on names become filters
-        on relation ids, which reach the scan. Wide schemas are dealt over several frames, each of
-        which reads the changes of its own relations.
+        The columns of few relations are spelled out in the query; those of many are looked up by relation.
+        Filters on names become filters on relation ids, which reach the scan.
         """
         known = ch.versions_of(relations)
-        rows = ch.row_changes(raw)
-        if self.skip_deletes:
-            rows = ch.without_deletes(rows)
         wanted = {i: versions for i, versions in known.items() if any(map(self._wants, versions))}
+        others = sorted(set(known) - set(wanted))
+        rows = self._rows(raw)
+        # Unknown ids stay, so that they fail the query.
+        rows = rows.where(~F.col("relation_id").isin(others)) if others else rows
         # A renamed table can be wanted in one version and not in another.
         mixed = not all(self._wants(v) for versions in wanted.values() for v in versions)
+        width = sum(len(v["columns"]) for versions in wanted.values() for v in versions)
+        if width > columns_spelled_out:
+            return self._looked_up(rows, relations, keep, mixed)
+        return self._of_wanted(ch.known_messages, rows, wanted, keep, mixed)
+
+    def looked_up_messages(self, raw: DataFrame, relations: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+        """The same without a look at the relations when the query is built, for relations that change."""
+        return self._looked_up(self._rows(raw), relations, keep, True)
+
+    def _looked_up(self, rows: DataFrame, relations: DataFrame, keep: tuple[str, ...], mixed: bool) -> DataFrame:
+        return self._of_wanted(ch.looked_up_messages, rows, relations, keep, mixed)
+
+    def _rows(self, raw: DataFrame) -> DataFrame:
+        rows = ch.row_changes(raw)
+        rows = rows.drop("relation") if "relation" in rows.columns else rows
+        return ch.without_deletes(rows) if self.skip_deletes else rows
+
+    def _of_wanted(self, decode, rows: DataFrame, relations, keep: tuple[str, ...], mixed: bool) -> DataFrame:
         headers = ch.change_headers(self.host, self.port, self.database, self.ts_ms)
-        frames = []
-        for i, part in enumerate(_parts(wanted, columns_per_frame)):
-            # Unknown ids go with the first frame, so that they fail the query.
-            others = sorted(set(known) - set(part))
-            if i:
-                own = rows.where(F.col("relation_id").isin(list(part)))
-            else:
-                own = rows.where(~F.col("relation_id").isin(others)) if others else rows
-            kept = (*keep, "relation") if mixed and "relation" not in keep else keep
-            frames.append(ch.known_messages(own, part, headers, self.routes, self.prefix, kept, self.unchanged))
-        messages = reduce(DataFrame.unionByName, frames)
+        kept = (*keep, "relation") if mixed and "relation" not in keep else keep
+        messages = decode(rows, relations, headers, self.routes, self.prefix, kept, self.unchanged)
         if not mixed:
             return messages
         if self.tables:
@@ -89,19 +97,6 @@ class ChangeFeed:
         return (not self.tables or name in self.tables) and not name.endswith(self.heartbeat)
 
 
-def _parts(relations: Mapping[int, list[Row]], most_columns: int) -> list[dict[int, list[Row]]]:
-    """Relations dealt so that each part has few columns; a relation stays whole. At least one part."""
-    parts, width = [{}], 0
-    for relation_id, versions in relations.items():
-        columns = sum(len(v["columns"]) for v in versions)
-        if parts[-1] and width + columns > most_columns:
-            parts.append({})
-            width = 0
-        parts[-1][relation_id] = versions
-        width += columns
-    return parts
-
-
 def in_log_order(messages: DataFrame, position: str = "lsn_start") -> DataFrame:
     """Messages so dealt that those of one key are sent by one task, in the order of the log. A hot table
     is spread over its keys."""

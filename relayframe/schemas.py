@@ -55,6 +55,14 @@ RELATIONS = T.StructType(
     ]
 )
 
+# A log that holds relations between the changes: operation R, from its position on.
+LOG_WITH_RELATIONS = T.StructType(
+    [*RAW_CHANGES.fields, T.StructField("relation", T.StructType(RELATIONS.fields[1:]))]
+)
+
+# Relation versions, each from its position on.
+RELATION_VERSIONS = T.StructType([*RELATIONS.fields, T.StructField("since", T.LongType())])
+
 # A row change whose columns carry their own description.
 CHANGES = T.StructType(
     [

@@ -17,16 +17,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from relayframe.operators import offsets
 from relayframe.operators.catalog import target_schema
-from relayframe.operators.changes import next_position, since_position
+from relayframe.operators.changes import next_position, relations_in_log, since_position
 from relayframe.operators.decode import make_decoder
 from relayframe.plans.changefeed import ChangeFeed, in_log_order
 from relayframe.plans.restore import restore, restore_archive
 from relayframe.plans.snapshot import SnapshotPlan, keyed_tables
-from relayframe.schemas import RESTORE_OFFSETS
+from relayframe.schemas import CHANGES, LOG_WITH_RELATIONS, RAW_CHANGES, RESTORE_OFFSETS
 from relayframe.session import checkpointed
 from relayframe.sources import archive_files, kafka, tables
 from relayframe.sources.changelog import stored_position, stream_changes
 from relayframe.streaming.archive_sink import ArchiveSink, start_archive_sink
+from relayframe.streaming.change_stream import RelationLog, start_change_stream
 from relayframe.streaming.table_sink import Ledger, TableSink, jdbc_writer, start_table_sink
 from relayframe.streaming.triggers import every
 
@@ -101,13 +102,21 @@ def table_snapshot(spark: SparkSession, conf: dict[str, Any]) -> DataFrame:
 def table_changes(spark: SparkSession, conf: dict[str, Any]) -> DataFrame | StreamingQuery:
     """Change log to topics. Gives the message frame, or the started query if brokers are named.
 
-    ``relations`` describes raw changes. Messages of one key are sent in the order of the log. A bounded
-    frame of ``changes`` goes to ``send`` instead of brokers; with ``ledger`` it begins where the last run
-    ended.
+    ``relations`` describes raw changes; ``"log"`` says that the log itself does, between its changes. Messages
+    of one key are sent in the order of the log. ``send`` takes the place of brokers. A bounded frame of
+    ``changes`` with ``ledger`` begins where the last run ended. A stream with relations in it keeps the
+    versions it has met under ``versions``.
     """
     changes = conf.get("changes")
+    in_log = isinstance(conf.get("relations"), str) and conf["relations"] == "log"
     if changes is None:
-        changes = stream_changes(spark, conf["path"], conf.get("position"))
+        schema = LOG_WITH_RELATIONS if in_log else RAW_CHANGES if "relations" in conf else CHANGES
+        changes = stream_changes(spark, conf["path"], conf.get("position"), schema, conf.get("files_per_trigger"))
+    if in_log and changes.isStreaming:
+        return _changes_with_relations(changes, conf)
+    if in_log:
+        # Versions from before the position still hold behind it.
+        conf = conf | {"relations": relations_in_log(changes)}
     ledger = conf.get("ledger")
     if ledger:
         changes = since_position(changes, stored_position(spark, ledger))
@@ -129,15 +138,26 @@ def table_changes(spark: SparkSession, conf: dict[str, Any]) -> DataFrame | Stre
         return messages
     if "brokers" not in conf:
         return messages
-    options = kafka.sink_options(conf["brokers"], timeout_ms=60_000)
 
     def send(batch: DataFrame, batch_id: int) -> None:
-        kafka.write_topics(in_log_order(batch), options)
+        to_brokers(in_log_order(batch), batch_id)
 
+    to_brokers = _to_brokers(conf)
     writer = messages.writeStream.foreachBatch(send).option("checkpointLocation", conf["checkpoint"])
     return writer.trigger(**every(_timeout(conf))).start()
 
 
+def _to_brokers(conf: dict[str, Any]) -> Callable[[DataFrame, int], None]:
+    options = kafka.sink_options(conf["brokers"], timeout_ms=60_000)
+    return lambda batch, batch_id: kafka.write_topics(batch, options)
+
+
+def _changes_with_relations(log: DataFrame, conf: dict[str, Any]) -> StreamingQuery:
+    feed, relations = ChangeFeed(**conf.get("feed", {})), RelationLog(conf["versions"])
+    send = conf["send"] if "send" in conf else _to_brokers(conf)
+    return start_change_stream(log, feed, relations, send, conf["checkpoint"], _timeout(conf))
+
+
 def _catalog_columns(conf: dict[str, Any]) -> Callable[[], dict[str, T.StructType]]:
     def look_up() -> dict[str, T.StructType]:
         columns = conf["catalog"]() if callable(conf["catalog"]) else conf["catalog"]

@@ -273,14 +273,14 @@ BINARY = [
 ]
 
 
-@pytest.mark.parametrize("columns_per_frame", [1, 400])
-def test_binary_cells_of_every_type(spark, columns_per_frame):
+@pytest.mark.parametrize("columns_spelled_out", [1, 400])
+def test_binary_cells_of_every_type(spark, columns_spelled_out):
     """The same on both paths, whatever the width of the schema."""
     described = [(i, "public", f"t{i}", [("v", OID[kind], False)]) for i, (kind, _, _) in enumerate(BINARY)]
     relations_ = spark.createDataFrame(described, RELATIONS)
     raw_ = raw(spark, *[(i, 1, "I", i, [("b", bytearray(data))], None) for i, (_, data, _) in enumerate(BINARY)])
     want = {f"public.t{i}": f'{{"v":{text}}}' for i, (_, _, text) in enumerate(BINARY)}
-    known = ChangeFeed(ts_ms=1).raw_messages(raw_, relations_, columns_per_frame=columns_per_frame)
+    known = ChangeFeed(ts_ms=1).raw_messages(raw_, relations_, columns_spelled_out=columns_spelled_out)
     for messages in (known, ChangeFeed(ts_ms=1).messages(ch.describe(raw_, relations_))):
         assert {r.topic: bytes(r.value).decode() for r in messages.collect()} == want
 

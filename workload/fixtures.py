@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from relayframe import __version__
 from relayframe.functions import codecs, payload
 from relayframe.operators.changes import OID
-from relayframe.schemas import RAW_CHANGES, RELATIONS
+from relayframe.schemas import LOG_WITH_RELATIONS, RAW_CHANGES, RELATIONS
 from relayframe.session import checkpointed
 
 TS_MS = 1_700_000_000_000
@@ -176,9 +176,9 @@ def row_type() -> T.DataType:
 
 
 def wide_relations(spark: SparkSession) -> DataFrame:
-    """Further relations, of more columns than one frame spells out."""
-    columns = [(f"c{i}", OID["text"], i == 0) for i in range(210)]
-    return spark.createDataFrame([(100 + i, "public", f"wide_{i}", columns) for i in range(2)], RELATIONS)
+    """Further relations, of more columns than a query spells out."""
+    columns = [(f"c{i}", OID["text"], i == 0) for i in range(250)]
+    return spark.createDataFrame([(100 + i, "public", f"wide_{i}", columns) for i in range(20)], RELATIONS)
 
 
 # Positions from which the altered table has other columns.
@@ -199,6 +199,19 @@ def altered_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return raw, spark.createDataFrame(rows, T.StructType([*RELATIONS.fields, T.StructField("since", T.LongType())]))
 
 
+def log_with_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The altered table's log with its relations in it, each before the changes that it describes."""
+    raw, versions = altered_changes(spark, sf_dir)
+    sent = versions.select(
+        F.coalesce("since", F.lit(0)).cast("bigint").alias("lsn_start"),
+        F.lit(0).cast("bigint").alias("length"),
+        F.lit("R").alias("op"),
+        "relation_id",
+        F.struct("namespace", "name", "columns").alias("relation"),
+    )
+    return raw.unionByName(sent, allowMissingColumns=True).select(*LOG_WITH_RELATIONS.fieldNames())
+
+
 def with_ends(rows: DataFrame, inner: Column) -> DataFrame:
     """Archive rows for which ``inner`` holds, and the first and last row of every bucket and partition."""
     keys = ["topic", "bucket", "partition"]

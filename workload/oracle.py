@@ -320,6 +320,7 @@ ORACLE["change_relation_altered"] = f"""
     SELECT o_orderkey * 10 AS lsn_start, 'public.orders' AS topic,
            {_order_value(f"CASE WHEN o_orderkey * 10 BETWEEN {ALTERED[0]} AND {ALTERED[1] - 1} THEN '' ELSE {_PRIORITY} END")} AS value
     FROM orders"""
+ORACLE["change_stream_altered"] = ORACLE["change_looked_up"] = ORACLE["change_relation_altered"]
 ORACLE["table_sink_repeat_in_batch"] = ORACLE["table_sink_retry"]
 ORACLE["table_sink_catalog"] = """
     SELECT event_id, user_id, event_type, (epoch_us(ts) // 1000) AS ts_ms, CAST(0 AS INTEGER) AS missing_int,

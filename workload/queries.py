@@ -225,11 +225,40 @@ def change_relation_altered(spark, sf_dir):
 
 @query
 def change_wide(spark, sf_dir):
-    """The changes next to relations of over 400 columns, which deals them over several frames."""
+    """The changes next to relations of 5,000 columns, which are looked up in one scan."""
     raw, relations = fx.binary_changes(spark, sf_dir)
     return _values(_plain_feed().raw_messages(raw, relations.unionByName(fx.wide_relations(spark)), keep=("lsn_start",)))
 
 
+@query
+def change_stream_altered(spark, sf_dir):
+    """A log with relations in it, read as a stream of three batches; the second alters the table within."""
+    log = fx.log_with_relations(spark, sf_dir)
+    base = scratch_path(spark, "change-stream")
+    for low, high in ((0, 10_000), (10_000, 50_000), (50_000, 2**62)):
+        part = log.where(F.col("lsn_start").between(low, high - 1))
+        part.coalesce(1).write.mode("append").parquet(f"{base}/log")
+    conf = {
+        "path": f"{base}/log",
+        "relations": "log",
+        "versions": f"{base}/versions",
+        "feed": {"ts_ms": fx.TS_MS},
+        "files_per_trigger": 1,
+        "checkpoint": f"{base}/checkpoint",
+        "timeout": None,
+        "send": lambda messages, batch_id: messages.write.parquet(f"{base}/sent/batch={batch_id}"),
+    }
+    drain([jobs.run(spark, "table.changes", conf)])
+    return _values(spark.read.parquet(f"{base}/sent"))
+
+
+@query
+def change_looked_up(spark, sf_dir):
+    """The altered table's changes, with its relations looked up for each change."""
+    raw, relations = fx.altered_changes(spark, sf_dir)
+    return _values(_plain_feed().looked_up_messages(raw, relations, keep=("lsn_start",)))
+
+
 @query
 def change_position(spark, sf_dir):
     return changes.next_position(_changes(spark, sf_dir))
