@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from relayframe.functions import times
 from relayframe.schemas import HEADERS, PREFIX
+from relayframe.session import lookup_join
+
+# What tells a record from every other one of a log.
+RECORD = ("topic", "partition", "offset")
 
 # Offsets one chunk may span. Offsets are unique in a partition, so this bounds a chunk's rows too.
 CHUNK_OFFSETS = 250_000
@@ -150,7 +154,7 @@ def by_offset_range(rows: DataFrame, chunk_offsets: int = CHUNK_OFFSETS, partiti
     return in_chunks(cut, ["_range"], partitions)
 
 
-def without_repeats(rows: DataFrame, keys: Sequence[str] = ("topic", "partition", "offset")) -> DataFrame:
+def without_repeats(rows: DataFrame, keys: Sequence[str] = RECORD) -> DataFrame:
     """One copy of each record. The key holds the offset, so no key is hot."""
     return rows.dropDuplicates(list(keys))
 
@@ -200,7 +204,9 @@ def with_previous_chunk(chunks: DataFrame, tile_offsets: int = TILE_OFFSETS) ->
 
 def overlapping(chunks: DataFrame, tile_offsets: int = TILE_OFFSETS) -> DataFrame:
     """Chunks whose offset range meets another chunk's of the same topic partition, in any bucket,
-    each named once by prefix and bounds. Only these can hold a record twice.
+    each named once by prefix and bounds. Only these can hold a record twice, and of their offsets only those
+    up to ``shared_until``, the last end of a chunk that starts before, and from ``shared_from`` on, the first
+    start behind theirs; both are null where no such chunk reaches in.
 
     Copies of a chunk are counted before anything is sorted. Each tile of a fixed offset span is
     sorted on its own; of the others it learns the highest end before and the first start after it.
@@ -223,10 +229,33 @@ def overlapping(chunks: DataFrame, tile_offsets: int = TILE_OFFSETS) -> DataFram
     )
     before = F.greatest("_seen", "_top_before")
     after = F.coalesce("_next", "_first_after")
+    shared_until = F.when(F.col("_copies") > 1, F.col("max_offset")).when(before >= F.col("min_offset"), before)
+    shared_from = F.when(after <= F.col("max_offset"), after)
     return (
         tiled.withColumn("_seen", F.max("max_offset").over(within.rowsBetween(*earlier)))
         .withColumn("_next", F.lead("min_offset").over(within))
         .join(edges, keys)
-        .where((F.col("_copies") > 1) | (before >= F.col("min_offset")) | (after <= F.col("max_offset")))
-        .select(*PREFIX, *bounds)
+        .select(*PREFIX, *bounds, shared_until.alias("shared_until"), shared_from.alias("shared_from"))
+        .where("shared_until IS NOT NULL OR shared_from IS NOT NULL")
     )
+
+
+def is_disputed() -> Column:
+    """Whether another chunk may hold the offset as well, by the columns of :func:`overlapping`."""
+    until, since = F.col("offset") <= F.col("shared_until"), F.col("offset") >= F.col("shared_from")
+    return F.coalesce(until, F.lit(False)) | F.coalesce(since, F.lit(False))
+
+
+def repeated_offsets(narrow: DataFrame, keys: Sequence[str] = RECORD) -> DataFrame:
+    """The keys of records that occur more than once, and how often (``n``). Only these columns are
+    shuffled, counted in each task before."""
+    return narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def each_once(rows: DataFrame, repeated: DataFrame | None, keys: Sequence[str] = RECORD) -> DataFrame:
+    """Every record of the rows once, given the repeated ones, one row each. Others stay where they are."""
+    if repeated is None:
+        return rows
+    known = repeated.select(*keys)
+    several = lookup_join(rows, known, keys, "left_semi")
+    return lookup_join(rows, known, keys, "left_anti").unionByName(without_repeats(several, keys))

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relayframe.operators import offsets
-from relayframe.operators.archive import from_archive_rows, overlapping, without_repeats
-from relayframe.schemas import PREFIX, RESTORE_OFFSETS
+from relayframe.operators.archive import each_once, from_archive_rows, repeated_offsets
+from relayframe.schemas import RESTORE_OFFSETS
 from relayframe.session import checkpointed
 from relayframe.sources import archive_files as files
 
@@ -23,7 +23,7 @@ _KEYS = offsets.RESTORE_PARTITION
 
 @dataclass
 class Restore:
-    """Frames of one restore; no record is read until one is used.
+    """Frames of one restore. No payload is read until one is used; disputed offsets are compared before.
 
     ``records`` go back to their topics and partitions. ``counters`` are per topic. ``marks`` is
     the ledger to store once the records are written.
@@ -53,13 +53,15 @@ def restore(
 ) -> Restore:
     """Records of archive rows (``topic, bucket, partition`` plus the row fields), each once.
 
-    Rows are shuffled by offset to find repeats. ``in_order`` then hands every topic partition to
+    Offsets alone are shuffled to find repeats, and then the rows that repeat. ``in_order`` then hands every topic partition to
     one task, in offset order, for sinks that must append in order. That task can be as large as
     the largest partition, so it is off by default.
     """
     known = _no_marks(rows.sparkSession) if marks is None else marks
+    fresh = _fresh(rows, marks)
+    repeated = files.repeated_records(fresh.select(*_KEYS, "offset"))
     return Restore(
-        records=from_archive_rows(_in_order(without_repeats(_fresh(rows, marks)), in_order), binary),
+        records=from_archive_rows(_in_order(each_once(fresh, repeated), in_order), binary),
         counters=restore_counters(rows, known),
         marks=offsets.merge_offsets(known, offsets.last_offsets(rows, _KEYS), _KEYS),
     )
@@ -97,40 +99,35 @@ def restore_archive(
 ) -> Restore:
     """Restore topics and buckets of an archive.
 
-    The listing tells which chunks overlap, and only their rows are compared; which chunks lie
-    wholly at or below their mark, and those are not read; and how many rows the others hold, so
-    that marks and most counters need no reading.
+    The listing tells which offsets more than one chunk may hold, and only those are compared, without
+    their payload; which chunks lie wholly at or below their mark, and those are not read; and how many
+    rows the others hold, so that marks and most counters need no reading.
     """
     known = _no_marks(spark) if marks is None else marks
     manifest = checkpointed(files.list_archive(spark, root, topics, since, until))
     rows = files.read_archive(spark, root, topics, since, until, with_timestamp).drop("n_rows")
-    single, repeated = files.split_overlapping(rows, manifest)
-
     chunks = offsets.with_mark(manifest, known, _KEYS)
+    fresh = rows
     if marks is not None:
-        ahead = checkpointed(files.chunk_key(chunks.where("mark IS NULL OR max_offset > mark")))
-        single = files.rows_of_chunks(single, ahead)
-    records = _fresh(single, marks)
-    if repeated is not None:
-        records = records.unionByName(without_repeats(_fresh(repeated, marks)))
+        fresh = files.rows_of_chunks(rows, checkpointed(files.chunk_key(chunks.where("mark IS NULL OR max_offset > mark"))))
+    disputed = files.disputed_rows(fresh, manifest)
+    repeated = files.repeated_records(None if disputed is None else _fresh(disputed, marks))
+    records = each_once(_fresh(fresh, marks), repeated)
     return Restore(
         records=from_archive_rows(_in_order(records, in_order), binary),
-        counters=_archive_counters(rows, repeated, chunks, known),
+        counters=_archive_counters(rows, repeated, chunks),
         marks=offsets.merge_offsets(known, manifest.withColumnRenamed("max_offset", "offset"), _KEYS),
     )
 
 
-def _archive_counters(
-    rows: DataFrame, repeated: DataFrame | None, chunks: DataFrame, marks: DataFrame
-) -> DataFrame:
-    """Counters from the listing, reading only chunks that overlap or that a mark cuts in two."""
+def _archive_counters(rows: DataFrame, repeated: DataFrame | None, chunks: DataFrame) -> DataFrame:
+    """Counters from the listing, reading only the offsets of chunks that a mark cuts in two. Further copies
+    of a repeated record count as skipped."""
     parts = []
-    if repeated is not None:
-        chunks = chunks.join(overlapping(chunks), [*PREFIX, "min_offset", "max_offset"], "left_anti")
-        parts.append(restore_counters(repeated, marks))
     cut = F.coalesce((F.col("min_offset") <= F.col("mark")) & (F.col("mark") < F.col("max_offset")), F.lit(False))
     split = checkpointed(files.chunk_key(chunks.where(cut)))
     if not split.isEmpty():
+        marks = chunks.where(cut).select(*_KEYS, F.col("mark").alias("offset")).distinct()
         parts.append(restore_counters(files.rows_of_chunks(rows, split), marks, repeats=False))
     done = F.coalesce(F.col("max_offset") <= F.col("mark"), F.lit(False))
     parts.append(
@@ -141,6 +138,9 @@ def _archive_counters(
             F.coalesce(F.sum(F.when(done, F.col("n_rows"))), F.lit(0)).alias("skipped"),
         )
     )
+    if repeated is not None:
+        further = F.sum(F.col("n") - 1)
+        parts.append(repeated.groupBy("topic").agg((-further).alias("restored"), further.alias("skipped")))
     return (
         reduce(DataFrame.unionByName, parts)
         .groupBy("topic")

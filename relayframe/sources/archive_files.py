@@ -252,16 +252,30 @@ def write_compatible(
     return checkpointed(lines.mapInPandas(_file_writer(root), MANIFEST))
 
 
-def split_overlapping(rows: DataFrame, manifest: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Archive rows that occur once, and rows of chunks that overlap and may repeat.
+def disputed_rows(rows: DataFrame, manifest: DataFrame) -> DataFrame | None:
+    """``topic, partition, bucket, offset`` of the rows that another chunk may hold as well; None for none.
 
-    Told from the manifest. A chunk holds an offset once by the way it is written, so in an archive
-    without replays there is no second frame and nothing has to be compared.
+    Told from the manifest: a chunk holds an offset once by the way it is written, so only offsets in the
+    intersection with another chunk's range can repeat. Of chunks that meet at their ends, as the buckets of
+    a log with late records do, these are few; other chunks are not read.
     """
-    shared = checkpointed(chunk_key(archive.overlapping(manifest)))
+    name = archive.chunk_name(F.col("min_offset"), F.col("max_offset")).alias("chunk")
+    shared = archive.overlapping(manifest).select(*PREFIX, name, "shared_until", "shared_from")
+    shared = checkpointed(shared)
     if shared.isEmpty():
-        return rows, None
-    return lookup_join(rows, shared, [*PREFIX, "chunk"], "left_anti"), rows_of_chunks(rows, shared)
+        return None
+    narrow = rows.select(*PREFIX, "chunk", "offset")
+    # The filter lets dynamic partition pruning skip the other directories.
+    met = lookup_join(narrow, shared.where(F.col("chunk") > ""), [*PREFIX, "chunk"], "inner")
+    return met.where(archive.is_disputed()).select(*PREFIX, "offset")
+
+
+def repeated_records(narrow: DataFrame | None, keys: Sequence[str] = archive.RECORD) -> DataFrame | None:
+    """Records that occur more than once among the disputed rows; None for none."""
+    if narrow is None:
+        return None
+    repeated = checkpointed(archive.repeated_offsets(narrow, keys))
+    return None if repeated.isEmpty() else repeated
 
 
 def current_root(spark: SparkSession, pointer: str, default: str) -> str:
@@ -323,12 +337,8 @@ def compact_archive(
         lost = F.raise_error(F.lit("some records of the archive keep a timestamp and others do not"))
         rows = rows.withColumn("offset", F.when(F.col("timestamp").isNull(), F.col("offset")).otherwise(lost))
         rows = rows.drop("timestamp")
-    single, repeated = split_overlapping(rows, manifest)
-
-    def grouped(part: DataFrame) -> DataFrame:
-        return lookup_join(part, groups, [*PREFIX, "chunk"], "inner").drop("chunk")
-
-    merged = grouped(single)
-    if repeated is not None:
-        merged = merged.unionByName(archive.without_repeats(grouped(repeated), (*PREFIX, "offset")))
+    # A record that two buckets hold stays in both of them.
+    keys = (*PREFIX, "offset")
+    repeated = repeated_records(disputed_rows(rows, manifest), keys)
+    merged = archive.each_once(lookup_join(rows, groups, [*PREFIX, "chunk"], "inner").drop("chunk"), repeated, keys)
     _store(archive.in_chunks(merged, ["group_id"], partitions), target, replace=False)
