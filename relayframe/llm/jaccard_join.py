@@ -2,7 +2,8 @@
 
 If two sets resemble each other enough, the first few tokens of one and of the other, under any fixed order
 of all tokens, share a token. So a pair has to share one under every order: the prefixes under the first
-order propose pairs, the prefixes under the others have to agree, and only then the sets are compared.
+order propose pairs, the prefixes under the others have to agree, and only then the sets are compared. To
+agree is to share as many tokens as the set whose prefix ends first in the order cannot do without.
 
 All orders put rare tokens first, by classes of a count over the whole corpus, so that a passage that many
 documents share comes last in each; within a class each order has a sequence of its own. Counts are kept for
@@ -154,7 +155,7 @@ def prefix(shingles: np.ndarray, classes: np.ndarray, seed: int, percent: int) -
 
 def _signatures(docs: DataFrame, classes: bytes, size: int, percent: int) -> DataFrame:
     """``node, key, n, first, others`` of every different set: a number for it, the first order's prefix, and
-    16 bits of each token of the other orders' prefixes, which agree wherever the tokens do."""
+    16 bits of each token of the other orders' prefixes, which are equal wherever the tokens are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = np.frombuffer(classes, np.uint8)
@@ -164,7 +165,7 @@ def _signatures(docs: DataFrame, classes: bytes, size: int, percent: int) -> Dat
                 found = shingle_set(text.as_py(), size)
                 if len(found):
                     first, *others = (prefix(found, kinds, seed, percent) for seed in ORDERS)
-                    short = [np.unique((o >> np.uint64(48)).astype("<u2")).tobytes() for o in others]
+                    short = [(o >> np.uint64(48)).astype("<u2").tobytes() for o in others]
                     rows.append((_digest(found), len(found), first.view(np.int64), short))
             columns = list(zip(*rows)) or [()] * 4
             arrays = [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary())))]
@@ -190,8 +191,18 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, needed: DataFrame, size: int) ->
     return sets.select("node", "shingles").dropDuplicates(["node"])
 
 
-def _agree(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Whether each of the left arrays shares a value with each of the right ones."""
+def needed_in_prefix(n_a, n_b, percent: int):
+    """Least number of tokens that the prefixes of two sets of these sizes share if the sets are alike.
+
+    Alike sets share ``least`` tokens or more, so each lacks few of the other's. The prefix that ends first in
+    the order lies, as far as it is shared at all, within the other one.
+    """
+    least = -(-percent * (n_a + n_b) // (100 + percent))
+    return least + -percent * np.maximum(n_a, n_b) // 100 + 1
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values of each of the left arrays are in each of the right ones."""
     owners = [np.repeat(np.arange(len(side)), [len(x) for x in side]) for side in (left, right)]
     values = [np.concatenate(side) for side in (left, right)]
     common = np.intersect1d(*values)
@@ -203,9 +214,9 @@ def _agree(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
             at = np.minimum(np.searchsorted(part, value), len(part) - 1)
             inside = part[at] == value
             held.append(np.zeros((len(side), len(part)), np.float32))
-            held[-1][owner[inside], at[inside]] = 1
-        found += held[0] @ held[1].T
-    return found > 0
+            np.add.at(held[-1], (owner[inside], at[inside]), 1)
+        found += held[0] @ np.minimum(held[1], 1).T
+    return found
 
 
 def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -221,10 +232,12 @@ def candidates(left: list[dict], right: list[dict], percent: int) -> np.ndarray:
     names = [np.array([m["component"] for m in side]) for side in (left, right)]
     smaller, larger = np.minimum.outer(*sizes), np.maximum.outer(*sizes)
     open_pairs = (names[0][:, None] != names[1][None, :]) & (100 * smaller >= percent * larger)
+    needed = needed_in_prefix(sizes[0][:, None], sizes[1][None, :], percent)
     for i in range(len(ORDERS) - 1):
         if not open_pairs.any():
             break
-        open_pairs &= _agree(*[[np.frombuffer(m["others"][i], "<u2") for m in side] for side in (left, right)])
+        prefixes = [[np.frombuffer(m["others"][i], "<u2") for m in side] for side in (left, right)]
+        open_pairs &= _shared(*prefixes) >= needed
     return np.argwhere(open_pairs)
 
 
@@ -258,8 +271,8 @@ def set_links(docs: DataFrame, keys: DataFrame, classes: bytes, size: int, perce
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [
-                all(len(np.intersect1d(*(np.frombuffer(o, "<u2") for o in both), assume_unique=True)) for both in zip(x, y))
-                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+                all(np.isin(*(np.frombuffer(o, "<u2") for o in both)).sum() >= needed_in_prefix(n, m, percent) for both in zip(x, y))
+                for x, y, n, m in zip(*(c.to_pylist() for c in batch.columns[2:]))
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -268,7 +281,7 @@ def set_links(docs: DataFrame, keys: DataFrame, classes: bytes, size: int, perce
         for c, o in (("a", "x"), ("b", "y"))
     ]
     near = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    both = pairs.join(sides[0], "a").join(sides[1], "b").where(near).select("a", "b", "x", "y")
+    both = pairs.join(sides[0], "a").join(sides[1], "b").where(near).select("a", "b", "x", "y", "n_a", "n_b")
     verified = _verified(docs, nodes, checkpointed(both.mapInArrow(agree, _PAIRS)), size, percent)
     named = connected_components(verified).select(F.col("node"), F.col("root").alias("component"))
     groups, members = _open_groups(members, checkpointed(named))
