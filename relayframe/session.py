@@ -14,6 +14,16 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 << 20
 # Rows of a few numbers each stay far below that.
 BROADCAST_ROWS = 200_000
+# Settings of Python workers: a task has one core, and what it frees goes back to the machine, so that
+# workers that are used again do not keep the most that any of their tasks needed.
+WORKER_ENVIRONMENT = {
+    "OPENBLAS_NUM_THREADS": "1",
+    "OMP_NUM_THREADS": "1",
+    "MALLOC_ARENA_MAX": "1",
+    "MALLOC_TRIM_THRESHOLD_": "1048576",
+    "MALLOC_MMAP_THRESHOLD_": "1048576",
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -24,9 +34,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 def share_package(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package from where the driver has it, for checkouts that are not
-    installed. The folder has to be there on every machine; otherwise install the package or ship it with
-    ``--py-files``."""
+    installed, and keep them small. The folder has to be there on every machine; otherwise install the package
+    or ship it with ``--py-files``."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for name, value in WORKER_ENVIRONMENT.items():
+        spark.sparkContext.environment.setdefault(name, value)
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
