@@ -40,7 +40,7 @@ LEAST_LOG_ODDS = 2.5
 SHORTEST, LONGEST = 4, 12
 CONTEXT_CHARS = 60
 MOST_STATES = 50_000
-CACHED_STRINGS = 600_000
+CACHED_STRINGS = 250_000
 
 # Small word lists and marks of the context window, in the languages of the corpus.
 REPORTING = frozenset(
