@@ -44,6 +44,8 @@ ORDERS = (11, 12, 13)
 SETS = 64
 SET_BYTES = 4 << 20
 BLOCKS = 32
+#: Members of a group up to which its pairs are compared one by one.
+FEW = 16
 TOKENS_AT_ONCE = 32_768
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -198,7 +200,8 @@ def needed_in_prefix(n_a, n_b, percent: int):
     the order lies, as far as it is shared at all, within the other one.
     """
     least = -(-percent * (n_a + n_b) // (100 + percent))
-    return least + -percent * np.maximum(n_a, n_b) // 100 + 1
+    larger = np.maximum(n_a, n_b) if isinstance(n_a, np.ndarray) else max(n_a, n_b)
+    return least + -percent * larger // 100 + 1
 
 
 def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -241,6 +244,28 @@ def candidates(left: list[dict], right: list[dict], percent: int) -> np.ndarray:
     return np.argwhere(open_pairs)
 
 
+def pairs_of_group(held: list[dict], percent: int) -> list[tuple[int, int]]:
+    """The same within one small group, as nodes; plain sets cost less here than matrices."""
+    if len(held) > FEW:
+        found = candidates(held, held, percent)
+        return [(held[i]["node"], held[j]["node"]) for i, j in found if held[i]["node"] > held[j]["node"]]
+    held = sorted(held, key=lambda m: m["n"])
+    prefixes = [[np.frombuffer(o, "<u2").tolist() for o in m["others"]] for m in held]
+    values = [[set(o) for o in member] for member in prefixes]
+    found = []
+    for j, large in enumerate(held):
+        for i in range(j - 1, -1, -1):
+            small = held[i]
+            if 100 * small["n"] < percent * large["n"]:
+                break
+            if small["component"] == large["component"]:
+                continue
+            needed = needed_in_prefix(small["n"], large["n"], percent)
+            if all(sum(map(y.__contains__, x)) >= needed for x, y in zip(prefixes[i], values[j])):
+                found.append((max(small["node"], large["node"]), min(small["node"], large["node"])))
+    return found
+
+
 _PAIRS = "a long, b long"
 _GROUP = ["token", "class"]
 
@@ -337,9 +362,7 @@ def _small_groups(members: DataFrame, signatures: DataFrame, percent: int) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for group in batch.column(0):
-                held = group.as_py()
-                found = {(held[i]["node"], held[j]["node"]) for i, j in candidates(held, held, percent) if held[i]["node"] > held[j]["node"]}
-                yield _pairs_batch(sorted(found))
+                yield _pairs_batch(pairs_of_group(group.as_py(), percent))
 
     member = F.struct("node", "component", "n", "others")
     groups = members.join(signatures.select("node", "others"), "node").groupBy(*_GROUP).agg(F.collect_list(member).alias("held"))
@@ -368,10 +391,13 @@ def _large_groups(
             for x, y in zip(batch.column(0), batch.column(1)):
                 sides = x.as_py(), y.as_py()
                 held = [[np.frombuffer(m["shingles"], np.uint64) for m in side] for side in sides]
-                found = candidates(*sides, percent)
-                yield _pairs_batch(
-                    [(sides[0][i]["node"], sides[1][j]["node"]) for i, j in found if _alike(held[0][i], held[1][j], percent)]
-                )
+                linked = {}
+                for i, j in candidates(*sides, percent):
+                    # One link joins two components.
+                    names = sides[0][i]["component"], sides[1][j]["component"]
+                    if names not in linked and _alike(held[0][i], held[1][j], percent):
+                        linked[names] = sides[0][i]["node"], sides[1][j]["node"]
+                yield _pairs_batch(list(linked.values()))
 
     return left.join(right, [*_GROUP, "salt"]).select("rest", "every").mapInArrow(run, _PAIRS)
 

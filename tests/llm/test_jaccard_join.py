@@ -93,6 +93,30 @@ def test_star_of_edits_in_blocks(spark, tmp_path, monkeypatch):
     check(spark, tmp_path, families(2, 1, 60, 4))
 
 
+def test_small_groups_propose_the_same_pairs(monkeypatch):
+    rng = np.random.default_rng(2)
+    held = []
+    for node in range(14):
+        n = int(rng.integers(20, 30))
+        others = [rng.integers(0, 6, 4, dtype=np.uint16).astype("<u2").tobytes() for _ in range(2)]
+        held.append({"node": node, "component": node // 2, "n": n, "others": others})
+    def shared(x, y):
+        x, y = (np.frombuffer(o, "<u2").tolist() for o in (x, y))
+        return min(sum(v in y for v in x), sum(v in x for v in y))
+
+    needed = {
+        (a["node"], b["node"])
+        for a in held
+        for b in held
+        if a["node"] > b["node"] and a["component"] != b["component"]
+        and 100 * min(a["n"], b["n"]) >= 90 * max(a["n"], b["n"])
+        and all(shared(x, y) >= jaccard_join.needed_in_prefix(a["n"], b["n"], 90) for x, y in zip(a["others"], b["others"]))
+    }
+    assert needed and needed <= set(jaccard_join.pairs_of_group(held, 90))
+    monkeypatch.setattr(jaccard_join, "FEW", 0)
+    assert needed <= set(jaccard_join.pairs_of_group(held, 90))
+
+
 def test_prefixes_meet_under_every_order():
     rng = np.random.default_rng(1)
     classes = rng.integers(0, 3, jaccard_join.SLOTS, dtype=np.uint8)
