@@ -95,16 +95,18 @@ def group_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     ends_a: list[int] = []
     ends_b: list[int] = []
     while i < len(a):
-        width, grows = 1, True
+        width, grows, shift, at = 2, True, j - i, i
         while width:
-            found = a[i : i + width]
-            if found and found == b[j : j + width]:
-                ends_a.extend(range(i + 1, i + len(found) + 1))
-                ends_b.extend(range(j + 1, j + len(found) + 1))
-                i, j = i + len(found), j + len(found)
+            found = a[at : at + width]
+            if found and found == b[at + shift : at + shift + width]:
+                at += len(found)
                 width = width * 2 if grows else width // 2
             else:
                 grows, width = False, width // 2
+        if at > i:
+            ends_a.extend(range(i + 1, at + 1))
+            ends_b.extend(range(j + 1, at + shift + 1))
+            i, j = at, at + shift
         if i == len(a):
             break
         end_a, end_b = a[i], b[j]
@@ -146,15 +148,23 @@ def _links(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray)
     return pairs, counts, int((n_a * n_b).sum())
 
 
-def _groups_text(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> str:
-    found, i, j = [], 0, 0
-    for end_a, end_b in zip(ends_a, ends_b):
-        if end_a == i + 1 and end_b == j + 1:
-            found.append(f"{a[i]}|{b[j]}")
-        else:
-            found.append(f"{','.join(map(str, a[i:end_a]))}|{','.join(map(str, b[j:end_b]))}")
-        i, j = end_a, end_b
-    return ";".join(found)
+@functools.lru_cache(maxsize=1)
+def _written(size: int) -> list[str]:
+    """Ids as they are written: inside a side of a group, last of the first side, last of the second."""
+    return [f"{i}{end}" for end in ",|;" for i in range(size)]
+
+
+def _groups_text(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> str:
+    size = int(max(a.max(), b.max())) // 65_536 * 65_536 + 65_536
+    a, b = a.copy(), b.copy()
+    a[ends_a - 1] += size
+    b[ends_b - 1] += 2 * size
+    # Each token stands behind those of its own side before it and the other side's earlier groups.
+    starts_b = np.concatenate([[0], ends_b[:-1]])
+    written = np.empty(len(a) + len(b), np.int64)
+    written[np.arange(len(a)) + np.repeat(starts_b, np.diff(ends_a, prepend=0))] = a
+    written[np.arange(len(b)) + np.repeat(ends_a, np.diff(ends_b, prepend=0))] = b
+    return "".join(map(_written(size).__getitem__, written.tolist()))[:-1]
 
 
 _EMPTY = np.zeros(0, np.int64)
@@ -169,12 +179,12 @@ def align_text(text: str | None, path_a: str, path_b: str) -> tuple:
     whole = " " + text
     a, b = one.encode(whole), other.encode(text)
     data = whole.encode()
-    if any(b"".join(map(t.bytes.__getitem__, ids)) != data for t, ids in ((one, a), (other, b))):
+    if one.model.core.decode_bytes(a) != data or b"".join(map(other.bytes.__getitem__, b)) != data:
         return _NOTHING
     ids = [np.array(x, np.int64) for x in (a, b)]
-    ends_a, ends_b = group_ends(*(np.cumsum(n[x]).tolist() for n, x in zip(lengths, ids)))
-    pairs, counts, n_links = _links(*ids, np.array(ends_a), np.array(ends_b))
-    return len(a), len(b), len(ends_a), n_links, _groups_text(a, b, ends_a, ends_b), pairs, counts
+    ends = [np.array(e) for e in group_ends(*(np.cumsum(n[x]).tolist() for n, x in zip(lengths, ids)))]
+    pairs, counts, n_links = _links(*ids, *ends)
+    return len(a), len(b), len(ends[0]), n_links, _groups_text(*ids, *ends), pairs, counts
 
 
 def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
