@@ -32,16 +32,30 @@ def bytes_field(value: Column, raw: Column) -> Column:
 
     ``value`` is the field as a variant, which tells its kind, and ``raw`` the same field read as text.
     """
-    kind = F.schema_of_variant(value)
     return (
         F.when(value.isNull() | F.is_variant_null(value), F.lit(None).cast("binary"))
-        .when(kind == "STRING", F.unbase64(value.cast("string")))
+        .when(F.schema_of_variant(value) == "STRING", F.unbase64(value.cast("string")))
+        .when(_is_plain_number(value), value.cast("string").cast("binary"))
         .otherwise(raw.cast("binary"))
     )
 
 
+def _is_plain_number(value: Column) -> Column:
+    """Whole numbers are written in one way only, but for a zero, which may have a sign."""
+    is_whole = F.schema_of_variant(value) == "BIGINT"
+    return is_whole & (F.when(is_whole, F.try_variant_get(value, "$", "bigint")) != 0)
+
+
+def needs_raw_text(value: Column) -> Column:
+    """Whether a bytes field is something else than null, text or a plain number."""
+    told = value.isNull() | F.is_variant_null(value) | (F.schema_of_variant(value) == "STRING") | _is_plain_number(value)
+    return ~F.coalesce(told, F.lit(False))
+
+
 def _raw_values(text: str | None, names: list[str]) -> list[str | None]:
     """The text of an object's members as it stands there; nulls for what is absent or not an object."""
+    if text is None:
+        return [None] * len(names)
     found: dict[str, str] = {}
     read, blank = json.JSONDecoder().raw_decode, re.compile(r"[ \t\r\n]*")
     try:

@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relayframe.functions.payload import bytes_field, raw_members
+from relayframe.functions.payload import bytes_field, needs_raw_text, raw_members
 from relayframe.functions.times import MILLIS, RFC3339, TIME_FORMATS, decode_time
 
 # A decoder turns (value, target) into a struct column with the target's fields.
@@ -73,7 +74,9 @@ def json_decoder(time_format: str = MILLIS, mode: str = "FAILFAST") -> Decoder:
         if strict and [f.dataType for f in wire] == [f.dataType for f in target.fields]:
             return parsed
         written = [f.name for f in target.fields if isinstance(f.dataType, T.BinaryType)]
-        raw = raw_members(value.cast("string"), written) if written else None
+        # Only records with such a field are read as they are written; others pass as nulls.
+        odd = reduce(Column.__or__, [needs_raw_text(parsed[n]) for n in written]) if written else None
+        raw = raw_members(F.when(odd, value.cast("string")), written) if written else None
         fields = [
             _from_wire(
                 parsed[f.name],
