@@ -210,19 +210,20 @@ ORACLE: dict[str, str] = {
     """,
     "op6_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+            SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+            FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ),
         s AS (
-            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
-            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+            SELECT q.n, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.n <> c.n
         ),
         r AS (
-            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+            SELECT query_id, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id)::INTEGER AS rank,
                    vec_id, score
             FROM s
         )
-        SELECT * FROM r WHERE rank <= 5
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
 }

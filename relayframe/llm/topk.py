@@ -10,9 +10,10 @@ Components are whole numbers, floor(256 * x), so scores are exact: products beyo
 double are taken with Python's integers.
 
 Defined results: a vector that is null or holds a null or a component that is not finite takes no part,
-nor does a row with a null id. Vectors of different lengths are not compared. Rows of one id are never
-each other's neighbours, and an id asked for several times is asked once, with its greatest vector.
-Scores beyond 64 bits are held at the bounds. Other columns are not looked at.
+nor does a row with a null id. Vectors of different lengths are not compared. A query's candidates are all
+rows but its own row, also others of its id; every row that asks is a query of its own, so an id that asks
+in several rows has the ranks of each. Scores beyond 64 bits are held at the bounds. Other columns are not
+looked at.
 """
 
 from __future__ import annotations
@@ -26,17 +27,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from relayframe.llm.common import partitions_for
-from relayframe.session import BROADCAST_ROWS, checkpointed
+from relayframe.session import checkpointed, lookup_join
 
 SCALE = 256
 QUERY_BLOCK = 512
 ROW_BLOCK = 8_192
+PLACE_BITS = 14  # a block holds fewer than twice ROW_BLOCK rows
 SEGMENTS = (4, 16)
 EXACT = 2.0**53
 
 
-def _quantised(column: pa.Array, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids and vectors of the valid rows, by length."""
+def _quantised(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places and vectors of the valid rows, by length."""
     column = column.cast(pa.list_(pa.float64()))
     values = column.flatten().to_numpy(zero_copy_only=False)
     lengths = np.diff(column.offsets.to_numpy())
@@ -46,35 +48,71 @@ def _quantised(column: pa.Array, ids: np.ndarray) -> Iterator[tuple[np.ndarray,
         rows = np.flatnonzero(lengths == n)
         vectors = values[starts[rows][:, None] + np.arange(n)]
         finite = np.isfinite(vectors).all(axis=1)
-        yield ids[rows[finite]], np.floor(SCALE * vectors[finite])
+        yield rows[finite], np.floor(SCALE * vectors[finite])
 
 
-def _blocks(size: int):
-    """Packs rows of ``id, vector`` into rows of ``block, dim, ids, vectors``."""
+ASKED = "row long, id long, dim int, vector binary"
+BLOCK = "block long, dim int, rows binary, ids binary, asks binary, vectors binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, made = TaskContext.get().partitionId(), 0
-        held: dict[int, list] = {}
-
-        def row(parts: list) -> pa.RecordBatch:
-            nonlocal made
-            ids, vectors = (np.concatenate(x) for x in zip(*parts))
-            made += 1
-            columns = [pa.array([task << 24 | made], pa.int64()), pa.array([vectors.shape[1]], pa.int32())]
-            columns += [pa.array([x.tobytes()], pa.binary()) for x in (ids, vectors)]
-            return pa.RecordBatch.from_arrays(columns, ["block", "dim", "ids", "vectors"])
 
-        for batch in batches:
-            for ids, vectors in _quantised(batch.column(1), batch.column(0).to_numpy()):
-                for at in range(0, len(ids), size):
-                    parts = held.setdefault(vectors.shape[1], [])
-                    parts.append((ids[at : at + size], vectors[at : at + size]))
-                    if sum(len(i) for i, _ in parts) >= size:
-                        yield row(held.pop(vectors.shape[1]))
-        for parts in held.values():
-            yield row(parts)
-
-    return run
+def _packed(parts: list, block: int) -> pa.RecordBatch:
+    """One row of ``BLOCK`` of (rows, ids, asks, vectors) parts; rows None: numbered by their place."""
+    ids, asks, vectors = (np.concatenate(x) for x in zip(*(p[1:] for p in parts)))
+    if parts[0][0] is None:
+        rows = np.int64(block) << PLACE_BITS | np.arange(len(ids))
+    else:
+        rows = np.concatenate([p[0] for p in parts])
+    columns = [pa.array([block], pa.int64()), pa.array([vectors.shape[1]], pa.int32())]
+    columns += [pa.array([x.tobytes()], pa.binary()) for x in (rows, ids, asks, vectors)]
+    return pa.RecordBatch.from_arrays(columns, ["block", "dim", "rows", "ids", "asks", "vectors"])
+
+
+def _row_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packs rows of ``id, vector, asks`` into blocks; a row's number is its block's and its place in it."""
+    block = TaskContext.get().partitionId() << 24
+    held: dict[int, list] = {}
+    for batch in batches:
+        ids, asks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
+        for places, vectors in _quantised(batch.column(1)):
+            for at in range(0, len(places), ROW_BLOCK):
+                mine, dim = places[at : at + ROW_BLOCK], vectors.shape[1]
+                parts = held.setdefault(dim, [])
+                parts.append((None, ids[mine], asks[mine].astype(bool), vectors[at : at + ROW_BLOCK]))
+                if sum(len(p[1]) for p in parts) >= ROW_BLOCK:
+                    block += 1
+                    yield _packed(held.pop(dim), block)
+    for parts in held.values():
+        block += 1
+        yield _packed(parts, block)
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``BLOCK`` that ask, one by one."""
+    for batch in batches:
+        for _, dim, rows, ids, asks, vectors in zip(*batch.columns):
+            n = dim.as_py()
+            some = np.flatnonzero(np.frombuffer(asks.as_py(), bool))
+            rows, ids = (np.frombuffer(x.as_py(), np.int64)[some] for x in (rows, ids))
+            vectors = np.frombuffer(vectors.as_py()).reshape(-1, n)[some]
+            columns = [pa.array(rows), pa.array(ids), pa.array([n] * len(some), pa.int32())]
+            columns.append(pa.array([v.tobytes() for v in vectors], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["row", "id", "dim", "vector"])
+
+
+def _query_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packs rows of ``ASKED`` into blocks."""
+    block = TaskContext.get().partitionId() << 24
+    held: dict[int, list] = {}
+    for batch in batches:
+        for row, id_, dim, vector in zip(*(c.to_pylist() for c in batch.columns)):
+            parts = held.setdefault(dim, [])
+            parts.append((np.array([row]), np.array([id_]), np.array([True]), np.frombuffer(vector).reshape(1, -1)))
+            if len(parts) == QUERY_BLOCK:
+                block += 1
+                yield _packed(held.pop(dim), block)
+    for parts in held.values():
+        block += 1
+        yield _packed(parts, block)
 
 
 def segment_statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
@@ -107,13 +145,13 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def block_top_k(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, beat: np.ndarray
+    asked: np.ndarray, queries: np.ndarray, numbers: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, beat: np.ndarray
 ) -> Iterator[tuple[int, int, int]]:
-    """(query id, id, score) of rows that may be among a query's k best. ``beat`` holds the k-th best score
-    of each query so far and is raised."""
+    """(place of the query, id, score) of rows that may be among a query's k best. ``asked`` and ``numbers``
+    are the row numbers of both sides. ``beat`` holds the k-th best score of each query so far and is raised."""
     slack = 1e-9 * (1 + np.linalg.norm(queries, axis=1).max() * np.linalg.norm(rows, axis=1).max())
     bound = segment_statistics(queries, SEGMENTS[0]) @ segment_statistics(rows, SEGMENTS[0]).T + slack
-    own = query_ids[:, None] == ids[None, :]
+    own = asked[:, None] == numbers[None, :]
     bound[own] = -np.inf
     # The rows of the highest bounds give a first score to beat.
     if len(ids) > 4 * k:
@@ -135,48 +173,47 @@ def block_top_k(
     for q in range(len(queries)):
         mine = np.flatnonzero(alive[q, some])
         for i in mine[_best(scores[q, mine], ids[some[mine]], k)]:
-            yield int(query_ids[q]), int(ids[some[i]]), max(-(2**63), min(2**63 - 1, int(scores[q, i])))
+            yield q, int(ids[some[i]]), max(-(2**63), min(2**63 - 1, int(scores[q, i])))
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: for each query its k highest inner products among all other rows."""
     spark = vectors.sparkSession
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"), is_query.alias("asks"))
+    asks = F.coalesce(is_query, F.lit(False)).alias("asks")
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"), asks)
     rows = rows.where("id is not null")
-    shape = "block long, dim int, ids binary, vectors binary"
     tasks = partitions_for(rows.count(), ROW_BLOCK)
-    blocks = checkpointed(rows.select("id", "vector").repartition(tasks).mapInArrow(_blocks(ROW_BLOCK), shape))
-    asked = rows.where("asks").groupBy("id").agg(F.max("vector").alias("vector"))
-    asked = asked.repartition(partitions_for(asked.count(), QUERY_BLOCK)).mapInArrow(_blocks(QUERY_BLOCK), shape)
-    queries = checkpointed(asked).select(
-        F.col("block").alias("asked"), "dim", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries")
+    blocks = checkpointed(rows.repartition(tasks).mapInArrow(_row_blocks, BLOCK))
+    asked = checkpointed(blocks.mapInArrow(_asked, ASKED))
+    asked = asked.repartition(partitions_for(asked.count(), QUERY_BLOCK))
+    queries = checkpointed(asked.mapInArrow(_query_blocks, BLOCK)).select(
+        F.col("block").alias("asked"), "dim", F.col("rows").alias("query_rows"), F.col("ids").alias("query_ids"), F.col("vectors").alias("queries")
     )
     # Every block of queries meets every block of rows of its length; the list of blocks is two numbers each.
     places = blocks.select("block", "dim")
-    n_blocks = places.count()
-    pairs = queries.join(F.broadcast(places) if n_blocks <= BROADCAST_ROWS else places, "dim")
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_blocks)
+    pairs = lookup_join(queries, places, ["dim"], "inner")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), places.count())
     pairs = (
         pairs.drop("dim")
         .repartition(tasks, "block", "asked")
         .join(blocks, "block")
-        .select("asked", "query_ids", "queries", "dim", "ids", "vectors")
+        .select("asked", "query_rows", "query_ids", "queries", "dim", "rows", "ids", "vectors")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         beat: dict[int, np.ndarray] = {}
         for batch in batches:
-            for asked, query_ids, queries, dim, ids, vectors in zip(*batch.columns):
-                qi, ci = (np.frombuffer(x.as_py(), np.int64) for x in (query_ids, ids))
+            for asked, query_rows, query_ids, queries, dim, rows, ids, vectors in zip(*batch.columns):
+                qr, qi, cr, ci = (np.frombuffer(x.as_py(), np.int64) for x in (query_rows, query_ids, rows, ids))
                 q, c = (np.frombuffer(x.as_py()).reshape(-1, dim.as_py()) for x in (queries, vectors))
-                best = beat.setdefault(asked.as_py(), np.full(len(qi), -np.inf))
-                found = list(block_top_k(qi, q, ci, c, k, best))
-                columns = zip(*found) if found else [[]] * 3
+                best = beat.setdefault(asked.as_py(), np.full(len(qr), -np.inf))
+                found = [(qr[n], qi[n], i, s) for n, i, s in block_top_k(qr, q, cr, ci, c, k, best)]
+                columns = zip(*found) if found else [[]] * 4
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, pa.int64()) for x in columns], ["query_id", "vec_id", "score"]
+                    [pa.array(x, pa.int64()) for x in columns], ["query_row", "query_id", "vec_id", "score"]
                 )
 
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = pairs.mapInArrow(run, "query_row long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

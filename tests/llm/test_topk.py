@@ -7,22 +7,13 @@ from relayframe.llm import topk
 
 
 def brute_force(rows, k, step):
-    whole = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            whole.setdefault(i, []).append([math.floor(256 * x) for x in v])
+    valid = [(i, v) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in valid]
     out = []
-    for q in whole:
+    for n, (q, asked) in enumerate(whole):
         if q % step == 0:
-            asked = max(whole[q])
-            scores = [
-                (-sum(a * b for a, b in zip(asked, v)), i)
-                for i in whole
-                if i != q
-                for v in whole[i]
-                if len(v) == len(asked)
-            ]
-            out += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(scores)[:k], 1)]
+            scores = [(-sum(a * b for a, b in zip(asked, v)), i) for m, (i, v) in enumerate(whole) if m != n and len(v) == len(asked)]
+            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(sorted(scores)[:k], 1)]
     return sorted(out)
 
 
@@ -51,3 +42,11 @@ def test_large_components_stay_exact(spark):
     for case in (rows[:12], small):
         want = [(q, n, i, max(-(2**63), min(2**63 - 1, s))) for q, n, i, s in brute_force(case, 3, 5)]
         assert run(spark, [(*r, None, None, None) for r in case], k=3) == want
+
+
+def test_rows_that_take_no_part_do_not_silence_their_id(spark):
+    rows = [(50, [float("nan"), 1.0]), (50, [1.0, 1.0]), (1, [1.0, 0.0]), (2, [0.5, 0.5]), (50, None), (55, [2.0, 1.0]), (55, [2.0, 1.0])]
+    got = run(spark, [(*r, None, None, None) for r in rows])
+    assert got == brute_force(rows, 5, 5)
+    assert [r[2] for r in got if r[0] == 50] == [55, 55, 1, 2]
+    assert [r[1:3] for r in got if r[0] == 55 and r[1] == 1] == [(1, 55), (1, 55)]
