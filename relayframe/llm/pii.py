@@ -62,6 +62,9 @@ KINDS = [*GENERATORS, "part"]
 NEEDS = {"email": "@", "phone": "+"}
 
 CONTEXT_CHARS = 40
+#: At least the longest match of a part, and the context before it.
+LONGEST_PART = 60
+STRETCH = 200
 PRECISION = 0.8
 ROUNDS = 40
 SHRINKAGE = 0.3
@@ -161,41 +164,61 @@ def _proposal(kind: int, part: Column, at: Column) -> Column:
 
 
 def _parts(each: DataFrame) -> DataFrame:
-    """Candidates of kind ``part`` inside those of kind ``number``."""
-    run, lists = F.col("match"), []
-    for i, pattern in enumerate(PARTS.values()):
-        # An empty match before each part, so that parts may overlap; the blank keeps it off the start.
-        starts = rf"(?<![0-9(])(?={pattern}(?![0-9]))"
-        held = F.regexp_extract_all(run, F.lit(rf"(?<![0-9(])(?=({pattern})(?![0-9]))"), F.lit(1))
-        steps = F.split(F.concat(F.lit(" "), run), starts, -1)
-        zipped = F.arrays_zip(held.alias("part"), F.slice(steps, F.lit(1), F.size(held)).alias("step"))
-        lists.append(F.transform(zipped, partial(_part, i)))
-    start = F.col("end") - F.length("match")
+    """Candidates of kind ``part`` inside those of kind ``number``.
+
+    A run of numbers is cut into stretches that carry ``LONGEST_PART`` characters of both neighbours, so a
+    part is found where it starts and rows stay short however long the run is.
+    """
+    run = F.col("match")
     is_run = (F.col("kind") == KINDS.index("number")) & run.rlike("[^0-9]") & (F.length(F.regexp_replace(run, "[^0-9]", "")) > 9)
-    runs = each.where(is_run).select(
-        "row", "id", "kind", start.alias("first"), run.alias("whole"), "before", "after", F.explode(F.concat(*lists)).alias("p")
+    cut = each.where(is_run).select(
+        "row",
+        "id",
+        (F.col("end") - F.length(run)).alias("first"),
+        F.length(run).alias("long"),
+        "before",
+        "after",
+        F.regexp_extract_all(run, F.lit(f"(?s).{{1,{STRETCH}}}"), F.lit(0)).alias("own"),
+    )
+    none = F.array(F.lit(""))
+    zipped = F.arrays_zip(
+        F.concat(none, F.slice("own", F.lit(1), F.size("own") - 1)).alias("left"),
+        F.col("own"),
+        F.concat(F.slice("own", F.lit(2), F.size("own")), none).alias("right"),
+    )
+    stretches = cut.select("row", "id", "first", "long", "before", "after", F.posexplode(zipped).alias("n", "s")).select(
+        "*",
+        F.right("s.left", F.lit(LONGEST_PART)).alias("prior"),
+        # The blank gives the first character one before it.
+        F.concat(F.lit(" "), F.right("s.left", F.lit(LONGEST_PART)), "s.own", F.left("s.right", F.lit(LONGEST_PART))).alias("piece"),
     )
-    passed = Window.partitionBy("row", "kind", "first", "p.shape").orderBy("p.at").rowsBetween(Window.unboundedPreceding, 0)
-    runs = runs.withColumn("from", F.sum("p.step").over(passed) - 1)
-    part = F.col("p.part")
-    placed = runs.where(F.length(part) < F.length("whole")).select(
+    lowest = F.length("prior") + 2
+
+    def char(at: Column) -> Column:
+        return F.substr("piece", at, F.lit(1))
+
+    def opens(at: Column) -> Column:
+        return char(at).between("0", "9") | (char(at) == "(")
+
+    places = F.sequence(lowest, lowest + F.length("s.own") - 1)
+    borders = F.filter(places, lambda at: opens(at) & ~opens(at - 1))
+    placed = stretches.withColumn("at", F.explode(borders))
+    tail = F.substr("piece", F.col("at"), F.lit(LONGEST_PART + 1))
+    shapes = [F.regexp_extract(tail, f"^({pattern})(?![0-9])", 1) for pattern in PARTS.values()]
+    # One candidate a place, whatever shapes it has; a whole run is a candidate already.
+    found = F.array_distinct(F.filter(F.array(*shapes), lambda p: F.length(p).between(F.lit(1), F.col("long") - 1)))
+    offset = F.col("n").cast("long") * STRETCH + F.col("at") - lowest
+    part = F.col("part")
+    return placed.withColumn("part", F.explode(found)).select(
         "row",
         "id",
         F.lit(KINDS.index("part")).alias("kind"),
         F.lit(0).alias("at"),
         part.alias("match"),
         F.lit(0).alias("gap"),
-        F.right(F.concat("before", F.substr("whole", F.lit(1), F.col("from").cast("int"))), F.lit(CONTEXT_CHARS)).alias("before"),
-        F.left(F.concat(F.substr("whole", (F.col("from") + F.length(part) + 1).cast("int"), F.lit(1)), "after"), F.lit(1)).alias("after"),
-        (F.col("first") + F.col("from") + F.length(part)).alias("end"),
-    )
-    # One candidate a place, whatever shapes it has.
-    return placed.dropDuplicates(["row", "end", "match"])
-
-
-def _part(shape: int, part: Column, at: Column) -> Column:
-    return F.struct(
-        F.lit(shape).alias("shape"), at.alias("at"), part.getField("part").alias("part"), F.length(part.getField("step")).alias("step")
+        F.right(F.concat("before", F.substr("piece", F.lit(2), F.col("at") - 2)), F.lit(CONTEXT_CHARS)).alias("before"),
+        F.left(F.concat(char(F.col("at") + F.length(part)), "after"), F.lit(1)).alias("after"),
+        (F.col("first") + offset + F.length(part)).alias("end"),
     )
 
 
