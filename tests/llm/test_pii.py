@@ -81,3 +81,21 @@ def test_values_beside_other_numbers_are_found(spark):
     for i, text in enumerate(texts):
         at = text.index(cases[text])
         assert (at, at + len(cases[text])) in {(s.start, s.end) for s in found[i]}, (text, found[i])
+
+
+def test_parts_of_long_runs_match_plain_patterns(spark):
+    """Runs are cut into stretches; no part is lost or made at their ends."""
+    rng = random.Random(11)
+    marks = [" ", " ", "-", ".", ") ", "(", "/", "", " ("]
+    texts = ["".join(str(rng.randrange(10 ** rng.randint(1, 4))) + rng.choice(marks) for _ in range(700)) + "0" for _ in range(6)]
+    texts += ["1 " * 3_000, "4111 1111 1111 1111 " * 60]
+    rows = pii.candidates(documents(spark, texts)).where(f"kind = {pii.KINDS.index('part')}").select("id", "start", "end").collect()
+    want = set()
+    for i, text in enumerate(texts):
+        for run in re.finditer(pii.WIDE["number"], text):
+            if len(re.sub("[^0-9]", "", run[0])) > 9:
+                for pattern in pii.PARTS.values():
+                    for m in re.finditer(rf"(?<![0-9(])(?=({pattern})(?![0-9]))", run[0]):
+                        if len(m[1]) < len(run[0]):
+                            want.add((i, run.start() + m.start(), run.start() + m.end(1)))
+    assert len(rows) == len(want) and {tuple(r) for r in rows} == want
