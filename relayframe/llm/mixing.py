@@ -2,9 +2,12 @@
 
 Every row of a source gets the same expected number of copies, its source's target over its source's
 size. The fractional parts are rounded in pairs: a random transfer moves mass from one row to the other
-until one is whole, so that the words the pair takes do not change. What is left of each task, one
-fraction a source, meets in a tree of further rounds. A source's taken words therefore differ from its
-target by less than one row's words, and no row ever needs its source to be in one place.
+until one is whole, so that the words the pair takes do not change. Pairs are rows of one source and one
+size class (sizes between two powers of two). What is left of each task, one fraction a source and class,
+meets in a tree of further rounds. In the last one the fractions left over are settled from the largest
+row down: each is paired with all smaller ones of its source together, which take what it leaves. So a
+source's taken words differ from its target by about one of its smallest rows, unless one row is larger
+than all that could make up for it, and no row ever needs its source to be in one place.
 
 Rows that agree in source, id, size and text form a unit with a count; a unit of any size is rounded at
 once, so repeated rows cost no more than one.
@@ -33,6 +36,8 @@ TOTAL_SHARE = 1.5
 MOST_COPIES = 2.0
 UNITS_PER_TASK = 250_000
 TREE_FAN_IN = 64
+#: Fractions of a source and size class that the last round keeps to settle from the largest down.
+KEPT = 8
 UNIT_KEYS = ["source", "id", "size", "text_hash"]
 ROUNDED = "source string, id long, size long, text_hash long, copies long, rows long, fraction double"
 
@@ -85,9 +90,44 @@ def _is_whole(fraction: float) -> bool:
     return not 1e-12 < fraction < 1 - 1e-12
 
 
+def _settle(units: list[_Unit], draw) -> list[_Unit]:
+    """Whole copies for all units of a source, from the largest down: a unit is paired with all smaller ones
+    together, whose fractions move by as much each until it is whole. ``draw`` gives a number for a unit.
+
+    Where a fraction would leave 0 to 1 that way they move towards 0 or 1 in proportion; where they cannot
+    make up for the unit at all, the end that leaves less over is taken."""
+    left = sorted(units, key=lambda u: (-u.key[2], repr(u.key)))
+    done = []
+    while left:
+        unit, left = left[0], left[1:]
+        size, f = unit.key[2], unit.fraction
+        taken = math.fsum(u.fraction * u.key[2] for u in left)
+        words = sum(u.key[2] for u in left)
+        over = {1: (1 - f) * size, 0: -f * size}  # words that the rest takes less
+        missing = {1: max(0.0, over[1] - taken), 0: max(0.0, -over[0] - (words - taken))}
+        up = int(draw(unit) < f)
+        if missing[up] > 1e-9 and missing[1 - up] < missing[up]:
+            up = 1 - up
+        done.append(unit._replace(fraction=float(up)))
+        if not left:
+            break
+        moved = [u.fraction - over[up] / words for u in left]
+        if not all(0 <= m <= 1 for m in moved):
+            if up:
+                rest = max(0.0, 1 - over[up] / taken) if taken else 0.0
+                moved = [u.fraction * rest for u in left]
+            else:
+                rest = max(0.0, 1 + over[up] / (words - taken)) if words > taken else 0.0
+                moved = [1 - (1 - u.fraction) * rest for u in left]
+        left = [u._replace(fraction=m) for u, m in zip(left, moved)]
+    return done
+
+
 def _rounder(seed: int, step: int, last: bool):
+    kept = KEPT if last else 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[str | None, _Unit] = {}  # one fraction for each source
+        waiting: dict[tuple[str | None, int], list[_Unit]] = {}  # up to ``kept`` fractions of a source and size class
         for batch in batches:
             out: list[tuple] = []
             for source, id_, size, text_hash, whole, rows, fraction in zip(*(c.to_pylist() for c in batch.columns)):
@@ -103,24 +143,26 @@ def _rounder(seed: int, step: int, last: bool):
                 if size == 0 or _is_whole(fraction):
                     out.append((*key, whole + round(fraction) * (size > 0), 1, None))
                     continue
-                other = waiting.pop(source, None)
-                if other is None:
-                    waiting[source] = unit
-                    continue
-                for moved in _transfer(other, unit, _uniform(seed, step, other.key, key)):
-                    if _is_whole(moved.fraction):
-                        out.append((*moved.key, moved.whole + round(moved.fraction), 1, None))
-                    else:
-                        waiting[source] = moved
+                mine = waiting.setdefault((source, size.bit_length()), [])
+                mine.append(unit)
+                if len(mine) > kept:
+                    pair = mine.pop(0), mine.pop()
+                    for moved in _transfer(*pair, _uniform(seed, step, pair[0].key, pair[1].key)):
+                        if _is_whole(moved.fraction):
+                            out.append((*moved.key, moved.whole + round(moved.fraction), 1, None))
+                        else:
+                            mine.insert(0, moved)
             yield _batch(out)
-        rest = []
-        for unit in waiting.values():
-            if last:
-                up = _uniform(seed, step + 1, unit.key) < unit.fraction
-                rest.append((*unit.key, unit.whole + up, 1, None))
-            else:
-                rest.append((*unit.key, unit.whole, 1, unit.fraction))
-        yield _batch(rest)
+        rest = [u for units in waiting.values() for u in units]
+        if last:
+            by_source: dict[str | None, list[_Unit]] = {}
+            for unit in rest:
+                by_source.setdefault(unit.key[0], []).append(unit)
+            for units in by_source.values():
+                settled = _settle(units, lambda u: _uniform(seed, step + 1, u.key))
+                yield _batch([(*u.key, u.whole + round(u.fraction), 1, None) for u in settled])
+        else:
+            yield _batch([(*u.key, u.whole, 1, u.fraction) for u in rest])
 
     return run
 
