@@ -10,8 +10,8 @@ Each match is weighed by its context window: between quotation marks or beside r
 as quoted, beside words of address as abuse. A logistic model over these sums, the term weights and the
 text's length gives the score.
 
-The fit uses at most ``TRAIN_ROWS`` labelled rows, the first in a fixed hash order of their ids, and at
-most ``MOST_TERMS`` terms; both are parameters. Scoring reads every word of every text.
+The fit uses at most ``TRAIN_ROWS`` labelled rows, the first in a fixed hash order of their ids. Terms are
+bounded by evidence alone, see ``CHANCE_TERMS``. Scoring reads every word of every text.
 
 Defined results: a null or empty text has no matches and gets the model's score of that; without
 labelled rows of both kinds every score is 0. Rows with a null id or label are not learned from. Labels
@@ -20,6 +20,8 @@ are never joined to scored rows. Repeated rows are scored alike; other columns a
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import re
 import unicodedata
@@ -34,9 +36,10 @@ from pyspark.sql import functions as F
 from relayframe.session import checkpointed
 
 TRAIN_ROWS = 20_000
-MOST_TERMS = 2_000
-LEAST_DOCS = 6
 LEAST_LOG_ODDS = 2.5
+LEAST_DOCS = 2  # the words of one document are no evidence of their own each
+#: Terms that chance alone would let through, expected over the whole lexicon.
+CHANCE_TERMS = 50.0
 SHORTEST, LONGEST = 4, 12
 CONTEXT_CHARS = 60
 MOST_STATES = 50_000
@@ -265,7 +268,13 @@ def is_training(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string")) % 4 != 2
 
 
-def _learned_terms(train: DataFrame, most_terms: int) -> list[Term]:
+def _learned_terms(train: DataFrame) -> list[Term]:
+    """Words and beginnings of words that toxic documents hold more often than chance explains.
+
+    The chance that so many of a term's documents are toxic, at the share of toxic ones among all, is at most
+    exp(-documents * divergence of both shares). Terms for which that times the number of terms stays
+    below ``CHANCE_TERMS`` are learned, so how many documents a term needs follows from the size of the training set.
+    """
     counts = {r.toxic: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,18 +293,25 @@ def _learned_terms(train: DataFrame, most_terms: int) -> list[Term]:
     )
     n_toxic, n_clean = counts.get(1, 0), counts.get(0, 0)
     odds = F.log((F.col("hit") + 0.5) / (n_toxic + 1)) - F.log((F.col("miss") + 0.5) / (n_clean + 1))
-    found = (
+    counted = checkpointed(
         whole.unionByName(stems.distinct())
         .groupBy("term", "is_stem")
         .agg(F.sum("toxic").alias("hit"), F.sum(1 - F.col("toxic")).alias("miss"))
-        .where(F.col("hit") >= LEAST_DOCS)
+    )
+    n_terms = counted.count()
+    base = min(max(n_toxic / max(n_toxic + n_clean, 1), 1e-9), 1 - 1e-9)
+    share = F.col("hit") / (F.col("hit") + F.col("miss"))
+    clean = F.when(F.col("miss") > 0, F.col("miss") * F.log((1 - share) / (1 - base))).otherwise(0.0)
+    evidence = F.col("hit") * F.log(share / base) + clean
+    found = (
+        counted.where(F.col("hit") >= LEAST_DOCS)
         .withColumn("weight", odds)
-        .where(F.col("weight") >= LEAST_LOG_ODDS)
+        .where((F.col("weight") >= LEAST_LOG_ODDS) & (evidence >= math.log(max(n_terms, 1) / CHANCE_TERMS)))
         .orderBy(F.desc("weight"), F.desc("hit"), F.length("term"), "term", "is_stem")
-        .limit(most_terms)
         .collect()
     )
     rows = {(r.term, r.is_stem): r for r in found}
+    words_found = sorted(t for t, is_stem in rows if not is_stem)
 
     def covered(r) -> bool:
         """A beginning of the term says as much for more documents, or the whole word is all there is of it.
@@ -308,8 +324,9 @@ def _learned_terms(train: DataFrame, most_terms: int) -> list[Term]:
                 return True
         # A beginning of one word only is that word, which may then be misspelled.
         if r.is_stem:
-            longer = [x for (t, stem), x in rows.items() if not stem and t.startswith(r.term)]
-            return any(x.hit >= r.hit for x in longer)
+            first = bisect.bisect_left(words_found, r.term)
+            longer = itertools.takewhile(lambda t: t.startswith(r.term), itertools.islice(words_found, first, None))
+            return any(rows[t, False].hit >= r.hit for t in longer)
         return False
 
     return [Term(r.term, r.is_stem, r.weight) for r in found if not covered(r)]
@@ -337,7 +354,6 @@ def fit(
     text_col: str = "text",
     label_col: str = "toxic",
     train_rows: int = TRAIN_ROWS,
-    most_terms: int = MOST_TERMS,
 ) -> Model:
     """Learns from at most ``train_rows`` labelled rows, and only from those of ``is_training``."""
     chosen = (
@@ -353,7 +369,7 @@ def fit(
             F.broadcast(chosen), "id"
         )
     )
-    terms = _learned_terms(train, most_terms)
+    terms = _learned_terms(train)
     shape = f"{', '.join(f'f{i} double' for i in range(N_FEATURES))}, toxic int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -78,9 +78,23 @@ def test_terms_with_marks_and_misspelled_stems_are_learned_and_found(spark):
     rows = [(f"day {i} {marked} wretched", 1) if i % 2 else (f"day {i} fine calm", 0) for i in range(60)]
     rows += [(f"day {i} wretches", 1) for i in range(60, 80)]
     train = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(rows)], "id long, text string, toxic int")
-    terms = toxicity._learned_terms(train, 100)
+    terms = toxicity._learned_terms(train)
     lexicon = Lexicon(terms)
     assert lexicon.spelled(marked) and lexicon.spelled(marked)[0][:2] == (0, len(marked))
     assert any(t.is_stem and "wretched".startswith(t.text) for t in terms)
     assert {"wretched", "wretches"} <= {t.text for t in terms if not t.is_stem}
     assert [len(lexicon.spelled(w)) for w in ("wret0hed", "wr3tches")] == [1, 1]
+
+
+def test_terms_need_evidence_and_have_no_limit(spark):
+    """Words of toxic documents against their counts in plain Python; more terms than any fixed limit of before."""
+    rng = random.Random(4)
+    common = [f"common{c}" for c in "abcdefghij"]
+    rude = ["x" + "".join(rng.choice("bcdfghklmnprst") for _ in range(9)) for _ in range(2_300)]
+    rows = [(i, i % 4 == 0, rng.sample(common, 5) + (rude if i % 4 == 0 and i < 80 else [])) for i in range(400)]
+    rows += [(400 + i, False, [rude[0]]) for i in range(40)]  # a rude word that clean documents hold as well
+    train = spark.createDataFrame([(i, int(t), " ".join(w)) for i, t, w in rows], "id long, toxic int, text string")
+    got = {t.text for t in toxicity._learned_terms(train.select("toxic", "id", "text")) if not t.is_stem}
+    assert got == set(rude[1:])
+    few = train.where("id < 4 or toxic = 0")
+    assert not toxicity._learned_terms(few.select("toxic", "id", "text"))
