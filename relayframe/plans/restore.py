@@ -96,16 +96,18 @@ def restore_archive(
     binary: str = "text",
     in_order: bool = False,
     with_timestamp: bool = False,
+    folders: Sequence[str] | None = None,
 ) -> Restore:
     """Restore topics and buckets of an archive.
 
     The listing tells which offsets more than one chunk may hold, and only those are compared, without
     their payload; which chunks lie wholly at or below their mark, and those are not read; and how many
-    rows the others hold, so that marks and most counters need no reading.
+    rows the others hold, so that marks and most counters need no reading. ``folders`` of an ``ArchiveLog`` narrow
+    all of that to committed writes.
     """
     known = _no_marks(spark) if marks is None else marks
-    manifest = checkpointed(files.list_archive(spark, root, topics, since, until))
-    rows = files.read_archive(spark, root, topics, since, until, with_timestamp).drop("n_rows")
+    manifest = checkpointed(files.list_archive(spark, root, topics, since, until, folders))
+    rows = files.read_archive(spark, root, topics, since, until, with_timestamp, folders).drop("n_rows")
     chunks = offsets.with_mark(manifest, known, _KEYS)
     fresh = rows
     if marks is not None:

@@ -51,6 +51,16 @@ def _store(labelled: DataFrame, root: str, replace: bool) -> None:
     )
 
 
+def write_attempt(labelled: DataFrame, folder: str) -> None:
+    """Store labelled rows in a folder of their own that no reader looks at yet.
+
+    Tasks move their files into place themselves, as the folder counts as a whole later or not at all; a task that
+    runs again writes the same names. So the driver moves nothing.
+    """
+    writer = labelled.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    writer.option("compression", "gzip").option("ignoreNullFields", "false").partitionBy(*_LAYOUT).json(folder)
+
+
 def write_archive(
     rows: DataFrame,
     root: str,
@@ -67,8 +77,13 @@ def write_archive(
     _store(archive.by_offset_range(rows, chunk_offsets, partitions), root, replace)
 
 
-def _load(reader: DataFrameReader, root: str, topics: Sequence[str] | None) -> DataFrame:
-    """Load an archive, listing only the directories of the wanted topics if all of them exist."""
+def _load(
+    reader: DataFrameReader, root: str, topics: Sequence[str] | None, folders: Sequence[str] | None = None
+) -> DataFrame:
+    """Load an archive, listing only some folders of it, or the directories of the wanted topics if all exist."""
+    if folders is not None:
+        # Before the first write there is no base folder either.
+        return reader.option("basePath", root).load(list(folders)) if folders else reader.load([])
     if topics:
         try:
             return reader.option("basePath", root).load([f"{root.rstrip('/')}/topic={t}" for t in topics])
@@ -85,13 +100,15 @@ def read_archive(
     since: str | datetime | None = None,
     until: str | datetime | None = None,
     with_timestamp: bool = False,
+    folders: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Archive rows of some topics and buckets; other directories are not read."""
+    """Archive rows of some topics and buckets; other directories are not read. With ``folders``, as
+    ``ArchiveLog.folders`` gives them, no other folder is even listed."""
     fields = list(ARCHIVE_ROW.fields)
     if with_timestamp:
         fields.append(T.StructField("timestamp", T.TimestampType()))
     reader = spark.read.schema(T.StructType(fields + _LAYOUT_FIELDS)).format("json")
-    rows = _load(reader, root, topics).drop("digest")
+    rows = _load(reader, root, topics, folders).drop("digest", "attempt")
     return archive.in_buckets(archive.of_topics(rows, topics), since, until)
 
 
@@ -101,10 +118,13 @@ def list_archive(
     topics: Sequence[str] | None = None,
     since: str | datetime | None = None,
     until: str | datetime | None = None,
+    folders: Sequence[str] | None = None,
 ) -> DataFrame:
     """Manifest of an archive, from its listing alone."""
+    if folders is not None and not folders:
+        return spark.createDataFrame([], MANIFEST)
     reader = spark.read.format("binaryFile").schema(T.StructType(_FILE_FIELDS + _LAYOUT_FIELDS))
-    files = _load(reader, root, topics)
+    files = _load(reader, root, topics, folders)
     files = archive.in_buckets(archive.of_topics(files, topics), since, until)
     return files.select(
         *PREFIX,
@@ -328,11 +348,25 @@ def compact_archive(
     """
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError("compact into a new location")
-    manifest = checkpointed(list_archive(spark, source, topics, since, until))
+    _store(merged_chunks(spark, source, topics, since, until, limit, partitions), target, replace=False)
+
+
+def merged_chunks(
+    spark: SparkSession,
+    source: str,
+    topics: Sequence[str] | None = None,
+    since: str | datetime | None = None,
+    until: str | datetime | None = None,
+    limit: int = MERGE_LIMIT,
+    partitions: int | None = None,
+    folders: Sequence[str] | None = None,
+) -> DataFrame:
+    """Archive rows, each record of a bucket once, labelled with the merged chunks they belong to."""
+    manifest = checkpointed(list_archive(spark, source, topics, since, until, folders))
     labels = label_chunks(manifest, limit)
     name = archive.chunk_name(F.col("min_offset"), F.col("max_offset")).alias("chunk")
     groups = checkpointed(labels.select(*PREFIX, name, "group_id"))
-    rows = read_archive(spark, source, topics, since, until, with_timestamp=True).drop("n_rows")
+    rows = read_archive(spark, source, topics, since, until, True, folders).drop("n_rows")
     if not keeps_timestamps(spark, manifest):
         lost = F.raise_error(F.lit("some records of the archive keep a timestamp and others do not"))
         rows = rows.withColumn("offset", F.when(F.col("timestamp").isNull(), F.col("offset")).otherwise(lost))
@@ -341,4 +375,4 @@ def compact_archive(
     keys = (*PREFIX, "offset")
     repeated = repeated_records(disputed_rows(rows, manifest), keys)
     merged = archive.each_once(lookup_join(rows, groups, [*PREFIX, "chunk"], "inner").drop("chunk"), repeated, keys)
-    _store(archive.in_chunks(merged, ["group_id"], partitions), target, replace=False)
+    return archive.in_chunks(merged, ["group_id"], partitions)

@@ -25,6 +25,7 @@ from relayframe.plans.snapshot import SnapshotPlan, keyed_tables
 from relayframe.schemas import CHANGES, LOG_WITH_RELATIONS, RAW_CHANGES, RESTORE_OFFSETS
 from relayframe.session import checkpointed
 from relayframe.sources import archive_files, kafka, tables
+from relayframe.sources.archive_commits import ArchiveLog
 from relayframe.sources.changelog import stored_position, stream_changes
 from relayframe.streaming.archive_sink import ArchiveSink, start_archive_sink
 from relayframe.streaming.change_stream import RelationLog, start_change_stream
@@ -199,8 +200,13 @@ def archive_compact(spark: SparkSession, conf: dict[str, Any]) -> DataFrame:
     """An archive with its small chunks merged, written to ``target``; then ``pointer`` names it to readers.
 
     What comes into the old place meanwhile is not in the new one: compact an archive that no sink writes
-    to, or point the sink at the target first. Gives the manifest of the target.
+    to, or point the sink at the target first. Gives the manifest of the target. An archive with ``commits`` is
+    compacted where it is, next to sinks that write to it.
     """
+    if conf.get("commits"):
+        log = ArchiveLog(conf["root"])
+        log.compact(spark, **conf.get("compaction", {}))
+        return archive_files.list_archive(spark, log.data, folders=log.folders(spark))
     source = archive_files.current_root(spark, conf["pointer"], conf["root"])
     archive_files.compact_archive(spark, source, conf["target"], **conf.get("compaction", {}))
     archive_files.move_pointer(spark, conf["pointer"], conf["target"])
@@ -211,11 +217,15 @@ def archive_compact(spark: SparkSession, conf: dict[str, Any]) -> DataFrame:
 def archive_restore(spark: SparkSession, conf: dict[str, Any]) -> DataFrame:
     """A date range of an archive to topics. Gives the records, and sends them if brokers are named.
 
-    ``binary`` and ``keep_timestamp`` say how the archive was written. ``send`` takes the records in place of
+    ``binary``, ``keep_timestamp`` and ``commits`` say how the archive was written. ``send`` takes the records in place of
     brokers. With ``ledger``, marks are loaded from there and stored once the records are sent, so that a
     job run again sends only what is new.
     """
     root = archive_files.current_root(spark, conf["pointer"], conf["root"]) if "pointer" in conf else conf["root"]
+    folders = None
+    if conf.get("commits"):
+        log = ArchiveLog(root)
+        root, folders = log.data, log.folders(spark, conf["topics"], conf["since"], conf["until"])
     where = (spark, root, conf["topics"], conf["since"], conf["until"])
     ledger, send = conf.get("ledger"), conf.get("send")
     marks = _stored_marks(spark, ledger) if ledger else conf.get("marks")
@@ -223,7 +233,9 @@ def archive_restore(spark: SparkSession, conf: dict[str, Any]) -> DataFrame:
     if conf.get("compatible"):
         restored = restore(archive_files.read_compatible(*where), marks, **options)
     else:
-        restored = restore_archive(*where, marks, with_timestamp=conf.get("keep_timestamp", False), **options)
+        restored = restore_archive(
+            *where, marks, with_timestamp=conf.get("keep_timestamp", False), folders=folders, **options
+        )
     if "brokers" in conf:
         sink = kafka.sink_options(conf["brokers"], compression="lz4")
 

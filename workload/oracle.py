@@ -333,3 +333,8 @@ ORACLE["archive_compacted_timestamps"] = ORACLE["archive_base64_restore"]
 ORACLE["restore_resumed"] = _PARTITION_LOG
 ORACLE["changes_resumed"] = ORACLE["change_binary"]
 ORACLE["archive_compact_job"] = _PARTITION_LOG
+ORACLE["archive_committed"] = _PARTITION_LOG
+ORACLE["archive_committed_range"] = f"""WITH {LOG}, chunks AS (
+        SELECT topic, {bucket('12 hours')} AS bucket, "partition", "offset" FROM log)
+        SELECT topic, bucket, "partition", min("offset") AS min_offset, max("offset") AS max_offset, count(*) AS n_rows
+        FROM chunks WHERE bucket BETWEEN '{RESTORE_SINCE}' AND '{RESTORE_UNTIL}' GROUP BY topic, bucket, "partition" """

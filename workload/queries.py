@@ -15,6 +15,7 @@ from relayframe.plans.restore import restore, restore_archive
 from relayframe.plans.snapshot import SnapshotPlan, SnapshotTable
 from relayframe.session import scratch_path, share_package, use_utc
 from relayframe.sources import archive_files, changelog
+from relayframe.sources.archive_commits import ArchiveLog
 from relayframe.streaming import jobs
 from relayframe.streaming.archive_sink import ArchiveSink, start_archive_sink
 from relayframe.streaming.table_sink import (
@@ -590,9 +591,9 @@ def archive_compatible(spark, sf_dir):
     return _as_text(records, "topic", "partition", "offset")
 
 
-def _two_thirds(log: DataFrame) -> DataFrame:
+def _two_thirds(log: DataFrame, rest: bool = False) -> DataFrame:
     bound = log.agg(F.call_function("div", F.max("offset") * 2, F.lit(3))).scalar()
-    return log.where(F.col("offset") <= bound)
+    return log.where(F.col("offset") > bound if rest else F.col("offset") <= bound)
 
 
 @query
@@ -735,6 +736,38 @@ def archive_compact_job(spark, sf_dir):
     return _as_text(jobs.run(spark, "archive.restore", conf), "topic", "partition", "offset")
 
 
+@query
+def archive_committed(spark, sf_dir):
+    """A committed archive: a batch delivered twice, an attempt that was never committed, a compaction, a later
+    batch that overlaps; then a restore."""
+    log, week = fx.log(spark, sf_dir), fx.WEEK
+    archive_log = ArchiveLog(scratch_path(spark, "archive"))
+    sink = ArchiveSink(archive_log.root, interval=week, commits=True)
+    for batch_id, delivery in enumerate([_two_thirds(log), _two_thirds(log)]):
+        sink(delivery, batch_id // 2, "events")
+    lost = archive.by_offset_range(archive.to_archive_rows(log, week))
+    archive_files.write_attempt(lost, f"{archive_log.data}/attempt=lost")
+    archive_log.compact(spark)
+    sink(log, 1, "events")
+    restored = restore_archive(spark, archive_log.data, folders=archive_log.folders(spark))
+    return _as_text(restored.records, "topic", "partition", "offset")
+
+
+@query
+def archive_committed_range(spark, sf_dir):
+    """Chunks of a date range: only folders of commits that reach into it are listed."""
+    log = fx.log(spark, sf_dir)
+    archive_log = ArchiveLog(scratch_path(spark, "archive"))
+    sink = ArchiveSink(archive_log.root, interval="12h", commits=True)
+    for batch_id, rest in enumerate([False, True]):
+        sink(_two_thirds(log, rest), batch_id, "events")
+    folders = archive_log.folders(spark, None, RESTORE_SINCE, RESTORE_UNTIL)
+    listed = archive_files.list_archive(spark, archive_log.data, None, RESTORE_SINCE, RESTORE_UNTIL, folders)
+    return listed.groupBy("topic", "bucket", "partition").agg(
+        F.min("min_offset").alias("min_offset"), F.max("max_offset").alias("max_offset"), F.sum("n_rows").alias("n_rows")
+    )
+
+
 @query
 def restore_resumed(spark, sf_dir):
     """The restore job run after each of two deliveries; every record is sent once."""
