@@ -13,8 +13,9 @@ Documents of equal sets are one entry, known by a 128-bit digest. The group of a
 classes of sizes, two for each member, so that any two members that may be alike meet in one. In each group
 every member is proposed with the group's leader. Groups of three and more that this leaves in several
 components are then compared inside tasks, what is outside the largest component with all members: groups
-of up to ``SETS`` by their prefixes, which proposes further pairs, larger ones in blocks and by their sets,
-which returns links. So no pair of a group is left out, and a large group's pairs are never rows. Groups of
+of up to ``SETS`` by their prefixes under the second order, which proposes further pairs, larger ones in blocks and
+by their sets, which returns links. Pairs meet one order at a time, so that the later prefixes, which are long for
+long texts, are carried only for the pairs that the earlier ones left. So no pair of a group is left out, and a large group's pairs are never rows. Groups of
 the same members are compared once. Sets are not kept; they are made again from the texts that need them.
 
 Defined results: a null or blank text has no shingles and is linked with nothing, whatever its copies. A text
@@ -236,7 +237,7 @@ def candidates(left: list[dict], right: list[dict], percent: int) -> np.ndarray:
     smaller, larger = np.minimum.outer(*sizes), np.maximum.outer(*sizes)
     open_pairs = (names[0][:, None] != names[1][None, :]) & (100 * smaller >= percent * larger)
     needed = needed_in_prefix(sizes[0][:, None], sizes[1][None, :], percent)
-    for i in range(len(ORDERS) - 1):
+    for i in range(len(left[0]["others"]) if left else 0):
         if not open_pairs.any():
             break
         prefixes = [[np.frombuffer(m["others"][i], "<u2") for m in side] for side in (left, right)]
@@ -293,27 +294,34 @@ def set_links(docs: DataFrame, keys: DataFrame, classes: bytes, size: int, perce
     members = _members(signatures, percent)
     pairs = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
 
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for order in range(len(ORDERS) - 1):
+        pairs = _agreeing(pairs, signatures, order, percent)
+    verified = _verified(docs, nodes, checkpointed(pairs), size, percent)
+    named = connected_components(verified).select(F.col("node"), F.col("root").alias("component"))
+    groups, members = _open_groups(members, checkpointed(named))
+    small = lookup_join(members, groups.where(f"rows <= {SETS}").select(*_GROUP), _GROUP, "left_semi")
+    links = verified.unionByName(_verified(docs, nodes, _small_groups(small, signatures, percent), size, percent))
+    large = checkpointed(lookup_join(members, groups.where(f"rows > {SETS}"), _GROUP, "inner"))
+    return links.unionByName(_large_groups(docs, nodes, large, signatures, size, percent)), nodes
+
+
+def _agreeing(pairs: DataFrame, signatures: DataFrame, order: int, percent: int) -> DataFrame:
+    """The pairs whose sizes and prefixes under one of the other orders allow them to be alike."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [
-                all(np.isin(*(np.frombuffer(o, "<u2") for o in both)).sum() >= needed_in_prefix(n, m, percent) for both in zip(x, y))
+                np.isin(np.frombuffer(x, "<u2"), np.frombuffer(y, "<u2")).sum() >= needed_in_prefix(n, m, percent)
                 for x, y, n, m in zip(*(c.to_pylist() for c in batch.columns[2:]))
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sides = [
-        signatures.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("others").alias(o))
-        for c, o in (("a", "x"), ("b", "y"))
-    ]
+    def side(node: str, tokens: str) -> DataFrame:
+        return signatures.select(F.col("node").alias(node), F.col("n").alias(f"n_{node}"), F.col("others")[order].alias(tokens))
+
     near = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    both = pairs.join(sides[0], "a").join(sides[1], "b").where(near).select("a", "b", "x", "y", "n_a", "n_b")
-    verified = _verified(docs, nodes, checkpointed(both.mapInArrow(agree, _PAIRS)), size, percent)
-    named = connected_components(verified).select(F.col("node"), F.col("root").alias("component"))
-    groups, members = _open_groups(members, checkpointed(named))
-    small = lookup_join(members, groups.where(f"rows <= {SETS}").select(*_GROUP), _GROUP, "left_semi")
-    links = verified.unionByName(_verified(docs, nodes, _small_groups(small, signatures, percent), size, percent))
-    large = checkpointed(lookup_join(members, groups.where(f"rows > {SETS}"), _GROUP, "inner"))
-    return links.unionByName(_large_groups(docs, nodes, large, signatures, size, percent)), nodes
+    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").where(near).select("a", "b", "x", "y", "n_a", "n_b")
+    return both.mapInArrow(run, _PAIRS)
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -357,7 +365,8 @@ def _open_groups(members: DataFrame, named: DataFrame) -> tuple[DataFrame, DataF
 
 
 def _small_groups(members: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """Further pairs: those of different components of a group that agree under the other orders."""
+    """Further pairs: those of different components of a group that agree under the other orders, of which the
+    groups carry the first alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -365,8 +374,12 @@ def _small_groups(members: DataFrame, signatures: DataFrame, percent: int) -> Da
                 yield _pairs_batch(pairs_of_group(group.as_py(), percent))
 
     member = F.struct("node", "component", "n", "others")
-    groups = members.join(signatures.select("node", "others"), "node").groupBy(*_GROUP).agg(F.collect_list(member).alias("held"))
-    return checkpointed(groups.select("held").mapInArrow(run, _PAIRS).distinct())
+    second = signatures.select("node", F.slice("others", 1, 1).alias("others"))
+    groups = members.join(second, "node").groupBy(*_GROUP).agg(F.collect_list(member).alias("held"))
+    pairs = groups.select("held").mapInArrow(run, _PAIRS).distinct()
+    for order in range(1, len(ORDERS) - 1):
+        pairs = _agreeing(pairs, signatures, order, percent)
+    return checkpointed(pairs)
 
 
 def _large_groups(
