@@ -121,6 +121,17 @@ def chunk_stats(
     return stats.drop("chunk_no")
 
 
+def once_in_order(rows: DataFrame, keys: Sequence[str], first: Column, partitions: int | None = None) -> DataFrame:
+    """Bring rows of equal keys together, in offset order, by one shuffle and one sort. Of the rows of an offset the
+    one that is least by ``first`` stays.
+
+    A window holds the copies of one record only, so no task keeps a chunk besides what it sorts.
+    """
+    tasks = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copy = F.row_number().over(Window.partitionBy(*keys, "offset").orderBy(first))
+    return rows.repartition(tasks, *keys).withColumn("_copy", copy).where("_copy = 1").drop("_copy")
+
+
 def in_chunks(rows: DataFrame, by: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Bring each chunk's rows together in offset order and label them with what the chunk holds.
 

@@ -7,8 +7,11 @@ needs is in the directory names, so listing replaces reading. The compatible lay
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -204,49 +207,46 @@ def rows_of_chunks(rows: DataFrame, chunks: DataFrame) -> DataFrame:
     return lookup_join(rows, chunks.where(F.col("chunk") > ""), [*PREFIX, "chunk"], "left_semi")
 
 
-def _file_writer(root: str):
-    """Write each chunk of a partition's sorted rows as one file, and report it."""
-
-    def write(batches):
-        import gzip
-        import json
-        import uuid
-        from itertools import groupby
-
-        import pandas as pd
-        from pyarrow import fs
-
-        store, base = fs.FileSystem.from_uri(root)
-        columns = ["topic", "bucket", "partition", "chunk"]
-
-        def pieces():
-            for pdf in batches:
-                named = zip(zip(*[pdf[c] for c in columns]), pdf["line"])
-                for name, lines in groupby(named, key=lambda pair: pair[0]):
-                    yield name, [line for _, line in lines]
-
-        # A chunk may go on in the next batch, so pieces of one name are joined before it is closed.
-        for (topic, bucket, partition, chunk), parts in groupby(pieces(), key=lambda piece: piece[0]):
-            folder = f"{base}/{topic}/{bucket}/{partition}"
-            store.create_dir(folder)
-            path = f"{folder}/{chunk}.gz"
-            lines = {json.loads(line)["offset"]: line for _, part in parts for line in part}
-            # Other records of the same bounds may be stored: nothing of theirs is lost.
-            if store.get_file_info(path).type == fs.FileType.File:
-                with store.open_input_stream(path, compression=None) as raw, gzip.GzipFile(fileobj=raw) as stored:
-                    lines |= {json.loads(line)["offset"]: line.rstrip("\n") for line in map(bytes.decode, stored)}
-            # Written under a hidden name of this attempt and then moved, so that no reader meets half a chunk.
-            hidden = f"{folder}/.{chunk}.{uuid.uuid4().hex}.part"
-            with store.open_output_stream(hidden) as raw:
-                with gzip.GzipFile(fileobj=raw, mode="wb", mtime=0) as out:
-                    for offset in sorted(lines):
-                        out.write((lines[offset] + "\n").encode())
-            store.move(hidden, path)
-            low, high = (int(bound) for bound in chunk.split("-"))
-            size = store.get_file_info(path).size
-            yield pd.DataFrame([[topic, bucket, partition, low, high, len(lines), size, path]], columns=MANIFEST.names)
-
-    return write
+def _stored_chunks(spark: SparkSession, root: str, bounds: DataFrame) -> list[str]:
+    """Files of a compatible-layout archive that have the name of one of some chunks."""
+    topics = [row["topic"] for row in bounds.select("topic").distinct().collect()]
+    found = []
+    for topic in topics:
+        try:
+            listed = list_compatible(spark, root, [topic])
+        except AnalysisException as error:
+            # A topic that is new to the archive.
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        found.append(listed.select(*PREFIX, "min_offset", "max_offset", "path"))
+    if not found:
+        return []
+    wanted = bounds.select(*PREFIX, "min_offset", "max_offset")
+    met = lookup_join(reduce(DataFrame.unionByName, found), wanted, wanted.columns, "left_semi")
+    return [row["path"] for row in met.select("path").collect()]
+
+
+def _move_chunks(spark: SparkSession, moves: Sequence[tuple[str, str]], staging: str) -> None:
+    """Put files in their places, each at once and in the place of one that is there, and drop the folder they were in."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.FileContext.getFileContext(spark._jsc.hadoopConfiguration())
+    overwrite = spark._sc._gateway.new_array(hadoop.Options.Rename, 1)
+    overwrite[0] = hadoop.Options.Rename.OVERWRITE
+
+    def move(names: tuple[str, str]) -> None:
+        source, target = (files.makeQualified(hadoop.Path(name)) for name in names)
+        # Local files have checksums of Spark's beside them, which are no part of the layout.
+        checksum = hadoop.Path(source.getParent(), f".{source.getName()}.crc")
+        if source.toUri().getScheme() == "file":
+            files.delete(checksum, False)
+        files.rename(source, target, overwrite)
+
+    for folder in {target.rpartition("/")[0] for _, target in moves}:
+        files.mkdir(hadoop.Path(folder), hadoop.permission.FsPermission.getDirDefault(), True)
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(move, moves))
+    files.delete(hadoop.Path(staging), True)
 
 
 def write_compatible(
@@ -257,19 +257,49 @@ def write_compatible(
 ) -> DataFrame:
     """Add archive rows to an archive of the compatible layout; gives the manifest of what was written.
 
-    Spark names files itself, so tasks write these: a chunk is a run of sorted rows in one task. A file
-    that is there under a chunk's bounds is merged with it, so writing again changes nothing and other
-    records of the same bounds stay. Needs a store whose names may hold colons, and off a local master one
-    that every executor reaches.
+    A file that is there under a chunk's bounds is merged with it, so writing again changes nothing and other
+    records of the same bounds stay. Spark names files itself, so it writes a file for each chunk to a folder
+    that no reader looks at, and the driver then moves them, so that no reader meets half a chunk: a name for
+    each chunk passes the driver, as it does in listing. Needs a store whose names may hold colons, and that
+    every executor reaches.
     """
-    local = root.startswith("file:") or "://" not in root
-    if local and not rows.sparkSession.sparkContext.master.startswith("local"):
-        raise ValueError("executors do not share local folders; write to a shared store")
-    root = root.replace("s3a://", "s3://").rstrip("/")
-    lines = archive.by_offset_range(rows, chunk_offsets, partitions).select(
-        *PREFIX, "chunk", F.to_json(F.struct(*ARCHIVE_ROW.names), {"ignoreNullFields": "false"}).alias("line")
+    spark, root = rows.sparkSession, root.rstrip("/")
+    # The offsets alone tell the chunks.
+    cut = rows.withColumn("_range", F.call_function("div", F.col("offset"), F.lit(chunk_offsets)))
+    bounds = cut.groupBy(*PREFIX, "_range").agg(F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"))
+    bounds = checkpointed(bounds)
+    if bounds.isEmpty():
+        return spark.createDataFrame([], MANIFEST)
+    name = archive.chunk_name(F.col("min_offset"), F.col("max_offset")).alias("chunk")
+    columns = [*PREFIX, "chunk", *ARCHIVE_ROW.names, "_new"]
+    cut = cut.withColumn("_new", F.lit(1))
+    named = lookup_join(cut, bounds.select(*PREFIX, "_range", name), [*PREFIX, "_range"], "inner").select(*columns)
+    paths = _stored_chunks(spark, root, bounds)
+    if paths:
+        stored = spark.read.schema(ARCHIVE_ROW).json(paths)
+        chunk = archive.parse_chunk_path(F.col("_metadata.file_path"))
+        stored = stored.select(chunk.alias("_chunk"), *ARCHIVE_ROW.names).select(
+            *[F.col(f"_chunk.{c}") for c in [*PREFIX, "min_offset", "max_offset"]], *ARCHIVE_ROW.names
+        )
+        named = named.unionByName(stored.withColumns({"chunk": name, "_new": F.lit(0)}).select(*columns))
+    whole = archive.once_in_order(named, [*PREFIX, "chunk"], F.col("_new"), partitions).drop("_new")
+    staging = f"{root}/_staging-{uuid.uuid4().hex}"
+    writer = whole.write.option("compression", "gzip").option("ignoreNullFields", "false").option("maxRecordsPerFile", 0)
+    writer.partitionBy(*PREFIX, "chunk").json(staging)
+    counts = checkpointed(whole.groupBy(*PREFIX, "chunk").agg(F.count(F.lit(1)).alias("n_rows")))
+    layout = T.StructType(_FILE_FIELDS + [f for f in _LAYOUT_FIELDS if f.name in (*PREFIX, "chunk")])
+    listed = spark.read.format("binaryFile").schema(layout).load(staging).select(*PREFIX, "chunk", "length", "path")
+    target = F.concat(F.lit(f"{root}/"), F.concat_ws("/", *PREFIX, "chunk"), F.lit(".gz"))
+    written = checkpointed(lookup_join(listed, counts, [*PREFIX, "chunk"], "inner").withColumn("target", target))
+    _move_chunks(spark, [tuple(row) for row in written.select("path", "target").collect()], staging)
+    return written.select(
+        *PREFIX,
+        F.substring_index("chunk", "-", 1).cast("bigint").alias("min_offset"),
+        F.substring_index("chunk", "-", -1).cast("bigint").alias("max_offset"),
+        "n_rows",
+        F.col("length").alias("size_bytes"),
+        F.col("target").alias("path"),
     )
-    return checkpointed(lines.mapInPandas(_file_writer(root), MANIFEST))
 
 
 def disputed_rows(rows: DataFrame, manifest: DataFrame) -> DataFrame | None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from relayframe.operators import archive, offsets
 from relayframe.plans.restore import restore, restore_archive
 from relayframe.schemas import LOG, RESTORE_OFFSETS
+from relayframe.session import shared_dir
 from relayframe.sources import archive_files as files
 from relayframe.streaming import jobs
 from relayframe.streaming.archive_sink import ArchiveSink
@@ -419,3 +420,12 @@ def test_compatible_restore_shuffles_offsets_only(spark, tmp_path):
     records = restore(files.read_compatible(spark, root, ["t"])).records
     assert "Exchange" not in records._jdf.queryExecution().executedPlan().toString()
     assert plain(records, "offset") == sorted([(o,) for o in range(600)], key=repr)
+
+
+def test_compatible_layout_is_written_on_a_cluster_with_shared_folders(spark, tmp_path, monkeypatch):
+    shared_dir(spark)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    rows = archive.to_archive_rows(late_log(spark))
+    assert files.write_compatible(rows.limit(0), f"file://{tmp_path}/a").isEmpty()
+    files.write_compatible(rows, f"file://{tmp_path}/a")
+    assert files.read_compatible(spark, f"file://{tmp_path}/a", ["t"]).count() == 600
