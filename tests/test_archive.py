@@ -422,6 +422,18 @@ def test_compatible_restore_shuffles_offsets_only(spark, tmp_path):
     assert plain(records, "offset") == sorted([(o,) for o in range(600)], key=repr)
 
 
+def test_compatible_layout_is_written_where_only_spark_reaches(spark, tmp_path):
+    """A store that only Hadoop's readers know, as on a cluster."""
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.archives.link./a", f"file://{tmp_path}")
+    root = "viewfs://archives/a/root"
+    for part in ("offset % 2 = 0 or offset = 599", "offset % 2 = 1 or offset = 0"):
+        manifest = files.write_compatible(archive.to_archive_rows(late_log(spark).where(part), "24h"), root)
+        assert manifest.agg(F.sum("n_rows")).first()[0] in (301, 600)
+    records = restore(files.read_compatible(spark, root, ["t"])).records
+    assert plain(records, "offset") == sorted([(o,) for o in range(600)], key=repr)
+    assert [p.name for p in (tmp_path / "root").iterdir()] == ["t"]
+
+
 def test_compatible_layout_is_written_on_a_cluster_with_shared_folders(spark, tmp_path, monkeypatch):
     shared_dir(spark)
     monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
