@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from relayframe.functions import times
 from relayframe.schemas import HEADERS, PREFIX
-from relayframe.session import lookup_join
+from relayframe.session import is_small, lookup_join, tasks_for
 
 # What tells a record from every other one of a log.
 RECORD = ("topic", "partition", "offset")
@@ -127,7 +127,7 @@ def once_in_order(rows: DataFrame, keys: Sequence[str], first: Column, partition
 
     A window holds the copies of one record only, so no task keeps a chunk besides what it sorts.
     """
-    tasks = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = partitions or tasks_for(rows.sparkSession, rows.count())
     copy = F.row_number().over(Window.partitionBy(*keys, "offset").orderBy(first))
     return rows.repartition(tasks, *keys).withColumn("_copy", copy).where("_copy = 1").drop("_copy")
 
@@ -141,11 +141,11 @@ def in_chunks(rows: DataFrame, by: Sequence[str], partitions: int | None = None)
     so that only chunks of the same records share a name.
 
     The number of tasks is fixed, as compressing and opening files outweigh the bytes by which AQE
-    would merge tasks.
+    would merge tasks. Without ``partitions`` it follows the rows, which are counted for that.
     """
     keys = [*PREFIX, *by]
     chunk = Window.partitionBy(*keys)
-    tasks = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = partitions or tasks_for(rows.sparkSession, rows.count())
     before = F.lag("offset").over(chunk.orderBy("offset"))
     labelled = (
         rows.repartition(tasks, *keys)
@@ -257,16 +257,28 @@ def is_disputed() -> Column:
     return F.coalesce(until, F.lit(False)) | F.coalesce(since, F.lit(False))
 
 
-def repeated_offsets(narrow: DataFrame, keys: Sequence[str] = RECORD) -> DataFrame:
+def repeated_offsets(narrow: DataFrame, keys: Sequence[str] = RECORD, tasks: int | None = None) -> DataFrame:
     """The keys of records that occur more than once, and how often (``n``). Only these columns are
-    shuffled, counted in each task before."""
+    shuffled, to ``tasks`` if given, and else counted in each task before."""
+    if tasks is not None:
+        narrow = narrow.repartition(tasks, *keys)
     return narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def each_once(rows: DataFrame, repeated: DataFrame | None, keys: Sequence[str] = RECORD) -> DataFrame:
-    """Every record of the rows once, given the repeated ones, one row each. Others stay where they are."""
+def each_once(
+    rows: DataFrame, repeated: DataFrame | None, keys: Sequence[str] = RECORD, tasks: int | None = None
+) -> DataFrame:
+    """Every record of the rows once, given the repeated ones, one row each.
+
+    If those are few, others stay where they are. If they are many, all rows are read and shuffled once, to
+    ``tasks`` if given, rather than once for those that repeat and once for the others.
+    """
     if repeated is None:
         return rows
     known = repeated.select(*keys)
-    several = lookup_join(rows, known, keys, "left_semi")
-    return lookup_join(rows, known, keys, "left_anti").unionByName(without_repeats(several, keys))
+    if is_small(known):
+        several = rows.join(F.broadcast(known), list(keys), "left_semi")
+        return rows.join(F.broadcast(known), list(keys), "left_anti").unionByName(without_repeats(several, keys))
+    copy = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+    dealt = rows if tasks is None else rows.repartition(tasks, *keys)
+    return dealt.withColumn("_copy", copy).where("_copy = 1").drop("_copy")

@@ -113,8 +113,9 @@ def restore_archive(
     if marks is not None:
         fresh = files.rows_of_chunks(rows, checkpointed(files.chunk_key(chunks.where("mark IS NULL OR max_offset > mark"))))
     disputed = files.disputed_rows(fresh, manifest)
-    repeated = files.repeated_records(None if disputed is None else _fresh(disputed, marks))
-    records = each_once(_fresh(fresh, marks), repeated)
+    tasks = files.listed_tasks(spark, manifest)
+    repeated = files.repeated_records(None if disputed is None else _fresh(disputed, marks), tasks=tasks)
+    records = each_once(_fresh(fresh, marks), repeated, tasks=tasks)
     return Restore(
         records=from_archive_rows(_in_order(records, in_order), binary),
         counters=_archive_counters(rows, repeated, chunks),

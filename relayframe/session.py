@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 << 20
 # Rows of a few numbers each stay far below that.
 BROADCAST_ROWS = 200_000
+# Rows with a payload that one task takes from a shuffle, so that what it sorts does not grow with the input.
+TASK_ROWS = 250_000
 # Settings of Python workers: a task has one core, and what it frees goes back to the machine, so that
 # workers that are used again do not keep the most that any of their tasks needed.
 WORKER_ENVIRONMENT = {
@@ -69,6 +71,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def tasks_for(spark: SparkSession, n_rows: int) -> int:
+    """Tasks for a shuffle of so many rows: as many as the session says, or more if those took too many each."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // TASK_ROWS))
+
+
+def is_small(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a lookup may be broadcast, by its measured size."""
+    size = lookup.agg(F.sum(F.octet_length(F.to_json(F.struct(*lookup.columns))))).first()[0] or 0
+    return size <= max_bytes
+
+
 def lookup_join(
     big: DataFrame,
     lookup: DataFrame,
@@ -82,7 +95,6 @@ def lookup_join(
     partitioning and a hot key costs nothing. Beyond it this is a plain equi-join, whose skewed
     partitions AQE splits. A lookup that is costly to compute should be checkpointed before.
     """
-    size = lookup.agg(F.sum(F.octet_length(F.to_json(F.struct(*lookup.columns))))).first()[0] or 0
-    if size <= max_bytes:
+    if is_small(lookup, max_bytes):
         lookup = F.broadcast(lookup)
     return big.join(lookup, list(keys), how)

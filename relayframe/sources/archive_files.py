@@ -22,7 +22,7 @@ from relayframe.functions import times
 from relayframe.operators import archive
 from relayframe.operators.compaction import MERGE_LIMIT, label_chunks
 from relayframe.schemas import ARCHIVE_ROW, MANIFEST, PREFIX
-from relayframe.session import checkpointed, lookup_join
+from relayframe.session import checkpointed, lookup_join, tasks_for
 
 _LAYOUT = ["topic", "bucket", "partition", "chunk", "n_rows", "digest"]
 # Typed here because inference would read buckets as times.
@@ -266,9 +266,12 @@ def write_compatible(
     spark, root = rows.sparkSession, root.rstrip("/")
     # The offsets alone tell the chunks.
     cut = rows.withColumn("_range", F.call_function("div", F.col("offset"), F.lit(chunk_offsets)))
-    bounds = cut.groupBy(*PREFIX, "_range").agg(F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"))
+    bounds = cut.groupBy(*PREFIX, "_range").agg(
+        F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"), F.count(F.lit(1)).alias("n_rows")
+    )
     bounds = checkpointed(bounds)
-    if bounds.isEmpty():
+    n_rows = bounds.agg(F.sum("n_rows")).first()[0]
+    if not n_rows:
         return spark.createDataFrame([], MANIFEST)
     name = archive.chunk_name(F.col("min_offset"), F.col("max_offset")).alias("chunk")
     columns = [*PREFIX, "chunk", *ARCHIVE_ROW.names, "_new"]
@@ -282,7 +285,7 @@ def write_compatible(
             *[F.col(f"_chunk.{c}") for c in [*PREFIX, "min_offset", "max_offset"]], *ARCHIVE_ROW.names
         )
         named = named.unionByName(stored.withColumns({"chunk": name, "_new": F.lit(0)}).select(*columns))
-    whole = archive.once_in_order(named, [*PREFIX, "chunk"], F.col("_new"), partitions).drop("_new")
+    whole = archive.once_in_order(named, [*PREFIX, "chunk"], F.col("_new"), partitions or tasks_for(spark, n_rows)).drop("_new")
     staging = f"{root}/_staging-{uuid.uuid4().hex}"
     writer = whole.write.option("compression", "gzip").option("ignoreNullFields", "false").option("maxRecordsPerFile", 0)
     writer.partitionBy(*PREFIX, "chunk").json(staging)
@@ -320,11 +323,18 @@ def disputed_rows(rows: DataFrame, manifest: DataFrame) -> DataFrame | None:
     return met.where(archive.is_disputed()).select(*PREFIX, "offset")
 
 
-def repeated_records(narrow: DataFrame | None, keys: Sequence[str] = archive.RECORD) -> DataFrame | None:
+def listed_tasks(spark: SparkSession, manifest: DataFrame) -> int:
+    """Tasks for a shuffle of all rows that a manifest lists."""
+    return tasks_for(spark, manifest.agg(F.sum("n_rows")).first()[0] or 0)
+
+
+def repeated_records(
+    narrow: DataFrame | None, keys: Sequence[str] = archive.RECORD, tasks: int | None = None
+) -> DataFrame | None:
     """Records that occur more than once among the disputed rows; None for none."""
     if narrow is None:
         return None
-    repeated = checkpointed(archive.repeated_offsets(narrow, keys))
+    repeated = checkpointed(archive.repeated_offsets(narrow, keys, tasks))
     return None if repeated.isEmpty() else repeated
 
 
@@ -403,6 +413,8 @@ def merged_chunks(
         rows = rows.drop("timestamp")
     # A record that two buckets hold stays in both of them.
     keys = (*PREFIX, "offset")
-    repeated = repeated_records(disputed_rows(rows, manifest), keys)
-    merged = archive.each_once(lookup_join(rows, groups, [*PREFIX, "chunk"], "inner").drop("chunk"), repeated, keys)
-    return archive.in_chunks(merged, ["group_id"], partitions)
+    tasks = listed_tasks(spark, manifest)
+    repeated = repeated_records(disputed_rows(rows, manifest), keys, tasks)
+    grouped = lookup_join(rows, groups, [*PREFIX, "chunk"], "inner").drop("chunk")
+    merged = archive.each_once(grouped, repeated, keys, tasks)
+    return archive.in_chunks(merged, ["group_id"], partitions or tasks)

@@ -6,10 +6,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from relayframe import session
 from relayframe.operators import archive, offsets
 from relayframe.plans.restore import restore, restore_archive
 from relayframe.schemas import LOG, RESTORE_OFFSETS
-from relayframe.session import shared_dir
 from relayframe.sources import archive_files as files
 from relayframe.streaming import jobs
 from relayframe.streaming.archive_sink import ArchiveSink
@@ -435,9 +435,30 @@ def test_compatible_layout_is_written_where_only_spark_reaches(spark, tmp_path):
 
 
 def test_compatible_layout_is_written_on_a_cluster_with_shared_folders(spark, tmp_path, monkeypatch):
-    shared_dir(spark)
+    session.shared_dir(spark)
     monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
     rows = archive.to_archive_rows(late_log(spark))
     assert files.write_compatible(rows.limit(0), f"file://{tmp_path}/a").isEmpty()
     files.write_compatible(rows, f"file://{tmp_path}/a")
     assert files.read_compatible(spark, f"file://{tmp_path}/a", ["t"]).count() == 600
+
+
+def test_tasks_follow_the_rows(spark, tmp_path, monkeypatch):
+    """A redelivered archive: neither its write nor its compaction nor its restore gives a task more with more rows."""
+    monkeypatch.setattr(session, "TASK_ROWS", 100, raising=False)
+    # Too many repeats to broadcast them.
+    monkeypatch.setattr(session.is_small, "__defaults__", (0,)) if hasattr(session, "is_small") else None
+    root = str(tmp_path / "a")
+    sink = ArchiveSink(root, interval="1m", replace=False)
+    for part in ("offset < 1000", "true"):
+        sink(late_log(spark, 2_000).where(part))
+
+    def most(df):
+        return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+    merged = files.merged_chunks(spark, root, limit=1)
+    restored = restore_archive(spark, root).records
+    for whole in (merged, restored):
+        assert plain(whole, "offset") == sorted([(o,) for o in range(2_000)], key=repr)
+    assert most(archive.by_offset_range(archive.to_archive_rows(late_log(spark, 2_000), "1m"))) < 300
+    assert most(merged) < 300 and most(restored) < 300
