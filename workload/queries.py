@@ -13,7 +13,7 @@ from relayframe.operators import archive, catalog, changes, compaction, decode,
 from relayframe.plans.changefeed import ChangeFeed
 from relayframe.plans.restore import restore, restore_archive
 from relayframe.plans.snapshot import SnapshotPlan, SnapshotTable
-from relayframe.session import scratch_path, share_package, use_utc
+from relayframe.session import scratch_path, share_package, tasks_for, use_utc
 from relayframe.sources import archive_files, changelog
 from relayframe.sources.archive_commits import ArchiveLog
 from relayframe.streaming import jobs
@@ -236,20 +236,21 @@ def change_stream_altered(spark, sf_dir):
     """A log with relations in it, read as a stream of three batches; the second alters the table within."""
     log = fx.log_with_relations(spark, sf_dir)
     base = scratch_path(spark, "change-stream")
-    for low, high in ((0, 10_000), (10_000, 50_000), (50_000, 2**62)):
-        part = log.where(F.col("lsn_start").between(low, high - 1))
-        part.coalesce(1).write.mode("append").parquet(f"{base}/log")
     conf = {
         "path": f"{base}/log",
         "relations": "log",
         "versions": f"{base}/versions",
         "feed": {"ts_ms": fx.TS_MS},
-        "files_per_trigger": 1,
         "checkpoint": f"{base}/checkpoint",
         "timeout": None,
         "send": lambda messages, batch_id: messages.write.parquet(f"{base}/sent/batch={batch_id}"),
     }
-    drain([jobs.run(spark, "table.changes", conf)])
+    # A batch is what came since the last run, in as many files of the log as its rows need tasks.
+    for low, high in ((0, 10_000), (10_000, 50_000), (50_000, 2**62)):
+        part = log.where(F.col("lsn_start").between(low, high - 1))
+        tasks = tasks_for(spark, part.count())
+        part.repartitionByRange(tasks, "lsn_start").write.mode("append").parquet(f"{base}/log")
+        drain([jobs.run(spark, "table.changes", conf)])
     return _values(spark.read.parquet(f"{base}/sent"))
 
 
