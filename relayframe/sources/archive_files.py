@@ -162,16 +162,13 @@ def list_compatible(
     until: str | datetime | None = None,
 ) -> DataFrame:
     """Chunks of a compatible-layout archive; row counts are not in its names, so they are null."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(_topic_roots(root, topics))
-        .select("path", "length")
-    )
-    for condition in _in_bounds(F.col("path"), since, until):
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_topic_roots(root, topics))
+    # Spark encodes this path; ``path`` is as it stands, so a sign of percent in it says nothing.
+    path = F.col("_metadata.file_path")
+    for condition in _in_bounds(path, since, until):
         files = files.where(condition)
     return files.select(
-        archive.parse_chunk_path(F.col("path")).alias("chunk"), F.col("length").alias("size_bytes"), "path"
+        archive.parse_chunk_path(path).alias("chunk"), F.col("length").alias("size_bytes"), "path"
     ).select("chunk.*", F.lit(None).cast("bigint").alias("n_rows"), "size_bytes", "path")
 
 
@@ -207,8 +204,8 @@ def rows_of_chunks(rows: DataFrame, chunks: DataFrame) -> DataFrame:
     return lookup_join(rows, chunks.where(F.col("chunk") > ""), [*PREFIX, "chunk"], "left_semi")
 
 
-def _stored_chunks(spark: SparkSession, root: str, bounds: DataFrame) -> list[str]:
-    """Files of a compatible-layout archive that have the name of one of some chunks."""
+def _met_chunks(spark: SparkSession, root: str, bounds: DataFrame) -> DataFrame | None:
+    """Chunks of a compatible-layout archive whose offset range meets that of some rows of the same prefix."""
     topics = [row["topic"] for row in bounds.select("topic").distinct().collect()]
     found = []
     for topic in topics:
@@ -219,12 +216,13 @@ def _stored_chunks(spark: SparkSession, root: str, bounds: DataFrame) -> list[st
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue
-        found.append(listed.select(*PREFIX, "min_offset", "max_offset", "path"))
+        found.append(listed)
     if not found:
-        return []
-    wanted = bounds.select(*PREFIX, "min_offset", "max_offset")
-    met = lookup_join(reduce(DataFrame.unionByName, found), wanted, wanted.columns, "left_semi")
-    return [row["path"] for row in met.select("path").collect()]
+        return None
+    spans = bounds.groupBy(*PREFIX).agg(F.min("min_offset").alias("_low"), F.max("max_offset").alias("_high"))
+    met = lookup_join(reduce(DataFrame.unionByName, found), checkpointed(spans), PREFIX, "inner")
+    met = checkpointed(met.where("min_offset <= _high and max_offset >= _low").drop("_low", "_high"))
+    return None if met.isEmpty() else met
 
 
 def _move_chunks(spark: SparkSession, moves: Sequence[tuple[str, str]], staging: str) -> None:
@@ -255,37 +253,38 @@ def write_compatible(
     chunk_offsets: int = archive.CHUNK_OFFSETS,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Add archive rows to an archive of the compatible layout; gives the manifest of what was written.
+    """Add archive rows to an archive of the compatible layout; gives the manifest of the chunks in their ranges,
+    those that were there before as well.
 
-    A file that is there under a chunk's bounds is merged with it, so writing again changes nothing and other
-    records of the same bounds stay. Spark names files itself, so it writes a file for each chunk to a folder
+    Only records that no stored chunk of their bucket holds are written, under their own bounds. So writing again
+    changes nothing, and no file is replaced: both ends of a new chunk are new, so its name is. Executors may
+    still know the files that they read. Spark names files itself, so it writes a file for each chunk to a folder
     that no reader looks at, and the driver then moves them, so that no reader meets half a chunk: a name for
     each chunk passes the driver, as it does in listing. Needs a store whose names may hold colons, and that
     every executor reaches.
     """
     spark, root = rows.sparkSession, root.rstrip("/")
-    # The offsets alone tell the chunks.
     cut = rows.withColumn("_range", F.call_function("div", F.col("offset"), F.lit(chunk_offsets)))
-    bounds = cut.groupBy(*PREFIX, "_range").agg(
-        F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"), F.count(F.lit(1)).alias("n_rows")
-    )
-    bounds = checkpointed(bounds)
+    bounds = _bounds(cut)
+    met, stored = _met_chunks(spark, root, bounds), spark.createDataFrame([], MANIFEST)
+    if met is not None:
+        # Offsets alone tell what is stored.
+        chunk = archive.parse_chunk_path(F.col("_metadata.file_path"))
+        offsets = spark.read.schema(ARCHIVE_ROW).json([row["path"] for row in met.select("path").collect()])
+        offsets = offsets.select(chunk.alias("chunk"), "offset").select("chunk.*", "offset")
+        offsets = checkpointed(offsets)
+        name = [*PREFIX, "min_offset", "max_offset"]
+        counts = checkpointed(offsets.groupBy(*name).agg(F.count(F.lit(1)).alias("n_rows")))
+        stored = lookup_join(met.drop("n_rows"), counts, name).select(*MANIFEST.names)
+        cut = cut.join(offsets.select(*PREFIX, "offset"), [*PREFIX, "offset"], "left_anti")
+        bounds = _bounds(cut)
     n_rows = bounds.agg(F.sum("n_rows")).first()[0]
     if not n_rows:
-        return spark.createDataFrame([], MANIFEST)
+        return stored
     name = archive.chunk_name(F.col("min_offset"), F.col("max_offset")).alias("chunk")
-    columns = [*PREFIX, "chunk", *ARCHIVE_ROW.names, "_new"]
-    cut = cut.withColumn("_new", F.lit(1))
+    columns = [*PREFIX, "chunk", *ARCHIVE_ROW.names]
     named = lookup_join(cut, bounds.select(*PREFIX, "_range", name), [*PREFIX, "_range"], "inner").select(*columns)
-    paths = _stored_chunks(spark, root, bounds)
-    if paths:
-        stored = spark.read.schema(ARCHIVE_ROW).json(paths)
-        chunk = archive.parse_chunk_path(F.col("_metadata.file_path"))
-        stored = stored.select(chunk.alias("_chunk"), *ARCHIVE_ROW.names).select(
-            *[F.col(f"_chunk.{c}") for c in [*PREFIX, "min_offset", "max_offset"]], *ARCHIVE_ROW.names
-        )
-        named = named.unionByName(stored.withColumns({"chunk": name, "_new": F.lit(0)}).select(*columns))
-    whole = archive.once_in_order(named, [*PREFIX, "chunk"], F.col("_new"), partitions or tasks_for(spark, n_rows)).drop("_new")
+    whole = archive.once_in_order(named, [*PREFIX, "chunk"], F.lit(0), partitions or tasks_for(spark, n_rows))
     staging = f"{root}/_staging-{uuid.uuid4().hex}"
     writer = whole.write.option("compression", "gzip").option("ignoreNullFields", "false").option("maxRecordsPerFile", 0)
     writer.partitionBy(*PREFIX, "chunk").json(staging)
@@ -295,16 +294,24 @@ def write_compatible(
     target = F.concat(F.lit(f"{root}/"), F.concat_ws("/", *PREFIX, "chunk"), F.lit(".gz"))
     written = checkpointed(lookup_join(listed, counts, [*PREFIX, "chunk"], "inner").withColumn("target", target))
     _move_chunks(spark, [tuple(row) for row in written.select("path", "target").collect()], staging)
-    return written.select(
-        *PREFIX,
-        F.substring_index("chunk", "-", 1).cast("bigint").alias("min_offset"),
-        F.substring_index("chunk", "-", -1).cast("bigint").alias("max_offset"),
-        "n_rows",
-        F.col("length").alias("size_bytes"),
-        F.col("target").alias("path"),
+    return stored.unionByName(
+        written.select(
+            *PREFIX,
+            F.substring_index("chunk", "-", 1).cast("bigint").alias("min_offset"),
+            F.substring_index("chunk", "-", -1).cast("bigint").alias("max_offset"),
+            "n_rows",
+            F.col("length").alias("size_bytes"),
+            F.col("target").alias("path"),
+        )
     )
 
 
+def _bounds(cut: DataFrame) -> DataFrame:
+    """Offset bounds and row count of each range of rows."""
+    ends = [F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"), F.count(F.lit(1)).alias("n_rows")]
+    return checkpointed(cut.groupBy(*PREFIX, "_range").agg(*ends))
+
+
 def disputed_rows(rows: DataFrame, manifest: DataFrame) -> DataFrame | None:
     """``topic, partition, bucket, offset`` of the rows that another chunk may hold as well; None for none.
 

@@ -462,3 +462,17 @@ def test_tasks_follow_the_rows(spark, tmp_path, monkeypatch):
         assert plain(whole, "offset") == sorted([(o,) for o in range(2_000)], key=repr)
     assert most(archive.by_offset_range(archive.to_archive_rows(late_log(spark, 2_000), "1m"))) < 300
     assert most(merged) < 300 and most(restored) < 300
+
+
+def test_compatible_redelivery_replaces_no_file(spark, tmp_path):
+    """What executors have read stays as it is; a sign of percent in the root is no code."""
+    root = f"file://{tmp_path}/50%/a"
+    parts = ("offset % 2 = 0 or offset = 599", "offset % 2 = 1 or offset = 0")
+    files.write_compatible(archive.to_archive_rows(late_log(spark).where(parts[0]), "24h"), root, chunk_offsets=1 << 40)
+    before = {p: (p.stat().st_ino, p.read_bytes()) for p in (tmp_path / "50%").rglob("*.gz")}
+    files.write_compatible(archive.to_archive_rows(late_log(spark).where(parts[1]), "24h"), root, chunk_offsets=1 << 40)
+    assert before == {p: (p.stat().st_ino, p.read_bytes()) for p in before}
+    listed = files.list_compatible(spark, root, ["t"])
+    assert plain(listed, "min_offset", "max_offset") == [(0, 599), (1, 597)]
+    rows = files.read_compatible(spark, root, ["t"])
+    assert plain(rows, "offset") == sorted([(o,) for o in range(600)], key=repr)
