@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from relayframe.functions import times
 from relayframe.schemas import HEADERS, PREFIX
-from relayframe.session import is_small, lookup_join, tasks_for
+from relayframe.session import checkpointed, is_small, lookup_join, tasks_for
 
 # What tells a record from every other one of a log.
 RECORD = ("topic", "partition", "offset")
 
 # Offsets one chunk may span. Offsets are unique in a partition, so this bounds a chunk's rows too.
 CHUNK_OFFSETS = 250_000
+# Ranges of few rows are joined up to this part of the rows that a chunk may have, so that tasks stay even.
+MERGED_PART = 8
 # Offsets one tile of chunk metadata spans, which bounds the chunks a task sorts together.
 TILE_OFFSETS = 1 << 20
 
@@ -160,9 +162,23 @@ def in_chunks(rows: DataFrame, by: Sequence[str], partitions: int | None = None)
 
 
 def by_offset_range(rows: DataFrame, chunk_offsets: int = CHUNK_OFFSETS, partitions: int | None = None) -> DataFrame:
-    """Archive rows labelled with chunks of a bounded offset range."""
+    """Archive rows labelled with chunks of a bounded offset range.
+
+    A prefix whose offsets are sparse would get a small file for each range. So without ``partitions`` rows are
+    counted by range, and neighbouring ranges, as many as a power of two, make one chunk of
+    ``chunk_offsets / MERGED_PART`` rows at most. The same rows make the same chunks.
+    """
     cut = rows.withColumn("_range", F.call_function("div", F.col("offset"), F.lit(chunk_offsets)))
-    return in_chunks(cut, ["_range"], partitions)
+    if partitions:
+        return in_chunks(cut, ["_range"], partitions)
+    counts = cut.groupBy(*PREFIX, "_range").agg(F.count(F.lit(1)).alias("n"))
+    prefixes = checkpointed(counts.groupBy(*PREFIX).agg(F.max("n").alias("most"), F.sum("n").alias("n")))
+    tasks = tasks_for(rows.sparkSession, prefixes.agg(F.sum("n")).first()[0] or 0)
+    room = F.greatest(F.lit(chunk_offsets / MERGED_PART) / F.col("most"), F.lit(1.0))
+    joined = prefixes.select(*PREFIX, F.pow(F.lit(2.0), F.floor(F.log2(room))).cast("bigint").alias("_joined")).where("_joined > 1")
+    merged = F.call_function("div", F.col("_range"), F.coalesce("_joined", F.lit(1).cast("bigint")))
+    cut = lookup_join(cut, joined, PREFIX).withColumn("_range", merged).drop("_joined").select(*cut.columns)
+    return in_chunks(cut, ["_range"], tasks)
 
 
 def without_repeats(rows: DataFrame, keys: Sequence[str] = RECORD) -> DataFrame:

@@ -476,3 +476,20 @@ def test_compatible_redelivery_replaces_no_file(spark, tmp_path):
     assert plain(listed, "min_offset", "max_offset") == [(0, 599), (1, 597)]
     rows = files.read_compatible(spark, root, ["t"])
     assert plain(rows, "offset") == sorted([(o,) for o in range(600)], key=repr)
+
+
+def test_sparse_ranges_make_one_chunk(spark, tmp_path):
+    """A file for each range would be as many files as a sparse log has ranges."""
+    sparse = [record(o * 50) for o in range(400)]
+    dense = [record(o, topic="dense") for o in range(400)]
+    source = log(spark, *sparse, *dense)
+    for _ in range(2):
+        ArchiveSink(str(tmp_path / "a"), chunk_offsets=200)(source)
+    chunks = files.list_archive(spark, str(tmp_path / "a"))
+    assert set(plain(chunks, "topic", "min_offset", "max_offset", "n_rows")) == {
+        ("dense", 0, 199, 200),
+        ("dense", 200, 399, 200),
+        *[("t", low, low + 750, 16) for low in range(0, 20_000, 800)],
+    }
+    assert chunks.count() == 27
+    assert plain(restore_archive(spark, str(tmp_path / "a")).records) == plain(source)
