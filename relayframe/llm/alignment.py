@@ -92,23 +92,27 @@ def group_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     Both lists rise and end in the same number.
     """
     i = j = 0
+    n = len(a)
     ends_a: list[int] = []
     ends_b: list[int] = []
-    while i < len(a):
-        width, grows, shift, at = 2, True, j - i, i
-        while width:
-            found = a[at : at + width]
-            if found and found == b[at + shift : at + shift + width]:
-                at += len(found)
-                width = width * 2 if grows else width // 2
-            else:
-                grows, width = False, width // 2
-        if at > i:
+    while i < n:
+        # Many stretches are empty or one token long; those are told without cutting the lists.
+        if a[i] == b[j]:
+            width, grows, shift, at = 2, True, j - i, i + 1
+            while width > 1:
+                found = a[at : at + width]
+                if found and found == b[at + shift : at + shift + width]:
+                    at += len(found)
+                    width = width * 2 if grows else width // 2
+                else:
+                    grows, width = False, width // 2
+            if at < n and a[at] == b[at + shift]:
+                at += 1
             ends_a.extend(range(i + 1, at + 1))
             ends_b.extend(range(j + 1, at + shift + 1))
             i, j = at, at + shift
-        if i == len(a):
-            break
+            if i == n:
+                break
         end_a, end_b = a[i], b[j]
         i, j = i + 1, j + 1
         while end_a != end_b:

@@ -132,3 +132,17 @@ def test_large_groups_count_the_same(monkeypatch):
     monkeypatch.setattr(alignment, "LARGE_GROUP", 1)
     large = alignment.align_text(text, A_PATH, B_PATH)
     assert [list(x) for x in usual[5:]] == [list(x) for x in large[5:]] and usual[:5] == large[:5]
+
+
+def test_empty_stretches_cut_no_lists():
+    class Ends(list):
+        cuts = 0
+
+        def __getitem__(self, at):
+            Ends.cuts += isinstance(at, slice)
+            return super().__getitem__(at)
+
+    a, b = Ends(range(2, 202, 2)), Ends(sorted({*range(1, 200, 2), *range(4, 201, 4)}))
+    ends = alignment.group_ends(a, b)
+    assert [a[i - 1] for i in ends[0]] == [b[j - 1] for j in ends[1]] == list(range(4, 201, 4))
+    assert Ends.cuts == 0
