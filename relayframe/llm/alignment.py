@@ -51,10 +51,10 @@ class ByteLevel:
                 continue
         self._of_word = functools.lru_cache(100_000)(self._word)
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if len(text) <= bpe.MOST_CHARS:
-            return self.model.core.encode_ordinary(text)
-        return [i for word in self.model._split.finditer(text) for i in self._of_word(word.group())]
+            return self.model.core.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+        return np.array([i for word in self.model._split.finditer(text) for i in self._of_word(word.group())], np.int64)
 
     def _word(self, word: str) -> list[int]:
         halves = [word.encode()]
@@ -91,11 +91,19 @@ def group_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
 
     Both lists rise and end in the same number.
     """
+    ends_a, ends_b = _group_ends(a, b)
+    return ends_a.tolist(), ends_b.tolist()
+
+
+def _group_ends(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     i = j = 0
     n = len(a)
-    ends_a: list[int] = []
-    ends_b: list[int] = []
+    # For each one-to-one stretch and the irregular group behind it: the stretch's end in a, the group's in both.
+    runs: list[int] = []
+    ends_i: list[int] = []
+    ends_j: list[int] = []
     while i < n:
+        at = i
         # Many stretches are empty or one token long; those are told without cutting the lists.
         if a[i] == b[j]:
             width, grows, shift, at = 2, True, j - i, i + 1
@@ -108,28 +116,46 @@ def group_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
                     grows, width = False, width // 2
             if at < n and a[at] == b[at + shift]:
                 at += 1
-            ends_a.extend(range(i + 1, at + 1))
-            ends_b.extend(range(j + 1, at + shift + 1))
             i, j = at, at + shift
-            if i == n:
-                break
-        end_a, end_b = a[i], b[j]
-        i, j = i + 1, j + 1
-        while end_a != end_b:
-            if end_a < end_b:
-                end_a = a[i]
-                i += 1
-            else:
-                end_b = b[j]
-                j += 1
-        ends_a.append(i)
-        ends_b.append(j)
-    return ends_a, ends_b
+        if i < n:
+            end_a, end_b = a[i], b[j]
+            i, j = i + 1, j + 1
+            while end_a != end_b:
+                if end_a < end_b:
+                    end_a = a[i]
+                    i += 1
+                else:
+                    end_b = b[j]
+                    j += 1
+        runs.append(at)
+        ends_i.append(i)
+        ends_j.append(j)
+    lasts = [np.array(x, np.int64) for x in (ends_i, ends_j)]
+    starts = [_before(x) for x in lasts]
+    ones = np.array(runs, np.int64) - starts[0]
+    irregular = lasts[0] - starts[0] > ones
+    sizes = ones + irregular
+    first = np.cumsum(sizes) - sizes
+    steps = np.arange(1, int(sizes.sum()) + 1)
+    behind = (first + ones)[irregular]
+    found = []
+    for start, last in zip(starts, lasts):
+        ends = np.repeat(start - first, sizes) + steps
+        ends[behind] = last[irregular]
+        found.append(ends)
+    return found[0], found[1]
+
+
+def _before(ends: np.ndarray) -> np.ndarray:
+    """Where each stretch starts that ends there."""
+    starts = np.zeros_like(ends)
+    starts[1:] = ends[:-1]
+    return starts
 
 
 def _links(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Different links ``a << 32 | b`` in order, how often each occurs, and how many there are."""
-    starts_a, starts_b = (np.concatenate([[0], e[:-1]]) for e in (ends_a, ends_b))
+    starts_a, starts_b = _before(ends_a), _before(ends_b)
     n_a, n_b = ends_a - starts_a, ends_b - starts_b
     large = n_a * n_b > LARGE_GROUP
     group = np.repeat(np.arange(len(n_a)), n_a)
@@ -164,10 +190,10 @@ def _groups_text(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.nd
     a[ends_a - 1] += size
     b[ends_b - 1] += 2 * size
     # Each token stands behind those of its own side before it and the other side's earlier groups.
-    starts_b = np.concatenate([[0], ends_b[:-1]])
+    starts_b = _before(ends_b)
     written = np.empty(len(a) + len(b), np.int64)
-    written[np.arange(len(a)) + np.repeat(starts_b, np.diff(ends_a, prepend=0))] = a
-    written[np.arange(len(b)) + np.repeat(ends_a, np.diff(ends_b, prepend=0))] = b
+    written[np.arange(len(a)) + np.repeat(starts_b, ends_a - _before(ends_a))] = a
+    written[np.arange(len(b)) + np.repeat(ends_a, ends_b - starts_b)] = b
     return "".join(map(_written(size).__getitem__, written.tolist()))[:-1]
 
 
@@ -183,10 +209,10 @@ def align_text(text: str | None, path_a: str, path_b: str) -> tuple:
     whole = " " + text
     a, b = one.encode(whole), other.encode(text)
     data = whole.encode()
-    if one.model.core.decode_bytes(a) != data or b"".join(map(other.bytes.__getitem__, b)) != data:
+    if one.model.core.decode_bytes(a.tolist()) != data or b"".join(map(other.bytes.__getitem__, b)) != data:
         return _NOTHING
-    ids = [np.array(x, np.int64) for x in (a, b)]
-    ends = [np.array(e) for e in group_ends(*(np.cumsum(n[x]).tolist() for n, x in zip(lengths, ids)))]
+    ids = [a, np.array(b, np.int64)]
+    ends = _group_ends(*(np.cumsum(n[x]).tolist() for n, x in zip(lengths, ids)))
     pairs, counts, n_links = _links(*ids, *ends)
     return len(a), len(b), len(ends[0]), n_links, _groups_text(*ids, *ends), pairs, counts
 

@@ -146,3 +146,11 @@ def test_empty_stretches_cut_no_lists():
     ends = alignment.group_ends(a, b)
     assert [a[i - 1] for i in ends[0]] == [b[j - 1] for j in ends[1]] == list(range(4, 201, 4))
     assert Ends.cuts == 0
+
+
+def test_ends_of_groups_are_made_in_arrays():
+    """A text's groups are told without a list entry of their own for each one-to-one group."""
+    found = alignment._group_ends([1, 2, 3, 5, 9, 10], [1, 2, 3, 4, 9, 10])
+    assert [x.dtype for x in found] == [np.int64] * 2
+    assert [x.tolist() for x in found] == [[1, 2, 3, 5, 6]] * 2
+    assert [x.tolist() for x in alignment._group_ends([], [])] == [[], []]
