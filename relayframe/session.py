@@ -26,6 +26,9 @@ WORKER_ENVIRONMENT = {
     "MALLOC_MMAP_THRESHOLD_": "1048576",
     "ARROW_DEFAULT_MEMORY_POOL": "system",
 }
+# Bytes of an Arrow batch, which the executor and its worker hold several times over; Spark's own limit is 64 MB.
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = "8m"
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -37,7 +40,9 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def share_package(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package from where the driver has it, for checkouts that are not
     installed, and keep them small. The folder has to be there on every machine; otherwise install the package
-    or ship it with ``--py-files``."""
+    or ship it with ``--py-files``. A limit of Arrow batches that the session has stays."""
+    if spark.conf.get(BATCH_LIMIT, None) is None:
+        spark.conf.set(BATCH_LIMIT, BATCH_BYTES)
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     for name, value in WORKER_ENVIRONMENT.items():
         spark.sparkContext.environment.setdefault(name, value)
