@@ -139,10 +139,18 @@ def token_classes(counted: DataFrame) -> bytes:
     return np.floor(2 * np.log2(np.maximum(relative, 1))).astype(np.uint8).tobytes()
 
 
-def prefix(shingles: np.ndarray, classes: np.ndarray, seed: int, percent: int) -> np.ndarray:
+def early_length(n: int, percent: int) -> int:
+    """How many first tokens of a set are enough to meet an alike set of its size or larger, within that one's prefix.
+
+    They share at least ``2 * percent * n / (100 + percent)`` tokens.
+    """
+    return n - -(-2 * percent * n // (100 + percent)) + 1
+
+
+def prefix(shingles: np.ndarray, classes: np.ndarray, seed: int, percent: int, length: int | None = None) -> np.ndarray:
     """The first tokens of a set under an order; one of them is in any set that resembles it."""
     n = len(shingles)
-    length = n - -(-percent * n // 100) + 1
+    length = length or n - -(-percent * n // 100) + 1
     if length >= n:
         return shingles
     kinds, places = classes[shingles % SLOTS], _mix(shingles, seed)
@@ -157,8 +165,9 @@ def prefix(shingles: np.ndarray, classes: np.ndarray, seed: int, percent: int) -
 
 
 def _signatures(docs: DataFrame, classes: bytes, size: int, percent: int) -> DataFrame:
-    """``node, key, n, first, others`` of every different set: a number for it, the first order's prefix, and
-    16 bits of each token of the other orders' prefixes, which are equal wherever the tokens are."""
+    """``node, key, n, first, early, others`` of every different set: a number for it, the first order's prefix, early
+    tokens first, how many those are, and 16 bits of each token of the other orders' prefixes, which are equal
+    wherever the tokens are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = np.frombuffer(classes, np.uint8)
@@ -169,12 +178,14 @@ def _signatures(docs: DataFrame, classes: bytes, size: int, percent: int) -> Dat
                 if len(found):
                     first, *others = (prefix(found, kinds, seed, percent) for seed in ORDERS)
                     short = [(o >> np.uint64(48)).astype("<u2").tobytes() for o in others]
-                    rows.append((_digest(found), len(found), first.view(np.int64), short))
-            columns = list(zip(*rows)) or [()] * 4
-            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary())))]
-            yield pa.RecordBatch.from_arrays(arrays, ["key", "n", "first", "others"])
-
-    shape = "key binary, n long, first array<long>, others array<binary>"
+                    early = prefix(first, kinds, ORDERS[0], percent, early_length(len(found), percent))
+                    first = np.concatenate([early, np.setdiff1d(first, early, assume_unique=True)])
+                    rows.append((_digest(found), len(found), first.view(np.int64), len(early), short))
+            columns = list(zip(*rows)) or [()] * 5
+            types = (pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.binary()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["key", "n", "first", "early", "others"])
+
+    shape = "key binary, n long, first array<long>, early long, others array<binary>"
     once = docs.select("text").mapInArrow(run, shape).dropDuplicates(["key"])
     return _stored(once.withColumn("node", F.monotonically_increasing_id()))
 
@@ -276,15 +287,28 @@ def _pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _members(signatures: DataFrame, percent: int) -> DataFrame:
-    """``token, class, node, n, members, leader`` for every group of several members."""
-    postings = signatures.select(F.explode("first").alias("token"), "node", "n")
-    held = postings.groupBy("token").agg(F.count("*").alias("members")).where("members > 1").select("token")
-    several = _stored(lookup_join(postings, checkpointed(held), ["token"], "left_semi"))
+    """``token, class, node, n, members, leader`` for every group of several members.
+
+    Alike sets share a token that is early in the smaller one, or in one of two of a size. So a member that holds
+    the token later on stays only if the token is early in a member no larger than it.
+    """
+    postings = signatures.select("node", "n", "early", F.posexplode("first").alias("place", "token")).select(
+        "token", "node", "n", (F.col("place") < F.col("early")).alias("early")
+    )
+    from_size = F.min(F.when(F.col("early"), F.col("n"))).alias("from_size")
+    several = (F.col("members") > 1) & F.col("from_size").isNotNull()
+    stays = F.col("early") | (F.col("n") >= F.col("from_size"))
+    held = postings.groupBy("token").agg(F.count("*").alias("members"), from_size).where(several).drop("members")
+    several = _stored(lookup_join(postings, checkpointed(held), ["token"], "inner").where(stays).drop("from_size"))
     # Sizes that differ by no more than the ratio allows are in one class or in neighbouring ones.
     size_class = F.floor(F.log("n") / (1.0001 * math.log(100 / percent))).cast("int")
     dealt = several.withColumn("class", F.explode(F.array(size_class, size_class + 1)))
-    groups = dealt.groupBy(*_GROUP).agg(F.count("*").alias("members"), F.min("node").alias("leader")).where("members > 1")
-    return _stored(lookup_join(dealt, checkpointed(groups), _GROUP, "inner"))
+    groups = (
+        dealt.groupBy(*_GROUP)
+        .agg(F.count("*").alias("members"), F.min("node").alias("leader"), from_size)
+        .where("members > 1 and from_size is not null")
+    )
+    return _stored(lookup_join(dealt.drop("early"), checkpointed(groups.drop("from_size")), _GROUP, "inner"))
 
 
 def set_links(docs: DataFrame, keys: DataFrame, classes: bytes, size: int, percent: int) -> tuple[DataFrame, DataFrame]:

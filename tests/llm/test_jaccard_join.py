@@ -137,3 +137,27 @@ def test_query_on_its_table(spark, sf_dir):
     found = queries.op12_jaccard_join(spark, sf_dir).collect()
     assert sorted(map(tuple, found), key=repr) == plain(rows)
     assert len({r["component_id"] for r in found}) < len(rows)
+
+
+def test_the_first_shared_token_is_early_in_the_smaller_set():
+    rng = np.random.default_rng(5)
+    classes = rng.integers(0, 6, jaccard_join.SLOTS).astype(np.uint8)
+    for n in (1, 2, 9, 10, 19, 20, 57, 300):
+        for _ in range(60):
+            base = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+            other = base[rng.random(len(base)) > rng.choice([0, 0.03, 0.08])]
+            other = np.union1d(other, rng.integers(0, 2**63, rng.integers(0, n // 18 + 1), dtype=np.uint64))
+            small, large = sorted((base, other), key=len)
+            if len(small) and jaccard_join._alike(small, large, 90):
+                first = [jaccard_join.prefix(s, classes, jaccard_join.ORDERS[0], 90) for s in (small, large)]
+                length = jaccard_join.early_length(len(small), 90)
+                early = jaccard_join.prefix(first[0], classes, jaccard_join.ORDERS[0], 90, length)
+                assert len(early) == min(length, len(small)) and len(np.intersect1d(early, first[1]))
+
+
+def test_members_that_hold_a_token_late_need_one_no_larger_that_holds_it_early(spark):
+    # Token 7 is late in all; 8 is early in the set of 100 alone, which those of 95 are too small for.
+    rows = [(1, 100, [8, 7], 1), (2, 95, [5, 7, 8], 1), (3, 95, [6, 7, 8], 1), (4, 104, [9, 8], 1), (5, 104, [9, 7], 1)]
+    signatures = spark.createDataFrame(rows, "node long, n long, first array<long>, early long")
+    found = {(r.token, r.node) for r in jaccard_join._members(signatures, 90).collect()}
+    assert found == {(8, 1), (8, 4), (9, 4), (9, 5)}
