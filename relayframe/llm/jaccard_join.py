@@ -9,13 +9,19 @@ All orders put rare tokens first, by classes of a count over the whole corpus, s
 documents share comes last in each; within a class each order has a sequence of its own. Counts are kept for
 ``SLOTS`` hash values of tokens, whatever the size of the corpus; an order stays an order if counts coincide.
 
-Documents of equal sets are one entry, known by a 128-bit digest. The group of a prefix token is dealt over
+What proposes are not single tokens, which more and more texts share by chance as a corpus grows, but bundles: the
+tokens of a set, but for common ones, are dealt by value into a few more parts than alike sets differ in tokens, and
+what a part holds is a bundle. Alike sets have some bundles in common, so the first bundles of one and of the other,
+those of many rare tokens first, share one. Only sets of mostly common tokens are proposed by the first order's prefix.
+
+Documents of equal sets are one entry, known by a 128-bit digest. The group of a bundle or token is dealt over
 classes of sizes, two for each member, so that any two members that may be alike meet in one. In each group
 every member is proposed with the group's leader. Groups of three and more that this leaves in several
 components are then compared inside tasks, what is outside the largest component with all members: groups
 of up to ``SETS`` by their prefixes under the second order, which proposes further pairs, larger ones in blocks and
-by their sets, which returns links. Pairs meet one order at a time, so that the later prefixes, which are long for
-long texts, are carried only for the pairs that the earlier ones left. So no pair of a group is left out, and a large group's pairs are never rows. Groups of
+by their sets, which returns a forest of links for each two blocks. Pairs meet by short sketches first, which bound
+from below in how many tokens two sets differ, then one order at a time, so that the prefixes, which are long for
+long texts, are carried only for the pairs that are left. So no pair of a group is left out, and a large group's pairs are never rows. Groups of
 the same members are compared once. Sets are not kept; they are made again from the texts that need them.
 
 Defined results: a null or blank text has no shingles and is linked with nothing, whatever its copies. A text
@@ -25,6 +31,7 @@ rows of their own, linked with each other. Other columns, whatever their names,
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
@@ -48,6 +55,12 @@ BLOCKS = 32
 #: Members of a group up to which its pairs are compared one by one.
 FEW = 16
 TOKENS_AT_ONCE = 32_768
+#: Class from which a token is common: twice the mean, and COMMON_FROM documents.
+COMMON = 2
+COMMON_FROM = 64
+#: Uncommon tokens for each one that alike sets may differ in, from which a set is dealt into bundles.
+BUNDLED_FROM = 4
+SKETCH_BITS = 12
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -135,7 +148,7 @@ def token_classes(counted: DataFrame) -> bytes:
     counts = np.zeros((SLOTS // SLOTS_PER_ROW, SLOTS_PER_ROW))
     for row in summed:
         counts[row["part"]] = np.frombuffer(row["counts"], np.int64)
-    relative = counts.ravel() / max(counts.mean(), 1)
+    relative = counts.ravel() / max(counts.mean(), COMMON_FROM / 2 ** (COMMON / 2))
     return np.floor(2 * np.log2(np.maximum(relative, 1))).astype(np.uint8).tobytes()
 
 
@@ -164,10 +177,92 @@ def prefix(shingles: np.ndarray, classes: np.ndarray, seed: int, percent: int, l
     return shingles[whole]
 
 
+@functools.lru_cache(maxsize=65_536)
+def levels_of(n: int, percent: int) -> list[int]:
+    """Numbers of tokens that may differ, rounded up in steps, between a set of ``n`` and an alike one no smaller,
+    for every size that has."""
+    least, most = (2 * m * (100 - percent) // (100 + percent) for m in (n, 100 * n // percent))
+    level, found = 1, []
+    while most > 0:
+        if level >= least:
+            found.append(level)
+        if level >= most:
+            break
+        level = max(level + 1, level * 7 // 5)
+    return found
+
+
+@functools.lru_cache(maxsize=1024)
+def _parts(parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Borders of equal parts of the hash values, and a number for each part."""
+    borders = np.array([-(-i * 2**64 // parts) for i in range(parts)], np.uint64)
+    return borders, np.arange(parts, dtype=np.uint64) * _M2
+
+
+def bundles(rare: np.ndarray, kinds: np.ndarray, levels: list[int]) -> list[np.ndarray]:
+    """A prefix of the bundles of a set's tokens for each level: two sets that differ in up to so many share one.
+
+    The tokens are dealt by value into more parts than may differ. What a part holds makes one bundle; bundles of many
+    rare tokens come first in their order, and as many as parts are bound to be equal, less one, are left out.
+    """
+    sums, weights = np.zeros(len(rare) + 1, np.uint64), np.zeros(len(rare) + 1, np.int64)
+    np.cumsum(_mix(rare, ORDERS[0]), out=sums[1:])
+    np.cumsum(COMMON - kinds.astype(np.int64), out=weights[1:])
+    found = []
+    for level in levels:
+        borders, numbers = _parts(level + 2 + level // 8)
+        starts = np.searchsorted(rare, borders)
+        ends = np.append(starts[1:], len(rare))
+        keys = _mix(sums[ends] - sums[starts] + numbers, len(borders))
+        found.append(keys[np.lexsort((keys, weights[starts] - weights[ends]))[: level + 1]])
+    return found
+
+
+def proposing(shingles: np.ndarray, classes: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """What a set meets alike sets by, early ones first, and how many those are.
+
+    Alike sets differ in no more uncommon tokens than in all. So if one has ``BUNDLED_FROM + 1`` of them for each that
+    may differ, the other has ``BUNDLED_FROM``, and both have bundles; if neither has, both have the first order's prefix.
+    """
+    n = len(shingles)
+    levels = levels_of(n, percent)
+    kinds = classes[shingles % SLOTS]
+    uncommon = kinds < COMMON
+    rare, kinds = shingles[uncommon], kinds[uncommon]
+    found = bundles(rare, kinds, [level for level in levels if len(rare) >= BUNDLED_FROM * level])
+    early, late = sum(map(len, found)), []
+    if any(len(rare) < (BUNDLED_FROM + 1) * level for level in levels):
+        first = prefix(shingles, classes, ORDERS[0], percent)
+        found.append(prefix(first, classes, ORDERS[0], percent, early_length(n, percent)))
+        early += len(found[-1])
+        late = [np.setdiff1d(first, found[-1], assume_unique=True)]
+    return np.concatenate([np.zeros(0, np.uint64), *found, *late]), early
+
+
+def sketch(shingles: np.ndarray, percent: int) -> bytes:
+    """Parities of the counts of tokens by their last bits, some 12 bits for each token that may differ.
+
+    Two sets differ in as many tokens as their sketches in bits, at least.
+    """
+    bits = max(64, 1 << (SKETCH_BITS * 2 * len(shingles) * (100 - percent) // (100 + percent)).bit_length())
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def sketches_differ(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ, after the longer one is folded to the length of the other."""
+    x, y = (np.frombuffer(s, np.uint8) for s in (a, b))
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _signatures(docs: DataFrame, classes: bytes, size: int, percent: int) -> DataFrame:
-    """``node, key, n, first, early, others`` of every different set: a number for it, the first order's prefix, early
-    tokens first, how many those are, and 16 bits of each token of the other orders' prefixes, which are equal
-    wherever the tokens are."""
+    """``node, key, n, first, early, others, sketch`` of every different set: a number for it, what the first order
+    proposes it by, early ones first, how many those are, 16 bits of each token of the other orders' prefixes,
+    which are equal wherever the tokens are, and a sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = np.frombuffer(classes, np.uint8)
@@ -176,16 +271,16 @@ def _signatures(docs: DataFrame, classes: bytes, size: int, percent: int) -> Dat
             for text in batch.column(0):
                 found = shingle_set(text.as_py(), size)
                 if len(found):
-                    first, *others = (prefix(found, kinds, seed, percent) for seed in ORDERS)
+                    others = (prefix(found, kinds, seed, percent) for seed in ORDERS[1:])
                     short = [(o >> np.uint64(48)).astype("<u2").tobytes() for o in others]
-                    early = prefix(first, kinds, ORDERS[0], percent, early_length(len(found), percent))
-                    first = np.concatenate([early, np.setdiff1d(first, early, assume_unique=True)])
-                    rows.append((_digest(found), len(found), first.view(np.int64), len(early), short))
-            columns = list(zip(*rows)) or [()] * 5
-            types = (pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.binary()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["key", "n", "first", "early", "others"])
-
-    shape = "key binary, n long, first array<long>, early long, others array<binary>"
+                    first, early = proposing(found, kinds, percent)
+                    rows.append((_digest(found), len(found), first.view(np.int64), early, short, sketch(found, percent)))
+            columns = list(zip(*rows)) or [()] * 6
+            types = (pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.binary()), pa.binary())
+            names = ["key", "n", "first", "early", "others", "sketch"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+    shape = "key binary, n long, first array<long>, early long, others array<binary>, sketch binary"
     once = docs.select("text").mapInArrow(run, shape).dropDuplicates(["key"])
     return _stored(once.withColumn("node", F.monotonically_increasing_id()))
 
@@ -318,6 +413,7 @@ def set_links(docs: DataFrame, keys: DataFrame, classes: bytes, size: int, perce
     members = _members(signatures, percent)
     pairs = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
 
+    pairs = checkpointed(_agreeing(pairs, signatures, None, percent))
     for order in range(len(ORDERS) - 1):
         pairs = _agreeing(pairs, signatures, order, percent)
     verified = _verified(docs, nodes, checkpointed(pairs), size, percent)
@@ -329,19 +425,22 @@ def set_links(docs: DataFrame, keys: DataFrame, classes: bytes, size: int, perce
     return links.unionByName(_large_groups(docs, nodes, large, signatures, size, percent)), nodes
 
 
-def _agreeing(pairs: DataFrame, signatures: DataFrame, order: int, percent: int) -> DataFrame:
-    """The pairs whose sizes and prefixes under one of the other orders allow them to be alike."""
+def _agreeing(pairs: DataFrame, signatures: DataFrame, order: int | None, percent: int) -> DataFrame:
+    """The pairs whose sizes and prefixes under one of the other orders, or else sketches, allow them to be alike."""
+
+    def may_be(x: bytes, y: bytes, n: int, m: int) -> bool:
+        if order is None:
+            return sketches_differ(x, y) <= n + m - 2 * -(-percent * (n + m) // (100 + percent))
+        return np.isin(np.frombuffer(x, "<u2"), np.frombuffer(y, "<u2")).sum() >= needed_in_prefix(n, m, percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [
-                np.isin(np.frombuffer(x, "<u2"), np.frombuffer(y, "<u2")).sum() >= needed_in_prefix(n, m, percent)
-                for x, y, n, m in zip(*(c.to_pylist() for c in batch.columns[2:]))
-            ]
+            keep = [may_be(*row) for row in zip(*(c.to_pylist() for c in batch.columns[2:]))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def side(node: str, tokens: str) -> DataFrame:
-        return signatures.select(F.col("node").alias(node), F.col("n").alias(f"n_{node}"), F.col("others")[order].alias(tokens))
+        held = F.col("sketch") if order is None else F.col("others")[order]
+        return signatures.select(F.col("node").alias(node), F.col("n").alias(f"n_{node}"), held.alias(tokens))
 
     near = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").where(near).select("a", "b", "x", "y", "n_a", "n_b")
@@ -400,7 +499,8 @@ def _small_groups(members: DataFrame, signatures: DataFrame, percent: int) -> Da
     member = F.struct("node", "component", "n", "others")
     second = signatures.select("node", F.slice("others", 1, 1).alias("others"))
     groups = members.join(second, "node").groupBy(*_GROUP).agg(F.collect_list(member).alias("held"))
-    pairs = groups.select("held").mapInArrow(run, _PAIRS).distinct()
+    pairs = checkpointed(groups.select("held").mapInArrow(run, _PAIRS).distinct())
+    pairs = _agreeing(pairs, signatures, None, percent)
     for order in range(1, len(ORDERS) - 1):
         pairs = _agreeing(pairs, signatures, order, percent)
     return checkpointed(pairs)
@@ -428,13 +528,20 @@ def _large_groups(
             for x, y in zip(batch.column(0), batch.column(1)):
                 sides = x.as_py(), y.as_py()
                 held = [[np.frombuffer(m["shingles"], np.uint64) for m in side] for side in sides]
-                linked = {}
+                linked, above = [], {}
+
+                def top(component: int) -> int:
+                    while component in above:
+                        component = above[component]
+                    return component
+
                 for i, j in candidates(*sides, percent):
-                    # One link joins two components.
-                    names = sides[0][i]["component"], sides[1][j]["component"]
-                    if names not in linked and _alike(held[0][i], held[1][j], percent):
-                        linked[names] = sides[0][i]["node"], sides[1][j]["node"]
-                yield _pairs_batch(list(linked.values()))
+                    # A link joins two components that no other links have joined here.
+                    a, b = top(sides[0][i]["component"]), top(sides[1][j]["component"])
+                    if a != b and _alike(held[0][i], held[1][j], percent):
+                        above[a] = b
+                        linked.append((sides[0][i]["node"], sides[1][j]["node"]))
+                yield _pairs_batch(linked)
 
     return left.join(right, [*_GROUP, "salt"]).select("rest", "every").mapInArrow(run, _PAIRS)
 

@@ -161,3 +161,44 @@ def test_members_that_hold_a_token_late_need_one_no_larger_that_holds_it_early(s
     signatures = spark.createDataFrame(rows, "node long, n long, first array<long>, early long")
     found = {(r.token, r.node) for r in jaccard_join._members(signatures, 90).collect()}
     assert found == {(8, 1), (8, 4), (9, 4), (9, 5)}
+
+
+def near(rng, n):
+    """A set and one that may be alike."""
+    base = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+    other = base[rng.random(len(base)) > rng.choice([0, 0.03, 0.08])]
+    return base, np.union1d(other, rng.integers(0, 2**64, rng.integers(0, n // 12 + 2), dtype=np.uint64))
+
+
+@pytest.mark.parametrize("common", [0, 0.3, 0.5, 0.9])
+def test_alike_sets_have_something_early_in_common(common):
+    rng = np.random.default_rng(6)
+    classes = np.where(rng.random(jaccard_join.SLOTS) < common, rng.integers(0, 9, jaccard_join.SLOTS), 0).astype(np.uint8)
+    met = 0
+    for n in [*range(1, 60), 95, 100, 237, 700]:
+        for _ in range(12):
+            pair = sorted(near(rng, n), key=len)
+            if not len(pair[0]) or np.array_equal(*pair) or not jaccard_join._alike(*pair, 90):
+                continue
+            (small, early), (large, _) = (jaccard_join.proposing(s, classes, 90) for s in pair)
+            assert len(np.intersect1d(small[:early], large))
+            met += 1
+    assert met > 100
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_tokens():
+    rng = np.random.default_rng(7)
+    for n in (1, 9, 10, 50, 100, 237, 700, 1500):
+        for a, b in [near(rng, n) for _ in range(20)]:
+            differ = jaccard_join.sketches_differ(*(jaccard_join.sketch(s, 90) for s in (a, b)))
+            assert differ <= len(np.setxor1d(a, b))
+
+
+def test_texts_that_share_shingles_by_chance_do_not_meet(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices("abcdefghijkl", k=100)) for _ in range(300)]
+    docs = jaccard_join._docs(documents(spark, texts), "doc_id", "text")
+    classes = jaccard_join.token_classes(jaccard_join._keys_and_counts(docs, 3))
+    signatures = jaccard_join._signatures(docs, classes, 3, 90)
+    # Every shingle is in some 17 texts.
+    assert signatures.count() == 300 and not jaccard_join._members(signatures, 90).count()
